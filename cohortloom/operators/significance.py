@@ -134,24 +134,24 @@ def _shapiro_statistic(sums: DataFrame, keys: list[str]) -> DataFrame:
     m2 = normal_quantile((n - 1.375) / (n + 0.25))
     root = 1 / F.sqrt(n.cast("double"))
     a1 = F.when(n == 3, F.sqrt(F.lit(0.5))).otherwise(
-        m1 / F.sqrt(mm) + _poly(tails.R94_LAST_WEIGHT, root)
+        F.try_divide(m1, F.sqrt(mm)) + _poly(tails.R94_LAST_WEIGHT, root)
     )
-    a2 = m2 / F.sqrt(mm) + _poly(tails.R94_SECOND_WEIGHT, root)
+    a2 = F.try_divide(m2, F.sqrt(mm)) + _poly(tails.R94_SECOND_WEIGHT, root)
     weights = sums.withColumns({"m1": m1, "m2": m2, "a1": a1, "a2": a2})
     m1, m2, a1, a2 = (F.col(c) for c in ("m1", "m2", "a1", "a2"))
     outer = F.col("y1") - F.col("x1")
     second = F.col("y2") - F.col("x2")
     many = n > 5
     scale = F.when(
-        many, (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)
-    ).otherwise((mm - 2 * m1 * m1) / (1 - 2 * a1 * a1))
+        many, F.try_divide(mm - 2 * m1 * m1 - 2 * m2 * m2, 1 - 2 * a1 * a1 - 2 * a2 * a2)
+    ).otherwise(F.try_divide(mm - 2 * m1 * m1, 1 - 2 * a1 * a1))
     inner = F.col("mx") - m1 * outer - F.when(many, m2 * second).otherwise(0.0)
     contrast = a1 * outer + F.when(n == 3, 0.0).otherwise(
-        F.when(many, a2 * second).otherwise(0.0) + inner / F.sqrt(scale)
+        F.when(many, a2 * second).otherwise(0.0) + F.try_divide(inner, F.sqrt(scale))
     )
     w = F.when(
         (n >= 3) & (F.col("v") > 0),
-        F.least(F.lit(1.0), contrast * contrast / (F.col("v") * (n - 1))),
+        F.least(F.lit(1.0), F.try_divide(contrast * contrast, F.col("v") * (n - 1))),
     )
     return weights.select(*keys, "n", w.alias("statistic")).select(
         *keys, "statistic", _shapiro_p("statistic", "n").alias("pvalue")
