@@ -11,6 +11,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from cohortloom.functions import tails
 from cohortloom.functions.columns import normal_quantile
@@ -45,7 +46,7 @@ def balanced_sample(pair: DataFrame, test: str, seed: int = SAMPLING_SEED) -> Da
     return kept.drop("_quota")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _rank_sum_p(u: pd.Series, n0: pd.Series, n1: pd.Series, ties: pd.Series) -> pd.Series:
     def one(u, n0, n1, ties):
         if pd.isna(u):
@@ -79,7 +80,7 @@ def mann_whitney(
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _shapiro_p(w: pd.Series, n: pd.Series) -> pd.Series:
     def one(w, n):
         return None if pd.isna(w) else tails.shapiro_p(float(w), int(n))
@@ -166,7 +167,7 @@ def normality_flag(shapiro: DataFrame, test: str, alpha: float = NORMALITY_ALPHA
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _student_p(t: pd.Series, freedom: pd.Series) -> pd.Series:
     def one(t, freedom):
         return None if pd.isna(t) else tails.student_two_sided(float(t), float(freedom))
