@@ -80,16 +80,27 @@ def enrich_events(events: DataFrame, cohort: DataFrame) -> DataFrame:
 
 
 def preprocess_for_cohort(
-    events: DataFrame, cohort: DataFrame, spec: TableSpec, crosswalk: DataFrame | None = None
+    events: DataFrame, cohort: DataFrame, spec: TableSpec, crosswalk: DataFrame | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Preprocessed events of a cohort with its patient columns.
 
-    Filter-then-enrich on the same key is one inner join. Cleaning runs before it, at
-    the scan, so the shuffle carries only usable rows and needed columns.
+    Filter-then-enrich on the same key is one inner join. Cleaning and code mapping run
+    before it, on the scan side, so the shuffle carries only usable rows and columns.
+    ``only`` (a configuration) keeps the configured events, before the shuffle as well.
     """
     columns = [*cohort_keys(cohort), INDEX_DATE, "BIRTH_YR", "GENDER"]
-    joined = preprocess(events, spec).join(cohort.select(*columns), PATIENT_ID)
-    return joined if crosswalk is None else map_to_icd10(joined, spec, crosswalk)
+    ready = preprocess(events, spec)
+    if crosswalk is not None:
+        ready = map_to_icd10(ready, spec, crosswalk)
+    if only is not None:
+        names = only.select(F.col(conf_key(only)).alias(spec.info))
+        ready = ready.join(names, spec.info, "left_semi")
+    return ready.join(cohort.select(*columns), PATIENT_ID)
+
+
+def conf_key(conf: DataFrame) -> str:
+    return "test_name" if "test_name" in conf.columns else "code"
 
 
 def map_to_icd10(df: DataFrame, spec: TableSpec, crosswalk: DataFrame) -> DataFrame:
@@ -122,7 +133,7 @@ def with_feature_type(df: DataFrame, spec: TableSpec, conf: DataFrame | None, fe
     """
     if conf is None:
         return df.withColumn(FEATURE_TYPE, F.lit(BROAD))
-    key = "test_name" if "test_name" in conf.columns else "code"
+    key = conf_key(conf)
     numerical = feature in ("labs", "observations", "measurements")
     if feature == "diags":
         also, matched = "goal_status", F.array_contains("_also", F.col(spec.status))
@@ -272,7 +283,7 @@ def clean(df: DataFrame, spec: TableSpec, drop_duplicates: bool = True) -> DataF
 
 def specific_features(df: DataFrame, spec: TableSpec, conf: DataFrame) -> DataFrame:
     """Specific rows with the term, category and block of their code."""
-    key = "test_name" if "test_name" in conf.columns else "code"
+    key = conf_key(conf)
     names = ("medical_term", "algorithm_category", "algorithm_block")
     table = conf.select(
         F.col(key).alias("_key"),

@@ -67,7 +67,8 @@ def results_in_window(
 
     One shuffle on (patient, test) serves all tests: a sliding day frame, M-scaled so
     that one frame fits every test, collects the neighbours and the exact month rule
-    trims it. The input holds one row per patient, test and day (``dedupe_by_date``), so
+    trims it. Results without enough neighbours have no distance and so are never closest.
+    The input holds one row per patient, test and day (``dedupe_by_date``), so
     a frame is bounded by its days and a group by the calendar.
     """
     keys = [*cohort_keys(df), spec.info]
@@ -79,15 +80,19 @@ def results_in_window(
         .rangeBetween(-DAYS_PER_MONTH_BOUND, DAYS_PER_MONTH_BOUND)
     )
     near = F.collect_list(F.struct(date, F.col(spec.result))).over(frame)
-    tests = F.sort_array(
-        F.filter("_near", lambda t: abs_months(date, t[spec.date]) <= span)
-    )
+    def close(t: Column) -> Column:
+        """Within M months; up to 28 M - 3 days that is so without counting months."""
+        days = F.abs(F.datediff(date, t[spec.date]))
+        return (days <= 28 * span - 3) | (abs_months(date, t[spec.date]) <= span)
+
+    tests = F.sort_array(F.filter("_near", close))
     windows = (
         numeric_in_range(df, spec, conf, timerange)
         .withColumn("_near", near)
         .withColumn("_tests", tests)
-        .filter(F.size("_tests") >= F.col("min_values"))
-        .withColumn("_distance", abs_months(date, F.col(INDEX_DATE)))
+        .withColumn("_distance", F.when(
+            F.size("_tests") >= F.col("min_values"), abs_months(date, F.col(INDEX_DATE))
+        ))
         .withColumn("_closest", F.min("_distance").over(Window.partitionBy(*keys)))
         .filter(F.col("_distance") == F.col("_closest"))
     )

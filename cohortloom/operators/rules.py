@@ -85,42 +85,61 @@ def _bind(node: Node, leaf: Callable[[str], Column], negate: bool) -> Column:
 
 
 class BoundRule:
-    """A rule over the columns one matrix really has."""
+    """A rule over the columns one matrix really has.
 
-    def __init__(self, rule: Rule, columns: Sequence[str]):
-        self.rule = rule
-        self.columns = set(columns)
+    Blocks are evaluated once per patient, as columns of their own: the alternatives then
+    combine a handful of booleans instead of repeating every code of every block.
+    """
 
-    def _synonyms(self, names: Sequence[str], resolve: Callable[[str], Column]) -> Column:
-        """OR over synonyms; no synonym at all means no data."""
-        found = [resolve(n) for n in names]
-        return reduce(or_, found) if found else F.lit(None).cast("boolean")
+    def __init__(self, rule: Rule, matrix: DataFrame):
+        self.rule = rule
+        self.keys = cohort_keys(matrix)
+        self.columns = set(matrix.columns)
+        self.blocks = matrix.select(
+            *self.keys,
+            *[self._block(b, self._as_known, negate=False).alias(_asked(b)) for b in rule.blocks],
+            *[self._block(b, self._as_value, negate=True).alias(_value(b)) for b in rule.blocks],
+        )
+
+    def _column(self, name: str) -> Column:
+        return F.col(f"`{name}`") if name in self.columns else F.lit(None).cast("boolean")
+
+    def _as_known(self, column: Column) -> Column:
+        """Every known value counts as true."""
+        return F.when(column.isNotNull(), True)
+
+    def _as_value(self, column: Column) -> Column:
+        """A missing value counts as false."""
+        return F.coalesce(column, F.lit(False))
+
+    def _block(self, block: str, read: Callable[[Column], Column], negate: bool) -> Column:
+        def category(name: str) -> Column:
+            """OR over all synonyms; no synonym at all means no data."""
+            members = [
+                member
+                for term in self.rule.categories.get(name, ())
+                for member in self.rule.terms.get(term, (term,))
+            ]
+            found = [read(self._column(m)) for m in members]
+            return reduce(or_, found) if found else read(F.lit(None).cast("boolean"))
 
-    def _evaluate(self, node: Node, known: Callable[[Column], Column], negate: bool) -> Column:
-        def column(name: str) -> Column:
-            present = F.col(f"`{name}`") if name in self.columns else F.lit(None).cast("boolean")
-            return known(present)
+        return _bind(self.rule.blocks[block], category, negate)
 
-        def term(name: str) -> Column:
-            return self._synonyms(self.rule.terms.get(name, (name,)), column)
+    def available(self, node: Node) -> Column:
+        """Is there enough data? NOT is dropped here."""
+        return _bind(node, lambda b: F.col(_asked(b)), negate=False).isNotNull()
 
-        def category(name: str) -> Column:
-            return self._synonyms(self.rule.categories.get(name, ()), term)
+    def label(self, node: Node) -> Column:
+        """Outcome of the rule; null where data are not enough."""
+        return F.when(self.available(node), _bind(node, lambda b: F.col(_value(b)), negate=True))
 
-        def block(name: str) -> Column:
-            return _bind(self.rule.blocks[name], category, negate)
 
-        return _bind(node, block, negate)
+def _asked(block: str) -> str:
+    return f"_asked_{block}"
 
-    def available(self, node: Node) -> Column:
-        """Is there enough data? Every known value counts as true and NOT is dropped."""
-        asked = self._evaluate(node, lambda c: F.when(c.isNotNull(), True), negate=False)
-        return asked.isNotNull()
 
-    def label(self, node: Node) -> Column:
-        """Outcome with missing values as false; null where data are not enough."""
-        outcome = self._evaluate(node, lambda c: F.coalesce(c, F.lit(False)), negate=True)
-        return F.when(self.available(node), outcome)
+def _value(block: str) -> str:
+    return f"_value_{block}"
 
 
 def global_label(labels: Sequence[Column]) -> Column:
@@ -128,44 +147,53 @@ def global_label(labels: Sequence[Column]) -> Column:
     return labels[0] if len(labels) == 1 else F.greatest(*labels)
 
 
-def rule_availability(matrix: DataFrame, rule: Rule) -> DataFrame:
-    bound = BoundRule(rule, matrix.columns)
-    each = [bound.available(a) for a in rule.alternatives]
-    return matrix.select(
-        *cohort_keys(matrix),
-        *[c.alias(f"rule_{i}_availability") for i, c in enumerate(each, 1)],
+def _availability_columns(count: int) -> list[Column]:
+    each = [F.col(f"rule_{i}_availability") for i in range(1, count + 1)]
+    return [
+        *each,
         reduce(or_, each).alias("minimal_global_availability"),
         reduce(and_, each).alias("strict_global_availability"),
-    )
+    ]
+
+
+def rule_availability(matrix: DataFrame, rule: Rule) -> DataFrame:
+    """Availability of every alternative, of any (minimal) and of all (strict)."""
+    bound = BoundRule(rule, matrix)
+    each = bound.blocks.select(*bound.keys, *[
+        bound.available(a).alias(f"rule_{i}_availability")
+        for i, a in enumerate(rule.alternatives, 1)
+    ])
+    return each.select(*bound.keys, *_availability_columns(len(rule.alternatives)))
 
 
 def rule_labels(matrix: DataFrame, rule: Rule) -> DataFrame:
     """Availability and label of every alternative, and the global label."""
-    bound = BoundRule(rule, matrix.columns)
-    each = [bound.available(a) for a in rule.alternatives]
-    labels = {f"rule_{i}_label": bound.label(a) for i, a in enumerate(rule.alternatives, 1)}
-    return matrix.select(
-        *cohort_keys(matrix),
-        *[c.alias(f"rule_{i}_availability") for i, c in enumerate(each, 1)],
-        reduce(or_, each).alias("minimal_global_availability"),
-        reduce(and_, each).alias("strict_global_availability"),
-        *[c.alias(n) for n, c in labels.items()],
-    ).withColumn("global_label", global_label([F.col(n) for n in labels]))
+    bound = BoundRule(rule, matrix)
+    numbered = list(enumerate(rule.alternatives, 1))
+    each = bound.blocks.select(
+        *bound.keys,
+        *[bound.available(a).alias(f"rule_{i}_availability") for i, a in numbered],
+        *[bound.label(a).alias(f"rule_{i}_label") for i, a in numbered],
+    )
+    labels = [F.col(f"rule_{i}_label") for i, _ in numbered]
+    return each.select(
+        *bound.keys, *_availability_columns(len(numbered)), *labels,
+        global_label(labels).alias("global_label"),
+    )
 
 
 def block_availability(matrix: DataFrame, rule: Rule) -> DataFrame:
-    bound = BoundRule(rule, matrix.columns)
-    return matrix.select(
-        *cohort_keys(matrix),
-        *[bound.available(b).alias(f"{b}_availability") for b in rule.blocks],
+    bound = BoundRule(rule, matrix)
+    return bound.blocks.select(
+        *bound.keys, *[bound.available(b).alias(f"{b}_availability") for b in rule.blocks]
     )
 
 
 def block_labels(matrix: DataFrame, rule: Rule) -> DataFrame:
     """Availability and label of every block; there is no global label at this level."""
-    bound = BoundRule(rule, matrix.columns)
-    return matrix.select(
-        *cohort_keys(matrix),
+    bound = BoundRule(rule, matrix)
+    return bound.blocks.select(
+        *bound.keys,
         *[bound.available(b).alias(f"{b}_availability") for b in rule.blocks],
         *[bound.label(b).alias(f"{b}_label") for b in rule.blocks],
     )

@@ -45,9 +45,17 @@ class Sources:
     crosswalk: DataFrame
     descriptions: DataFrame
 
+    store: StageStore | None = None
+
     @cached_property
     def units(self) -> DataFrame:
-        return main_units(self.tables["labs"], LABS)
+        """Main unit per test.
+
+        Written where a store is given: the join then knows its size, broadcasts it while
+        it is small and shuffles only beyond that.
+        """
+        found = main_units(self.tables["labs"], LABS)
+        return found if self.store is None else self.store.keep(found, "main_units")
 
 
 class FeatureStages:
@@ -55,6 +63,9 @@ class FeatureStages:
 
     Without a ``store`` the stages are one lazy plan. With one, each stage is written
     once and read by everything after it.
+
+    Labels need the specific features only. As deduplication works per code, these can be
+    cut out of the events before the shuffle; the broad features are made when asked for.
     """
 
     def __init__(
@@ -76,16 +87,17 @@ class FeatureStages:
         a = self.algorithm
         return {"diags": a.diag_conf, "labs": a.lab_conf, "procedures": a.procedure_conf}[feature]
 
-    def preprocessed(self, feature: str) -> DataFrame:
-        crosswalk = self.sources.crosswalk if feature == "diags" else None
+    def preprocessed(self, feature: str, configured_only: bool = False) -> DataFrame:
         return fe.preprocess_for_cohort(
-            self.sources.tables[feature], self.cohorts, FEATURE_TABLES[feature], crosswalk
+            self.sources.tables[feature], self.cohorts, FEATURE_TABLES[feature],
+            crosswalk=self.sources.crosswalk if feature == "diags" else None,
+            only=self._conf(feature) if configured_only else None,
         )
 
-    def processed(self, feature: str) -> DataFrame:
+    def processed(self, feature: str, configured_only: bool = False) -> DataFrame:
         return fe.process(
-            self.preprocessed(feature), FEATURE_TABLES[feature], feature, self._conf(feature),
-            units=self.sources.units if feature == "labs" else None,
+            self.preprocessed(feature, configured_only), FEATURE_TABLES[feature], feature,
+            self._conf(feature), units=self.sources.units if feature == "labs" else None,
             descriptions=self.sources.descriptions,
         )
 
@@ -111,9 +123,9 @@ class FeatureStages:
         }[feature]()
 
     def specific(self, feature: str) -> DataFrame:
-        return fe.specific_features(
-            self.broad(feature), FEATURE_TABLES[feature], self._conf(feature)
-        )
+        spec = FEATURE_TABLES[feature]
+        cleaned = fe.clean(self.processed(feature, configured_only=True), spec)
+        return fe.specific_features(cleaned, spec, self._conf(feature))
 
     @cached_property
     def windows(self) -> DataFrame:

@@ -78,7 +78,7 @@ class Context:
             r.patient,
             {"diags": r.diagnosis, "treatments": r.treatment, "labs": r.lab,
              "procedures": r.procedure},
-            self.crosswalk, self.descriptions,
+            self.crosswalk, self.descriptions, self.store,
         )
 
     @cached_property

@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes: wide stages run faster as
+    # separate operators than as one interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

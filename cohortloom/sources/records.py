@@ -28,9 +28,13 @@ class Records:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._bases: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its schema is read from the file once."""
+        if name not in self._bases:
+            self._bases[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._bases[name]
 
     @cached_property
     def patient(self) -> DataFrame:
