@@ -53,9 +53,8 @@ def prevalence_and_lift(
     map side, then one aggregation. The cohort sizes are a one-row scalar subquery.
     """
     names = [main, *others]
-    sizes = cohorts.agg(F.struct(*[
-        F.count_distinct(F.when(F.col(COHORT_TYPE) == n, F.col(PATIENT_ID))).alias(n)
-        for n in names
+    sizes = cohorts.select(COHORT_TYPE, PATIENT_ID).dropDuplicates().agg(F.struct(*[
+        F.count_if(F.col(COHORT_TYPE) == n).alias(n) for n in names
     ]).alias("_sizes")).scalar()
     seen = discrete_in_range(features, spec, timerange, months, include_index=False)
     for level in levels:

@@ -27,17 +27,22 @@ def order_bin(value: Column) -> Column:
 def value_ranks(
     df: DataFrame, keys: Sequence[str], value: str, tallies: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """Per (keys, distinct value): ``N`` rows, ``BEFORE`` rows with a lower value.
+    """Per (keys, distinct value): ``N`` rows, ``BEFORE`` rows with a lower value, and
+    ``TOTAL`` rows of the group.
 
     ``tallies`` adds further counts per distinct value. Keys must not be null.
     """
     merged = df.groupBy(*keys, value).agg(
         F.count("*").alias("N"), *[c.alias(n) for n, c in (tallies or {}).items()]
     ).withColumn("_bin", order_bin(F.col(value).cast("double")))
-    lower_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys)
+    lower_bins = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         merged.groupBy(*keys, "_bin").agg(F.sum("N").alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(lower_bins), F.lit(0)))
+        .withColumns({
+            "_start": F.coalesce(F.sum("_n").over(lower_bins), F.lit(0)),
+            "TOTAL": F.sum("_n").over(group),
+        })
         .drop("_n")
     )
     lower_values = (
@@ -60,15 +65,13 @@ def exact_percentiles(
     The value at position i is the largest one with at most i rows before it, so every
     percentile is a conditional maximum: an aggregation with map-side combine.
     """
-    ranks = value_ranks(df, keys, value)
-    totals = ranks.groupBy(*keys).agg(F.sum("N").alias(count))
-    placed = ranks.join(totals, list(keys))
+    ranks = value_ranks(df, keys, value).withColumnRenamed("TOTAL", count)
     position = {name: (F.col(count) - 1) * F.lit(p) for name, p in probabilities.items()}
 
     def at(index: Column) -> Column:
         return F.max(F.when(F.col("BEFORE") <= index, F.col(value)))
 
-    picked = placed.groupBy(*keys, count).agg(
+    picked = ranks.groupBy(*keys, count).agg(
         *[at(F.floor(pos)).alias(f"_low_{n}") for n, pos in position.items()],
         *[at(F.ceil(pos)).alias(f"_high_{n}") for n, pos in position.items()],
     )

@@ -19,6 +19,7 @@ from cohortloom.operators.ranks import value_ranks
 from cohortloom.operators.sampling import keep_lowest_hashed
 from cohortloom.spec import COHORT_TYPE, PATIENT_ID, SAMPLING_SEED, TableSpec
 
+PAIR = "PAIR"
 LABEL = "LABEL"
 VALUE = "TEST_RESULT_REF"
 NORMALITY_ALPHA = 0.05
@@ -26,22 +27,35 @@ SIGNIFICANCE_ALPHA = 0.05
 INDEX_CHUNK = 65_536  # ranks per generated array, whatever the number of ties
 
 
+def labelled_pairs(windows: DataFrame, spec: TableSpec, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Reference results of cohort pairs (``PAIR`` = ``first|second``): label 1 for the
+    first cohort, 0 for the second.
+
+    A row is repeated for the pairs its cohort is in, so all pairs are tested together.
+    """
+    def membership(first: str, second: str) -> Column:
+        def as_label(label: int) -> Column:
+            return F.struct(F.lit(f"{first}|{second}").alias(PAIR), F.lit(label).alias(LABEL))
+
+        cohort = F.col(COHORT_TYPE)
+        return F.when(cohort == first, as_label(1)).when(cohort == second, as_label(0))
+
+    memberships = F.array_compact(F.array(*[membership(*p) for p in pairs]))
+    return windows.select(PATIENT_ID, spec.info, VALUE, F.inline(memberships))
+
+
 def labelled_pair(windows: DataFrame, spec: TableSpec, first: str, second: str) -> DataFrame:
-    """Reference results of two cohorts: label 1 for the first, 0 for the second."""
-    return windows.filter(F.col(COHORT_TYPE).isin(first, second)).select(
-        PATIENT_ID, spec.info, VALUE,
-        F.when(F.col(COHORT_TYPE) == first, 1).otherwise(0).alias(LABEL),
-    )
+    return labelled_pairs(windows, spec, [(first, second)]).drop(PAIR)
 
 
-def balanced_sample(pair: DataFrame, test: str, seed: int = SAMPLING_SEED) -> DataFrame:
+def balanced_sample(pair: DataFrame, keys: Sequence[str], seed: int = SAMPLING_SEED) -> DataFrame:
     """As many rows of either label per test as the rarer label has."""
-    sizes = pair.groupBy(test).agg(
+    sizes = pair.groupBy(*keys).agg(
         F.least(F.count_if(F.col(LABEL) == 0), F.count_if(F.col(LABEL) == 1)).alias("_quota")
     )
-    ready = pair.join(sizes, test)
     kept = keep_lowest_hashed(
-        ready, PATIENT_ID, F.col("_quota"), seed, within=[test, LABEL], tie_break=[VALUE]
+        pair.join(sizes, list(keys)), PATIENT_ID, F.col("_quota"), seed,
+        within=[*keys, LABEL], tie_break=[VALUE],
     )
     return kept.drop("_quota")
 
@@ -57,14 +71,14 @@ def _rank_sum_p(u: pd.Series, n0: pd.Series, n1: pd.Series, ties: pd.Series) ->
 
 
 def mann_whitney(
-    pair: DataFrame, test: str, balanced: bool = False, seed: int = SAMPLING_SEED
+    pair: DataFrame, keys: Sequence[str], balanced: bool = False, seed: int = SAMPLING_SEED
 ) -> DataFrame:
     """Rank-sum statistic of label 0 against label 1 per test, two-sided."""
     if balanced:
-        pair = balanced_sample(pair, test, seed)
-    ranks = value_ranks(pair, [test], VALUE, {"N0": F.count_if(F.col(LABEL) == 0)})
+        pair = balanced_sample(pair, keys, seed)
+    ranks = value_ranks(pair, keys, VALUE, {"N0": F.count_if(F.col(LABEL) == 0)})
     n, n0 = F.col("N").cast("double"), F.col("N0").cast("double")
-    sums = ranks.groupBy(test).agg(
+    sums = ranks.groupBy(*keys).agg(
         F.sum(n0 * (F.col("BEFORE") + (n + 1) / 2)).alias("_ranks"),
         F.sum(n * n * n - n).alias("TIES"),
         F.sum("N0").alias("N0"), F.sum(F.col("N") - F.col("N0")).alias("N1"),
@@ -72,10 +86,10 @@ def mann_whitney(
     both = (F.col("N0") > 0) & (F.col("N1") > 0)
     u = F.col("_ranks") - F.col("N0") * (F.col("N0") + 1) / 2
     return sums.select(
-        F.lit("mannwhitneyu").alias("statistic_test"), test,
+        F.lit("mannwhitneyu").alias("statistic_test"), *keys,
         F.when(both, u).alias("statistic"), "N0", "N1", "TIES",
     ).select(
-        "statistic_test", test, "statistic",
+        "statistic_test", *keys, "statistic",
         _rank_sum_p("statistic", "N0", "N1", "TIES").alias("pvalue"),
     )
 
@@ -104,10 +118,9 @@ def shapiro_wilk(df: DataFrame, keys: Sequence[str], value: str = VALUE) -> Data
     """
     keys = list(keys)
     ranks = value_ranks(df, keys, value)
-    sized = ranks.join(ranks.groupBy(*keys).agg(F.sum("N").alias("_size")), keys)
     last = F.col("BEFORE") + F.col("N")
-    chunks = sized.select(
-        *keys, F.col(value).alias("_x"), "_size", last.alias("_last"),
+    chunks = ranks.select(
+        *keys, F.col(value).alias("_x"), F.col("TOTAL").alias("_size"), last.alias("_last"),
         F.explode(F.sequence(F.col("BEFORE") + 1, last, F.lit(INDEX_CHUNK))).alias("_from"),
     ).repartition(*keys, "_from")
     size, rank, x = F.col("_size"), F.col("_rank"), F.col("_x")
@@ -159,11 +172,11 @@ def _shapiro_statistic(sums: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def normality_flag(shapiro: DataFrame, test: str, alpha: float = NORMALITY_ALPHA) -> DataFrame:
+def normality_flag(shapiro: DataFrame, keys: Sequence[str], alpha: float = NORMALITY_ALPHA) -> DataFrame:
     """``shapiro`` is 1 when no label of the test departs from normality."""
     outcome = F.when(F.col("pvalue") < alpha, 0).otherwise(1)
     return shapiro.withColumn("shapiro_outcome", outcome).withColumn(
-        "shapiro", F.min("shapiro_outcome").over(Window.partitionBy(test))
+        "shapiro", F.min("shapiro_outcome").over(Window.partitionBy(*keys))
     )
 
 
@@ -175,12 +188,12 @@ def _student_p(t: pd.Series, freedom: pd.Series) -> pd.Series:
     return pd.Series([one(*row) for row in zip(t, freedom)], dtype="float64")
 
 
-def t_test(pair: DataFrame, test: str) -> DataFrame:
+def t_test(pair: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Student t of label 0 against label 1 per test: equal variances, two-sided."""
     def of(label: int) -> Column:
         return F.when(F.col(LABEL) == label, F.col(VALUE))
 
-    moments = pair.groupBy(test).agg(
+    moments = pair.groupBy(*keys).agg(
         F.count(of(0)).alias("n0"), F.count(of(1)).alias("n1"),
         F.avg(of(0)).alias("m0"), F.avg(of(1)).alias("m1"),
         F.var_pop(of(0)).alias("v0"), F.var_pop(of(1)).alias("v1"),
@@ -190,35 +203,35 @@ def t_test(pair: DataFrame, test: str) -> DataFrame:
     pooled = F.try_divide(n0 * F.col("v0") + n1 * F.col("v1"), freedom)
     error = F.sqrt(pooled * (F.try_divide(F.lit(1.0), n0) + F.try_divide(F.lit(1.0), n1)))
     return moments.select(
-        F.lit("ttest_ind").alias("statistic_test"), test,
+        F.lit("ttest_ind").alias("statistic_test"), *keys,
         F.try_divide(F.col("m0") - F.col("m1"), error).alias("statistic"),
         freedom.alias("_freedom"),
     ).select(
-        "statistic_test", test, "statistic", _student_p("statistic", "_freedom").alias("pvalue")
+        "statistic_test", *keys, "statistic", _student_p("statistic", "_freedom").alias("pvalue")
     )
 
 
 def select_significance(
-    rank_sums: DataFrame, t_tests: DataFrame, normality: DataFrame, test: str,
+    rank_sums: DataFrame, t_tests: DataFrame, normality: DataFrame, keys: Sequence[str],
     alpha: float = SIGNIFICANCE_ALPHA,
 ) -> DataFrame:
     """The t-test of a normal test, else its rank-sum test, and whether it is significant."""
-    verdicts = normality.select(test, "shapiro").distinct()
+    verdicts = normality.select(*keys, "shapiro").distinct()
     chosen = F.when(F.col("shapiro") == 1, "ttest_ind").otherwise("mannwhitneyu")
     return (
         rank_sums.unionByName(t_tests)
-        .join(verdicts, test)
+        .join(verdicts, list(keys))
         .filter(F.col("statistic_test") == chosen)
         .withColumn("significance_outcome", (F.col("pvalue") < alpha).cast("int"))
     )
 
 
 def compare_cohorts(
-    windows: DataFrame, spec: TableSpec, first: str, second: str, balanced: bool = False
+    windows: DataFrame, spec: TableSpec, pairs: Sequence[tuple[str, str]], balanced: bool = False
 ) -> DataFrame:
-    """All tests of a cohort pair: the fitting test, its p-value and significance."""
-    pair = labelled_pair(windows, spec, first, second)
-    normality = normality_flag(shapiro_wilk(pair, [LABEL, spec.info]), spec.info)
+    """All tests of cohort pairs: the fitting test, its p-value and significance."""
+    both, keys = labelled_pairs(windows, spec, pairs), [PAIR, spec.info]
+    normality = normality_flag(shapiro_wilk(both, [*keys, LABEL]), keys)
     return select_significance(
-        mann_whitney(pair, spec.info, balanced), t_test(pair, spec.info), normality, spec.info
+        mann_whitney(both, keys, balanced), t_test(both, keys), normality, keys
     )

@@ -856,19 +856,22 @@ QUALIFY row_number() OVER (PARTITION BY p_partkey % 700 ORDER BY p_partkey DESC)
 FINALS["build_descriptions"] = """SELECT concat('C', lpad(CAST(p_partkey % 300 AS VARCHAR), 3, '0')) AS ICD10,
   p_name AS description FROM part
 QUALIFY row_number() OVER (PARTITION BY p_partkey % 300 ORDER BY p_partkey DESC) = 1"""
-FINALS["build_code_conf"] = """SELECT concat('C', lpad(CAST(p_partkey AS VARCHAR), 6, '0')) AS code, 'ICD10' AS code_type,
-  lower(p_type) AS medical_term, lower(p_brand) AS algorithm_category,
+PART_CODE = "concat('C', lpad(CAST(p_partkey AS VARCHAR), 12, '0'))"
+PART_TERM = "concat('term_', CAST(p_partkey // 10 AS VARCHAR))"
+PART_CATEGORY = "concat('cat_', CAST(p_partkey // 50 AS VARCHAR))"
+FINALS["build_code_conf"] = f"""SELECT {PART_CODE} AS code, 'ICD10' AS code_type,
+  {PART_TERM} AS medical_term, {PART_CATEGORY} AS algorithm_category,
   CASE WHEN p_size % 2 = 0 THEN 'ALGORITHM_BLOCK_A' ELSE 'ALGORITHM_BLOCK_B' END AS algorithm_block,
   'Diagnosis of' AS goal_status FROM part"""
-FINALS["build_lab_conf"] = """SELECT p_name AS test_name, lower(p_name) AS medical_term, 'cat' AS algorithm_category,
+FINALS["build_lab_conf"] = """SELECT concat('test', CAST(p_partkey // 4 AS VARCHAR)) AS test_name,
+  concat('term', CAST(p_partkey // 4 AS VARCHAR)) AS medical_term, 'cat' AS algorithm_category,
   'ALGORITHM_BLOCK_A' AS algorithm_block, 'mg/dL' AS main_unit, CAST(NULL AS DOUBLE) AS lower_limit,
   CAST(49 AS DOUBLE) AS upper_limit, CAST(12 AS DOUBLE) AS max_timespan, 2 AS min_values,
   CAST(count(*) AS INT) AS N_THRESHOLDS, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS SEQS,
-  string_agg(CAST(p_size AS VARCHAR), ',' ORDER BY p_partkey) AS VALUES FROM part GROUP BY p_name"""
-FINALS["build_hierarchy"] = """SELECT 'category' AS level, lower(p_brand) AS parent,
-  string_agg(DISTINCT lower(p_type), ',' ORDER BY lower(p_type)) AS children FROM part GROUP BY ALL UNION ALL
-SELECT 'term', lower(p_type), string_agg(concat('C', lpad(CAST(p_partkey AS VARCHAR), 6, '0')), ','
-  ORDER BY p_partkey) FROM part GROUP BY ALL"""
+  string_agg(CAST(p_size AS VARCHAR), ',' ORDER BY p_partkey) AS VALUES FROM part GROUP BY p_partkey // 4"""
+FINALS["build_hierarchy"] = f"""SELECT 'category' AS level, {PART_CATEGORY} AS parent,
+  string_agg(DISTINCT {PART_TERM}, ',' ORDER BY {PART_TERM}) AS children FROM part GROUP BY ALL UNION ALL
+SELECT 'term', {PART_TERM}, string_agg({PART_CODE}, ',' ORDER BY p_partkey) FROM part GROUP BY ALL"""
 FINALS["explode_groups"] = """SELECT code, p_brand AS LSD_GROUP FROM (
   SELECT p_partkey, p_brand, concat('C', CAST(p_partkey % 500 AS VARCHAR)) AS code FROM part UNION ALL
   SELECT p_partkey, p_brand, concat('D', CAST(p_partkey % 300 AS VARCHAR)) FROM part)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -829,13 +829,13 @@ def pair_of(c: Context) -> DataFrame:
 
 @query
 def balanced_sample(c: Context) -> DataFrame:
-    kept = si.balanced_sample(pair_of(c), LABS.info)
+    kept = si.balanced_sample(pair_of(c), [LABS.info])
     return kept.select("PTID", "TEST_NAME", "TEST_RESULT_REF", "LABEL")
 
 
 @query
 def mann_whitney(c: Context) -> DataFrame:
-    return si.mann_whitney(pair_of(c), LABS.info)
+    return si.mann_whitney(pair_of(c), [LABS.info])
 
 
 @query
@@ -845,26 +845,21 @@ def shapiro_wilk(c: Context) -> DataFrame:
 
 @query
 def t_test(c: Context) -> DataFrame:
-    return si.t_test(pair_of(c), LABS.info)
+    return si.t_test(pair_of(c), [LABS.info])
 
 
 @query
 def normality_flag(c: Context) -> DataFrame:
     shapiro = si.shapiro_wilk(pair_of(c), ["LABEL", LABS.info])
-    flagged = si.normality_flag(shapiro, LABS.info)
+    flagged = si.normality_flag(shapiro, [LABS.info])
     return flagged.select("LABEL", "TEST_NAME", "shapiro_outcome", "shapiro")
 
 
 @query
 def significance_select(c: Context) -> DataFrame:
     """All three cohort pairs."""
-    windows = c.assessment.stages.windows
-    pairs = [
+    return si.compare_cohorts(c.assessment.stages.windows, LABS, [
         ("cohort", "control_cohort"), ("cohort", "like_cohort"), ("like_cohort", "control_cohort")
-    ]
-    return reduce(DataFrame.unionByName, [
-        si.compare_cohorts(windows, LABS, a, b).withColumn("PAIR", F.lit(f"{a}|{b}"))
-        for a, b in pairs
     ])
 
 
@@ -894,11 +889,16 @@ def build_descriptions(c: Context) -> DataFrame:
 
 
 def raw_code_lines(c: Context) -> DataFrame:
+    """One code per part: ten codes to a term, five terms to a category."""
     key = F.col("p_partkey")
+
+    def name(prefix: str, size: int):
+        return F.concat(F.lit(prefix), F.floor(key / size).cast("string"))
+
     return c.records.base("part").select(
-        F.concat(F.lit("C"), F.lpad(key.cast("string"), 6, "0")).alias("code"),
+        F.concat(F.lit("C"), F.lpad(key.cast("string"), 12, "0")).alias("code"),
         F.lit("ICD10").alias("code_type"),
-        F.col("p_type").alias("medical_term"), F.col("p_brand").alias("algorithm_category"),
+        name("Term_", 10).alias("medical_term"), name("Cat_", 50).alias("algorithm_category"),
         F.when(F.col("p_size") % 2 == 0, "A").otherwise("B").alias("algorithm_block"),
         F.lit("Diagnosis of").alias("diagnosis_status"),
     )
@@ -912,10 +912,12 @@ def build_code_conf(c: Context) -> DataFrame:
 
 @query
 def build_lab_conf(c: Context) -> DataFrame:
-    """One threshold line per part: a test per name, its size as the threshold."""
+    """One threshold line per part, four to a test, its size as the threshold."""
     size = F.col("p_size").cast("string")
+    number = F.floor(F.col("p_partkey") / 4).cast("string")
     raw = c.records.base("part").select(
-        F.col("p_name").alias("test_name"), F.upper("p_name").alias("medical_term"),
+        F.concat(F.lit("test"), number).alias("test_name"),
+        F.concat(F.lit("TERM"), number).alias("medical_term"),
         F.lit("Cat").alias("algorithm_category"), F.lit("A").alias("algorithm_block"),
         F.lit("mg/dL").alias("main_unit"), F.lit("null").alias("lower_limit"),
         F.lit("49").alias("upper_limit"), F.lit("12").alias("max_timespan"),

@@ -27,7 +27,7 @@ def test_rank_sum_with_ties_against_counting(spark):
     zeros = [rng.randint(0, 9) for _ in range(40)]
     ones = [rng.randint(2, 12) for _ in range(30)]
     wins = sum((a > b) + 0.5 * (a == b) for a in zeros for b in ones)
-    got = si.mann_whitney(pair(spark, zeros, ones), "TEST_NAME").first()
+    got = si.mann_whitney(pair(spark, zeros, ones), ["TEST_NAME"]).first()
     assert got.statistic == wins
     every = zeros + ones
     ties = sum(every.count(v) ** 3 - every.count(v) for v in set(every))
@@ -37,17 +37,17 @@ def test_rank_sum_with_ties_against_counting(spark):
 
 
 def test_rank_sum_is_exact_for_small_groups_without_ties(spark):
-    got = si.mann_whitney(pair(spark, [1, 2, 3], [4, 5, 6, 7]), "TEST_NAME").first()
+    got = si.mann_whitney(pair(spark, [1, 2, 3], [4, 5, 6, 7]), ["TEST_NAME"]).first()
     assert (got.statistic, got.pvalue) == (0.0, pytest.approx(2 / 35))
-    alone = si.mann_whitney(pair(spark, [1, 2, 3], []), "TEST_NAME").first()
+    alone = si.mann_whitney(pair(spark, [1, 2, 3], []), ["TEST_NAME"]).first()
     assert alone.statistic is None and alone.pvalue is None
 
 
 def test_student_t(spark):
     # Textbook two-sample case: means 3 and 4, both variances 2.5, five rows each.
-    got = si.t_test(pair(spark, [1, 2, 3, 4, 5], [2, 3, 4, 5, 6]), "TEST_NAME").first()
+    got = si.t_test(pair(spark, [1, 2, 3, 4, 5], [2, 3, 4, 5, 6]), ["TEST_NAME"]).first()
     assert got.statistic == pytest.approx(-1.0) and got.pvalue == pytest.approx(0.3465935)
-    assert si.t_test(pair(spark, [1], []), "TEST_NAME").first().statistic is None
+    assert si.t_test(pair(spark, [1], []), ["TEST_NAME"]).first().statistic is None
 
 
 def test_shapiro_wilk_published_example(spark):
@@ -79,9 +79,9 @@ def test_significance_picks_the_fitting_test(spark):
     normal = pair(spark, [rng.gauss(0, 1) for _ in range(60)], [rng.gauss(3, 1) for _ in range(60)], "n")
     skewed = pair(spark, [rng.random() ** 6 for _ in range(60)], [rng.random() ** 6 for _ in range(60)], "s")
     both = normal.unionByName(skewed)
-    flags = si.normality_flag(si.shapiro_wilk(both, ["LABEL", "TEST_NAME"]), "TEST_NAME")
+    flags = si.normality_flag(si.shapiro_wilk(both, ["LABEL", "TEST_NAME"]), ["TEST_NAME"])
     got = si.select_significance(
-        si.mann_whitney(both, "TEST_NAME"), si.t_test(both, "TEST_NAME"), flags, "TEST_NAME"
+        si.mann_whitney(both, ["TEST_NAME"]), si.t_test(both, ["TEST_NAME"]), flags, ["TEST_NAME"]
     )
     assert rows(got, "TEST_NAME", "statistic_test", "shapiro", "significance_outcome")[0] == (
         "n", "ttest_ind", 1, 1
@@ -91,7 +91,7 @@ def test_significance_picks_the_fitting_test(spark):
 
 def test_balanced_sample_has_equal_sizes(spark):
     data = pair(spark, range(50), range(9)).unionByName(pair(spark, range(3), range(20), "U"))
-    got = si.balanced_sample(data, "TEST_NAME").groupBy("TEST_NAME", "LABEL").count()
+    got = si.balanced_sample(data, ["TEST_NAME"]).groupBy("TEST_NAME", "LABEL").count()
     assert rows(got) == [("T", 0, 9), ("T", 1, 9), ("U", 0, 3), ("U", 1, 3)]
 
 
@@ -156,5 +156,5 @@ def test_lab_tables(spark):
 
 def test_empty_inputs_are_legal(spark):
     empty = pair(spark, [], []).filter(F.lit(False))
-    assert si.mann_whitney(empty, "TEST_NAME").count() == 0
+    assert si.mann_whitney(empty, ["TEST_NAME"]).count() == 0
     assert si.shapiro_wilk(empty, ["TEST_NAME"]).count() == 0
