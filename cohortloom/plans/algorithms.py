@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from cohortloom.operators.rules import AnyOf, Node, Rule, Where, all_of, any_of, Negated
+from cohortloom.operators.rules import Negated, Node, Rule, Where, all_of, any_of
 from cohortloom.spec import Criterion
 
 
@@ -146,6 +146,6 @@ def categories_of(node: Node) -> set[str]:
 
 
 __all__ = [
-    "AnyOf", "Algorithm", "CONTROLS_PER_CASE", "DISEASE_GROUPS", "LIMITS", "PREVALENCE",
+    "Algorithm", "CONTROLS_PER_CASE", "DISEASE_GROUPS", "LIMITS", "PREVALENCE",
     "RULES", "categories_of", "limits", "published_rule",
 ]

@@ -40,7 +40,6 @@ from cohortloom.spec import (
     MEASUREMENTS,
     NOTES,
     OBSERVATIONS,
-    PATIENT_ID,
     PROCEDURES,
     TREATMENTS,
     Criterion,
