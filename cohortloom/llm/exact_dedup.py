@@ -121,8 +121,11 @@ def exact_groups(
     named = identities(rows.select(F.col("__row").alias("row"), "content", "n_blocks"), stages, size)
     tagged = rows.select("__row", "__id").join(named.withColumnRenamed("row", "__row"), "__row")
     tagged = stages.keep(tagged, "tagged")
-    groups = tagged.groupBy("rounds", "name").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("__id", "__row")).alias("best")
+    groups = stages.keep(
+        tagged.groupBy("rounds", "name").agg(
+            F.count("*").alias("group_size"), F.max(F.struct("__id", "__row")).alias("best")
+        ),
+        "groups",
     )
     verdict = tagged.join(groups, ["rounds", "name"]).select(
         "__row", F.col("best.__id").alias("keep_id"), "group_size",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact_dedup, packing, quality_rules, token_store, warc
-from cohortloom.llm.common import Stages, prepared
+from cohortloom.llm import exact_dedup, packing, pii, quality_classifier, quality_rules, token_store, warc
+from cohortloom.llm.common import Stages, learned, prepared
 from cohortloom.llm.expected_sql import SQL
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.detect(_table(spark, folder, "documents")))
+
+
 def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.write_tokens(_table(spark, folder, "documents")).read()
 
@@ -37,6 +41,13 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    scored = quality_classifier.classify(docs, quality_classifier.train(docs, labels))
+    held_out = ~learned(F.col("doc_id"), quality_classifier.HELD_OUT_FOLD)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.quality_rules(_table(spark, folder, "documents"), carry=["doc_id"])
     return judged.drop("n_lines")
@@ -45,10 +56,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op3_token_store": op3_token_store,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 

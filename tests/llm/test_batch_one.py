@@ -302,13 +302,11 @@ def test_fullest_is_the_best_subset():
         assert sum(k * n for k, n in used.items()) == max(r for r in reach if r <= 40)
 
 
-def test_stages_are_written_below_the_checkpoint_folder(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        stages = Stages(spark)
-        kept = stages.keep(spark.range(3), "x")
-        assert stages.folder.startswith(f"file://{tmp_path}") and kept.count() == 3
-        stages.drop(kept)
-        assert not os.path.exists(kept.inputFiles()[0].removeprefix("file://"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_stages_are_written_below_the_scratch_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("cohortloom.llm.common.scratch_folder", lambda s: f"file://{tmp_path}/x")
+    stages = Stages(spark)
+    kept = stages.keep(spark.range(3), "x")
+    assert kept.count() == 3 and kept.inputFiles()[0].startswith(stages.folder.replace("file://", "file:///"[:7]))
+    path = kept.inputFiles()[0].removeprefix("file://")
+    stages.drop(kept)
+    assert not os.path.exists(path)
