@@ -9,14 +9,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 
-#: An optional space with a run of other characters; white space before it; the rest.
-#: The byte-level cutter never joins characters across these borders.
-BYTE_LEVEL = re.compile(r" ?\S+|\s+(?!\S)|\s")
-#: White space only separates: chunks are runs of other characters.
-SPACE_DROPPED = re.compile(r"\S+")
+_LETTERS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[\s.,;:!?]|\Z)"
+#: An optional space with a run of letters before punctuation, or with a run of other
+#: characters; white space before it; the rest. The byte-level cutter never joins
+#: characters across these borders.
+BYTE_LEVEL = re.compile(rf" ?{_LETTERS}| ?\S+|\s+(?!\S)|\s")
+#: White space only separates: chunks are runs of other characters, letters on their own.
+SPACE_DROPPED = re.compile(rf"{_LETTERS}|\S+")
+#: Chunks that are one piece to the cutter; byte-level spelling marks the space.
+PLAIN = re.compile(r" ?[A-Za-z]+\Z")
 #: White space for Python only: texts with these characters are encoded whole.
 UNSURE = re.compile(r"[\x1c-\x1f]")
 
@@ -24,14 +29,31 @@ UNSURE = re.compile(r"[\x1c-\x1f]")
 class ChunkEncoder:
     """Ids of texts as one flat array; the pool starts anew beyond ``pool_size`` ids."""
 
-    def __init__(self, path: str, chunks: re.Pattern, pool_size: int = 4_000_000):
+    def __init__(self, path: str, chunks: re.Pattern, pool_size: int = 6_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.chunks, self.pool_size = chunks, pool_size
+        self.lower = chunks is SPACE_DROPPED  # that vocabulary is lower-case
         self._clear()
 
+    def _ids(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of chunks; a plain word goes straight to the tokenizer's model."""
+        model, plain = self.tokenizer.model, PLAIN.match
+        coded: list = [None] * len(chunks)
+        others = []
+        for i, chunk in enumerate(chunks):
+            if plain(chunk):
+                word = chunk.lower() if self.lower else chunk
+                coded[i] = [t.id for t in model.tokenize(word.replace(" ", "\u0120"))]
+            else:
+                others.append(i)
+        batch = self.tokenizer.encode_batch_fast([chunks[i] for i in others], add_special_tokens=False)
+        for i, encoding in zip(others, batch):
+            coded[i] = encoding.ids
+        return coded
+
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.pool = np.empty(1 << 16, np.uint32)
@@ -41,7 +63,7 @@ class ChunkEncoder:
     def _learn(self, fresh: list[str]) -> None:
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            coded = self._ids(part)
             sizes = np.fromiter(map(len, coded), np.int64, len(coded))
             total, first = int(sizes.sum()), len(self.known)
             while self.used + total > len(self.pool):
@@ -50,7 +72,7 @@ class ChunkEncoder:
                 self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
                 self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
             self.pool[self.used : self.used + total] = np.fromiter(
-                (i for ids in coded for i in ids), np.uint32, total
+                chain.from_iterable(coded), np.uint32, total
             )
             self.starts[first : first + len(part)] = self.used + np.cumsum(sizes) - sizes
             self.lengths[first : first + len(part)] = sizes
@@ -65,11 +87,11 @@ class ChunkEncoder:
             [] if not t else [t] if UNSURE.search(t) else self.chunks.findall(t) for t in texts
         ]
         known = self.known
-        fresh = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in known))
+        fresh = set().union(*cut).difference(known)
         if fresh:
-            self._learn(fresh)
+            self._learn(list(fresh))
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        index = np.fromiter((known[c] for chunks in cut for c in chunks), np.int64, int(per_text.sum()))
+        index = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, int(per_text.sum()))
         lengths = self.lengths[index]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact_dedup, packing, pii, quality_classifier, quality_rules, token_store, warc
+from cohortloom.llm import exact_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, token_store, warc
 from cohortloom.llm.common import Stages, learned, prepared
 from cohortloom.llm.expected_sql import SQL
 
@@ -14,6 +14,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.jaccard_components(
+        _table(spark, folder, "documents"), ngram_join.Similarity(words=4, least=85, scale=100)
+    )
+    return found.select(
+        F.col("c_0").alias("doc_id"), F.col("__n").alias("n_shingles"), F.col("__first").alias("component_id")
+    )
+
+
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.detect(_table(spark, folder, "documents")))
 
@@ -56,6 +65,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_pii": op2_pii,
     "op3_token_store": op3_token_store,
     "op5_warc": op5_warc,

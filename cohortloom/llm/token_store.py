@@ -46,7 +46,7 @@ LEVEL = 3
 
 @dataclass(frozen=True)
 class DictionaryBounds:
-    """The dictionary is fitted to the ``documents`` short texts with the smallest id hash."""
+    """The dictionary is fitted to the ``documents`` smallest id hashes, short texts only."""
 
     documents: int = 1024
     text_bytes: int = 32 << 10
@@ -112,11 +112,13 @@ def train_dictionary(
     """Dictionary of a bounded sample; empty where the texts are too few to train one."""
     import zstandard
 
-    body = text_of(f"`{text}`")
+    key = F.col(f"`{doc_id}`")
+    picked = docs.select(F.xxhash64(key).alias("h")).distinct().orderBy("h").limit(bounds.documents)
     sample = (
-        docs.select(F.xxhash64(F.col(f"`{doc_id}`")).alias("h"), body.alias("t"))
+        docs.select(F.xxhash64(key).alias("h"), text_of(f"`{text}`").alias("t"))
         .filter(F.octet_length("t").between(1, bounds.text_bytes))
-        .orderBy("h", "t").limit(bounds.documents).collect()  # at most documents x text_bytes
+        .join(F.broadcast(picked), "h").orderBy("h", "t").limit(bounds.documents)
+        .collect()  # at most documents x text_bytes
     )
     ids, counts = with_end(*worker_encoder(tokenizer, BYTE_LEVEL).encode([r.t for r in sample]), end_id)
     arrays = [serialise(part, width) for part in np.split(ids, np.cumsum(counts)[:-1])] if sample else []
