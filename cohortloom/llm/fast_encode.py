@@ -35,7 +35,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.chunks, self.pool_size = chunks, pool_size
-        self.lower = chunks is SPACE_DROPPED  # that vocabulary is lower-case
+        self.lower = chunks == SPACE_DROPPED  # that vocabulary is lower-case
         self._clear()
 
     def _ids(self, chunks: list[str]) -> list[list[int]]:

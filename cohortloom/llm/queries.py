@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, token_store, warc
+from cohortloom.llm import exact_dedup, ngram_join, ngram_trie, packing, piece_fst, pii
+from cohortloom.llm import quality_classifier, quality_rules, token_store, warc
 from cohortloom.llm.common import Stages, learned, prepared
 from cohortloom.llm.expected_sql import SQL
 
@@ -31,6 +32,10 @@ def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.write_tokens(_table(spark, folder, "documents")).read()
 
 
+def op4_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_trie.score_documents(_table(spark, folder, "documents"))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     stages = Stages(spark)
     archives = f"{stages.folder}/archives"
@@ -50,6 +55,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
 
+def op8_piece_fst(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_fst.encode_pieces(_table(spark, folder, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     scored = quality_classifier.classify(docs, quality_classifier.train(docs, labels))
@@ -68,9 +77,11 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_pii": op2_pii,
     "op3_token_store": op3_token_store,
+    "op4_ngram_trie": op4_ngram_trie,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_piece_fst": op8_piece_fst,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
