@@ -17,9 +17,11 @@ and near-empty segments, the only ones that unrelated texts share, are not joine
 nothing is lost.
 
 *Groups.* Texts with equal sets are one representative from the start. Inside a group of
-equal segments only pairs with its best connected member are verified; pairs of members
-that are still in different components are verified afterwards, so no link between
-components is missed and copies are never expanded into all pairs. A segment entry takes
+equal segments only pairs with its best connected member are verified. Pairs of members
+that are still in different components follow, if their bit sketches (the parity of the
+n-grams per bit, ``SKETCH_BITS`` bits) do not already differ in more bits than the sets
+may: so no link between components is missed, and neither copies nor unlike texts are
+expanded into all pairs. A segment entry takes
 16 bytes, packed into binary rows per bucket before the shuffle.
 
 Links are between sets of 64-bit n-gram hashes. Defined results: A-Z are lower-cased;
@@ -45,6 +47,7 @@ PAIRS_PER_TEXT = 4
 MAX_LEADER_ROUNDS = 6
 BROADCAST_IDS = 2_000_000
 FLUSH = 1 << 20
+SKETCH_BITS = 2048
 
 
 @dataclass(frozen=True)
@@ -155,6 +158,12 @@ class Sketcher:
         return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
+def bit_sketch(members: np.ndarray) -> bytes:
+    """Parity of the members per bit: two sketches differ in at most as many bits as the sets in members."""
+    at = (mix(members, 17) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def _columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(n).to_pylist() for n in names]
 
@@ -164,7 +173,7 @@ def _as_long(values: np.ndarray) -> pa.Array:
 
 
 def with_sets(docs: DataFrame, text: str, words: int) -> DataFrame:
-    """``docs`` with ``__n`` (set size) and a 128-bit fingerprint of the set, ``__f``, ``__g``."""
+    """``docs`` with ``__n`` (set size) and a 128-bit fingerprint of the set, ``__f``, ``__g``, and its bit sketch ``__s``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -172,9 +181,11 @@ def with_sets(docs: DataFrame, text: str, words: int) -> DataFrame:
             sets = shingler.sets(batch.column(text).to_pylist())
             sums = [np.array([mix(s, k).sum(dtype=np.uint64) for s in sets], np.uint64) for k in (1, 2)]
             extra = [pa.array([len(s) for s in sets], pa.int64()), *map(_as_long, sums)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "__n", "__f", "__g"])
+            extra.append(pa.array(map(bit_sketch, sets), pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "__n", "__f", "__g", "__s"])
 
     extra = [T.StructField(name, T.LongType()) for name in ("__n", "__f", "__g")]
+    extra.append(T.StructField("__s", T.BinaryType()))
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *extra]))
 
 
@@ -290,7 +301,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity, stages:
         pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct(), "involved"
     )
     few = rows.count() <= BROADCAST_IDS  # 16 MB of ids; beyond it Spark shuffles
-    known = stages.keep(texts.join(F.broadcast(rows) if few else rows, "__row", "left_semi"), "texts")
+    known = stages.keep(texts.select("__row", "__text").join(F.broadcast(rows) if few else rows, "__row", "left_semi"), "texts")
     left = known.select(F.col("__row").alias("a"), F.col("__text").alias("x"))
     right = known.select(F.col("__row").alias("b"), F.col("__text").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
@@ -334,8 +345,10 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
             return edges.select(F.col("a").alias("__row"), F.col("b").alias("comp"))
 
 
-def _open_pairs(groups: DataFrame, comps: DataFrame, everything: bool) -> DataFrame:
-    """Pairs (a, b) of group members in different components.
+def _open_pairs(
+    groups: DataFrame, comps: DataFrame, texts: DataFrame, similarity: Similarity, everything: bool
+) -> DataFrame:
+    """Pairs (a, b) of group members in different components whose sketches leave a link possible.
 
     All of them, or only those of one member per group outside its largest component.
     """
@@ -343,28 +356,33 @@ def _open_pairs(groups: DataFrame, comps: DataFrame, everything: bool) -> DataFr
         "a", "b", F.coalesce("comp", "b").alias("comp")
     )
     mixed = tagged.groupBy("a").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("a")
-    ordered = tagged.join(mixed, "a", "left_semi").repartition("a").sortWithinPartitions("a", "comp", "b")
+    sketches = texts.select(F.col("__row").alias("b"), F.col("__n").alias("n"), F.col("__s").alias("s"))
+    members = tagged.join(mixed, "a", "left_semi").join(sketches, "b").select("a", "b", "comp", "n", "s")
+    ordered = members.repartition("a").sortWithinPartitions("a", "comp", "b")
 
-    def pairs(member: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    def pairs(member: np.ndarray, comp: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
         values, counts = np.unique(comp, return_counts=True)
         outside = np.flatnonzero(comp != values[counts.argmax()])
         if not everything:
             outside = outside[[mix(member[outside].astype(np.uint64), 31).argmin()]]
         found = []
         for i in outside:
-            other = member[comp != comp[i]]
+            other = np.flatnonzero(comp != comp[i])
+            apart = np.bitwise_count(sketch[other] ^ sketch[i]).sum(1, dtype=np.int64)
+            other = member[other[apart <= similarity.difference(size[other] + size[i])]]
             found.append(np.stack([np.minimum(member[i], other), np.maximum(member[i], other)], 1))
-        return np.concatenate(found)
+        return np.unique(np.concatenate(found), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list) -> pa.RecordBatch:
-            _, member, comp = np.array(rows, np.int64).T
-            made = pairs(member, comp)
+            _, member, comp, size = (np.array(c, np.int64) for c in list(zip(*rows))[:4])
+            sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), -1)
+            made = pairs(member, comp, size, sketch)
             return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], ["a", "b"])
 
         held: list = []
         for batch in batches:
-            for row in zip(*_columns(batch, "a", "b", "comp")):
+            for row in zip(*_columns(batch, "a", "b", "comp", "n", "s")):
                 if held and held[-1][0] != row[0]:
                     yield out(held)
                     held = []
@@ -376,9 +394,9 @@ def _open_pairs(groups: DataFrame, comps: DataFrame, everything: bool) -> DataFr
 
 
 def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
-    """Components over rows (``__row``, ``__text``) whose sets are distinct."""
+    """Components over rows (``__row``, ``__text``, ``__n``, ``__s``) whose sets are distinct."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = _segments(texts, similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    packed = _segments(texts.select("__row", "__text"), similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = stages.keep(_candidates(packed), "candidates")
     tested = stages.keep(found.filter("kind = 0").select("a", "b").distinct(), "pairs")
     groups = stages.keep(found.filter("kind = 1").select("a", "b").distinct(), "groups")
@@ -387,7 +405,7 @@ def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages)
     comps = components(links, stages)
     bound, everything = PAIRS_PER_TEXT * max(tested.count(), 10_000), False
     for step in range(MAX_LEADER_ROUNDS + 1):
-        fresh = _open_pairs(groups, comps, everything)
+        fresh = _open_pairs(groups, comps, texts, similarity, everything)
         fresh = stages.keep(fresh.join(tested, ["a", "b"], "left_anti"), "open")
         size = fresh.count()
         if size:
@@ -419,7 +437,7 @@ def jaccard_components(
     plain = rows.select("__row", "__id", *same)
     member = plain.filter("__n > 0").join(sets, same).select("__row", "__id", "rep")
     copies = stages.keep(member.filter("rep <> __row").select("__row"), "copies")
-    alone = rows.filter("__n > 0").select("__row", "__text").join(copies, "__row", "left_anti")
+    alone = rows.filter("__n > 0").select("__row", "__text", "__n", "__s").join(copies, "__row", "left_anti")
     comps = linked_components(alone, similarity, stages)
     placed = stages.keep(
         member.join(comps.withColumnRenamed("__row", "rep"), "rep", "left").select(

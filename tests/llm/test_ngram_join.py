@@ -143,3 +143,13 @@ def test_groups_are_searched_until_no_link_is_missed(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "MAX_LEADER_ROUNDS", 2)
     chance = random.Random(8)
     check(spark, list(enumerate(family(chance, 60, 40, 4) + family(chance, 61, 20, 3))), FOUR)
+
+
+def test_bit_sketches_bound_the_difference_from_below():
+    chance = np.random.default_rng(4)
+    for n in (1, 5, 60, 900, 5000):
+        base = chance.integers(0, 2**63, 2 * n).astype(np.uint64)
+        for cut in (0, n // 10, n // 2, n):
+            own, other = base[:n], base[cut : n + cut]
+            bits = [np.frombuffer(ngram_join.bit_sketch(x), np.uint8) for x in (own, other)]
+            assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= 2 * cut
