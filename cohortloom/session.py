@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,23 @@ SETTINGS = {
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    UDFs are pickled by reference, so every worker must be able to import it, wherever the
+    driver was started and whatever is installed on the executors.
+    """
+    context, root = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(context, "_cohortloom_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="cohortloom-")) / "cohortloom.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._cohortloom_shipped = True
+
+
 def build_session(app: str = "cohortloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings above; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -35,13 +54,16 @@ def build_session(app: str = "cohortloom", master: str | None = None, **conf: st
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made by somebody else."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
