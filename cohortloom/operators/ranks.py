@@ -19,9 +19,11 @@ BINS_PER_LOG_UNIT = 256
 def order_bin(value: Column) -> Column:
     """Bin number that never decreases with the value (1/256 of a natural-log unit).
 
-    A double needs at most about 363,000 bins, which bounds the bin table of a group.
+    A double needs at most about 363,000 bins, which bounds the bin table of a group. NaN
+    sorts after every number and has the last bin.
     """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BINS_PER_LOG_UNIT)
+    bin_ = F.floor(F.signum(value) * F.log1p(F.abs(value)) * BINS_PER_LOG_UNIT)
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(bin_)
 
 
 def value_ranks(

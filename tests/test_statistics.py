@@ -158,3 +158,11 @@ def test_empty_inputs_are_legal(spark):
     empty = pair(spark, [], []).filter(F.lit(False))
     assert si.mann_whitney(empty, ["TEST_NAME"]).count() == 0
     assert si.shapiro_wilk(empty, ["TEST_NAME"]).count() == 0
+
+
+def test_percentiles_with_nan_results(spark):
+    from cohortloom.operators import ranks
+
+    df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 3.0, 4.0, float("nan"))], "g string, v double")
+    ranked = {r.v: r.BEFORE for r in ranks.value_ranks(df, ["g"], "v").collect() if r.v == r.v}
+    assert ranked == {1.0: 0, 2.0: 1, 3.0: 2, 4.0: 3}
