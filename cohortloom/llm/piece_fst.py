@@ -9,8 +9,8 @@ model's own if and only if all its neighbours are stable, so the tropical-semiri
 shortest path has weight 0 and is the only one. Piece scores decide the stability of a
 pair and cannot simply be summed: this model merges by rank.
 
-No piece holds a blank behind another character, so a text falls into chunks that begin
-with their blanks; a worker composes each distinct chunk once.
+No piece holds a line break, or a blank behind another character, so a text falls into
+line breaks and chunks that begin with their blanks; a worker composes each distinct chunk once.
 
 Defined results: null counts as the empty text, which has no pieces; repeated rows are
 encoded alike; an empty table gives no rows; decoding gives the text back.
@@ -32,7 +32,7 @@ from cohortloom.llm.common import prepared
 from cohortloom.llm.fast_encode import ChunkEncoder, tokenizer_path
 
 BLANK = "▁"
-CHUNKS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+CHUNKS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 KNOWN_PAIRS = 2_000_000
 
 
@@ -69,7 +69,7 @@ class PieceTransducer:
                 self.scores[piece] = model.get_score(i)
             self.bytes.append(spelled)
         self.longest = max(map(len, self.ids))
-        self.by_chunk = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
+        self.by_chunk = not any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids)
         self.stable: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -99,16 +99,18 @@ class PieceTransducer:
     def path(self, chunk: str) -> list[str]:
         """The shortest path of a normalised chunk: its only segmentation of weight 0."""
         last: list[str | None] = ["", *[None] * len(chunk)]
-        scores, longest = self.scores, self.longest
+        scores, longest, known = self.scores, self.longest, self.stable.get
         for end in range(1, len(chunk) + 1):
             for start in range(max(0, end - longest), end):
                 before = last[start]
                 if before is None:
                     continue
                 piece = chunk[start:end]
-                if (piece in scores or end - start == 1) and self.weight(before, piece) == 0.0:
-                    last[end] = piece
-                    break
+                if piece in scores or end - start == 1:
+                    stable = known((before, piece))
+                    if stable or stable is None and self.weight(before, piece) == 0.0:
+                        last[end] = piece
+                        break
         out, end = [], len(chunk)
         while end:
             piece = last[end]
