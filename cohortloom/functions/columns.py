@@ -32,21 +32,24 @@ def is_known(column: Column, is_text: bool) -> Column:
 
 
 def starts_with_any(column: Column, prefixes: list[str]) -> Column:
-    """True when the text starts with one of the prefixes.
+    """True when the text starts with one of the prefixes, whatever their number.
 
-    A short list becomes ``startswith`` terms, which reach the Parquet scan; a long
-    one becomes one hashed membership test per prefix length.
+    One membership test per prefix length, inside the range of all prefixes: the range
+    reaches the Parquet scan and prunes row groups.
     """
     if not prefixes:
         return F.lit(False)
-    if len(prefixes) <= 16:
-        return reduce(or_, [column.startswith(p) for p in prefixes])
     by_length: dict[int, list[str]] = {}
     for prefix in prefixes:
         by_length.setdefault(len(prefix), []).append(prefix)
-    return reduce(
+    member = reduce(
         or_, [F.substring(column, 1, n).isin(*group) for n, group in by_length.items()]
     )
+    # Code points beyond the last prefix's own characters sort after all it begins.
+    last = max(prefixes)
+    if not last or ord(last[-1]) >= 0x7F:
+        return (column >= min(prefixes)) & member
+    return (column >= min(prefixes)) & (column < last[:-1] + chr(ord(last[-1]) + 1)) & member
 
 
 def compare(value: Column, comparator: Column, bound: Column) -> Column:

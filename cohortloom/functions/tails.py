@@ -27,8 +27,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             total *= d * c
         if abs(d * c - 1) < 1e-15:
-            break
-    return total
+            return total
+    raise ArithmeticError(f"incomplete beta function did not converge at a={a}, b={b}, x={x}")
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -45,9 +45,26 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
 
 
 def student_two_sided(t: float, freedom: float) -> float:
+    """The incomplete beta function; where its terms would cancel, an expansion in
+    1 / freedom, which agrees with it to 10 digits at the border."""
+    if freedom >= NORMAL_FREEDOM:
+        return 2 * normal_tail(_normal_deviate(abs(t), freedom))
     return incomplete_beta(freedom / 2, 0.5, freedom / (freedom + t * t))
 
 
+#: Degrees of freedom from which Student's t is turned into a normal deviate.
+NORMAL_FREEDOM = 10_000
+
+
+def _normal_deviate(t: float, freedom: float) -> float:
+    """Normal deviate with the tail of Student's t (Hill 1970, algorithm 395)."""
+    a = freedom - 0.5
+    b = 48 * a * a
+    y = a * math.log1p(t * t / freedom)
+    inner = (((-0.4 * y - 3.3) * y - 24) * y - 85.5) / (0.8 * y * y + 100 + b)
+    return ((inner + y + 3) / b + 1) * math.sqrt(y)
+
+
 @lru_cache(maxsize=None)
 def _partition_series(parts: int) -> tuple[int, tuple[int, ...]]:
     """Series of 1 / ((1 - q) (1 - q) (1 - q²) … (1 - q^parts)) over a common period.
@@ -77,23 +94,42 @@ def _partitions_up_to(u: int, parts: int) -> int:
 
 
 def rank_sum_exact(u: float, n1: int, n2: int) -> float:
-    """Exact two-sided p-value of a rank-sum statistic without ties.
+    """Exact two-sided p-value of a rank-sum statistic; ties are not corrected for.
 
-    The count of arrangements is the coefficient sum of a Gaussian binomial. The smaller
-    group has at most 8 members here, so inclusion-exclusion over its factors is short
-    and does not grow with the larger group.
+    The count of arrangements is the coefficient sum of a Gaussian binomial. With at most
+    8 members in the smaller group, inclusion-exclusion over its factors is short and does
+    not grow with the larger group; beyond, the coefficients are multiplied out.
     """
     small, large = sorted((n1, n2))
     larger_u = max(u, n1 * n2 - u)
-    below = int(n1 * n2 - larger_u)  # by symmetry P(U >= larger_u) = P(U <= below)
-    count = sum(
-        (-1) ** k * _partitions_up_to(below - sum(large + i for i in chosen), small)
-        for k in range(small + 1)
-        for chosen in combinations(range(1, small + 1), k)
-    )
+    below = n1 * n2 - int(larger_u)  # by symmetry P(U >= larger_u) = P(U <= below)
+    if small <= 8:
+        count = sum(
+            (-1) ** k * _partitions_up_to(below - sum(large + i for i in chosen), small)
+            for k in range(small + 1)
+            for chosen in combinations(range(1, small + 1), k)
+        )
+    else:
+        count = _arrangements_up_to(below, small, large)
     return min(1.0, 2 * count / math.comb(n1 + n2, small))
 
 
+def _arrangements_up_to(u: int, small: int, large: int) -> int:
+    """Coefficients 0..u of the Gaussian binomial of (small + large, small), summed."""
+    if small * (u + 1) > EXACT_STEPS:
+        raise ValueError(
+            f"an exact rank-sum p-value of groups of {small} and {large} takes more than "
+            f"{EXACT_STEPS} steps: use method 'auto' or 'asymptotic'"
+        )
+    series = [1] + [0] * u
+    for i in range(1, small + 1):
+        for k in range(u, large + i - 1, -1):  # times 1 - q^(large + i)
+            series[k] -= series[k - large - i]
+        for k in range(i, u + 1):  # over 1 - q^i
+            series[k] += series[k - i]
+    return sum(series)
+
+
 def rank_sum_normal(u: float, n1: int, n2: int, ties: float) -> float | None:
     """Two-sided normal approximation with tie and continuity correction."""
     n = n1 + n2
@@ -105,9 +141,14 @@ def rank_sum_normal(u: float, n1: int, n2: int, ties: float) -> float | None:
     return min(1.0, 2 * normal_tail(z))
 
 
-def rank_sum_p(u: float, n1: int, n2: int, ties: float) -> float | None:
-    """Exact for a group of at most 8 without ties, else the normal approximation."""
-    if min(n1, n2) <= 8 and ties == 0:
+#: Steps of one exact p-value, beyond which it is refused.
+EXACT_STEPS = 20_000_000
+RANK_SUM_METHODS = ("auto", "exact", "asymptotic")
+
+
+def rank_sum_p(u: float, n1: int, n2: int, ties: float, method: str = "auto") -> float | None:
+    """``auto``: exact for a group of at most 8 without ties, else the normal approximation."""
+    if method == "exact" or method == "auto" and min(n1, n2) <= 8 and ties == 0:
         return rank_sum_exact(u, n1, n2)
     return rank_sum_normal(u, n1, n2, ties)
 

@@ -33,12 +33,16 @@ def keep_lowest_hashed(
     seed: int = SAMPLING_SEED,
     within: Sequence[str] = (),
     tie_break: Sequence[str] = (),
+    quotas: DataFrame | None = None,
+    quotas_on: Sequence[str] = (),
 ) -> DataFrame:
     """Per group, exactly ``quota`` rows with the lowest id hashes.
 
-    Counts per hash bucket say which buckets lie below the quota; only the rows of those
-    buckets are shuffled, and ranked inside their bucket. No task sees a whole group,
-    and nothing is collected.
+    Counts per hash bucket say which buckets lie below the quota. Rows beyond the last of
+    them are dropped where they are read: by one scalar, or by a join on the groups with
+    one row per group. The rest are shuffled and ranked inside their bucket. No task sees
+    a whole group, and nothing is collected. A quota that differs between groups is a
+    column of ``quotas``, joined to the counts on ``quotas_on``.
     """
     hashed = df.withColumn("_hash", id_hash(F.col(by), seed)).withColumn(
         "_bucket", F.substring("_hash", 1, HASH_BUCKET_DIGITS)
@@ -52,11 +56,18 @@ def keep_lowest_hashed(
         .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
+    if quotas is not None:
+        starts = starts.join(quotas, list(quotas_on))
+    below = starts.select(*keys, "_start", quota.alias("_quota")).filter("_start < _quota")
+    last = F.max("_bucket").alias("_last")
+    if within:
+        near = hashed.join(below.groupBy(*within).agg(last), list(within)).filter("_bucket <= _last")
+    else:
+        near = hashed.filter(F.col("_bucket") <= below.agg(last).scalar())
     inside = Window.partitionBy(*keys).orderBy("_hash", by, *tie_break)
     return (
-        hashed.join(starts, keys)
-        .filter(F.col("_start") < quota)
+        near.join(below, keys)
         .withColumn("_rank", F.row_number().over(inside))
-        .filter(F.col("_start") + F.col("_rank") <= quota)
-        .drop("_hash", "_bucket", "_start", "_rank")
+        .filter("_start + _rank <= _quota")
+        .drop("_hash", "_bucket", "_start", "_rank", "_quota", "_last")
     )

@@ -53,27 +53,36 @@ def balanced_sample(pair: DataFrame, keys: Sequence[str], seed: int = SAMPLING_S
     sizes = pair.groupBy(*keys).agg(
         F.least(F.count_if(F.col(LABEL) == 0), F.count_if(F.col(LABEL) == 1)).alias("_quota")
     )
-    kept = keep_lowest_hashed(
-        pair.join(sizes, list(keys)), PATIENT_ID, F.col("_quota"), seed,
-        within=[*keys, LABEL], tie_break=[VALUE],
+    return keep_lowest_hashed(
+        pair, PATIENT_ID, F.col("_wanted"), seed, within=[*keys, LABEL], tie_break=[VALUE],
+        quotas=sizes.withColumnRenamed("_quota", "_wanted"), quotas_on=keys,
     )
-    return kept.drop("_quota")
 
 
-@F.pandas_udf(DoubleType())
-def _rank_sum_p(u: pd.Series, n0: pd.Series, n1: pd.Series, ties: pd.Series) -> pd.Series:
-    def one(u, n0, n1, ties):
-        if pd.isna(u):
-            return None
-        return tails.rank_sum_p(float(u), int(n0), int(n1), float(ties))
+def _rank_sum_p(method: str):
+    @F.pandas_udf(DoubleType())
+    def p_values(u: pd.Series, n0: pd.Series, n1: pd.Series, ties: pd.Series) -> pd.Series:
+        def one(u, n0, n1, ties):
+            if pd.isna(u):
+                return None
+            return tails.rank_sum_p(float(u), int(n0), int(n1), float(ties), method)
+
+        return pd.Series([one(*row) for row in zip(u, n0, n1, ties)], dtype="float64")
 
-    return pd.Series([one(*row) for row in zip(u, n0, n1, ties)], dtype="float64")
+    return p_values
 
 
 def mann_whitney(
-    pair: DataFrame, keys: Sequence[str], balanced: bool = False, seed: int = SAMPLING_SEED
+    pair: DataFrame, keys: Sequence[str], balanced: bool = False, seed: int = SAMPLING_SEED,
+    method: str = "auto",
 ) -> DataFrame:
-    """Rank-sum statistic of label 0 against label 1 per test, two-sided."""
+    """Rank-sum statistic of label 0 against label 1 per test, two-sided.
+
+    ``method`` of the p-value: ``exact``, ``asymptotic``, or ``auto`` (exact where a label
+    has at most 8 results and there are no ties).
+    """
+    if method not in tails.RANK_SUM_METHODS:
+        raise ValueError(f"unknown method {method!r}, not one of {tails.RANK_SUM_METHODS}")
     if balanced:
         pair = balanced_sample(pair, keys, seed)
     ranks = value_ranks(pair, keys, VALUE, {"N0": F.count_if(F.col(LABEL) == 0)})
@@ -90,7 +99,7 @@ def mann_whitney(
         F.when(both, u).alias("statistic"), "N0", "N1", "TIES",
     ).select(
         "statistic_test", *keys, "statistic",
-        _rank_sum_p("statistic", "N0", "N1", "TIES").alias("pvalue"),
+        _rank_sum_p(method)("statistic", "N0", "N1", "TIES").alias("pvalue"),
     )
 
 
@@ -227,11 +236,12 @@ def select_significance(
 
 
 def compare_cohorts(
-    windows: DataFrame, spec: TableSpec, pairs: Sequence[tuple[str, str]], balanced: bool = False
+    windows: DataFrame, spec: TableSpec, pairs: Sequence[tuple[str, str]], balanced: bool = False,
+    method: str = "auto",
 ) -> DataFrame:
     """All tests of cohort pairs: the fitting test, its p-value and significance."""
     both, keys = labelled_pairs(windows, spec, pairs), [PAIR, spec.info]
     normality = normality_flag(shapiro_wilk(both, [*keys, LABEL]), keys)
     return select_significance(
-        mann_whitney(both, keys, balanced), t_test(both, keys), normality, keys
+        mann_whitney(both, keys, balanced, method=method), t_test(both, keys), normality, keys
     )

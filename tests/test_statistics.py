@@ -5,9 +5,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from cohortloom.functions import tails
+from cohortloom.functions.columns import id_hash, starts_with_any
 from cohortloom.operators import cohort_stats as cs
 from cohortloom.operators import diag_stats as ds
 from cohortloom.operators import lab_stats as ls
+from cohortloom.operators import sampling
 from cohortloom.operators import significance as si
 from cohortloom.sources.dimensions import local_table
 from cohortloom.spec import BEFORE, DIAGNOSES, LABS, Criterion
@@ -166,3 +169,64 @@ def test_percentiles_with_nan_results(spark):
     df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 3.0, 4.0, float("nan"))], "g string, v double")
     ranked = {r.v: r.BEFORE for r in ranks.value_ranks(df, ["g"], "v").collect() if r.v == r.v}
     assert ranked == {1.0: 0, 2.0: 1, 3.0: 2, 4.0: 3}
+
+
+def test_rank_sum_methods(spark):
+    zeros, ones = [1, 2, 3, 8, 9, 14, 15, 21, 22, 30], [4, 5, 6, 7, 10, 11, 12, 13, 16, 17, 18]
+    wins = sum(a > b for a in zeros for b in ones)
+    got = {
+        m: si.mann_whitney(pair(spark, zeros, ones), ["TEST_NAME"], method=m).first().pvalue
+        for m in ("auto", "exact", "asymptotic")
+    }
+    counts = [[[0] * 111 for _ in range(12)] for _ in range(11)]  # arrangements by members and statistic
+    for a in range(11):
+        for b in range(12):
+            for u in range(111):
+                counts[a][b][u] = (u == 0) if not a or not b else (
+                    (counts[a - 1][b][u - b] if u >= b else 0) + counts[a][b - 1][u]
+                )
+    exact = 2 * sum(counts[10][11][: int(min(wins, 110 - wins)) + 1]) / math.comb(21, 10)
+    assert got["exact"] == pytest.approx(min(1.0, exact), rel=1e-12)
+    assert got["auto"] == got["asymptotic"] != got["exact"]
+    with pytest.raises(ValueError):
+        si.mann_whitney(pair(spark, zeros, ones), ["TEST_NAME"], method="other")
+    with pytest.raises(ValueError):
+        tails.rank_sum_exact(2_500_000, 2000, 2500)
+
+
+def test_student_tail_joins_smoothly_and_reaches_the_normal_limit():
+    for t in (0.1, 1.0, 2.0, 5.0, 12.0):
+        n = tails.NORMAL_FREEDOM
+        beta = tails.incomplete_beta(n / 2, 0.5, n / (n + t * t))
+        assert tails.student_two_sided(t, n) == pytest.approx(beta, rel=1e-8)
+        assert tails.student_two_sided(t, 1e12) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=1e-8)
+    with pytest.raises(ArithmeticError):
+        tails._beta_fraction(1e12, 1e12, 0.5)
+
+
+def test_prefixes_few_or_many_give_the_same_rows(spark):
+    texts = ["", "A", "A1", "A10", "A2", "B", "B99", "a1", "~", "é", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for prefixes in (["A1"], ["A1", "B"], ["A1", "B", *(f"Q{i}" for i in range(40))], ["B", "é"], ["~"], [""]):
+        got = {r.t for r in df.filter(starts_with_any(F.col("t"), prefixes)).collect()}
+        assert got == {t for t in texts if t is not None and t.startswith(tuple(prefixes))}
+
+
+def test_exact_sample_cuts_before_the_exchange(spark, tmp_path):
+    spark.range(20_000).select(F.col("id").cast("string").alias("PTID"), F.col("id").alias("x")).write.parquet(
+        str(tmp_path / "p")
+    )
+    df = spark.read.parquet(str(tmp_path / "p"))
+    wanted = {r.PTID for r in df.orderBy(id_hash(F.col("PTID"), 7)).limit(50).collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sample = sampling.sample_exact(df, 50, seed=7)
+        lines = sample._jdf.queryExecution().sparkPlan().toString().splitlines()
+        assert {r.PTID for r in sample.collect()} == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "x#" in line)
+    cut = next(i for i, line in enumerate(lines) if "Filter" in line and "<= scalar-subquery" in line)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert join < cut < scan
