@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -70,18 +71,19 @@ class FeatureStages:
 
     def __init__(
         self, algorithm: Algorithm, sources: Sources, cohorts: DataFrame, timerange: str,
-        store: StageStore | None = None,
+        store: StageStore | None = None, population: str = "all",
     ):
         self.algorithm = algorithm
         self.sources = sources
         self.timerange = timerange
         self.store = store
+        self.population = population
         self.cohorts = self._keep(cohorts, "cohorts")
 
     def _keep(self, df: DataFrame, stage: str) -> DataFrame:
         if self.store is None:
             return df
-        return self.store.keep(df, f"{self.algorithm.name}_{stage}_{self.timerange}")
+        return self.store.keep(df, f"{self.algorithm.name}_{stage}_{self.timerange}_{self.population}")
 
     def _conf(self, feature: str) -> DataFrame:
         a = self.algorithm
@@ -216,26 +218,33 @@ class Assessment:
         self.sample_ratio = sample_ratio
         self.store = store
 
-    def _keep(self, df: DataFrame, stage: str) -> DataFrame:
-        return df if self.store is None else self.store.keep(df, stage)
+    @cached_property
+    def population(self) -> str:
+        """Names the groups and the sample ratio; a store belongs to one set of sources."""
+        groups = sorted((g, list(diags), list(drugs)) for g, (diags, drugs) in self.groups.items())
+        return hashlib.md5(repr((groups, self.sample_ratio)).encode()).hexdigest()[:12]
+
+    def _shared(self, stage: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A stage that does not depend on the algorithm: written once for all on the store."""
+        return make() if self.store is None else self.store.once(f"{stage}_{self.population}", make)
 
     @cached_property
     def disease(self) -> DataFrame:
-        found = co.disease_patients(
+        return self._shared("disease_patients", lambda: co.disease_patients(
             self.sources.tables["diags"], self.sources.tables["treatments"], self.groups
-        )
-        return self._keep(found, "disease_patients")
+        ))
 
     @cached_property
     def control_candidates(self) -> DataFrame:
-        found = co.control_candidates(self.disease, self.sources.patient, self.sample_ratio)
-        return self._keep(found, "control_candidates")
+        return self._shared("control_candidates", lambda: co.control_candidates(
+            self.disease, self.sources.patient, self.sample_ratio
+        ))
 
     @cached_property
     def potential_patients(self) -> DataFrame:
-        return self._keep(
-            co.of_group(self.disease, self.algorithm.group),
+        return self._shared(
             f"{self.algorithm.group}_potential_patients",
+            lambda: co.of_group(self.disease, self.algorithm.group),
         )
 
     @cached_property
@@ -279,7 +288,7 @@ class Assessment:
     @cached_property
     def stages(self) -> FeatureStages:
         return FeatureStages(
-            self.algorithm, self.sources, self.cohorts, self.timerange, self.store
+            self.algorithm, self.sources, self.cohorts, self.timerange, self.store, self.population
         )
 
 

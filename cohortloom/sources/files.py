@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -65,6 +67,13 @@ class StageStore:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.written: dict[str, DataFrame] = {}
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A stage that several users of the store share: made and written at its first use."""
+        if name not in self.written:
+            self.written[name] = self.keep(make(), name)
+        return self.written[name]
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         write_table(df, self.folder, name)
