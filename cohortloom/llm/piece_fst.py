@@ -10,7 +10,9 @@ shortest path has weight 0 and is the only one. Piece scores decide the stabilit
 pair and cannot simply be summed: this model merges by rank.
 
 No piece holds a line break, or a blank behind another character, so a text falls into
-line breaks and chunks that begin with their blanks; a worker composes each distinct chunk once.
+line breaks and chunks that begin with their blanks, cut again between a letter and a mark
+that no piece joins to one. A worker composes each distinct chunk once, and new chunks in
+sorted order, so that common prefixes are composed once too.
 
 Defined results: null counts as the empty text, which has no pieces; repeated rows are
 encoded alike; an empty table gives no rows; decoding gives the text back.
@@ -19,8 +21,9 @@ encoded alike; an empty table gives no rows; decoding gives the text back.
 from __future__ import annotations
 
 import re
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,8 @@ from cohortloom.llm.common import prepared
 from cohortloom.llm.fast_encode import ChunkEncoder, tokenizer_path
 
 BLANK = "▁"
-CHUNKS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
+CHUNKS = f"{BLANK}*+[^{BLANK}\n]++|{BLANK}++|\n"
+LETTER = r"[^\W\d_]"
 KNOWN_PAIRS = 2_000_000
 
 
@@ -70,6 +74,11 @@ class PieceTransducer:
             self.bytes.append(spelled)
         self.longest = max(map(len, self.ids))
         self.by_chunk = not any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids)
+        pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        joined = {p[1] for p in pairs if re.match(LETTER, p)}
+        marks = "".join(c for c in string.punctuation if c not in joined)
+        # No piece joins a letter and one of the marks behind it: a word is a chunk without them.
+        self.chunks = re.compile(f"{BLANK}*+{LETTER}++(?=[{re.escape(marks)}])|{CHUNKS}" if marks else CHUNKS)
         self.stable: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -96,11 +105,11 @@ class PieceTransducer:
             self.stable[last, piece] = known
         return 0.0 if known else float("inf")
 
-    def path(self, chunk: str) -> list[str]:
-        """The shortest path of a normalised chunk: its only segmentation of weight 0."""
-        last: list[str | None] = ["", *[None] * len(chunk)]
+    def extend(self, chunk: str, last: list[str | None]) -> None:
+        """Add the states of ``chunk`` behind those in ``last``: each one's last piece at weight 0."""
         scores, longest, known = self.scores, self.longest, self.stable.get
-        for end in range(1, len(chunk) + 1):
+        for end in range(len(last), len(chunk) + 1):
+            found = None
             for start in range(max(0, end - longest), end):
                 before = last[start]
                 if before is None:
@@ -109,21 +118,47 @@ class PieceTransducer:
                 if piece in scores or end - start == 1:
                     stable = known((before, piece))
                     if stable or stable is None and self.weight(before, piece) == 0.0:
-                        last[end] = piece
+                        found = piece
                         break
-        out, end = [], len(chunk)
-        while end:
-            piece = last[end]
-            out.append(piece)
-            end -= len(piece)
-        return out[::-1]
-
-    def chunk_ids(self, chunk: str) -> list[int]:
-        out = []
-        for piece in self.path(chunk):
-            known = self.ids.get(piece)
-            out += [known] if known is not None else [self.of_byte[b] for b in piece.encode("utf-8", "surrogatepass")]
-        return out
+            last.append(found)
+
+    def paths(self, chunks: Iterable[str]) -> Iterator[list[str]]:
+        """The shortest path of each normalised chunk: its only segmentation of weight 0.
+
+        States depend on what is before them only, so a chunk keeps those of the prefix that
+        it shares with the chunk before it: in sorted order this composes a trie of chunks.
+        """
+        previous, last = "", [""]
+        for chunk in chunks:
+            shared = 0
+            for a, b in zip(previous, chunk):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared + 1 :]
+            self.extend(chunk, last)
+            previous = chunk
+            out, end = [], len(chunk)
+            while end:
+                piece = last[end]
+                out.append(piece)
+                end -= len(piece)
+            yield out[::-1]
+
+    def path(self, chunk: str) -> list[str]:
+        return next(self.paths([chunk]))
+
+    def chunk_ids(self, chunks: Iterable[str]) -> list[list[int]]:
+        known, found = self.ids.get, []
+        for path in self.paths(chunks):
+            ids = [known(piece) for piece in path]
+            if None in ids:
+                ids = []
+                for piece in path:
+                    own = known(piece)
+                    ids += [own] if own is not None else [self.of_byte[b] for b in piece.encode("utf-8", "surrogatepass")]
+            found.append(ids)
+        return found
 
     def normalise(self, text: str | None) -> str:
         return BLANK + text.replace(" ", BLANK) if text else ""
@@ -138,12 +173,15 @@ class PieceEncoder(ChunkEncoder):
 
     def __init__(self, path: str, pool_size: int = 6_000_000):
         self.machine = PieceTransducer(path)
-        self.chunks = CHUNKS if self.machine.by_chunk else re.compile(r"(?s).+")
+        self.chunks = self.machine.chunks if self.machine.by_chunk else re.compile(r"(?s).+")
         self.pool_size = pool_size
         self._clear()
 
     def _ids(self, chunks: list[str]) -> list[list[int]]:
-        return list(map(self.machine.chunk_ids, chunks))
+        return self.machine.chunk_ids(chunks)
+
+    def _learn(self, fresh: list[str]) -> None:
+        super()._learn(sorted(fresh))
 
     def encode(self, texts):
         return super().encode([self.machine.normalise(t) for t in texts])
