@@ -34,15 +34,32 @@ def _hierarchy(term: str, category: str, block: str) -> list[Column]:
     ]
 
 
+def once_per_code(conf: DataFrame, key: str) -> DataFrame:
+    """``conf``, failing on a repeated ``key``, which would multiply the events of that code.
+
+    The check is a filter on the aggregated rows, so no column pruning removes it.
+    """
+    fixed = [c for c in conf.columns if c != key]
+    repeated = F.raise_error(F.concat(F.lit(f"repeated {key} in a configuration: "), key)).cast("boolean")
+    return (
+        conf.groupBy(key).agg(F.count("*").alias("_lines"), *[F.first(c).alias(c) for c in fixed])
+        .filter(F.when(F.col("_lines") > 1, repeated).otherwise(F.lit(True)))
+        .select(*conf.columns)
+    )
+
+
 def build_code_conf(raw: DataFrame) -> DataFrame:
-    """Per code: code type, lower-case term and category, block, statuses as a list."""
+    """Per code: code type, lower-case term and category, block, statuses as a list.
+
+    A code listed twice is an error.
+    """
     columns = ["code", "code_type"]
     columns += _hierarchy("medical_term", "algorithm_category", "algorithm_block")
     if "diagnosis_status" in raw.columns:
         columns.append(F.array("diagnosis_status").alias("goal_status"))
     else:
         columns.append(F.lit(None).cast("array<string>").alias("goal_status"))
-    return raw.select(*columns)
+    return once_per_code(raw.select(*columns), "code")
 
 
 def build_lab_conf(raw: DataFrame, seq: Column) -> DataFrame:

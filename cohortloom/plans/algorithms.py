@@ -7,7 +7,7 @@ configurations are files of the user (see ``operators.config_tables``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -31,6 +31,8 @@ class Algorithm:
     diag_codes: Sequence[str]
     lab_terms: Sequence[str]
     procedure_codes: Sequence[str]
+    #: Configurations of further feature tables (treatments, observations, measurements, SDS).
+    other_confs: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def limits(

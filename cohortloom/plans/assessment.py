@@ -48,15 +48,16 @@ class Sources:
 
     store: StageStore | None = None
 
-    @cached_property
-    def units(self) -> DataFrame:
-        """Main unit per test.
+    def units(self, feature: str) -> DataFrame:
+        """Main unit per test of a numerical table.
 
-        Written where a store is given: the join then knows its size, broadcasts it while
-        it is small and shuffles only beyond that.
+        Written once where a store is given: the join then knows its size, broadcasts it
+        while it is small and shuffles only beyond that.
         """
-        found = main_units(self.tables["labs"], LABS)
-        return found if self.store is None else self.store.keep(found, "main_units")
+        def found() -> DataFrame:
+            return main_units(self.tables[feature], FEATURE_TABLES[feature])
+
+        return found() if self.store is None else self.store.once(f"main_units_{feature}", found)
 
 
 class FeatureStages:
@@ -85,9 +86,11 @@ class FeatureStages:
             return df
         return self.store.keep(df, f"{self.algorithm.name}_{stage}_{self.timerange}_{self.population}")
 
-    def _conf(self, feature: str) -> DataFrame:
+    def _conf(self, feature: str) -> DataFrame | None:
+        """None for a table without configuration: all of its events are broad ones."""
         a = self.algorithm
-        return {"diags": a.diag_conf, "labs": a.lab_conf, "procedures": a.procedure_conf}[feature]
+        own = {"diags": a.diag_conf, "labs": a.lab_conf, "procedures": a.procedure_conf}
+        return {**own, **a.other_confs}.get(feature)
 
     def preprocessed(self, feature: str, configured_only: bool = False) -> DataFrame:
         return fe.preprocess_for_cohort(
@@ -97,32 +100,28 @@ class FeatureStages:
         )
 
     def processed(self, feature: str, configured_only: bool = False) -> DataFrame:
+        spec = FEATURE_TABLES[feature]
         return fe.process(
-            self.preprocessed(feature, configured_only), FEATURE_TABLES[feature], feature,
-            self._conf(feature), units=self.sources.units if feature == "labs" else None,
+            self.preprocessed(feature, configured_only), spec, feature, self._conf(feature),
+            units=self.sources.units(feature) if spec.kind == "NUMERICAL" else None,
             descriptions=self.sources.descriptions,
         )
 
     @cached_property
-    def broad_diags(self) -> DataFrame:
-        return self._broad("diags")
-
-    @cached_property
-    def broad_labs(self) -> DataFrame:
-        return self._broad("labs")
-
-    @cached_property
-    def broad_procedures(self) -> DataFrame:
-        return self._broad("procedures")
-
-    def _broad(self, feature: str) -> DataFrame:
-        return self._keep(fe.clean(self.processed(feature), FEATURE_TABLES[feature]), f"broad_{feature}")
+    def _broad(self) -> dict[str, DataFrame]:
+        return {}
 
     def broad(self, feature: str) -> DataFrame:
-        return {
-            "diags": lambda: self.broad_diags, "labs": lambda: self.broad_labs,
-            "procedures": lambda: self.broad_procedures,
-        }[feature]()
+        """Cleaned events of any feature table, made when first asked for."""
+        if feature not in self._broad:
+            cleaned = fe.clean(self.processed(feature), FEATURE_TABLES[feature])
+            self._broad[feature] = self._keep(cleaned, f"broad_{feature}")
+        return self._broad[feature]
+
+    def outlier_bounds(self, feature: str) -> DataFrame:
+        """Quartiles of a processed numerical table per cohort, test, unit and feature type."""
+        bounds = fe.outlier_bounds(self.processed(feature), FEATURE_TABLES[feature])
+        return self._keep(bounds, f"outlier_bounds_{feature}")
 
     def specific(self, feature: str) -> DataFrame:
         spec = FEATURE_TABLES[feature]

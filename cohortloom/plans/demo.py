@@ -144,4 +144,8 @@ def algorithm(spark: SparkSession) -> Algorithm:
         diag_conf=diag_conf(spark), lab_conf=lab_conf(spark),
         procedure_conf=procedure_conf(spark),
         diag_codes=DIAG_CODES, lab_terms=LAB_TERMS, procedure_codes=PROCEDURE_CODES,
+        other_confs={
+            "treatments": treatment_conf(spark), "SDS": note_conf(spark),
+            "observations": observation_conf(spark),
+        },
     )

@@ -503,6 +503,31 @@ FINALS["outlier_bounds"] = bounds("lab_typed", "TEST_NAME", "RESULT_UNIT", "FEAT
 FINALS["outlier_bounds_observations"] = bounds(
     "(SELECT * FROM observation WHERE OBS_RESULT IS NOT NULL)", "OBS_TYPE", "OBS_UNIT", OBSERVED, "OBS_RESULT"
 )
+FINALS["outlier_bounds_stage"] = bounds(
+    "(SELECT l.* FROM lab_typed l JOIN cohorts_s USING (PTID))",
+    "TEST_NAME", "RESULT_UNIT", "FEATURE_TYPE", "TEST_RESULT",
+)
+FINALS["clean_treatments"] = """SELECT DISTINCT COHORT_TYPE, PTID, NDC, CAST(RXDATE AS DATE) AS RXDATE,
+  CASE WHEN NDC IN ('00001000003','00002000006') THEN 'specific' ELSE 'broad' END AS FEATURE_TYPE
+FROM treatment JOIN cohorts_s USING (PTID)"""
+FINALS["clean_notes"] = """SELECT DISTINCT COHORT_TYPE, PTID, OBS_TYPE AS SDS_TERM, CAST(OBS_DATE AS DATE) AS SDS_DATE,
+  CASE WHEN OBS_TYPE = 'error' THEN 'specific' ELSE 'broad' END AS FEATURE_TYPE
+FROM observation JOIN cohorts_s USING (PTID)"""
+OBS_MAIN = """(SELECT OBS_TYPE, OBS_UNIT FROM (SELECT OBS_TYPE, OBS_UNIT, count(*) AS n FROM observation GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY OBS_TYPE ORDER BY n DESC, OBS_UNIT) = 1)"""
+FINALS["clean_observations"] = f"""SELECT COHORT_TYPE, PTID, OBS_TYPE, day AS OBS_DATE, OBS_UNIT,
+  {r6('OBS_RESULT', 'OBS_RESULT')}, FEATURE_TYPE
+FROM (SELECT *, CAST(OBS_DATE AS DATE) AS day, {OBSERVED} FROM observation WHERE OBS_RESULT IS NOT NULL)
+JOIN cohorts_s USING (PTID)
+WHERE (FEATURE_TYPE = 'specific' OR (OBS_TYPE, OBS_UNIT) IN {OBS_MAIN})
+  AND NOT (OBS_TYPE = 'purchase' AND OBS_UNIT = 'u1' AND (OBS_RESULT < 1 OR OBS_RESULT > 40))
+QUALIFY row_number() OVER (PARTITION BY COHORT_TYPE, PTID, OBS_TYPE, day
+  ORDER BY FEATURE_TYPE, OBS_RESULT, OBS_UNIT) = 1"""
+FINALS["clean_measurements"] = f"""SELECT COHORT_TYPE, PTID, OBS_TYPE AS MEASUREMENT_TYPE, day AS MEASUREMENT_DATE,
+  OBS_UNIT AS MEASUREMENT_DETAIL, {r6('OBS_RESULT', 'MEASUREMENT_VALUE')}, 'broad' AS FEATURE_TYPE
+FROM (SELECT *, CAST(OBS_DATE AS DATE) AS day FROM observation WHERE OBS_RESULT IS NOT NULL)
+JOIN cohorts_s USING (PTID) WHERE (OBS_TYPE, OBS_UNIT) IN {OBS_MAIN}
+QUALIFY row_number() OVER (PARTITION BY COHORT_TYPE, PTID, OBS_TYPE, day ORDER BY OBS_UNIT, OBS_RESULT) = 1"""
 FINALS["diagnosis_summary"] = "SELECT * FROM diag_summary"
 FINALS["treatment_summary"] = "SELECT * FROM drug_summary"
 FINALS["top_code_per_group"] = "SELECT * FROM diag_top"

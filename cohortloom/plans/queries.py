@@ -76,7 +76,8 @@ class Context:
         return Sources(
             r.patient,
             {"diags": r.diagnosis, "treatments": r.treatment, "labs": r.lab,
-             "procedures": r.procedure},
+             "procedures": r.procedure, "observations": r.observation,
+             "measurements": r.measurement, "SDS": r.notes},
             self.crosswalk, self.descriptions, self.store,
         )
 
@@ -566,6 +567,37 @@ def clean_procedures(c: Context) -> DataFrame:
     )
 
 
+@query
+def clean_treatments(c: Context) -> DataFrame:
+    return c.screened.broad("treatments").select(COHORT_TYPE, "PTID", "NDC", "RXDATE", FEATURE_TYPE)
+
+
+@query
+def clean_observations(c: Context) -> DataFrame:
+    return c.screened.broad("observations").select(
+        COHORT_TYPE, "PTID", "OBS_TYPE", "OBS_DATE", "OBS_UNIT", "OBS_RESULT", FEATURE_TYPE
+    )
+
+
+@query
+def clean_measurements(c: Context) -> DataFrame:
+    """No configuration: every event is a broad one."""
+    return c.screened.broad("measurements").select(
+        COHORT_TYPE, "PTID", "MEASUREMENT_TYPE", "MEASUREMENT_DATE", "MEASUREMENT_DETAIL",
+        "MEASUREMENT_VALUE", FEATURE_TYPE,
+    )
+
+
+@query
+def clean_notes(c: Context) -> DataFrame:
+    return c.screened.broad("SDS").select(COHORT_TYPE, "PTID", "SDS_TERM", "SDS_DATE", FEATURE_TYPE)
+
+
+@query
+def outlier_bounds_stage(c: Context) -> DataFrame:
+    return c.screened.outlier_bounds("labs").drop(COHORT_TYPE)
+
+
 @query
 def specific_features(c: Context) -> DataFrame:
     return c.screened.specific("diags").select(

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators import config_tables as ct
@@ -220,3 +221,13 @@ def test_configuration_files(spark, tmp_path):
                         "ICD9 string, ICD10 string, approximate string, line int")
     assert rows(ct.build_crosswalk(cross, F.col("line"))) == [("9", "B")]
     assert rows(ct.build_crosswalk(cross, F.col("line"), approximations=True)) == [("9", "C")]
+
+
+def test_repeated_code_in_a_configuration_is_refused(spark):
+    lines = [(code, "ICD10", "Term", "Cat", "A") for code in ("C1", "C2", "C2")]
+    raw = spark.createDataFrame(
+        lines, "code string, code_type string, medical_term string, algorithm_category string, algorithm_block string"
+    )
+    assert ct.build_code_conf(raw.distinct()).count() == 2
+    with pytest.raises(Exception, match="repeated code in a configuration: C2"):
+        ct.build_code_conf(raw).select("code").collect()

@@ -18,6 +18,8 @@ QUICK = [
     "index_date_control", "control_cohort", "sample_exact", "clean_labs",
     "numeric_window_just_before", "rule_labels", "performance", "prevalence_lift",
     "demographics_continuous", "significance_select", "build_lab_conf",
+    "build_code_conf", "clean_treatments", "clean_observations", "clean_measurements", "clean_notes",
+    "outlier_bounds_stage",
 ]
 NAMES = sorted(set(driver.queries()) - set(driver.LLM_QUERIES)) if os.environ.get("ALL_QUERIES") else QUICK
 
