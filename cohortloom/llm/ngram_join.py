@@ -21,7 +21,9 @@ equal segments only pairs with its best connected member are verified. Pairs of
 that are still in different components follow, if their bit sketches (the parity of the
 n-grams per bit, ``SKETCH_BITS`` bits) do not already differ in more bits than the sets
 may: so no link between components is missed, and neither copies nor unlike texts are
-expanded into all pairs. A segment entry takes
+expanded into all pairs. In the closing round a large group is compared in tiles of at most
+about ``BLOCK`` by ``BLOCK`` members, each a task's unit of its own: the comparisons of unlinked
+members are as many as their pairs, but no task holds or compares a group. A segment entry takes
 16 bytes, packed into binary rows per bucket before the shuffle.
 
 Links are between sets of 64-bit n-gram hashes. Defined results: A-Z are lower-cased;
@@ -48,6 +50,8 @@ MAX_LEADER_ROUNDS = 6
 BROADCAST_IDS = 2_000_000
 FLUSH = 1 << 20
 SKETCH_BITS = 2048
+#: Members per side of a tile; a task holds 2 x 4,096 sketches (2 MB) and compares 17 million pairs per tile.
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -345,51 +349,110 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
             return edges.select(F.col("a").alias("__row"), F.col("b").alias("comp"))
 
 
-def _open_pairs(
-    groups: DataFrame, comps: DataFrame, texts: DataFrame, similarity: Similarity, everything: bool
-) -> DataFrame:
-    """Pairs (a, b) of group members in different components whose sketches leave a link possible.
-
-    All of them, or only those of one member per group outside its largest component.
-    """
+def _mixed(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """(a, b, comp): members of groups with several components."""
     tagged = groups.join(comps.withColumnRenamed("__row", "b"), "b", "left").select(
         "a", "b", F.coalesce("comp", "b").alias("comp")
     )
     mixed = tagged.groupBy("a").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("a")
+    return tagged.join(mixed, "a", "left_semi")
+
+
+def _with_top(members: DataFrame) -> DataFrame:
+    """Adds, per group, ``size``, ``outside`` (members outside the largest component) and ``top``, that component."""
+    counts = members.groupBy("a", "comp").agg(F.count("*").alias("k"))
+    tops = counts.groupBy("a").agg(
+        F.sum("k").alias("size"), (F.sum("k") - F.max("k")).alias("outside"),
+        F.max_by("comp", F.struct("k", -F.col("comp"))).alias("top"),
+    )
+    return members.join(tops, "a")
+
+
+def _leader_rows(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows (b, n, s, c, m, z): a member and its group's leader ``c`` with size and sketch, in different components.
+
+    The leader is one member outside the largest component; a group is not gathered.
+    """
+    leaders = members.filter("comp <> top").groupBy("a").agg(
+        F.min(F.struct(F.xxhash64("b"), F.col("b"), F.col("comp"))).alias("l")
+    ).select("a", F.col("l.b").alias("c"), F.col("l.comp").alias("other"))
+    named = leaders.join(sketches.toDF("c", "m", "z"), "c")
+    pairs = members.select("a", "b", "comp").join(named, "a").filter("comp <> other")
+    return pairs.join(sketches, "b").select("b", "n", "s", "c", "m", "z")
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """Rows (a, p, q, left, b, comp, free): of every group, blocks ``p`` of members outside its largest
+    component (``left``) against blocks ``q`` of all members, both of about ``BLOCK`` members.
+
+    ``free`` marks members of the largest component, which are on the right only.
+    """
+    blocks = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
+    place = lambda count, seed: F.pmod(F.xxhash64("b", F.lit(seed)), blocks(count)).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), blocks(count) - 1))
+    free = (F.col("comp") == F.col("top")).alias("free")
+    left = members.filter("comp <> top").select(
+        "a", place("outside", 1).alias("p"), each("size").alias("q"), F.lit(True).alias("left"), "b", "comp", free
+    )
+    right = members.select(
+        "a", each("outside").alias("p"), place("size", 2).alias("q"), F.lit(False).alias("left"), "b", "comp", free
+    )
+    return left.union(right)
+
+
+def _near(similarity: Similarity, own: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Do the sketches leave a link possible?"""
+    return np.bitwise_count(own ^ other).sum(-1, dtype=np.int64) <= similarity.difference(n + m)
+
+
+def _sketch_array(rows) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.uint64).reshape(-1, SKETCH_BITS // 64)
+
+
+def _ordered_pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def _open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, everything: bool) -> DataFrame:
+    """Pairs (a, b) of group members in different components whose sketches leave a link possible.
+
+    All of them, or only those of one member per group outside its largest component. No
+    task holds a group: members meet the leader row by row, and all pairs block by block.
+    """
     sketches = texts.select(F.col("__row").alias("b"), F.col("__n").alias("n"), F.col("__s").alias("s"))
-    members = tagged.join(mixed, "a", "left_semi").join(sketches, "b").select("a", "b", "comp", "n", "s")
-    ordered = members.repartition("a").sortWithinPartitions("a", "comp", "b")
-
-    def pairs(member: np.ndarray, comp: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-        values, counts = np.unique(comp, return_counts=True)
-        outside = np.flatnonzero(comp != values[counts.argmax()])
-        if not everything:
-            outside = outside[[mix(member[outside].astype(np.uint64), 31).argmin()]]
-        found = []
-        for i in outside:
-            other = np.flatnonzero(comp != comp[i])
-            apart = np.bitwise_count(sketch[other] ^ sketch[i]).sum(1, dtype=np.int64)
-            other = member[other[apart <= similarity.difference(size[other] + size[i])]]
-            found.append(np.stack([np.minimum(member[i], other), np.maximum(member[i], other)], 1))
-        return np.unique(np.concatenate(found), axis=0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list) -> pa.RecordBatch:
-            _, member, comp, size = (np.array(c, np.int64) for c in list(zip(*rows))[:4])
-            sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), -1)
-            made = pairs(member, comp, size, sketch)
-            return pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], ["a", "b"])
+    def to_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b, n, s, c, m, z = _columns(batch, "b", "n", "s", "c", "m", "z")
+            kept = _near(similarity, _sketch_array(s), _sketch_array(z), np.array(n, np.int64), np.array(m, np.int64))
+            yield _ordered_pairs(np.array(b, np.int64)[kept], np.array(c, np.int64)[kept])
+
+    if not everything:
+        return _leader_rows(_with_top(members), sketches).mapInArrow(to_leader, "a long, b long").distinct()
+
+    def tile(rows: list) -> Iterator[pa.RecordBatch]:
+        left, member, comp, free, size = (np.array(c) for c in list(zip(*rows))[3:8])
+        sketch = _sketch_array(r[8] for r in rows)
+        right = np.flatnonzero(~left)
+        for i in np.flatnonzero(left):
+            at = right[(comp[right] != comp[i]) & (free[right] | (member[right] > member[i]))]
+            at = at[_near(similarity, sketch[at], sketch[i], size[at], size[i])]
+            if len(at):
+                yield _ordered_pairs(np.full(len(at), member[i]), member[at])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         for batch in batches:
-            for row in zip(*_columns(batch, "a", "b", "comp", "n", "s")):
-                if held and held[-1][0] != row[0]:
-                    yield out(held)
+            for row in zip(*_columns(batch, "a", "p", "q", "left", "b", "comp", "free", "n", "s")):
+                if held and held[-1][:3] != row[:3]:
+                    yield from tile(held)
                     held = []
                 held.append(row)
         if held:
-            yield out(held)
+            yield from tile(held)
 
+    placed = _tiles(_with_top(members)).join(sketches, "b").select("a", "p", "q", "left", "b", "comp", "free", "n", "s")
+    ordered = placed.repartition("a", "p", "q").sortWithinPartitions("a", "p", "q")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -405,7 +468,8 @@ def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages)
     comps = components(links, stages)
     bound, everything = PAIRS_PER_TEXT * max(tested.count(), 10_000), False
     for step in range(MAX_LEADER_ROUNDS + 1):
-        fresh = _open_pairs(groups, comps, texts, similarity, everything)
+        members = stages.keep(_mixed(groups, comps), "mixed")
+        fresh = _open_pairs(members, texts, similarity, everything)
         fresh = stages.keep(fresh.join(tested, ["a", "b"], "left_anti"), "open")
         size = fresh.count()
         if size:

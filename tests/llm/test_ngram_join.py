@@ -153,3 +153,30 @@ def test_bit_sketches_bound_the_difference_from_below():
             own, other = base[:n], base[cut : n + cut]
             bits = [np.frombuffer(ngram_join.bit_sketch(x), np.uint8) for x in (own, other)]
             assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= 2 * cut
+
+
+def test_large_groups_are_compared_in_tiles(spark, monkeypatch):
+    """Unlinked texts with one long template: every link is found, and no unit of work holds the group."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_TEXT", 0)
+    monkeypatch.setattr(ngram_join, "MAX_LEADER_ROUNDS", 1)
+    largest, plain = [], ngram_join._tiles
+
+    def tiles(members):
+        made = plain(members)
+        largest.append((members.groupBy("a").count().agg(F.max("count")).first()[0],
+                        made.groupBy("a", "p", "q").count().agg(F.max("count")).first()[0]))
+        return made
+
+    monkeypatch.setattr(ngram_join, "_tiles", tiles)
+    chance, texts = random.Random(12), []
+    template = " ".join(f"t{i}" for i in range(170))
+    for _ in range(160):
+        own = family(chance, 40, 2, 1) if chance.random() < 0.5 else family(chance, 40, 0, 0)
+        texts += [f"{template} {t}" for t in own]
+    rows = list(enumerate(texts))
+    chance.shuffle(rows)
+    check(spark, rows, FOUR)
+    assert largest and largest[-1][0] > 64 > largest[-1][1]
