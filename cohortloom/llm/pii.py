@@ -1,13 +1,20 @@
 """Personal data: candidate generators, boosted trees and calibrated thresholds.
 
 Four patterns with checks (the base) always count. Looser generators propose further,
-overlapping spans: spelled-out addresses, digit groups in any layout. Every candidate is
-described by its format and context in a few coarse levels; base spans are the positive
-examples. The candidates of all documents are counted per combination of levels (a fixed
-number of combinations, so the table has a proven bound), boosted trees are fitted to
-those counts, and per kind the lowest score at which the share of base spans reaches the
-wanted precision becomes the threshold. Candidates beyond it that touch no base span are
-added. Trees are compiled into Column expressions.
+overlapping spans: spelled-out addresses, digit groups in any layout. A candidate's format
+and context give it a label of its own: personal (a spelled-out address, a national number
+in a usual layout or after a word such as "call", a card number in a loose layout with a
+right check digit), not personal (no such number can look like this), or open. Personal
+ones are added whatever else is in the table, however frequent they are.
+
+The open ones are left to a model: every candidate is described in a few coarse levels;
+base spans and personal candidates are its positive examples, candidates that are not
+personal its negative ones, open ones are no examples. Examples of all documents are
+counted per combination of levels (a fixed number of combinations, so the table has a
+proven bound), boosted trees are fitted to those counts, and per kind the lowest score at
+which the share of positive examples reaches the wanted precision becomes the threshold.
+Open candidates beyond it are added. Trees are compiled into Column expressions. Added
+spans touch no base span.
 
 Everything is Column expressions; nothing but the counts is shuffled. Positions come from
 the lengths of a text's matches and of the parts between them.
@@ -50,13 +57,25 @@ COMPUTED = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
 CHUNK = 256
 CUES = r"(?i)(?:mail|phone|tel|call|fax|mobile|contact|card|visa|account|addr|host|server)"
 
+#: Labels of candidates.
+NOT_PERSONAL, OPEN, PERSONAL = 0, 1, 2
+ADDRESS = r"^[A-Za-z0-9][A-Za-z0-9._%+-]*\x20?(?:@|\(at\)|\[at\])\x20?(?:[A-Za-z0-9-]+\x20?(?:\.|\(dot\)|\[dot\])\x20?)+[A-Za-z]{2,24}$"
+SPELLED_OUT = r"[(\[](?:at|dot)[)\]]"
+#: National numbers: area code and groups, or a trunk zero and groups.
+NATIONAL = (
+    r"^(?:(?:1[\x20.-])?\(?[2-9][0-9]{2}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}"
+    r"|\(?0[1-9][0-9]{1,4}\)?[\x20.-]{1,2}[0-9]{2,}(?:[\x20-][0-9]{2,})*)$"
+)
+CALENDAR = r"^(?:[0-9]{4}[\x20.-][0-9]{2}[\x20.-][0-9]{2}|[0-9]{2}[\x20.-][0-9]{2}[\x20.-][0-9]{4})(?![0-9])"
+MAIL_CUES = r"(?i)\b(?:e-?mail|mail|contact|write|address)\b"
+CALL_CUES = r"(?i)\b(?:(?:tele)?phone|tel|call|fax|mobile|cell|contact|dial|ring|sms|text|reach)\b"
+
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Fit of the trees and the wanted share of base spans beyond a threshold."""
+    """Fit of the trees and the wanted share of positive examples beyond a threshold."""
 
     precision: float = 0.9
-    least_examples: int = 20
     rounds: int = 12
     depth: int = 2
 
@@ -139,18 +158,36 @@ def _context(char: Column) -> Column:
     )
 
 
+def _label(kind: Column, match: Column, before: Column, after: Column, cue: Column) -> Column:
+    """Is the candidate personal data by its own format and context?"""
+    digits = F.length(_digits(match))
+    glued = before.rlike("^[A-Za-z0-9_/=#$.,-]") | after.rlike("^[A-Za-z0-9_/=%]")
+    address = F.when(F.length(match) <= 320, match.rlike(ADDRESS)).otherwise(False)
+    mail = (
+        F.when(~address, NOT_PERSONAL).when(match.rlike(SPELLED_OUT) | cue.rlike(MAIL_CUES), PERSONAL).otherwise(OPEN)
+    )
+    card = F.when(_valid("card", match) & ~glued, PERSONAL).otherwise(NOT_PERSONAL)
+    phone = (
+        F.when(~digits.between(7, 15) | (F.length(match) > 40) | glued | match.rlike(CALENDAR), NOT_PERSONAL)
+        .when(match.rlike(NATIONAL) & (digits >= 8), PERSONAL).when(cue.rlike(CALL_CUES), PERSONAL).otherwise(OPEN)
+    )
+    return F.when(kind == 0, mail).when(kind == 2, card).when(kind == 3, phone).otherwise(NOT_PERSONAL)
+
+
 def _candidate(text: Column, kind: Column, span: Column) -> Column:
     match = span["match"]
     count, start = F.length(_digits(match)), span["start"]
     before = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
+    after = F.substring(text, span["end"] + 1, F.lit(1))
     cue = F.substring(text, F.greatest(start - 19, F.lit(1)), F.least(start, F.lit(20)))
     return F.struct(
         kind.cast("int").alias("kind"), start.alias("start"), span["end"].alias("end"),
         _level(count, 6, 7, 9, 12, 15, 19).alias("digits"), _level(F.length(match), 8, 12, 16, 20, 30).alias("length"),
         _level(F.length(F.regexp_replace(match, "[A-Za-z0-9]", "")), 0, 2, 4).alias("separators"),
-        _context(before).alias("before"), _context(F.substring(text, span["end"] + 1, F.lit(1))).alias("after"),
+        _context(before).alias("before"), _context(after).alias("after"),
         match.contains("(").cast("int").alias("bracket"), match.contains("-").cast("int").alias("dash"),
         match.contains(".").cast("int").alias("dot"), cue.rlike(CUES).cast("int").alias("cue"),
+        _label(kind, match, before, after, cue).alias("label"),
     )
 
 
@@ -204,11 +241,13 @@ def _compiled(node: Node, candidate: Column) -> Column:
 
 
 def train(found: DataFrame, settings: Thresholds = Thresholds()) -> CandidateModel:
-    """Fit to the counts of all candidates per combination of levels, at most a fixed number."""
+    """Fit to the counts of all examples per combination of levels, at most a fixed number."""
     marked = found.select("base", F.explode("candidates").alias("c")).select(
         "c.kind", *(f"c.{f}" for f in LEVELS),
-        F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _touches(b, F.col("c"))).alias("y"),
-    )
+        F.when(
+            F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _touches(b, F.col("c"))), True
+        ).when(F.col("c.label") != OPEN, F.col("c.label") == PERSONAL).alias("y"),
+    ).filter("y is not null")
     cells = marked.groupBy("kind", *LEVELS).agg(F.count("*").alias("n"), F.count_if("y").alias("y")).collect()
     kinds = {}
     for kind in range(len(KINDS)):
@@ -219,8 +258,11 @@ def train(found: DataFrame, settings: Thresholds = Thresholds()) -> CandidateMod
 
 
 def fit_cells(levels: np.ndarray, n: np.ndarray, positive: np.ndarray, settings: Thresholds):
-    """Trees for cells with ``n`` candidates, ``positive`` of them base spans; the threshold."""
-    if positive.sum() < settings.least_examples:
+    """Trees for cells with ``n`` examples, ``positive`` of them personal data; the threshold.
+
+    One negative example more is counted beyond every threshold (rule of succession).
+    """
+    if not positive.sum():
         return 0.0, [], None
     doubled = np.concatenate([levels, levels])
     labels = np.repeat([1.0, 0.0], len(levels))
@@ -230,7 +272,7 @@ def fit_cells(levels: np.ndarray, n: np.ndarray, positive: np.ndarray, settings:
     limit = None
     for at in sorted(set(score.tolist()), reverse=True):
         beyond = score >= at
-        if positive[beyond].sum() >= settings.precision * n[beyond].sum():
+        if positive[beyond].sum() >= settings.precision * (n[beyond].sum() + 1):
             limit = at
     return base, trees, None if limit is None else limit - 1e-9
 
@@ -243,7 +285,7 @@ def select_spans(found: DataFrame, model: CandidateModel) -> DataFrame:
     """``found`` with ``base`` ordered and ``all_spans`` (base and added) instead of candidates."""
     added = F.transform(
         F.filter(
-            F.filter("candidates", model.selects),
+            F.filter("candidates", lambda c: (c["label"] == PERSONAL) | ((c["label"] == OPEN) & model.selects(c))),
             lambda c: ~F.exists("base", lambda b: _touches(b, c)),
         ),
         lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),

@@ -85,6 +85,19 @@ def test_learned_threshold_adds_spans_that_look_like_the_base(spark):
     assert out[500].startswith("phone:") and out[100] == "" and out[0].count("phone") == 1
 
 
+@pytest.mark.parametrize("base", [0, 1, 19, 20])
+def test_personal_forms_are_found_however_frequent_they_are(spark, base):
+    forms = ["call 555-123-4{:03d} now", "(030) 1234{:03d}", "fax 1 (555) 123-4{:03d}", "u{:03d} (at) site (dot) com",
+             "my phone is 12345{:03d}"]
+    rows = [(100 * k + i, form.format(i)) for k, form in enumerate(forms) for i in range(50)]
+    rows += [(1000 + i, f"+1 (555) 100-4{i:03d} or a{i}@b.cc") for i in range(base)]
+    others = ["build x12345678y", "on 2024-01-15 10", "total $12345678", "id=12345678", "1234567890123456789012", "see you (at) 5.30"]
+    rows += [(2000 + i, t) for i, t in enumerate(others)]
+    out = {r.doc_id: r for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(len(out[100 * k + i].all_spans) == 1 for k in range(len(forms)) for i in range(50))
+    assert not any(out[2000 + i].all_spans for i in range(len(others)))
+
+
 def test_candidate_features_stay_within_their_levels(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(PII_TEXTS)], "doc_id long, text string")
     for r in pii.find_candidates(docs, "text", ["doc_id"]).collect():
