@@ -6,14 +6,16 @@ training documents, to the shard of the n-gram's context; the shard merges the c
 all chunks, builds its part of the trie, and answers each chunk's n-grams. Everything
 that travels is packed arrays; a chunk is read, asked and scored by one task, so nothing
 grows beyond a chunk or a shard. Contexts that are frequent in the corpus are spread over
-several shards by their successor, so no word makes one shard large.
+several shards by their successor, so no word makes one shard large. A level above the
+bigrams has the n-grams of the level below as contexts, known by their position there.
 
 *The trie.* A shard's contexts are a monotone Elias-Fano sequence; monotone pointers give
 each context its successors; successors are stored relative to their context (rank of the
 context times the vocabulary, plus the word), which makes the level one monotone sequence
-and a look-up one successor search inside it. Values are smoothed probabilities
+and a look-up one successor search between its context's pointers. Values are smoothed probabilities
 count / (context count + ``strength``), quantised to 16 bits on a log scale. A shard is one
-bytes object that is read through views (it can be memory-mapped as a file).
+bytes object that is read through views, with a directory of bit counts made when it is
+opened; only the bits of the elements asked for are unpacked. It lives in the task that answers.
 
 *Scores.* P(w | context) = stored probability + strength / (context count + strength) *
 P(w | shorter context), down to P(w) = (c + 0.5) / (N + 0.5 (V + 1)); an unseen context
@@ -27,6 +29,7 @@ document N and V are 0; an empty table gives no rows. Words are known by 64-bit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,10 @@ HELD_OUT_FOLD = 1
 STRENGTH = 8.0
 CHUNK_TOKENS = 2_000_000
 SPREAD_COUNT = 20_000
+#: Place of the r-th set bit of a byte, the first bit being the highest.
+SELECT = np.array([
+    (np.flatnonzero([b >> (7 - i) & 1 for i in range(8)]).tolist() + [8] * 8)[:8] for b in range(256)
+], np.int64)
 STEP = 8.0 / 65534  # quantiser: log10 probabilities from -8 to 0
 END = np.uint64(1)
 
@@ -55,6 +62,71 @@ class EliasFano:
         self.high = np.frombuffer(view[24 : 24 + high_bytes], np.uint8)
         self.low = np.frombuffer(view[24 + high_bytes :], np.uint8)
         self.size = len(data)
+        self.ones = None
+
+    def _open(self) -> None:
+        """Directory of the high part, made once: set and unset bits up to each byte; low bits with spare bytes."""
+        self.ones = np.cumsum(np.bitwise_count(self.high), dtype=np.int64)
+        self.zeros = 8 * np.arange(1, len(self.high) + 1) - self.ones
+        self.spare = np.concatenate([self.low, np.zeros(8, np.uint8)])
+
+    def _select(self, i: np.ndarray, one: bool) -> np.ndarray:
+        """Place of the ``i``-th set or unset bit of the high part."""
+        upto = self.ones if one else self.zeros
+        byte = np.minimum(np.searchsorted(upto, i, "right"), len(upto) - 1)
+        before = np.where(byte > 0, upto[byte - 1], 0)
+        held = self.high[byte] if one else ~self.high[byte]
+        return 8 * byte + SELECT[held, np.minimum(i - before, 7)]
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        """Elements at positions ``i``; only their own bits are read."""
+        if self.ones is None:
+            self._open()
+        high = (self._select(i, True) - i).astype(np.uint64) << np.uint64(self.low_bits)
+        if not self.low_bits:
+            return high
+        bit = i * self.low_bits
+        byte, low = bit >> 3, np.zeros(len(i), np.uint64)
+        if self.low_bits > 57:
+            return high | self._lows()[i]
+        for k in range((self.low_bits + 14) // 8):
+            low |= self.spare[byte + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+        low <<= (bit & 7).astype(np.uint64)
+        # the low part is packed with its lowest bit first
+        low >>= np.uint64(64 - self.low_bits)
+        return high | self._turned(low)
+
+    def _turned(self, bits: np.ndarray) -> np.ndarray:
+        """The lowest ``low_bits`` bits in reverse."""
+        x = bits << np.uint64(64 - self.low_bits)
+        for shift, mask in ((1, 0x5555555555555555), (2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F)):
+            m, by = np.uint64(mask), np.uint64(shift)
+            x = ((x >> by) & m) | ((x & m) << by)
+        return x.byteswap()
+
+    def search(self, wanted: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Position of the first element from ``left`` to ``right`` that is not smaller (``right``: none).
+
+        The high part narrows each range to the elements with the same high bits.
+        """
+        if self.ones is None:
+            self._open()
+        wanted = wanted.astype(np.uint64)
+        top = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
+        beyond = top >= int(self.zeros[-1]) if len(self.zeros) else np.ones(len(top), bool)
+        top = np.where(beyond, 0, top)
+        first = np.where(top > 0, self._select(np.maximum(top - 1, 0), False) - top + 1, 0)
+        last = np.minimum(self._select(top, False) - top, self.n)
+        left = np.where(beyond, right, np.clip(first, left, right))
+        right = np.where(beyond, right, np.clip(last, left, right))
+        open_ = np.flatnonzero(left < right)
+        while len(open_):
+            middle = (left[open_] + right[open_]) // 2
+            below = self.at(middle) < wanted[open_]
+            left[open_[below]] = middle[below] + 1
+            right[open_[~below]] = middle[~below]
+            open_ = open_[left[open_] < right[open_]]
+        return left
 
     @staticmethod
     def pack(values: np.ndarray) -> bytes:
@@ -81,21 +153,10 @@ class EliasFano:
         return (self._highs() << np.uint64(self.low_bits)) | self._lows()
 
     def successor(self, wanted: np.ndarray) -> np.ndarray:
-        """Position of the first element that is not smaller: by high part, then by low bits inside it."""
-        highs, lows = self._highs(), self._lows()
-        wanted = wanted.astype(np.uint64)
-        top = wanted >> np.uint64(self.low_bits)
-        rest = wanted & np.uint64((1 << self.low_bits) - 1)
-        left, right = np.searchsorted(highs, top, "left"), np.searchsorted(highs, top, "right")
-        while True:
-            open_ = left < right
-            if not open_.any():
-                return left
-            middle = (left + right) // 2
-            below = np.zeros(len(wanted), bool)
-            below[open_] = lows[middle[open_]] < rest[open_]
-            left = np.where(open_ & below, middle + 1, left)
-            right = np.where(open_ & ~below, middle, right)
+        """Position of the first element that is not smaller."""
+        if not self.n:
+            return np.zeros(len(wanted), np.int64)
+        return self.search(wanted, np.zeros(len(wanted), np.int64), np.full(len(wanted), self.n))
 
 
 def quantise(probability: np.ndarray) -> np.ndarray:
@@ -133,22 +194,34 @@ class TrieShard:
         head = np.array([*map(len, levels), vocabulary], "<u8").tobytes()
         return b"".join([head, *levels, quantise(probability).tobytes()])
 
+    def positions(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Positions of n-grams in their level, -1 where the trie does not have one.
+
+        A successor is searched from its context's pointer to the next one only.
+        """
+        at = np.full(len(word), -1, np.int64)
+        if not len(self.codes):
+            return at
+        asked, back = np.unique(context.astype(np.uint64), return_inverse=True)
+        rank = self.contexts.successor(asked)
+        found = rank < self.contexts.n
+        found[found] = self.contexts.at(rank[found]) == asked[found]
+        begin, end = np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
+        begin[found] = self.pointers.at(rank[found])
+        end[found] = self.pointers.at(rank[found] + 1)
+        known = np.flatnonzero(found[back] & (word < self.vocabulary))
+        own = back[known]
+        wanted = rank[own].astype(np.uint64) * np.uint64(self.vocabulary) + word[known].astype(np.uint64)
+        place = self.words.search(wanted, begin[own], end[own])
+        inside = place < end[own]
+        inside[inside] = self.words.at(place[inside]) == wanted[inside]
+        at[known[inside]] = place[inside]
+        return at
+
     def look_up(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Codes of n-grams; 0 where the trie does not have one."""
-        if not len(self.codes):
-            return np.zeros(len(word), np.uint16)
-        rank = self.contexts.successor(context)
-        contexts = self.contexts.values()
-        known = (rank < len(contexts)) & (word < self.vocabulary)
-        known[known] &= contexts[rank[known]] == context[known].astype(np.uint64)
-        wanted = rank[known].astype(np.uint64) * np.uint64(self.vocabulary) + word[known].astype(np.uint64)
-        at = self.words.successor(wanted)
-        pointers = self.pointers.values()
-        inside = at < pointers[rank[known] + 1]
-        inside[inside] &= self.words.values()[at[inside]] == wanted[inside]
-        codes = np.zeros(len(word), np.uint16)
-        codes[np.flatnonzero(known)[inside]] = self.codes[at[inside]]
-        return codes
+        at = self.positions(context, word)
+        return np.where(at >= 0, self.codes[at], 0).astype(np.uint16) if len(self.codes) else np.zeros(len(word), np.uint16)
 
 
 def _zip(*arrays: np.ndarray) -> bytes:
@@ -243,17 +316,6 @@ class Chunk:
         first[np.cumsum(self.counts) - self.counts] = True
         self.first = first
 
-    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (previous, word) numbers, their training counts, and each token's place among them.
-
-        A text begins after the end of another one.
-        """
-        end = int(np.searchsorted(self.words, END))
-        before = np.where(self.first, end, np.roll(self.tokens, 1))
-        pairs, place = np.unique(before * self.n_words + self.tokens, return_inverse=True)
-        counts = np.bincount(place, self.trained, len(pairs)).astype(np.int64)
-        return np.stack([pairs // self.n_words, pairs % self.n_words]), counts, place
-
 
 REQUEST = "shard int, chunk long, n long, data binary"
 
@@ -285,7 +347,7 @@ def _by_shard(requests: DataFrame, answer, parts: int) -> DataFrame:
 def _with_answers(chunks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     """Answers of all shards beside their chunk: as many bytes as the chunk's own requests."""
     own = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("shard", "n", "data")).alias(name))
-    return chunks.join(own, "chunk")
+    return chunks.join(own, "chunk", "left").withColumn(name, F.coalesce(name, F.array()))
 
 
 def _word_shard(words: np.ndarray, shards: int) -> np.ndarray:
@@ -335,25 +397,68 @@ def _global_words(chunk: Chunk, answers: list[dict], shards: int) -> tuple[np.nd
     return numbers, counts
 
 
-def _pairs_of(chunk: Chunk, numbers: np.ndarray, counts: np.ndarray, shards: int):
-    pairs, trained, place = chunk.bigrams()
-    context, word, total = numbers[pairs[0]], numbers[pairs[1]], counts[pairs[0]]
-    shard = _pair_shard(context, word, total, shards)
-    order = np.lexsort((word, context, shard))
-    return pairs[1], context, word, total, trained, place, _cut(order, shard)
-
-
-def _score_pairs(chunks: DataFrame, shards: int, parts: int, strength: float) -> DataFrame:
-    """Quantised probabilities of the chunks' bigrams, from the shards' tries."""
+@dataclass
+class Level:
+    """A chunk's distinct n-grams of one order whose context was counted, and each token's place among them (-1: none)."""
+
+    context: np.ndarray
+    word: np.ndarray
+    total: np.ndarray
+    trained: np.ndarray
+    place: np.ndarray
+    cut: list[tuple[int, np.ndarray]]
+    share: np.ndarray | None = None
+
+
+def _levels(chunk: Chunk, row: dict, shards: int, order: int) -> Iterator[Level]:
+    """Levels from bigrams up to ``order``; those answered in ``row`` have their probabilities.
+
+    A context is an n-gram of the level below, known by its position there. A text begins
+    after the end of another one, and no context reaches beyond that end.
+    """
+    words, counts = _global_words(chunk, row["known"], shards)
+    numbers, place = words, chunk.tokens
+    end = int(np.searchsorted(chunk.words, END))
+    for size in range(2, order + 1):
+        context = np.roll(place, 1)
+        context[chunk.first] = end if size == 2 else -1
+        usable = context >= 0
+        usable[usable] = counts[context[usable]] > 0
+        grams, inverse = np.unique(context[usable] * chunk.n_words + chunk.tokens[usable], return_inverse=True)
+        trained = np.bincount(inverse, chunk.trained[usable], len(grams)).astype(np.int64)
+        place = np.full(len(chunk.tokens), -1, np.int64)
+        place[usable] = inverse
+        before, word = grams // chunk.n_words, words[grams % chunk.n_words]
+        shard = _pair_shard(numbers[before], word, counts[before], shards)
+        cut = _cut(np.lexsort((word, numbers[before], shard)), shard)
+        level = Level(numbers[before], word, counts[before], trained, place, cut)
+        answers = row.get(f"level{size}")
+        if answers is not None:
+            answered = {a["shard"]: a["data"] for a in answers}
+            level.share = np.zeros(len(grams))
+            numbers, counts = np.zeros(len(grams), np.uint64), np.zeros(len(grams), np.int64)
+            for number, at in cut:
+                if size == order:
+                    codes = _unzip(answered[number], len(at), "<u2")[0]
+                else:
+                    codes, position, counts[at] = _unzip(answered[number], len(at), "<u2", "<u4", "<u4")
+                    numbers[at] = position.astype(np.uint64) * np.uint64(shards) + np.uint64(number)
+                level.share[at] = expand(codes)
+        yield level
+
+
+def _score_level(chunks: DataFrame, shards: int, parts: int, strength: float, size: int, last: bool) -> DataFrame:
+    """Quantised probabilities of the chunks' n-grams of ``size`` words, from the shards' tries;
+    below the last level their positions and training counts too."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row)
-                _, context, word, total, trained, _, cut = _pairs_of(chunk, *_global_words(chunk, row["known"], shards), shards)
-                for number, at in cut:
-                    gaps = np.diff(context[at], prepend=np.uint64(0))
-                    data = _zip(gaps.astype("<u8"), word[at].astype("<u4"), total[at].astype("<u4"), trained[at].astype("<u4"))
+                *_, level = _levels(chunk, row, shards, size)
+                for number, at in level.cut:
+                    gaps = np.diff(level.context[at], prepend=np.uint64(0))
+                    data = _zip(gaps.astype("<u8"), level.word[at].astype("<u4"), level.total[at].astype("<u4"), level.trained[at].astype("<u4"))
                     yield _requests([(number, chunk.number, len(at), data)])
 
     def answer(shard: int, rows: list[tuple]) -> Iterator[tuple]:
@@ -368,8 +473,13 @@ def _score_pairs(chunks: DataFrame, shards: int, parts: int, strength: float) ->
         seen = sums > 0
         share = sums[seen] / (total[order][starts][seen] + strength)
         trie = TrieShard(TrieShard.pack(c[starts][seen], w[starts][seen], share))
+        codes, kept = np.append(trie.codes, 0), np.append(sums[seen], 0)  # position -1 is the appended zero
         for (_, chunk, n, _), (ctx, wrd, *_rest) in zip(rows, asked):
-            yield shard, chunk, n, _zip(trie.look_up(ctx, wrd).astype("<u2"))
+            at = trie.positions(ctx, wrd)
+            found = [codes[at].astype("<u2")]
+            if not last:
+                found += [np.maximum(at, 0).astype("<u4"), kept[at].astype("<u4")]
+            yield shard, chunk, n, _zip(*found)
 
     return _by_shard(chunks.mapInArrow(ask, REQUEST), answer, parts)
 
@@ -379,9 +489,14 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def score_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", strength: float = STRENGTH,
-    stages: Stages | None = None,
+    stages: Stages | None = None, order: int = 2,
 ) -> DataFrame:
-    """Rows of ``SCORES``, one per document, learned from the documents outside the held-out fold."""
+    """Rows of ``SCORES``, one per document, learned from the documents outside the held-out fold.
+
+    ``score`` uses contexts of up to ``order`` - 1 words.
+    """
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     stages = stages or Stages(docs.sparkSession)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = 2 * parts
@@ -395,29 +510,33 @@ def score_documents(
     tokens, vocabulary = sum(s[0] for s in sums), sum(s[1] for s in sums)  # two numbers per shard
     known = stages.keep(_with_answers(chunks, words, "known"), "known")
     stages.drop(chunks, words)
-    pairs = stages.keep(_score_pairs(known, shards, parts, strength), "pairs")
+    for size in range(2, order + 1):
+        answers = stages.keep(_score_level(known, shards, parts, strength, size, size == order), f"level{size}")
+        joined = _with_answers(known, answers, f"level{size}")
+        if size < order:
+            below, known = known, stages.keep(joined, f"known{size}")
+            stages.drop(below, answers)
     floor = np.log10(tokens + 0.5 * (vocabulary + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row)
-                numbers, counts = _global_words(chunk, row["known"], shards)
-                local, context, _, total, _, place, cut = _pairs_of(chunk, numbers, counts, shards)
-                answered = {a["shard"]: a for a in row["scores"]}
-                share = np.zeros(len(context))
-                for number, at in cut:
-                    share[at] = expand(_unzip(answered[number]["data"], len(at), "<u2")[0])
+                counts = _global_words(chunk, row["known"], shards)[1]
                 base = np.log10(counts + 0.5) - floor
-                left = np.where(total > 0, strength / (total + strength), 1.0)
-                logs = np.log10(share + left * 10 ** base[local])
+                chance = 10 ** base[chunk.tokens]
+                for level in _levels(chunk, row, shards, order):
+                    on = level.place >= 0
+                    at = level.place[on]
+                    chance[on] = level.share[at] + strength / (level.total[at] + strength) * chance[on]
+                logs = np.log10(chance)
                 ends = np.cumsum(chunk.counts) - chunk.counts
                 add = lambda x: np.add.reduceat(x, ends)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(chunk.ids, mask=chunk.flags >= 2), pa.array((chunk.flags & 1) == 0), pa.array(chunk.counts),
                     pa.array(add((counts > 0)[chunk.tokens].astype(np.int64))),
-                    pa.array(np.full(len(chunk.ids), tokens, np.int64)), pa.array(add(base[chunk.tokens])), pa.array(add(logs[place])),
+                    pa.array(np.full(len(chunk.ids), tokens, np.int64)), pa.array(add(base[chunk.tokens])), pa.array(add(logs)),
                 ], [f.split()[0] for f in SCORES.split(", ")])
 
-    return _with_answers(known, pairs, "scores").mapInArrow(run, SCORES)
+    return joined.mapInArrow(run, SCORES)
 

@@ -33,7 +33,7 @@ def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_trie.score_documents(_table(spark, folder, "documents"))
+    return ngram_trie.score_documents(_table(spark, folder, "documents"), order=3)
 
 
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:

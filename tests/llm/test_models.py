@@ -118,6 +118,49 @@ def test_scores_against_dictionaries(spark, documents, monkeypatch, tokens):
         assert abs(own[6] - brute[6]) < 2 * ngram_trie.STEP * brute[2] + 1e-9
 
 
+def brute_order(rows, order, strength=ngram_trie.STRENGTH):
+    grams, contexts, words = Counter(), Counter(), Counter()
+    cut = lambda t: [None, *(t or "").encode().lower().split(), None]
+    parts = lambda t: [(t[i], [tuple(t[i - k : i]) for k in range(1, min(order - 1, i) + 1)]) for i in range(1, len(t))]
+    for d, t in rows:
+        if zlib.crc32(("" if d is None else str(d)).encode()) % 5 != 1:
+            for w, befores in parts(cut(t)):
+                words[w] += 1
+                for c in befores:
+                    grams[c, w] += 1
+                    contexts[c] += 1
+    for d, t in rows:
+        score = 0.0
+        for w, befores in parts(cut(t)):
+            p = (words[w] + 0.5) / (sum(words.values()) + 0.5 * (len(words) + 1))
+            for c in befores:
+                p = (grams[c, w] + strength * p) / (contexts[c] + strength)
+            score += np.log10(p)
+        yield str(d), score
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_longer_contexts_against_dictionaries(spark, documents, monkeypatch, order):
+    monkeypatch.setattr(ngram_trie, "CHUNK_TOKENS", 700)
+    monkeypatch.setattr(ngram_trie, "SPREAD_COUNT", 40)
+    rows = documents[:30] + [(1000, None), (1001, "a"), (1002, "a b a b a b a"), (None, "a b"), documents[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), r.score, r.n_tokens) for r in ngram_trie.score_documents(docs, order=order).collect())
+    for own, brute in zip(got, sorted(brute_order(rows, order)), strict=True):
+        assert own[0] == brute[0] and abs(own[1] - brute[1]) < order * ngram_trie.STEP * own[2] + 1e-9
+
+
+def test_search_stays_between_pointers():
+    chance = np.random.default_rng(6)
+    values = np.sort(chance.integers(0, 10**7, 2000))
+    sequence = ngram_trie.EliasFano(ngram_trie.EliasFano.pack(values))
+    assert (sequence.at(np.arange(2000)) == values).all()
+    left = chance.integers(0, 2000, 500)
+    right = np.minimum(left + chance.integers(0, 50, 500), 2000)
+    wanted = chance.integers(0, 10**7 + 10**6, 500)
+    assert sequence.search(wanted, left, right).tolist() == np.clip(np.searchsorted(values, wanted), left, right).tolist()
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = [r for r in ngram_trie.score_documents(docs).collect() if r.held_out]
