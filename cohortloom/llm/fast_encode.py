@@ -27,13 +27,19 @@ UNSURE = re.compile(r"[\x1c-\x1f]")
 
 
 class ChunkEncoder:
-    """Ids of texts as one flat array; the pool starts anew beyond ``pool_size`` ids."""
+    """Ids of texts as one flat array; the pool starts anew beyond ``pool_size`` ids.
 
-    def __init__(self, path: str, chunks: re.Pattern, pool_size: int = 6_000_000):
+    With ``special`` the string of a special token is that token, as in the library's plain
+    call, and a text that holds one is encoded whole; without, it is ordinary text.
+    """
+
+    def __init__(self, path: str, chunks: re.Pattern, pool_size: int = 6_000_000, special: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.whole = re.compile("|".join([UNSURE.pattern, *names]))
         self.chunks, self.pool_size = chunks, pool_size
         self.lower = chunks == SPACE_DROPPED  # that vocabulary is lower-case
         self._clear()
@@ -84,7 +90,7 @@ class ChunkEncoder:
         if self.used > self.pool_size:
             self._clear()
         cut = [
-            [] if not t else [t] if UNSURE.search(t) else self.chunks.findall(t) for t in texts
+            [] if not t else [t] if self.whole.search(t) else self.chunks.findall(t) for t in texts
         ]
         known = self.known
         fresh = set().union(*cut).difference(known)
@@ -103,14 +109,14 @@ class ChunkEncoder:
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
 
 
-def worker_encoder(path: str, chunks: re.Pattern) -> ChunkEncoder:
+def worker_encoder(path: str, chunks: re.Pattern, special: bool = False) -> ChunkEncoder:
     """One encoder per Python worker, kept from task to task."""
-    key = (path, chunks.pattern)
+    key = (path, chunks.pattern, special)
     if key not in _ENCODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[key] = ChunkEncoder(path, chunks)
+        _ENCODERS[key] = ChunkEncoder(path, chunks, special=special)
     return _ENCODERS[key]
 
 

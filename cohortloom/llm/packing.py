@@ -128,7 +128,7 @@ def _pack_block(ids: np.ndarray, counts: np.ndarray, capacity: int) -> list[tupl
 
 def pack(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None,
-    end_id: int = 1, capacity: int = CAPACITY, block_tokens: int = BLOCK_TOKENS, with_ids: bool = False,
+    end_id: int = 1, capacity: int = CAPACITY, block_tokens: int = BLOCK_TOKENS, with_ids: bool = False, special: bool = False,
 ) -> DataFrame:
     """One row per piece: the id column and ``PIECE``; with ``ids`` (list of int) on request."""
     prepared(docs.sparkSession)
@@ -139,7 +139,7 @@ def pack(
         schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        encoder = worker_encoder(path, SPACE_DROPPED)
+        encoder = worker_encoder(path, SPACE_DROPPED, special)
         held, total = [], 0
         for batch in batches:
             ids, counts = with_end(*encoder.encode(batch.column("text").to_pylist()), end_id)

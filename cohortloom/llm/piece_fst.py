@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm.common import prepared
-from cohortloom.llm.fast_encode import ChunkEncoder, tokenizer_path
+from cohortloom.llm.fast_encode import UNSURE, ChunkEncoder, tokenizer_path
 
 BLANK = "▁"
 CHUNKS = f"{BLANK}*+[^{BLANK}\n]++|{BLANK}++|\n"
@@ -174,7 +174,7 @@ class PieceEncoder(ChunkEncoder):
     def __init__(self, path: str, pool_size: int = 6_000_000):
         self.machine = PieceTransducer(path)
         self.chunks = self.machine.chunks if self.machine.by_chunk else re.compile(r"(?s).+")
-        self.pool_size = pool_size
+        self.pool_size, self.whole = pool_size, UNSURE
         self._clear()
 
     def _ids(self, chunks: list[str]) -> list[list[int]]:

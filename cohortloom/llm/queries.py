@@ -29,7 +29,7 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_token_store(spark: SparkSession, folder: str) -> DataFrame:
-    return token_store.write_tokens(_table(spark, folder, "documents")).read()
+    return token_store.write_tokens(_table(spark, folder, "documents"), special=True).read()
 
 
 def op4_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"))
+    return packing.pack(_table(spark, folder, "documents"), special=True)
 
 
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

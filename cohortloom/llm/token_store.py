@@ -107,7 +107,7 @@ class Shard:
 
 def train_dictionary(
     docs: DataFrame, text: str, doc_id: str, tokenizer: str, end_id: int, width: int,
-    bounds: DictionaryBounds = DictionaryBounds(),
+    bounds: DictionaryBounds = DictionaryBounds(), special: bool = False,
 ) -> bytes:
     """Dictionary of a bounded sample; empty where the texts are too few to train one."""
     import zstandard
@@ -120,7 +120,7 @@ def train_dictionary(
         .join(F.broadcast(picked), "h").orderBy("h", "t").limit(bounds.documents)
         .collect()  # at most documents x text_bytes
     )
-    ids, counts = with_end(*worker_encoder(tokenizer, BYTE_LEVEL).encode([r.t for r in sample]), end_id)
+    ids, counts = with_end(*worker_encoder(tokenizer, BYTE_LEVEL, special).encode([r.t for r in sample]), end_id)
     arrays = [serialise(part, width) for part in np.split(ids, np.cumsum(counts)[:-1])] if sample else []
     size = min(bounds.size, sum(map(len, arrays)) // 8)
     try:
@@ -175,14 +175,17 @@ class TokenTable:
 def write_tokens(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None, end_id: int = 0,
     shard_tokens: int = SHARD_TOKENS, parts: int | None = None, bounds: DictionaryBounds = DictionaryBounds(),
-    stages: Stages | None = None,
+    stages: Stages | None = None, special: bool = False,
 ) -> TokenTable:
-    """Encode every text, append ``end_id`` and write the shards in ascending id order."""
+    """Encode every text, append ``end_id`` and write the shards in ascending id order.
+
+    ``special``: strings of special tokens become those tokens, as in the library's plain call.
+    """
     stages = stages or Stages(docs.sparkSession)
     spark = docs.sparkSession
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
-    width = 2 if max(worker_encoder(path, BYTE_LEVEL).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
-    dictionary = train_dictionary(docs, text, doc_id, path, end_id, width, bounds)
+    width = 2 if max(worker_encoder(path, BYTE_LEVEL, special).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
+    dictionary = train_dictionary(docs, text, doc_id, path, end_id, width, bounds, special)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     ordered = rows.repartitionByRange(parts, "k").sortWithinPartitions("k", "t")
@@ -191,7 +194,7 @@ def write_tokens(
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder = worker_encoder(path, BYTE_LEVEL)
+        encoder = worker_encoder(path, BYTE_LEVEL, special)
         shared = None
         if dictionary:
             shared = zstandard.ZstdCompressionDict(dictionary)

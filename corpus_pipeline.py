@@ -42,7 +42,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens, with their ids."""
     prepared(spark)
-    return packing.pack(docs, with_ids=True)
+    return packing.pack(docs, with_ids=True, special=True)
 
 
 STAGES = [

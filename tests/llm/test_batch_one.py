@@ -220,6 +220,23 @@ def test_chunks_give_the_librarys_ids(spark, name, chunks):
         assert got == library_ids(part, name, 7)
 
 
+def test_queries_encode_special_tokens_as_the_librarys_plain_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = ["na <|endoftext|> b<|startoftext|>c", "x<|endoftext|><|endoftext|>", "<|END|> plain text", None, "a, <|startoftext|>."]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for query, name, end in (("op3_token_store", "byte_bpe_50k.json", 0), ("op6_packing", "word_bpe_49k.json", 1)):
+        plain = Tokenizer.from_file(fast_encode.tokenizer_path(name))
+        ids = [plain.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
+        got = [tuple(r)[:4] for r in QUERIES[query](spark, str(tmp_path)).collect()]
+        first = 0 if query == "op6_packing" else sum(map(len, ids[:1]))
+        assert {g[0] for g in got} == set(range(len(texts)))
+        for doc, start, length, crc in got:
+            at = start if query == "op6_packing" else 0
+            assert crc == zlib.crc32(np.array(ids[doc][at : at + length], "<u4").tobytes())
+        assert sum(g[2] for g in got) == sum(map(len, ids)) and (not first or got[1][1] == first)
+
+
 def brute_tokens(docs, end=0):
     rows = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     out, start = [], 0
