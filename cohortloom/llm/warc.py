@@ -9,7 +9,8 @@ Hadoop file system and a lost executor leaves no partial file.
 The reader takes whole files and checks every member (checksum and length), version
 line, header block and block length, and the digest where there is one. After a failed
 check it searches for the next place from which a whole record can be read, goes on
-there, and logs the bytes between as a quarantined gap.
+there, and logs the bytes between as a quarantined gap. The same holds inside a member that
+holds several records, and for the content of a member up to its cut or failure.
 
 Defined results: a null payload is empty; null ids are never revisited unless all ids of
 a payload are null, and rows that share the smallest id are all responses; an empty table
@@ -112,6 +113,8 @@ class Salvage:
 
     records: list[Record] = field(default_factory=list)
     gaps: list[tuple[int, int]] = field(default_factory=list)
+    #: Gaps inside members that gave records: the member's place, start and end in its content.
+    inner: list[tuple[int, int, int]] = field(default_factory=list)
 
     def quarantine(self, start: int, end: int) -> None:
         if start < end:
@@ -147,34 +150,48 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int] | None:
     return Record(at, headers, block), tail.end()
 
 
-def inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """Content of the gzip member at ``at`` and the place after it; None if a check fails."""
-    unpacker = zlib.decompressobj(31)
-    parts, view, position = [], memoryview(data), at
-    try:
-        while not unpacker.eof and position < len(data):
-            parts.append(unpacker.decompress(view[position : position + (1 << 16)]))
-            position += 1 << 16
-    except zlib.error:
-        return None
-    if not unpacker.eof:
-        return None
-    return b"".join(parts), min(position, len(data)) - len(unpacker.unused_data)
+def inflate(data: bytes, at: int) -> tuple[bytes, int | None, bool]:
+    """Content of the gzip member at ``at`` up to its end or first failure, the place after it
+    (None if it is cut off or a check fails), and whether nothing but its end is missing."""
+    view, parts = memoryview(data), []
+    unpacker, position, step = zlib.decompressobj(31), at, 1 << 16
+    while not unpacker.eof and position < len(data):
+        try:
+            parts.append(unpacker.decompress(view[position : position + step]))
+        except zlib.error:
+            # once more, the failing piece byte by byte
+            unpacker, parts = zlib.decompressobj(31), []
+            try:
+                for p in range(at, position, step):
+                    parts.append(unpacker.decompress(view[p : p + step]))
+                for p in range(position, len(data)):
+                    parts.append(unpacker.decompress(view[p : p + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), None, False
+        position += step
+    end = min(position, len(data)) - len(unpacker.unused_data) if unpacker.eof else None
+    return b"".join(parts), end, True
 
 
 def salvage(data: bytes) -> Salvage:
-    """All whole records of an archive, plain or in gzip members, whatever is damaged."""
+    """All whole records of an archive, plain or in gzip members, whatever is damaged.
+
+    Inside a member the search goes on as in a plain file; what a member gives before it
+    fails counts too, but after a failed check only records with a matching digest.
+    """
     found, at = Salvage(), 0
     start_of = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
     while at < len(data):
         if data.startswith(MEMBER, at):
-            member = inflate(data, at)
-            if member is not None:
-                inner = _plain(member[0], at)
-                if inner is not None:
-                    found.records += inner
-                    at = member[1]
-                    continue
+            content, end, sound = inflate(data, at)
+            records, gaps = _inside(content, at, not sound)
+            found.records += records
+            if records:
+                found.inner += [(at, *gap) for gap in gaps]
+            if end is not None and (records or not gaps):
+                at = end
+                continue
         else:
             plain = parse_record(data, at)
             if plain is not None:
@@ -188,27 +205,37 @@ def salvage(data: bytes) -> Salvage:
     return found
 
 
-def _plain(content: bytes, offset: int) -> list[Record] | None:
-    """Records of a member's content; None if it is not made of whole records."""
-    records, at = [], 0
+def _inside(content: bytes, offset: int, doubtful: bool) -> tuple[list[Record], list[tuple[int, int]]]:
+    """Whole records of a member's content, and the gaps between them."""
+    found, at = Salvage(), 0
     while at < len(content):
         parsed = parse_record(content, at)
-        if parsed is None:
-            return None
-        records.append(Record(offset, parsed[0].headers, parsed[0].block))
-        at = parsed[1]
-    return records
+        if parsed is not None:
+            headers = parsed[0].headers
+            sure = headers["warc-type"] == "response" and headers.get("warc-payload-digest", "").startswith("sha256:")
+            if sure or not doubtful:
+                found.records.append(Record(offset, headers, parsed[0].block))
+                at = parsed[1]
+                continue
+        later = VERSION_LINE.search(content, at + 1)
+        end = later.start() if later else len(content)
+        found.quarantine(at, end)
+        at = end
+    return found.records, found.gaps
 
 
 READ_SCHEMA = (
     "path string, record_offset long, gap_end long, record_id string, record_type string, target_uri string, "
-    "payload_digest string, payload_length long, refers_to string, block binary"
+    "payload_digest string, payload_length long, refers_to string, block binary, inner_start long, inner_end long"
 )
 
 
 def read_archives(spark, folder: str, with_block: bool = True) -> DataFrame:
     """Rows of ``READ_SCHEMA``: one per record, and one with ``gap_end`` per quarantined gap.
 
+    A gap inside a member has the member's place and ``inner_start``, ``inner_end`` in its
+    content; its ``gap_end`` is that place too.
+
     A file is one task's row, so archives should stay well below 1 GB each.
     """
     prepared(spark)
@@ -225,17 +252,19 @@ def read_archives(spark, folder: str, with_block: bool = True) -> DataFrame:
                 unquote(h.get("warc-target-uri", "")), digest or hashlib.sha256(block).hexdigest(),
                 int(size) if size.isdigit() else len(block),
                 h["warc-refers-to"].strip("<>") if "warc-refers-to" in h else None,
-                block if with_block else None,
+                block if with_block else None, None, None,
             )
         for start, end in found.gaps:
-            yield (path, start, end, *[None] * 7)
+            yield (path, start, end, *[None] * 9)
+        for member, start, end in found.inner:
+            yield (path, member, member, *[None] * 7, start, end)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
             ("path", pa.string()), ("record_offset", pa.int64()), ("gap_end", pa.int64()),
             ("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()),
             ("payload_digest", pa.string()), ("payload_length", pa.int64()), ("refers_to", pa.string()),
-            ("block", pa.binary()),
+            ("block", pa.binary()), ("inner_start", pa.int64()), ("inner_end", pa.int64()),
         ])
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):

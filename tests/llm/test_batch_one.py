@@ -179,6 +179,29 @@ def test_salvage_recovers_later_records(zipped):
     assert found.gaps == [(ends[1], ends[2]), (ends[4], ends[4] + 40)]
 
 
+def test_salvage_searches_inside_members(spark, tmp_path):
+    chance = random.Random(2)
+    bodies = [bytes(chance.randrange(256) for _ in range(3000)) for _ in range(6)]
+    parts = [warc.record_bytes([
+        ("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:page:{i}>"),
+        ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(b).hexdigest())], b) for i, b in enumerate(bodies)]
+    ends = np.cumsum([len(p) for p in parts]).tolist()
+    content = bytearray(b"".join(parts))
+    content[ends[1] + 1500] ^= 0xFF  # record 2 is bad before it is compressed
+    member = warc.gzip_member(bytes(content))
+    ids = lambda found: [int(r.headers["warc-record-id"][10:-1]) for r in found.records]
+    whole, cut = warc.salvage(member), warc.salvage(member[:-1500])
+    assert ids(whole) == [0, 1, 3, 4, 5] and whole.inner == [(0, ends[1], ends[2])] and whole.gaps == []
+    assert ids(cut) == [0, 1, 3, 4] and cut.inner[0] == (0, ends[1], ends[2]) and cut.inner[1][1] == ends[4]
+    assert cut.gaps[-1][1] == len(member) - 1500
+    trailer = member[:-8] + bytes(8)
+    assert ids(warc.salvage(trailer)) == [0, 1, 3, 4, 5]
+    (tmp_path / "a.gz").write_bytes(member)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert [(r.record_offset, r.inner_start, r.inner_end) for r in rows if r.gap_end is not None] == [(0, ends[1], ends[2])]
+    assert sum(r.gap_end is None for r in rows) == 5
+
+
 def test_salvage_survives_random_damage():
     chance = random.Random(5)
     for _ in range(40):
