@@ -24,6 +24,7 @@ ids must be integers.
 from __future__ import annotations
 
 import hashlib
+import logging
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,7 +47,7 @@ LEVEL = 3
 
 @dataclass(frozen=True)
 class DictionaryBounds:
-    """The dictionary is fitted to the ``documents`` smallest id hashes, short texts only."""
+    """The dictionary is fitted to the texts with the ``documents`` smallest id hashes, long ones cut."""
 
     documents: int = 1024
     text_bytes: int = 32 << 10
@@ -109,14 +110,14 @@ def train_dictionary(
     docs: DataFrame, text: str, doc_id: str, tokenizer: str, end_id: int, width: int,
     bounds: DictionaryBounds = DictionaryBounds(), special: bool = False,
 ) -> bytes:
-    """Dictionary of a bounded sample; empty where the texts are too few to train one."""
+    """Dictionary of a bounded sample; empty, with a warning, where the texts are too few to train one."""
     import zstandard
 
     key = F.col(f"`{doc_id}`")
-    picked = docs.select(F.xxhash64(key).alias("h")).distinct().orderBy("h").limit(bounds.documents)
+    filled = docs.select(F.xxhash64(key).alias("h"), text_of(f"`{text}`").alias("t")).filter("t <> ''")
+    picked = filled.select("h").distinct().orderBy("h").limit(bounds.documents)
     sample = (
-        docs.select(F.xxhash64(key).alias("h"), text_of(f"`{text}`").alias("t"))
-        .filter(F.octet_length("t").between(1, bounds.text_bytes))
+        filled.withColumn("t", F.substring("t", 1, bounds.text_bytes // 4))  # 4 bytes a character at most
         .join(F.broadcast(picked), "h").orderBy("h", "t").limit(bounds.documents)
         .collect()  # at most documents x text_bytes
     )
@@ -125,7 +126,8 @@ def train_dictionary(
     size = min(bounds.size, sum(map(len, arrays)) // 8)
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
-    except (zstandard.ZstdError, ValueError):
+    except (zstandard.ZstdError, ValueError) as error:
+        logging.getLogger(__name__).warning("no dictionary from %d texts, frames go without: %s", len(arrays), error)
         return b""
 
 

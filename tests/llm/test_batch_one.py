@@ -282,6 +282,17 @@ def test_token_store_round_trip(spark):
     assert token_store.write_tokens(empty_docs(spark)).read().count() == 0
 
 
+def test_dictionary_is_trained_on_long_texts_too_and_its_lack_is_logged(spark, caplog):
+    chance = random.Random(7)
+    words = [f"word{i}" for i in range(500)]
+    rows = [(i, " ".join(chance.choices(words, k=7000))) for i in range(40)]
+    assert all(len(t) > token_store.DictionaryBounds().text_bytes for _, t in rows)
+    path = fast_encode.tokenizer_path("byte_bpe_50k.json")
+    train = lambda r: token_store.train_dictionary(spark.createDataFrame(r, "doc_id long, text string"), "text", "doc_id", path, 0, 2)
+    assert train(rows) and not caplog.records
+    assert train([(1, "a")]) == b"" and "no dictionary" in caplog.text
+
+
 def test_wide_ids_and_null_keys_in_a_shard():
     import zstandard
 
