@@ -81,8 +81,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m LEFT JOIN bad ON m.source = bad.source
 """
 
+COLLOCATIONS = f"""
+WITH RECURSIVE p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM p
+), s AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS b FROM w
+), g AS (
+  SELECT lang, gram, count(*) AS f FROM (
+    SELECT lang, words[b:b + k - 1] AS gram FROM s, range(1, 6) AS t(k) WHERE b + k - 1 <= len(words)
+  ) GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f) AS n FROM g WHERE len(gram) = 1 GROUP BY lang
+), c AS (
+  SELECT lang, gram, f AS a FROM g WHERE len(gram) > 1 AND f >= 100
+), inner_ AS (
+  SELECT DISTINCT c.lang, c.gram[b:b + k - 1] AS gram, c.a FROM c, range(1, 5) AS s(b), range(2, 5) AS t(k)
+  WHERE k < len(c.gram) AND b + k - 1 <= len(c.gram)
+), kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    FROM inner_ i WHERE i.lang = c.lang AND i.gram = c.gram AND 100 * i.a >= 100 * c.a)
+), cut AS (
+  SELECT k.lang, k.gram, k.a, j, x.f AS l, y.f AS r, n.n,
+         CAST(1000 AS HUGEINT) * k.a * n.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM kept k CROSS JOIN range(1, 5) AS t(j) JOIN n ON n.lang = k.lang
+  JOIN g x ON x.lang = k.lang AND x.gram = k.gram[1:j] JOIN g y ON y.lang = k.lang AND y.gram = k.gram[j + 1:]
+  WHERE j < len(k.gram)
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, gram ORDER BY score, j) AS o, array_to_string(gram, ' ') AS phrase FROM cut
+), edge AS (
+  SELECT lang, gram, gram[1:4] AS tail, gram[2:5] AS head, a FROM c WHERE len(gram) = 5
+), link AS (
+  SELECT x.lang, x.gram, y.gram AS after FROM edge x JOIN c v ON v.lang = x.lang AND v.gram = x.head AND v.a = x.a
+  JOIN edge y ON y.lang = x.lang AND y.tail = x.head AND y.a = x.a
+), walk AS (
+  SELECT lang, gram AS first, gram, CAST(0 AS BIGINT) AS place FROM edge
+  WHERE NOT EXISTS (FROM link WHERE link.lang = edge.lang AND link.after = edge.gram)
+  UNION ALL
+  SELECT walk.lang, first, after, place + 1 FROM walk JOIN link ON link.lang = walk.lang AND link.gram = walk.gram
+), path AS (
+  SELECT lang, gram, 5 + max(place) OVER (PARTITION BY lang, first) AS path_words FROM walk
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE o = 1
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, CAST(coalesce(path_words, len(gram)) AS BIGINT) AS path_words
+FROM ranked LEFT JOIN path USING (lang, gram) WHERE rank <= 2000
+"""
+
+MINHASH = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w ELSE w[b:b + 1] END AS gram
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w), 2))) AS b) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), link AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+  JOIN n i ON i.doc_id = x.doc_id JOIN n j ON j.doc_id = y.doc_id
+  WHERE 100 * least(i.n, j.n) >= 80 * greatest(i.n, j.n)
+  GROUP BY x.doc_id, y.doc_id, i.n, j.n HAVING 100 * count(*) >= 80 * (i.n + j.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.b AS component_id, r.b = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
 SQL = {
     "op5_warc": WARC,
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_quality_rules": QUALITY_RULES,
+    "op11_collocations": COLLOCATIONS,
+    "op12_minhash": MINHASH,
 }

@@ -43,11 +43,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.llm import set_join
 from cohortloom.llm.common import Stages, text_of
 
 PAIRS_PER_TEXT = 4
 MAX_LEADER_ROUNDS = 6
-BROADCAST_IDS = 2_000_000
 FLUSH = 1 << 20
 SKETCH_BITS = 2048
 #: Members per side of a tile; a task holds 2 x 4,096 sketches (2 MB) and compares 17 million pairs per tile.
@@ -299,33 +299,6 @@ def _candidates(segments: DataFrame) -> DataFrame:
     return segments.mapInArrow(run, "kind int, a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b)."""
-    rows = stages.keep(
-        pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct(), "involved"
-    )
-    few = rows.count() <= BROADCAST_IDS  # 16 MB of ids; beyond it Spark shuffles
-    known = stages.keep(texts.select("__row", "__text").join(F.broadcast(rows) if few else rows, "__row", "left_semi"), "texts")
-    left = known.select(F.col("__row").alias("a"), F.col("__text").alias("x"))
-    right = known.select(F.col("__row").alias("b"), F.col("__text").alias("y"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(similarity.words)
-        for batch in batches:
-            a, b, x, y = _columns(batch, "a", "b", "x", "y")
-            distinct = dict.fromkeys(a)
-            sets = dict(zip(distinct, shingler.sets(list({k: t for k, t in zip(a, x)}.values()))))
-            kept = []
-            for i, other in enumerate(shingler.sets(y)):
-                own = sets[a[i]]
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                kept.append(similarity.linked(shared, len(own) + len(other)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(kept))
-
-    return stages.keep(both.mapInArrow(run, "a long, b long"), "links")
-
-
 def components(links: DataFrame, stages: Stages) -> DataFrame:
     """(``__row``, ``comp``) with the smallest row of the component, for rows that have a smaller one.
 
@@ -349,7 +322,7 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
             return edges.select(F.col("a").alias("__row"), F.col("b").alias("comp"))
 
 
-def _mixed(groups: DataFrame, comps: DataFrame) -> DataFrame:
+def mixed_groups(groups: DataFrame, comps: DataFrame) -> DataFrame:
     """(a, b, comp): members of groups with several components."""
     tagged = groups.join(comps.withColumnRenamed("__row", "b"), "b", "left").select(
         "a", "b", F.coalesce("comp", "b").alias("comp")
@@ -413,7 +386,7 @@ def _ordered_pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
-def _open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, everything: bool) -> DataFrame:
+def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, everything: bool) -> DataFrame:
     """Pairs (a, b) of group members in different components whose sketches leave a link possible.
 
     All of them, or only those of one member per group outside its largest component. No
@@ -458,22 +431,23 @@ def _open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, ev
 
 def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
     """Components over rows (``__row``, ``__text``, ``__n``, ``__s``) whose sets are distinct."""
+    shingler = lambda: Shingler(similarity.words)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = _segments(texts.select("__row", "__text"), similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = stages.keep(_candidates(packed), "candidates")
     tested = stages.keep(found.filter("kind = 0").select("a", "b").distinct(), "pairs")
     groups = stages.keep(found.filter("kind = 1").select("a", "b").distinct(), "groups")
     stages.drop(found)
-    links = verified(tested, texts, similarity, stages)
+    links = set_join.verified(tested, texts, similarity, shingler, stages)
     comps = components(links, stages)
     bound, everything = PAIRS_PER_TEXT * max(tested.count(), 10_000), False
     for step in range(MAX_LEADER_ROUNDS + 1):
-        members = stages.keep(_mixed(groups, comps), "mixed")
-        fresh = _open_pairs(members, texts, similarity, everything)
+        members = stages.keep(mixed_groups(groups, comps), "mixed")
+        fresh = open_pairs(members, texts, similarity, everything)
         fresh = stages.keep(fresh.join(tested, ["a", "b"], "left_anti"), "open")
         size = fresh.count()
         if size:
-            links = links.union(verified(fresh, texts, similarity, stages))
+            links = links.union(set_join.verified(fresh, texts, similarity, shingler, stages))
             tested = tested.union(fresh)
             comps = components(links, stages)
         if everything:

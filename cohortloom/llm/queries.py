@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import exact_dedup, ngram_join, ngram_trie, packing, piece_fst, pii
-from cohortloom.llm import quality_classifier, quality_rules, token_store, warc
+from cohortloom.llm import collocations, exact_dedup, minhash, ngram_join, ngram_trie, packing, piece_fst, pii
+from cohortloom.llm import quality_classifier, quality_rules, token_alignment, token_store, warc
 from cohortloom.llm.common import Stages, learned, prepared
 from cohortloom.llm.expected_sql import SQL
 
@@ -71,6 +71,22 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("n_lines")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"), collocations.Mining(longest=5, least=100, limit=2000))
+
+
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(
+        _table(spark, folder, "documents"), ngram_join.Similarity(words=2, least=80, scale=100), minhash.Banding(36, 5)
+    )
+    same = F.col("c_0").eqNullSafe(F.col("component_id"))
+    return found.select(F.col("c_0").alias("doc_id"), "n_shingles", "component_id", same.alias("kept"))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_documents(_table(spark, folder, "documents")).withColumnRenamed("c_0", "doc_id")
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES = {
@@ -84,5 +100,8 @@ QUERIES = {
     "op8_piece_fst": op8_piece_fst,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_collocations": op11_collocations,
+    "op12_minhash": op12_minhash,
+    "op13_token_alignment": op13_token_alignment,
 }
 
