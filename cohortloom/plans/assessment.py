@@ -17,6 +17,7 @@ from cohortloom.operators import rules as ru
 from cohortloom.operators.config_tables import main_units
 from cohortloom.operators.evaluation import false_positive_estimate, performance
 from cohortloom.plans.algorithms import Algorithm
+from cohortloom.sources.dimensions import broadcast_if_small
 from cohortloom.sources.files import StageStore
 from cohortloom.spec import (
     BEFORE,
@@ -51,13 +52,14 @@ class Sources:
     def units(self, feature: str) -> DataFrame:
         """Main unit per test of a numerical table.
 
-        Written once where a store is given: the join then knows its size, broadcasts it
-        while it is small and shuffles only beyond that.
+        Written once where a store is given, and broadcast if a count of its rows allows.
         """
         def found() -> DataFrame:
             return main_units(self.tables[feature], FEATURE_TABLES[feature])
 
-        return found() if self.store is None else self.store.once(f"main_units_{feature}", found)
+        if self.store is None:
+            return found()
+        return broadcast_if_small(self.store.once(f"main_units_{feature}", found))
 
 
 class FeatureStages:
@@ -79,12 +81,14 @@ class FeatureStages:
         self.timerange = timerange
         self.store = store
         self.population = population
-        self.cohorts = self._keep(cohorts, "cohorts")
+        self.cohorts = self._keep(cohorts, "cohorts", [PATIENT_ID])
 
-    def _keep(self, df: DataFrame, stage: str) -> DataFrame:
+    def _keep(self, df: DataFrame, stage: str, by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+        """Written under the stage's name; ``dealt`` shuffles rows that are not laid out ``by`` the keys yet."""
         if self.store is None:
             return df
-        return self.store.keep(df, f"{self.algorithm.name}_{stage}_{self.timerange}_{self.population}")
+        name = f"{self.algorithm.name}_{stage}_{self.timerange}_{self.population}"
+        return (self.store.keep_dealt if dealt else self.store.keep)(df, name, by)
 
     def _conf(self, feature: str) -> DataFrame | None:
         """None for a table without configuration: all of its events are broad ones."""
@@ -123,17 +127,31 @@ class FeatureStages:
         bounds = fe.outlier_bounds(self.processed(feature), FEATURE_TABLES[feature])
         return self._keep(bounds, f"outlier_bounds_{feature}")
 
+    @cached_property
+    def _specific(self) -> dict[str, DataFrame]:
+        return {}
+
     def specific(self, feature: str) -> DataFrame:
-        spec = FEATURE_TABLES[feature]
-        cleaned = fe.clean(self.processed(feature, configured_only=True), spec)
-        return fe.specific_features(cleaned, spec, self._conf(feature))
+        """Events that the configuration names, laid out by cohort and patient.
+
+        Cut out of the broad features where these exist already, else of the events before
+        their shuffle: cleaning works per code, so both give the same rows.
+        """
+        if feature not in self._specific:
+            spec = FEATURE_TABLES[feature]
+            cleaned = self._broad.get(feature)
+            if cleaned is None:
+                cleaned = fe.clean(self.processed(feature, configured_only=True), spec)
+            found = fe.specific_features(cleaned, spec, self._conf(feature))
+            self._specific[feature] = self._keep(found, f"specific_{feature}", fe.cohort_keys(found), dealt=True)
+        return self._specific[feature]
 
     @cached_property
     def windows(self) -> DataFrame:
         found = mx.results_in_window(
             self.specific("labs"), LABS, self.algorithm.lab_conf, self.timerange
         )
-        return self._keep(found, "combined_labs")
+        return self._keep(found, "combined_labs", fe.cohort_keys(found))
 
     @cached_property
     def labs_matrix(self) -> DataFrame:
@@ -179,10 +197,11 @@ class FeatureStages:
                 for c in [*a.diag_codes, *a.procedure_codes]
             ],
         )
-        return self._keep(filled, "final_feature_matrix")
+        return self._keep(filled, "final_feature_matrix", keys)
 
     def labels(self, level: str = "rule") -> DataFrame:
-        return self._keep(ru.labels(self.matrix, self.algorithm.rule, level), f"labels_per_{level}")
+        found = ru.labels(self.matrix, self.algorithm.rule, level)
+        return self._keep(found, f"labels_per_{level}", fe.cohort_keys(found))
 
     @cached_property
     def rule_labels(self) -> DataFrame:

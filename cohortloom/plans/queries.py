@@ -104,7 +104,8 @@ class Context:
 
     @cached_property
     def screened(self) -> FeatureStages:
-        return screening(demo.algorithm(self.spark), self.sources)
+        """Stages bucketed by patient: the cohort is made once and read by every event table."""
+        return screening(demo.algorithm(self.spark), self.sources, store=self.store)
 
     @cached_property
     def assessment(self) -> Assessment:
@@ -637,7 +638,7 @@ def numeric_window(c: Context) -> DataFrame:
 
 @query
 def numeric_window_just_before(c: Context) -> DataFrame:
-    stages = screening(demo.algorithm(c.spark), c.sources, timerange=JUST_BEFORE)
+    stages = screening(demo.algorithm(c.spark), c.sources, timerange=JUST_BEFORE, store=c.store)
     return flat_windows(stages.windows)
 
 

@@ -1,7 +1,7 @@
 """Small configuration tables given as Python rows.
 
-They become local relations, whose exact size the optimizer knows: it broadcasts them
-while they are below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles them beyond.
+Their size is known where they are made: up to ``BROADCAST_ROWS`` rows they are broadcast, so
+that a look-up never shuffles events; beyond, Spark decides by its threshold.
 """
 
 from __future__ import annotations
@@ -10,15 +10,26 @@ from collections.abc import Iterable, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+#: Configuration rows that one broadcast may hold: some megabytes.
+BROADCAST_ROWS = 20_000
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """A written dimension table, broadcast if a count shows at most ``BROADCAST_ROWS`` rows."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+
+
 def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
     """DataFrame of Python rows with a DDL schema."""
     struct = StructType.fromDDL(schema)
     records = [dict(zip(struct.names, row, strict=True)) for row in rows]
-    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(struct)))
+    table = spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(struct)))
+    return F.broadcast(table) if len(records) <= BROADCAST_ROWS else table
 
 
 def code_group_table(spark: SparkSession, groups: Mapping[str, Sequence[str]]) -> DataFrame:

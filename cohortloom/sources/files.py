@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -61,23 +63,41 @@ class StageStore:
     """Stage tables of one run: each stage is written once and read back.
 
     A written stage cuts the lineage, survives the loss of executors and is scanned,
-    not recomputed, by every later stage.
+    not recomputed, by every later stage. A stage written ``by`` key columns is bucketed on
+    them: later joins, windows and aggregations on these keys read it without an exchange.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None):
         self.spark = spark
         self.folder = folder
+        #: As many buckets as shuffle partitions, so that Spark keeps the layout in joins.
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.written: dict[str, DataFrame] = {}
 
-    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def once(self, name: str, make: Callable[[], DataFrame], by: Sequence[str] = ()) -> DataFrame:
         """A stage that several users of the store share: made and written at its first use."""
         if name not in self.written:
-            self.written[name] = self.keep(make(), name)
+            self.written[name] = self.keep(make(), name, by)
         return self.written[name]
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        write_table(df, self.folder, name)
-        return self.load(name)
+    def keep(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+        if not by:
+            write_table(df, self.folder, name)
+            return self.load(name)
+        table = self._table(name)
+        (
+            df.write.mode("overwrite").format("parquet").option("path", _path(self.folder, name))
+            .bucketBy(self.buckets, *by).saveAsTable(table)
+        )
+        return self.spark.table(table)
+
+    def keep_dealt(self, df: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
+        """``keep`` for rows that are not yet dealt by the keys: one file a bucket."""
+        return self.keep(df.repartition(self.buckets, *by), name, by)
 
     def load(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
+
+    def _table(self, name: str) -> str:
+        """Name of the bucketed table in the session's catalog, unique to the folder."""
+        return f"stage_{hashlib.md5(self.folder.encode()).hexdigest()[:12]}_{re.sub(r'[^0-9a-z]+', '_', name.lower())}"
