@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cohortloom.spec import UNKNOWN_WORDS
+from cohortloom.spec import ALGORITHM, UNKNOWN_WORDS
+
+
+def by_algorithm(parts: Mapping[str, Column]) -> Column:
+    """The expression of the row's algorithm; null for any other."""
+    chosen = F.when(F.lit(False), F.lit(None))
+    for name, part in parts.items():
+        chosen = chosen.when(F.col(ALGORITHM) == name, part)
+    return chosen
 
 
 def year_of_text(text: Column) -> Column:

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cohortloom.functions.columns import (
+    by_algorithm,
     hash_below,
     is_known,
     month_start,
@@ -17,9 +21,11 @@ from cohortloom.functions.columns import (
     year_of_text,
 )
 from cohortloom.operators.sampling import keep_lowest_hashed
-from cohortloom.sources.dimensions import code_group_table
+from cohortloom.sources.dimensions import code_group_table, local_table
 from cohortloom.spec import (
+    ALGORITHM,
     CERTAIN_STATUSES,
+    COHORT_TYPE,
     DIAGNOSES,
     GROUP,
     INDEX_DATE,
@@ -383,6 +389,61 @@ def like_cohort(
     return apply_criteria(like_cohort_base(disease, patients, group), criteria)
 
 
+@dataclass(frozen=True)
+class CohortLimits:
+    """What the cohorts of one algorithm depend on."""
+
+    group: str
+    criteria: Mapping[str, Criterion]
+    per_case: int
+
+
+def _criteria_hold(criteria: Mapping[str, Criterion]) -> Column:
+    return reduce(and_, [criterion_holds(c, k) for c, k in criteria.items()], F.lit(True))
+
+
+def case_and_like_cohorts(
+    disease: DataFrame, patients: DataFrame, algorithms: Mapping[str, CohortLimits]
+) -> DataFrame:
+    """Disease and disease-like cohorts of several algorithms, tagged with algorithm and cohort.
+
+    One pass over the disease patients: the groups a patient is certain for, at most all
+    groups, decide the cohort for every algorithm of the row's group.
+    """
+    certain = F.collect_set(F.when(F.col(CERTAIN), F.col(GROUP))).over(Window.partitionBy(PATIENT_ID))
+    wanted = local_table(
+        disease.sparkSession, [(name, a.group) for name, a in algorithms.items()], f"{ALGORITHM} string, {GROUP} string"
+    )
+    rows = disease.withColumn("_certain", certain).join(wanted, GROUP)
+    own = F.col(CERTAIN) & (F.size(F.array_remove("_certain", F.col(GROUP))) == 0)
+    reason = F.when(F.col(CERTAIN), OTHER_CERTAIN).otherwise(UNCERTAIN)
+    tagged = rows.withColumns({
+        COHORT_TYPE: F.when(own, "cohort").otherwise("like_cohort"),
+        "UNCERTAINTY_REASON": F.when(~own, reason),
+    }).drop("_certain")
+    holds = by_algorithm({name: _criteria_hold(a.criteria) for name, a in algorithms.items()})
+    return enrich_with_patients(tagged, patients).filter(quality_holds() & holds)
+
+
+def control_cohorts(
+    candidates: DataFrame, cases: DataFrame, algorithms: Mapping[str, CohortLimits], seed: int = SAMPLING_SEED
+) -> DataFrame:
+    """Controls of several algorithms from one pool: exactly ``per_case`` per case of each."""
+    fits = F.array_compact(F.array(*[
+        F.when(_criteria_hold(a.criteria), F.lit(name)) for name, a in algorithms.items()
+    ]))
+    eligible = candidates.filter(quality_holds()).withColumn(ALGORITHM, F.explode(fits))
+    factor = by_algorithm({name: F.lit(a.per_case) for name, a in algorithms.items()})
+    wanted = cases.groupBy(ALGORITHM).agg(F.count("*").alias("_cases")).select(
+        ALGORITHM, (F.col("_cases") * factor).alias("_wanted")
+    )
+    kept = keep_lowest_hashed(
+        eligible, PATIENT_ID, F.col("_wanted"), seed, within=[ALGORITHM], quotas=wanted,
+        quotas_on=[ALGORITHM], few_groups=True,
+    )
+    return kept.withColumn(COHORT_TYPE, F.lit("control_cohort"))
+
+
 def ratio_distribution(cohort: DataFrame) -> DataFrame:
     """One row: mean and sample deviation of history length over enrolment length."""
     ratio = F.try_divide(F.col(LOOKBACK), F.col(ENROLLMENT))

@@ -1,12 +1,15 @@
 """Event tables to features: clean dates and values, map codes, flag, deduplicate.
 
-A cohort may carry a ``COHORT_TYPE`` column. Then every operator keeps the cohorts
-apart while the event table is read and shuffled once for all of them.
+A cohort may carry a ``COHORT_TYPE`` column, and an ``ALGORITHM`` column before it. Then every
+operator keeps the cohorts (of each algorithm) apart while the event table is read and
+shuffled once for all of them; configurations with an ``ALGORITHM`` column apply to its rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +18,7 @@ from cohortloom.functions.columns import text_of
 from cohortloom.operators.cohort import reject_missing
 from cohortloom.operators.ranks import exact_percentiles
 from cohortloom.spec import (
+    ALGORITHM,
     BROAD,
     COHORT_TYPE,
     FEATURE_TYPE,
@@ -31,8 +35,29 @@ from cohortloom.spec import (
 
 
 def cohort_keys(df: DataFrame) -> list[str]:
-    """Patient key of a frame: with the cohort where cohorts are processed together."""
-    return [c for c in (COHORT_TYPE, PATIENT_ID) if c in df.columns]
+    """Patient key of a frame: with algorithm and cohort where these are processed together."""
+    return [c for c in (ALGORITHM, COHORT_TYPE, PATIENT_ID) if c in df.columns]
+
+
+def group_keys(df: DataFrame) -> list[str]:
+    """What statistics are kept apart by: the patient key without the patient."""
+    return [c for c in cohort_keys(df) if c != PATIENT_ID]
+
+
+def conf_keys(df: DataFrame, conf: DataFrame) -> list[str]:
+    """Columns a configuration is joined on besides the event's name."""
+    return [c for c in (ALGORITHM,) if c in df.columns and c in conf.columns]
+
+
+def _look_up(df: DataFrame, on: dict[str, str], conf: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Left join of configuration columns (as named by ``columns``) where event columns equal those of ``on``."""
+    on = {**on, **{c: c for c in conf_keys(df, conf)}}
+    table = conf.select(
+        *[F.col(theirs).alias(f"_on{i}") for i, theirs in enumerate(on.values())],
+        *[F.col(theirs).alias(name) for name, theirs in columns.items()],
+    )
+    same = [F.col(ours) == F.col(f"_on{i}") for i, ours in enumerate(on)]
+    return df.join(table, reduce(and_, same), "left").drop(*[f"_on{i}" for i in range(len(on))])
 
 
 # --- preprocessing ------------------------------------------------------------------
@@ -145,11 +170,8 @@ def with_feature_type(df: DataFrame, spec: TableSpec, conf: DataFrame | None, fe
         also, matched = key, F.col("_key").isNotNull()
     else:
         return df.withColumn(FEATURE_TYPE, F.lit(BROAD))
-    table = conf.select(F.col(key).alias("_key"), F.col(also).alias("_also"))
-    return (
-        df.join(table, F.col(spec.info) == F.col("_key"), "left")
-        .withColumn(FEATURE_TYPE, _typed(matched)).drop("_key", "_also")
-    )
+    known = _look_up(df, {spec.info: key}, conf, {"_key": key, "_also": also})
+    return known.withColumn(FEATURE_TYPE, _typed(matched)).drop("_key", "_also")
 
 
 def with_goal_status(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -170,26 +192,19 @@ def with_main_unit(df: DataFrame, spec: TableSpec, units: DataFrame) -> DataFram
 
 def with_outlier(df: DataFrame, spec: TableSpec, conf: DataFrame) -> DataFrame:
     """1 when the result is missing or outside the expert limits of its test and unit."""
-    table = conf.select(
-        F.col("test_name").alias("_test"), F.col("main_unit").alias("_unit"),
-        F.col("lower_limit").alias("_low"), F.col("upper_limit").alias("_high"),
-    )
     result = F.col(spec.result)
     inside = (
         (result >= F.coalesce("_low", F.lit(float("-inf"))))
         & (result <= F.coalesce("_high", F.lit(float("inf"))))
     )
-    same = (F.col(spec.info) == F.col("_test")) & (F.col(spec.unit) == F.col("_unit"))
-    return (
-        df.join(table, same, "left")
-        .withColumn(IS_OUTLIER, F.when(inside, 0).otherwise(1))
-        .drop("_test", "_unit", "_low", "_high")
-    )
+    limits = {"_low": "lower_limit", "_high": "upper_limit"}
+    known = _look_up(df, {spec.info: "test_name", spec.unit: "main_unit"}, conf, limits)
+    return known.withColumn(IS_OUTLIER, F.when(inside, 0).otherwise(1)).drop("_low", "_high")
 
 
 def outlier_bounds(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Count, exact quartiles and IQR of the results per test, unit and feature type."""
-    keys = [c for c in (COHORT_TYPE,) if c in df.columns] + [spec.info, spec.unit, FEATURE_TYPE]
+    keys = [*group_keys(df), spec.info, spec.unit, FEATURE_TYPE]
     bounds = exact_percentiles(
         df.filter(F.col(spec.result).isNotNull()), keys, spec.result, {"Q1": 0.25, "Q3": 0.75}
     )
@@ -285,20 +300,20 @@ def specific_features(df: DataFrame, spec: TableSpec, conf: DataFrame) -> DataFr
     """Specific rows with the term, category and block of their code."""
     key = conf_key(conf)
     names = ("medical_term", "algorithm_category", "algorithm_block")
-    table = conf.select(
-        F.col(key).alias("_key"),
-        *[text_of(F.col(n)).alias(c) for n, c in zip(names, HIERARCHY_COLUMNS, strict=True)],
-    )
     specific = df.filter(F.col(FEATURE_TYPE) == SPECIFIC)
-    return specific.join(table, F.col(spec.info) == F.col("_key"), "left").drop("_key")
+    placed = _look_up(specific, {spec.info: key}, conf, dict(zip(HIERARCHY_COLUMNS, names, strict=True)))
+    return placed.withColumns({c: text_of(F.col(c)) for c in HIERARCHY_COLUMNS})
 
 
-def tag_cohorts(cohorts: dict[str, DataFrame], columns: Sequence[str]) -> DataFrame:
-    """Cohorts one below the other, each row tagged with its cohort."""
+def tag_cohorts(cohorts: dict[str, DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
+    """Cohorts one below the other, each row tagged with its cohort.
+
+    Without ``columns`` every cohort keeps its own; a column is null in the cohorts without it.
+    """
     parts = [
-        df.select(F.lit(name).alias(COHORT_TYPE), *columns) for name, df in cohorts.items()
+        df.select(F.lit(name).alias(COHORT_TYPE), *(columns or df.columns)) for name, df in cohorts.items()
     ]
     union = parts[0]
     for part in parts[1:]:
-        union = union.unionByName(part)
+        union = union.unionByName(part, allowMissingColumns=columns is None)
     return union

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import abs_months, compare
-from cohortloom.operators.features import cohort_keys
+from cohortloom.operators.features import cohort_keys, conf_keys
 from cohortloom.spec import (
     BEFORE,
     HIERARCHY_COLUMNS,
@@ -35,11 +35,12 @@ def numeric_in_range(df: DataFrame, spec: TableSpec, conf: DataFrame, timerange:
     test's own number of months.
     """
     _check(timerange)
-    limits = conf.select(F.col("test_name").alias(spec.info), "max_timespan", "min_values")
+    on = [spec.info, *conf_keys(df, conf)]
+    limits = conf.withColumnRenamed("test_name", spec.info).select(*on, "max_timespan", "min_values")
     date, index = F.col(spec.date), F.col(INDEX_DATE)
     if timerange in (BEFORE, JUST_BEFORE):
         df = df.filter(date < index)
-    df = df.join(limits, spec.info)
+    df = df.join(limits, on)
     if timerange == JUST_BEFORE:
         df = df.filter(abs_months(date, index) <= F.col("max_timespan"))
     return df
@@ -113,9 +114,9 @@ def past_threshold(windows: DataFrame, spec: TableSpec, conf: DataFrame) -> Data
 
     The last matching threshold counts; null when none matches.
     """
-    limits = conf.select(
-        F.col("test_name").alias(spec.info), F.col("medical_term").alias("TERM"),
-        "min_values", "thresholds",
+    on = [spec.info, *conf_keys(windows, conf)]
+    limits = conf.withColumnRenamed("test_name", spec.info).select(
+        *on, F.col("medical_term").alias("TERM"), "min_values", "thresholds"
     )
     age = F.year(f"{spec.date}_REF") - F.col("BIRTH_YR")
 
@@ -132,7 +133,7 @@ def past_threshold(windows: DataFrame, spec: TableSpec, conf: DataFrame) -> Data
         lambda x: compare(x, F.col("_t.comparator"), F.col("_t.threshold_value")),
     )
     return (
-        windows.join(limits, spec.info)
+        windows.join(limits, on)
         .withColumn("_t", chosen)
         .withColumn(
             "POSITIVE", F.when(F.col("_t").isNotNull(), F.size(beyond) >= F.col("min_values"))

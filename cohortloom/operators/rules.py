@@ -15,6 +15,7 @@ from typing import Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.functions.columns import by_algorithm
 from cohortloom.operators.features import cohort_keys, tag_cohorts
 from cohortloom.spec import PATIENT_ID
 
@@ -97,10 +98,16 @@ class BoundRule:
         self.columns = set(matrix.columns)
         self.blocks = matrix.select(
             *self.keys,
-            *[self._block(b, self._as_known, negate=False).alias(_asked(b)) for b in rule.blocks],
-            *[self._block(b, self._as_value, negate=True).alias(_value(b)) for b in rule.blocks],
+            *[self.asked(b).alias(_asked(b)) for b in rule.blocks],
+            *[self.value(b).alias(_value(b)) for b in rule.blocks],
         )
 
+    def asked(self, block: str) -> Column:
+        return self._block(block, self._as_known, negate=False)
+
+    def value(self, block: str) -> Column:
+        return self._block(block, self._as_value, negate=True)
+
     def _column(self, name: str) -> Column:
         return F.col(f"`{name}`") if name in self.columns else F.lit(None).cast("boolean")
 
@@ -207,6 +214,71 @@ def labels(matrix: DataFrame, rule: Rule, level: str = "rule") -> DataFrame:
     raise ValueError(f"unknown level: {level}")
 
 
+class BoundRules:
+    """The rules of several algorithms over one matrix: the row's algorithm chooses its rule.
+
+    Blocks of one name share a column, so a row evaluates the blocks of its own rule only.
+    """
+
+    def __init__(self, rules: Mapping[str, Rule], matrix: DataFrame):
+        self.bound = {name: BoundRule(rule, matrix) for name, rule in rules.items()}
+        self.keys = cohort_keys(matrix)
+        self.names = list(dict.fromkeys(b for rule in rules.values() for b in rule.blocks))
+        self.most = max(len(rule.alternatives) for rule in rules.values())
+        self.blocks = matrix.select(
+            *self.keys,
+            *[self._of_block(b, lambda r, b: r.asked(b)).alias(_asked(b)) for b in self.names],
+            *[self._of_block(b, lambda r, b: r.value(b)).alias(_value(b)) for b in self.names],
+        )
+
+    def _of_block(self, block: str, make: Callable[[BoundRule, str], Column]) -> Column:
+        return by_algorithm({n: make(r, block) for n, r in self.bound.items() if block in r.rule.blocks})
+
+    def _of_alternative(self, i: int, make: Callable[[BoundRule, Node], Column]) -> Column:
+        return by_algorithm({
+            n: make(r, r.rule.alternatives[i]) for n, r in self.bound.items() if i < len(r.rule.alternatives)
+        })
+
+    def _over_own(self, combine: Callable[[list[Column]], Column], column: str) -> Column:
+        """``combine`` of the columns that the row's own alternatives have."""
+        return by_algorithm({
+            n: combine([F.col(column.format(i)) for i in range(1, len(r.rule.alternatives) + 1)])
+            for n, r in self.bound.items()
+        })
+
+    def rule_labels(self) -> DataFrame:
+        """Columns as in ``rule_labels``; alternatives beyond a rule's own are null."""
+        numbers = range(self.most)
+        each = self.blocks.select(
+            *self.keys,
+            *[self._of_alternative(i, BoundRule.available).alias(f"rule_{i + 1}_availability") for i in numbers],
+            *[self._of_alternative(i, BoundRule.label).alias(f"rule_{i + 1}_label") for i in numbers],
+        )
+        availability, label = "rule_{}_availability", "rule_{}_label"
+        return each.select(
+            *self.keys, *[availability.format(i + 1) for i in numbers],
+            self._over_own(lambda cs: reduce(or_, cs), availability).alias("minimal_global_availability"),
+            self._over_own(lambda cs: reduce(and_, cs), availability).alias("strict_global_availability"),
+            *[label.format(i + 1) for i in numbers],
+            self._over_own(global_label, label).alias("global_label"),
+        )
+
+    def block_labels(self) -> DataFrame:
+        return self.blocks.select(
+            *self.keys,
+            *[self._of_block(b, BoundRule.available).alias(f"{b}_availability") for b in self.names],
+            *[self._of_block(b, BoundRule.label).alias(f"{b}_label") for b in self.names],
+        )
+
+
+def labels_by_algorithm(matrix: DataFrame, rules: Mapping[str, Rule], level: str = "rule") -> DataFrame:
+    """Labels of a matrix with the rows of several algorithms, in one pass."""
+    if level not in ("rule", "algorithm_block"):
+        raise ValueError(f"unknown level: {level}")
+    bound = BoundRules(rules, matrix)
+    return bound.rule_labels() if level == "rule" else bound.block_labels()
+
+
 def flagged_cohort(cohort: DataFrame, labelled: DataFrame) -> DataFrame:
     """Cohort rows whose global label is true."""
     keys = cohort_keys(labelled)

@@ -35,14 +35,16 @@ def keep_lowest_hashed(
     tie_break: Sequence[str] = (),
     quotas: DataFrame | None = None,
     quotas_on: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
     """Per group, exactly ``quota`` rows with the lowest id hashes.
 
     Counts per hash bucket say which buckets lie below the quota. Rows beyond the last of
-    them are dropped where they are read: by one scalar, or by a join on the groups with
-    one row per group. The rest are shuffled and ranked inside their bucket. No task sees
-    a whole group, and nothing is collected. A quota that differs between groups is a
-    column of ``quotas``, joined to the counts on ``quotas_on``.
+    them are dropped where they are read: by one scalar; with ``few_groups`` (as many as
+    tests or algorithms, say) by one map from the group to its last bucket, a scalar too;
+    else by a join with one row per group. The rest are shuffled and ranked inside their
+    bucket. No task sees a whole group, and nothing is collected. A quota that differs
+    between groups is a column of ``quotas``, joined to the counts on ``quotas_on``.
     """
     hashed = df.withColumn("_hash", id_hash(F.col(by), seed)).withColumn(
         "_bucket", F.substring("_hash", 1, HASH_BUCKET_DIGITS)
@@ -60,7 +62,12 @@ def keep_lowest_hashed(
         starts = starts.join(quotas, list(quotas_on))
     below = starts.select(*keys, "_start", quota.alias("_quota")).filter("_start < _quota")
     last = F.max("_bucket").alias("_last")
-    if within:
+    if within and few_groups:
+        group = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in within])
+        lasts = below.groupBy(group.alias("_group")).agg(last)
+        cutoff = lasts.agg(F.map_from_entries(F.collect_list(F.struct("_group", "_last")))).scalar()
+        near = hashed.filter(F.col("_bucket") <= F.try_element_at(cutoff, group))
+    elif within:
         near = hashed.join(below.groupBy(*within).agg(last), list(within)).filter("_bucket <= _last")
     else:
         near = hashed.filter(F.col("_bucket") <= below.agg(last).scalar())

@@ -55,7 +55,7 @@ def balanced_sample(pair: DataFrame, keys: Sequence[str], seed: int = SAMPLING_S
     )
     return keep_lowest_hashed(
         pair, PATIENT_ID, F.col("_wanted"), seed, within=[*keys, LABEL], tie_break=[VALUE],
-        quotas=sizes.withColumnRenamed("_quota", "_wanted"), quotas_on=keys,
+        quotas=sizes.withColumnRenamed("_quota", "_wanted"), quotas_on=keys, few_groups=True,
     )
 
 

@@ -6,13 +6,19 @@ configurations are files of the user (see ``operators.config_tables``).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cohortloom.operators.rules import Negated, Node, Rule, Where, all_of, any_of
-from cohortloom.spec import Criterion
+from cohortloom.operators.cohort import CohortLimits
+from cohortloom.operators.rules import (
+    Negated, Node, Rule, Where, all_of, any_of, labels, labels_by_algorithm,
+)
+from cohortloom.sources.dimensions import broadcast_if_small
+from cohortloom.spec import ALGORITHM, Criterion
 
 
 @dataclass(frozen=True)
@@ -35,6 +41,81 @@ class Algorithm:
     other_confs: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
+    def labels(self, matrix: DataFrame, level: str = "rule") -> DataFrame:
+        return labels(matrix, self.rule, level)
+
+    @property
+    def cohort_limits(self) -> CohortLimits:
+        return CohortLimits(self.group, self.criteria, self.per_case)
+
+
+def _merged(confs: Mapping[str, DataFrame]) -> DataFrame:
+    """Configurations one below the other, each row with its algorithm."""
+    tagged = [conf.withColumn(ALGORITHM, F.lit(name)) for name, conf in confs.items()]
+    return broadcast_if_small(reduce(DataFrame.unionByName, tagged))
+
+
+class AlgorithmSet:
+    """Several algorithms as one: configurations carry the algorithm, rules are chosen by it.
+
+    It has what the stages ask of one algorithm, so one pass over the events serves all.
+    """
+
+    def __init__(self, algorithms: Sequence[Algorithm], name: str = "all_algorithms"):
+        self.name = name
+        self.members = {a.name: a for a in algorithms}
+        if len(self.members) != len(algorithms):
+            raise ValueError("two algorithms share a name")
+
+    def _each(self, of: Callable[[Algorithm], DataFrame]) -> DataFrame:
+        return _merged({name: of(a) for name, a in self.members.items()})
+
+    def _names(self, of: Callable[[Algorithm], Sequence[str]]) -> list[str]:
+        return list(dict.fromkeys(n for a in self.members.values() for n in of(a)))
+
+    @cached_property
+    def diag_conf(self) -> DataFrame:
+        return self._each(lambda a: a.diag_conf)
+
+    @cached_property
+    def lab_conf(self) -> DataFrame:
+        return self._each(lambda a: a.lab_conf)
+
+    @cached_property
+    def procedure_conf(self) -> DataFrame:
+        return self._each(lambda a: a.procedure_conf)
+
+    @cached_property
+    def other_confs(self) -> dict[str, DataFrame]:
+        tables = dict.fromkeys(t for a in self.members.values() for t in a.other_confs)
+        return {
+            t: _merged({n: a.other_confs[t] for n, a in self.members.items() if t in a.other_confs}) for t in tables
+        }
+
+    @property
+    def diag_codes(self) -> list[str]:
+        return self._names(lambda a: a.diag_codes)
+
+    @property
+    def lab_terms(self) -> list[str]:
+        return self._names(lambda a: a.lab_terms)
+
+    @property
+    def procedure_codes(self) -> list[str]:
+        return self._names(lambda a: a.procedure_codes)
+
+    @property
+    def prevalence(self) -> dict[str, float]:
+        return {name: a.prevalence for name, a in self.members.items()}
+
+    @property
+    def cohort_limits(self) -> dict[str, CohortLimits]:
+        return {name: a.cohort_limits for name, a in self.members.items()}
+
+    def labels(self, matrix: DataFrame, level: str = "rule") -> DataFrame:
+        return labels_by_algorithm(matrix, {name: a.rule for name, a in self.members.items()}, level)
+
+
 def limits(
     min_age: int | None = None, max_age: int | None = None, min_enrollment: int | None = 30
 ) -> dict[str, Criterion]:
@@ -148,6 +229,6 @@ def categories_of(node: Node) -> set[str]:
 
 
 __all__ = [
-    "Algorithm", "CONTROLS_PER_CASE", "DISEASE_GROUPS", "LIMITS", "PREVALENCE",
+    "Algorithm", "AlgorithmSet", "CONTROLS_PER_CASE", "DISEASE_GROUPS", "LIMITS", "PREVALENCE",
     "RULES", "categories_of", "limits", "published_rule",
 ]

@@ -16,7 +16,7 @@ from cohortloom.operators import matrix as mx
 from cohortloom.operators import rules as ru
 from cohortloom.operators.config_tables import main_units
 from cohortloom.operators.evaluation import false_positive_estimate, performance
-from cohortloom.plans.algorithms import Algorithm
+from cohortloom.plans.algorithms import Algorithm, AlgorithmSet
 from cohortloom.sources.dimensions import broadcast_if_small
 from cohortloom.sources.files import StageStore
 from cohortloom.spec import (
@@ -73,7 +73,7 @@ class FeatureStages:
     """
 
     def __init__(
-        self, algorithm: Algorithm, sources: Sources, cohorts: DataFrame, timerange: str,
+        self, algorithm: Algorithm | AlgorithmSet, sources: Sources, cohorts: DataFrame, timerange: str,
         store: StageStore | None = None, population: str = "all",
     ):
         self.algorithm = algorithm
@@ -176,7 +176,7 @@ class FeatureStages:
     @cached_property
     def matrix(self) -> DataFrame:
         """The cohort is joined once: absent events are false for all its patients."""
-        keys = [COHORT_TYPE, PATIENT_ID]
+        keys = fe.cohort_keys(self.cohorts)
         a = self.algorithm
         labs = mx.labs_to_binary(self.windows, LABS, a.lab_conf, a.lab_terms)
         joined = mx.feature_matrix(
@@ -200,7 +200,7 @@ class FeatureStages:
         return self._keep(filled, "final_feature_matrix", keys)
 
     def labels(self, level: str = "rule") -> DataFrame:
-        found = ru.labels(self.matrix, self.algorithm.rule, level)
+        found = self.algorithm.labels(self.matrix, level)
         return self._keep(found, f"labels_per_{level}", fe.cohort_keys(found))
 
     @cached_property
@@ -209,8 +209,18 @@ class FeatureStages:
 
     @cached_property
     def flagged(self) -> DataFrame:
+        """Flagged patients with all columns of their cohort."""
         return self._keep(ru.flagged_cohort(self.cohorts, self.rule_labels), "flagged")
 
+    @cached_property
+    def all_flagged(self) -> DataFrame:
+        """Flagged patients of all cohorts on the columns that every cohort has."""
+        return self.flagged.select(*fe.group_keys(self.flagged), *self.common_columns)
+
+    @property
+    def common_columns(self) -> list[str]:
+        return [c for c in COHORT_COLUMNS if c in self.cohorts.columns]
+
     @cached_property
     def performance(self) -> DataFrame:
         return self._keep(performance(self.rule_labels), "performance")
@@ -285,10 +295,8 @@ class Assessment:
 
     @cached_property
     def cohorts(self) -> DataFrame:
-        return fe.tag_cohorts(
-            {"cohort": self.cases, "like_cohort": self.like, "control_cohort": self.controls},
-            COHORT_COLUMNS,
-        )
+        """Every cohort with its own columns: counts of diagnoses, reasons of uncertainty."""
+        return fe.tag_cohorts({"cohort": self.cases, "like_cohort": self.like, "control_cohort": self.controls})
 
     @cached_property
     def attrition_bases(self) -> DataFrame:
@@ -310,6 +318,47 @@ class Assessment:
         )
 
 
+class AssessmentSet:
+    """Several algorithms in one run: every table is scanned and shuffled once for all.
+
+    Rows carry the algorithm; a patient who is in the cohorts of several has a row for each.
+    """
+
+    def __init__(
+        self, algorithms: Sequence[Algorithm], sources: Sources,
+        groups: Mapping[str, tuple[Sequence[str], Sequence[str]]],
+        timerange: str = BEFORE, sample_ratio: float | None = None, store: StageStore | None = None,
+    ):
+        self.algorithms = AlgorithmSet(algorithms)
+        #: The stages that no algorithm decides.
+        self.base = Assessment(algorithms[0], sources, groups, timerange, sample_ratio, store)
+
+    @cached_property
+    def cases(self) -> DataFrame:
+        """Disease and disease-like cohorts; they give the controls their number, so they are kept."""
+        def make() -> DataFrame:
+            return co.case_and_like_cohorts(
+                self.base.disease, self.base.sources.patient, self.algorithms.cohort_limits
+            )
+
+        return self.base._shared(f"{self.algorithms.name}_cases", make)
+
+    @cached_property
+    def cohorts(self) -> DataFrame:
+        controls = co.control_cohorts(
+            self.base.control_candidates, self.cases.filter(F.col(COHORT_TYPE) == "cohort"),
+            self.algorithms.cohort_limits,
+        )
+        return self.cases.unionByName(controls, allowMissingColumns=True)
+
+    @cached_property
+    def stages(self) -> FeatureStages:
+        base = self.base
+        return FeatureStages(
+            self.algorithms, base.sources, self.cohorts, base.timerange, base.store, base.population
+        )
+
+
 def screening(
     algorithm: Algorithm, sources: Sources, sample_ratio: float | None = None,
     timerange: str = LIFETIME, store: StageStore | None = None,

@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortloom.operators.rules import Negated, Rule, Where, all_of, any_of
-from cohortloom.plans.algorithms import Algorithm, limits
+from cohortloom.plans.algorithms import CONTROLS_PER_CASE as PUBLISHED_CONTROLS
+from cohortloom.plans.algorithms import LIMITS as PUBLISHED_LIMITS
+from cohortloom.plans.algorithms import PREVALENCE as PUBLISHED_PREVALENCE
+from cohortloom.plans.algorithms import RULES, Algorithm, categories_of, limits, published_rule
 from cohortloom.sources.dimensions import CODE_CONF, LAB_CONF, local_table
 
 
@@ -149,3 +152,54 @@ def algorithm(spark: SparkSession) -> Algorithm:
             "observations": observation_conf(spark),
         },
     )
+
+
+# The published rules over the record views: their categories get codes and tests by a rule.
+PUBLISHED_GROUPS = {"ASMD_russia": "alpha", "gaucher_australia": "beta", "pompe_canada": "gamma"}
+LAB_CATEGORIES = (
+    "thrombocytopenia", "hyperferritinaemia", "elevated_transferrin", "anemias", "low_hdl",
+    "muscular_lab", "hepatic_lab",
+)
+LAB_TESTS = ("PROMO", "ECONOMY", "STANDARD", "MEDIUM", "LARGE", "SMALL")
+
+
+def published_categories(name: str) -> tuple[dict[str, list[str]], dict[str, str]]:
+    """Codes of the diagnosis categories and test of the lab categories of a published rule.
+
+    Categories in text order; each diagnosis category takes the next three codes from C040 on
+    (an algorithm starts 37 codes after the one before it), each lab category the next test.
+    """
+    number = list(PUBLISHED_GROUPS).index(name)
+    found = sorted(set().union(*map(categories_of, RULES[name][1].values())))
+    diags = [c for c in found if c not in LAB_CATEGORIES]
+    labs = [c for c in found if c in LAB_CATEGORIES]
+    codes = {c: [f"C{(40 + 37 * number + 3 * i + k) % 200:03d}" for k in range(3)] for i, c in enumerate(diags)}
+    return codes, {c: LAB_TESTS[(i + number) % len(LAB_TESTS)] for i, c in enumerate(labs)}
+
+
+def published_status(category: str) -> str:
+    return "Family history of" if category == "family_history" else "Diagnosis of"
+
+
+def published(spark: SparkSession) -> list[Algorithm]:
+    """The three published rules with demonstration configurations."""
+    algorithms = []
+    for name, group in PUBLISHED_GROUPS.items():
+        codes, tests = published_categories(name)
+        terms = {c: [c] for c in (*codes, *tests)}
+        algorithms.append(Algorithm(
+            name=name, group=group, rule=published_rule(name, terms, codes), criteria=PUBLISHED_LIMITS[name],
+            per_case=PUBLISHED_CONTROLS[name], prevalence=PUBLISHED_PREVALENCE[name.split("_")[0]],
+            diag_conf=local_table(spark, [
+                (code, "ICD10", c, c, "ALGORITHM_BLOCK_B", [published_status(c)])
+                for c, members in codes.items() for code in members
+            ], CODE_CONF),
+            lab_conf=local_table(spark, [
+                (test, c, c, "ALGORITHM_BLOCK_A", "mg/dL", None, None, 12.0, 1, [
+                    _threshold(1, "female", None, None, ">=", 30.0), _threshold(2, "male", None, None, ">=", 35.0),
+                ]) for c, test in tests.items()
+            ], LAB_CONF),
+            procedure_conf=procedure_conf(spark), diag_codes=[c for members in codes.values() for c in members],
+            lab_terms=list(tests), procedure_codes=PROCEDURE_CODES,
+        ))
+    return algorithms

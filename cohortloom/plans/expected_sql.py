@@ -437,6 +437,124 @@ JOIN lab_conf c ON l.TEST_NAME = c.test_name WHERE FEATURE_TYPE = 'specific' AND
   AND {months('LAB_DATE', 'INDEX_DATE')} <= max_timespan"""
 window_ctes("j", "lab_ranged_j")
 
+# --- several algorithms: every table carries the algorithm ---------------------------
+
+CTES["algorithm_m"] = values([
+    ("ASMD_russia", "alpha", -1000, 1000, 10000, 1 / 250000),
+    ("gaucher_australia", "beta", -1000, 65, 1000, 1 / 100000),
+    ("pompe_canada", "gamma", 10, 65, 1000, 1 / 40000),
+], "ALGORITHM, grp, youngest, oldest, per_case, prevalence")
+CTES["diag_conf_m"] = values([
+    (name, code, category, "Family history of" if category == "family_history" else "Diagnosis of")
+    for name in demo.PUBLISHED_GROUPS
+    for category, codes in demo.published_categories(name)[0].items() for code in codes
+], "ALGORITHM, code, category, status")
+CTES["lab_conf_m"] = values([
+    (name, test, category) for name in demo.PUBLISHED_GROUPS
+    for category, test in demo.published_categories(name)[1].items()
+], "ALGORITHM, test_name, term")
+FITS = "AGE_AT_INDEX_DATE BETWEEN youngest AND oldest AND ENROLLMENT_DURATION >= 30"
+CTES["case_m"] = f"""
+SELECT ALGORITHM, CASE WHEN CERTAIN_LSD AND PTID NOT IN (SELECT PTID FROM disease o WHERE CERTAIN_LSD AND o.LSD_GROUP <> grp)
+    THEN 'cohort' ELSE 'like_cohort' END AS COHORT_TYPE, disease_info.*
+FROM disease_info JOIN algorithm_m ON LSD_GROUP = grp WHERE {QUALITY} AND {FITS}"""
+CTES["cohort_m"] = f"""
+SELECT ALGORITHM, COHORT_TYPE, {COHORT_COLUMNS}, N_CERTAIN_DIAGS, CASE WHEN COHORT_TYPE = 'like_cohort' THEN
+  CASE WHEN CERTAIN_LSD THEN 'other certain LSD diagnosis' ELSE 'uncertain LSD diagnosis' END END AS UNCERTAINTY_REASON
+FROM case_m UNION ALL
+SELECT ALGORITHM, 'control_cohort', {COHORT_COLUMNS}, NULL, NULL FROM (
+  SELECT a.ALGORITHM, a.per_case, candidates.* FROM candidates, algorithm_m a WHERE {QUALITY} AND {FITS}
+  QUALIFY row_number() OVER (PARTITION BY a.ALGORITHM ORDER BY md5(concat(PTID,'|123')), PTID) <= a.per_case * (
+    SELECT count(*) FROM case_m k WHERE k.ALGORITHM = a.ALGORITHM AND k.COHORT_TYPE = 'cohort'))"""
+ROW_M = "ALGORITHM, COHORT_TYPE, PTID"
+CTES["diag_clean_m"] = f"""
+SELECT {ROW_M}, category, INDEX_DATE, CAST(DIAG_DATE AS DATE) AS day, category IS NOT NULL AS named
+FROM (SELECT c.*, d.DIAGNOSIS_CD, d.DIAGNOSIS_STATUS, d.DIAG_DATE, d.MAPPED, k.category
+  FROM diag_mapped d JOIN cohort_m c USING (PTID) LEFT JOIN diag_conf_m k
+    ON k.ALGORITHM = c.ALGORITHM AND k.code = d.DIAGNOSIS_CD AND k.status = d.DIAGNOSIS_STATUS
+  WHERE DIAGNOSIS_CD_TYPE = 'ICD10')
+WHERE category IS NOT NULL OR DIAGNOSIS_STATUS = 'Diagnosis of'
+QUALIFY row_number() OVER (PARTITION BY {ROW_M}, DIAGNOSIS_CD, day
+  ORDER BY DIAGNOSIS_STATUS, category IS NOT NULL, MAPPED) = 1"""
+CTES["found_m"] = f"""
+SELECT {ROW_M}, list(DISTINCT category) AS found FROM diag_clean_m WHERE named AND day <= INDEX_DATE GROUP BY ALL"""
+CTES["lab_clean_m"] = f"""
+SELECT {ROW_M}, BIRTH_YR, GENDER, INDEX_DATE, TEST_NAME, TEST_RESULT, LAB_DATE, term
+FROM (SELECT c.*, l.TEST_NAME, l.TEST_RESULT, l.RESULT_UNIT, l.LAB_DATE, k.term
+  FROM lab_clean0 l JOIN cohort_m c USING (PTID) JOIN lab_units u USING (TEST_NAME)
+  LEFT JOIN lab_conf_m k ON k.ALGORITHM = c.ALGORITHM AND k.test_name = l.TEST_NAME AND RESULT_UNIT = 'mg/dL'
+  WHERE RELATIVE_INDICATOR IS NULL AND (k.term IS NOT NULL OR RESULT_UNIT = GENERIC_UNIT))
+QUALIFY row_number() OVER (PARTITION BY {ROW_M}, TEST_NAME, LAB_DATE
+  ORDER BY term IS NOT NULL, RESULT_UNIT, TEST_RESULT) = 1"""
+CTES["lab_window_m"] = f"""
+SELECT * FROM (
+  SELECT x.ALGORITHM, x.COHORT_TYPE, x.PTID, x.GENDER, x.term, x.LAB_DATE,
+    list(y.TEST_RESULT) AS results, {months('x.LAB_DATE', 'x.INDEX_DATE')} AS distance
+  FROM lab_clean_m x JOIN lab_clean_m y ON x.ALGORITHM = y.ALGORITHM AND x.COHORT_TYPE = y.COHORT_TYPE
+    AND x.PTID = y.PTID AND x.TEST_NAME = y.TEST_NAME AND {months('x.LAB_DATE', 'y.LAB_DATE')} <= 12
+  WHERE x.term IS NOT NULL AND y.term IS NOT NULL AND x.LAB_DATE < x.INDEX_DATE AND y.LAB_DATE < y.INDEX_DATE
+  GROUP BY x.ALGORITHM, x.COHORT_TYPE, x.PTID, x.GENDER, x.term, x.LAB_DATE, x.INDEX_DATE)
+QUALIFY distance = min(distance) OVER (PARTITION BY {ROW_M}, term)"""
+CTES["verdict_m"] = f"""
+SELECT {ROW_M}, term, bool_or(list_max(results) >= CASE GENDER WHEN 'Female' THEN 30 ELSE 35 END) AS past
+FROM lab_window_m GROUP BY ALL"""
+
+
+def verdict(term: str) -> str:
+    return (f"(SELECT past FROM verdict_m v WHERE v.ALGORITHM = c.ALGORITHM AND v.COHORT_TYPE = c.COHORT_TYPE"
+            f" AND v.PTID = c.PTID AND v.term = '{term}') AS {term}")
+
+
+CTES["state_m"] = f"""
+SELECT c.ALGORITHM, c.COHORT_TYPE, c.PTID, AGE_AT_INDEX_DATE AS age, coalesce(found, []) AS found,
+  {', '.join(verdict(t) for t in demo.LAB_CATEGORIES)}
+FROM cohort_m c LEFT JOIN found_m f ON f.ALGORITHM = c.ALGORITHM AND f.COHORT_TYPE = c.COHORT_TYPE AND f.PTID = c.PTID"""
+
+
+def has(*categories: str) -> str:
+    return "(" + " OR ".join(f"list_contains(found, '{c}')" for c in categories) + ")"
+
+
+def yes(*terms: str) -> str:
+    return "(" + " OR ".join(f"coalesce({t}, FALSE)" for t in terms) + ")"
+
+
+# Blocks of the published rules, written out: *_av is the availability. A diagnosis is always known.
+CTES["block_m"] = f"""
+SELECT {ROW_M}, {has('splenomegaly', 'hepatomegaly', 'organomegaly')} AS a, TRUE AS a_av,
+  {has('family_history')} AS b, TRUE AS b_av,
+  (({yes('low_hdl')} OR {has('bone_damage', 'interstitial_lung_disease')}) AND age >= 18)
+    OR ({has('hypotension', 'development_delay')} AND age < 18) AS c, TRUE AS c_av,
+  {has('asthma', 'autoimmune_liver_damage', 'blood_diseases_and_tumors', 'cerebral_palsy', 'cryptogenic_cirrhosis',
+       'cystic_fibrosis', 'heart_failure', 'hereditary_ataxia', 'infections', 'infectious_liver_disease',
+       'infectious_mononucleosis', 'lysosomal_disorders', 'pulmonary_obstructive_disease')} AS d, TRUE AS d_av
+FROM state_m WHERE ALGORITHM = 'ASMD_russia' UNION ALL
+SELECT {ROW_M}, {yes('thrombocytopenia')}, thrombocytopenia IS NOT NULL,
+  {yes('hyperferritinaemia')} AND {yes('elevated_transferrin')} AND NOT {has('hemochromatosis')},
+  hyperferritinaemia IS NOT NULL AND elevated_transferrin IS NOT NULL, {yes('anemias')}, anemias IS NOT NULL,
+  {has('abdominal_distension', 'abdominal_pain', 'avascular_necrosis', 'hepatomegaly', 'monoclonal_gammopathy',
+       'organomegaly', 'bone_disorders', 'osteoporosis', 'splenomegaly')} OR {yes('low_hdl')}
+    OR ({has('short_stature')} AND age < 15), TRUE
+FROM state_m WHERE ALGORITHM = 'gaucher_australia' UNION ALL
+SELECT {ROW_M}, {yes('muscular_lab')}, muscular_lab IS NOT NULL, {yes('hepatic_lab')} OR {has('liver')}, TRUE,
+  {has('myopathy', 'muscle_weakness', 'gait_abnormalities')}, TRUE,
+  {has('abnormal_pft', 'dyspnea', 'sleep_apnea')}, TRUE
+FROM state_m WHERE ALGORITHM = 'pompe_canada'"""
+CTES["alternative_m"] = f"""
+SELECT {ROW_M}, a AND b AS l1, a_av AND b_av AS v1, a AND c AS l2, a_av AND c_av AS v2, a AND NOT d AS l3, a_av AND d_av AS v3
+FROM block_m WHERE ALGORITHM = 'ASMD_russia' UNION ALL
+SELECT {ROW_M}, a AND b, a_av AND b_av, a AND c, a_av AND c_av, a AND d, a_av AND d_av
+FROM block_m WHERE ALGORITHM = 'gaucher_australia' UNION ALL
+SELECT {ROW_M}, a AND b AND c, a_av AND b_av AND c_av, a AND b AND d, a_av AND b_av AND d_av, NULL, NULL
+FROM block_m WHERE ALGORITHM = 'pompe_canada'"""
+CTES["label_m"] = f"""
+SELECT *, CASE WHEN rule_1_label IS NULL AND rule_2_label IS NULL AND rule_3_label IS NULL THEN NULL
+  ELSE coalesce(rule_1_label, FALSE) OR coalesce(rule_2_label, FALSE) OR coalesce(rule_3_label, FALSE) END AS global_label
+FROM (SELECT {ROW_M}, v1 AS rule_1_availability, v2 AS rule_2_availability, v3 AS rule_3_availability,
+  v1 OR v2 OR coalesce(v3, FALSE) AS minimal_global_availability, v1 AND v2 AND coalesce(v3, TRUE) AS strict_global_availability,
+  CASE WHEN v1 THEN l1 END AS rule_1_label, CASE WHEN v2 THEN l2 END AS rule_2_label,
+  CASE WHEN v3 THEN l3 END AS rule_3_label FROM alternative_m)"""
+
 # --- finals: sources to disease patients ---------------------------------------------
 
 FINALS["scan_parquet"] = "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders"
@@ -620,6 +738,25 @@ FINALS["false_positive_estimate"] = f"""SELECT {r6('x.av', 'case_availability')}
   {r6('1000.0 * y.recall / nullif(x.recall, 0)', 'false_positives_per_true_positive')}
 FROM (SELECT * FROM recalls WHERE COHORT_TYPE = 'cohort') x, (SELECT * FROM recalls WHERE COHORT_TYPE = 'control_cohort') y"""
 
+FINALS["cohorts_all_algorithms"] = """SELECT ALGORITHM, COHORT_TYPE, PTID, INDEX_DATE, AGE_AT_INDEX_DATE, N_CERTAIN_DIAGS,
+  UNCERTAINTY_REASON FROM cohort_m"""
+FINALS["rule_labels_published"] = "SELECT * FROM label_m"
+FINALS["block_labels_published"] = f"SELECT {ROW_M}, " + ", ".join(
+    f"{x}_av AS ALGORITHM_BLOCK_{x.upper()}_availability, CASE WHEN {x}_av THEN {x} END AS ALGORITHM_BLOCK_{x.upper()}_label"
+    for x in "abcd"
+) + " FROM block_m"
+FINALS["assessment_all_algorithms"] = f"""SELECT ALGORITHM, COHORT_TYPE, count(*) AS n_people, {shares(RULE_COLUMNS)}
+FROM label_m GROUP BY ALL"""
+CTES["recall_m"] = """
+SELECT ALGORITHM, COHORT_TYPE, count(*) FILTER (minimal_global_availability) / count(*) AS av,
+  count(*) FILTER (global_label) / nullif(count(global_label), 0) AS recall FROM label_m GROUP BY ALL"""
+FINALS["false_positives_all_algorithms"] = f"""SELECT ALGORITHM, {r6('x.av', 'case_availability')},
+  {r6('x.recall', 'case_recall')}, {r6('y.av', 'control_availability')}, {r6('y.recall', 'control_recall')},
+  {r6('y.recall / prevalence / nullif(x.recall, 0)', 'false_positives_per_true_positive')}
+FROM (SELECT DISTINCT ALGORITHM, prevalence FROM algorithm_m JOIN recall_m USING (ALGORITHM))
+LEFT JOIN (SELECT * FROM recall_m WHERE COHORT_TYPE = 'cohort') x USING (ALGORITHM)
+LEFT JOIN (SELECT * FROM recall_m WHERE COHORT_TYPE = 'control_cohort') y USING (ALGORITHM)"""
+
 # --- finals: statistics --------------------------------------------------------------
 
 BASE = "PTID, INDEX_DATE, BIRTH_YR, GENDER, DATE_OF_DEATH, FIRST_YEAR_ACTIVE, FIRST_DATE_ACTIVE, LAST_DATE_ACTIVE, AGE_AT_INDEX_DATE, ENROLLMENT_DURATION"
@@ -657,32 +794,49 @@ def described(table: str) -> str:
 
 FINALS["demographics_continuous"] = described("cohorts_a")
 FINALS["demographics_flagged"] = described("flagged_a")
-FINALS["demographics_discrete"] = " UNION ALL ".join(
-    f"""SELECT COHORT_TYPE, '{c}' AS VARIABLE, VALUE, COUNT,
+def categories_in(table: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT COHORT_TYPE, '{c}' AS VARIABLE, VALUE, COUNT,
   {r6('100.0 * COUNT / sum(COUNT) OVER (PARTITION BY COHORT_TYPE)', 'PCT')}
-FROM (SELECT COHORT_TYPE, {c} AS VALUE, count(*) AS COUNT FROM cohorts_a WHERE {c} IS NOT NULL GROUP BY ALL)"""
-    for c in ("DECEASED_INDICATOR", "GENDER")
-)
+FROM (SELECT COHORT_TYPE, {c} AS VALUE, count(*) AS COUNT FROM {table} WHERE {c} IS NOT NULL GROUP BY ALL)"""
+        for c in ("DECEASED_INDICATOR", "GENDER")
+    )
+
+
+FINALS["demographics_discrete"] = categories_in("cohorts_a")
+FINALS["demographics_discrete_flagged"] = categories_in("flagged_a")
 _bands, _low = [], -1
 for _label, _high in AGE_BANDS:
     _bands.append((_label, _low, 1000 if _high is None else _high))
     _low = _high
 CTES["age_band"] = values(_bands, "AGE_GROUPS, low, high")
-FINALS["age_groups"] = f"""SELECT s.COHORT_TYPE, b.AGE_GROUPS, count(c.PTID) AS AGE_GROUPS_COUNT,
+
+
+def bands_in(table: str) -> str:
+    return f"""SELECT s.COHORT_TYPE, b.AGE_GROUPS, count(c.PTID) AS AGE_GROUPS_COUNT,
   {r6('count(c.PTID) / any_value(s.n)', 'AGE_GROUPS_PCT')}
-FROM (SELECT COHORT_TYPE, count(DISTINCT PTID) AS n FROM cohorts_a GROUP BY ALL) s CROSS JOIN age_band b
-LEFT JOIN cohorts_a c ON c.COHORT_TYPE = s.COHORT_TYPE AND AGE_AT_INDEX_DATE > low AND AGE_AT_INDEX_DATE <= high
+FROM (SELECT COHORT_TYPE, count(DISTINCT PTID) AS n FROM {table} GROUP BY ALL) s CROSS JOIN age_band b
+LEFT JOIN {table} c ON c.COHORT_TYPE = s.COHORT_TYPE AND AGE_AT_INDEX_DATE > low AND AGE_AT_INDEX_DATE <= high
 GROUP BY s.COHORT_TYPE, b.AGE_GROUPS"""
+
+
+FINALS["age_groups"] = bands_in("cohorts_a")
+FINALS["age_groups_flagged"] = bands_in("flagged_a")
 FINALS["inclusion_reasons"] = """SELECT
   count(*) FILTER (N_CERTAIN_DIAGS >= 2 AND N_TREATMENTS = 0) AS N_CERTAIN_DIAGS_ONLY,
   count(*) FILTER (N_CERTAIN_DIAGS < 2 AND N_TREATMENTS > 0) AS N_TREATMENTS_ONLY,
   count(*) FILTER (N_CERTAIN_DIAGS >= 2 AND N_TREATMENTS > 0) AS N_DIAGS_AND_TREATMENTS FROM cases"""
 FINALS["uncertainty_reasons"] = """SELECT count(*) FILTER (UNCERTAINTY_REASON LIKE 'uncertain%') AS UNCERTAIN_DIAG,
   count(*) FILTER (UNCERTAINTY_REASON LIKE 'other%') AS OTHER_CERTAIN_DIAG FROM likes"""
+CTES["flagged_case"] = "SELECT * FROM cases WHERE PTID IN (SELECT PTID FROM flagged_a WHERE COHORT_TYPE = 'cohort')"
+CTES["flagged_like"] = "SELECT * FROM likes WHERE PTID IN (SELECT PTID FROM flagged_a WHERE COHORT_TYPE = 'like_cohort')"
+FINALS["inclusion_reasons_flagged"] = FINALS["inclusion_reasons"].replace("FROM cases", "FROM flagged_case")
+FINALS["uncertainty_reasons_flagged"] = FINALS["uncertainty_reasons"].replace("FROM likes", "FROM flagged_like")
 FINALS["other_group_breakdown"] = """SELECT LSD_GROUP, count(*) AS COUNT_OTHER_CERTAIN_DIAG FROM (
   SELECT * FROM disease WHERE LSD_GROUP <> 'alpha'
     AND PTID IN (SELECT PTID FROM likes WHERE UNCERTAINTY_REASON LIKE 'other%')
   QUALIFY row_number() OVER (PARTITION BY PTID ORDER BY N_CERTAIN_DIAGS DESC, LSD_GROUP) = 1) GROUP BY ALL"""
+FINALS["other_group_breakdown_flagged"] = FINALS["other_group_breakdown"].replace("FROM likes", "FROM flagged_like")
 FINALS["flagged_features"] = """SELECT COHORT_TYPE, PTID, DIAGNOSIS_CD, DIAG_DATE FROM diag_clean_a
 WHERE (COHORT_TYPE, PTID) IN (SELECT (COHORT_TYPE, PTID) FROM flagged_a)"""
 CTES["diag_texts_a"] = """
@@ -804,6 +958,11 @@ FINALS["balanced_sample"] = f"""SELECT PTID, TEST_NAME, TEST_RESULT_REF, LABEL F
     count(*) FILTER (LABEL = 1) OVER (PARTITION BY TEST_NAME) AS n1 FROM pairs WHERE {MAIN_PAIR})
 QUALIFY row_number() OVER (PARTITION BY TEST_NAME, LABEL
   ORDER BY md5(concat(PTID,'|123')), PTID, TEST_RESULT_REF) <= least(n0, n1)"""
+CTES["balanced_pairs"] = """
+SELECT * FROM (SELECT *, count(*) FILTER (LABEL = 0) OVER (PARTITION BY PAIR, TEST_NAME) AS n0,
+    count(*) FILTER (LABEL = 1) OVER (PARTITION BY PAIR, TEST_NAME) AS n1 FROM pairs)
+QUALIFY row_number() OVER (PARTITION BY PAIR, TEST_NAME, LABEL
+  ORDER BY md5(concat(PTID,'|123')), PTID, TEST_RESULT_REF) <= least(n0, n1)"""
 CTES["ranked"] = """
 SELECT *, rank() OVER (PARTITION BY PAIR, TEST_NAME ORDER BY TEST_RESULT_REF)
   + (count(*) OVER (PARTITION BY PAIR, TEST_NAME, TEST_RESULT_REF) - 1) / 2.0 AS rk,
@@ -817,6 +976,9 @@ FROM (SELECT *, rs - n0*(n0+1)/2.0 AS u FROM (
     sum(CAST(t AS DOUBLE)*t - 1) AS ties FROM ranked GROUP BY ALL) WHERE n0 > 0 AND n1 > 0)"""
 CTES["rank_p"] = f"""
 SELECT PAIR, TEST_NAME, u AS statistic, least(1.0, 2*{normal_tail('z')}) AS p FROM rank_sums"""
+CTES["balanced_ranked"] = CTES["ranked"].replace("FROM pairs", "FROM balanced_pairs")
+CTES["balanced_rank_sums"] = CTES["rank_sums"].replace("FROM ranked", "FROM balanced_ranked")
+CTES["balanced_rank_p"] = CTES["rank_p"].replace("FROM rank_sums", "FROM balanced_rank_sums")
 CTES["scored"] = f"""
 SELECT *, {quantile('((i-0.375)/(n+0.25))')} AS m FROM (
   SELECT *, row_number() OVER (PARTITION BY PAIR, LABEL, TEST_NAME ORDER BY TEST_RESULT_REF) AS i,
@@ -873,6 +1035,8 @@ FROM (SELECT 'mannwhitneyu' AS statistic_test, * FROM rank_p UNION ALL SELECT 't
 JOIN (SELECT PAIR, TEST_NAME, min(outcome) AS shapiro FROM shapiro_all GROUP BY ALL) USING (PAIR, TEST_NAME)
 WHERE statistic_test = CASE WHEN shapiro = 1 THEN 'ttest_ind' ELSE 'mannwhitneyu' END"""
 
+FINALS["significance_select_balanced"] = FINALS["significance_select"].replace("FROM rank_p", "FROM balanced_rank_p")
+
 # --- finals: dimension tables ---------------------------------------------------------
 
 FINALS["build_crosswalk"] = """SELECT concat('9', lpad(CAST(p_partkey % 700 AS VARCHAR), 3, '0')) AS ICD9,

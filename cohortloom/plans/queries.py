@@ -21,11 +21,14 @@ from cohortloom.operators import sampling as sa
 from cohortloom.operators import significance as si
 from cohortloom.operators.evaluation import performance as rule_performance
 from cohortloom.plans import demo
-from cohortloom.plans.assessment import COHORT_COLUMNS, Assessment, FeatureStages, Sources, screening
+from cohortloom.plans.assessment import (
+    COHORT_COLUMNS, Assessment, AssessmentSet, FeatureStages, Sources, screening,
+)
 from cohortloom.sources import files
 from cohortloom.sources.records import Records
 from cohortloom.session import scratch_folder
 from cohortloom.spec import (
+    ALGORITHM,
     BEFORE,
     COHORT_TYPE,
     DIAGNOSES,
@@ -114,6 +117,11 @@ class Context:
             demo.algorithm(self.spark), self.sources, demo.GROUPS, BEFORE, store=self.store
         )
 
+    @cached_property
+    def published(self) -> AssessmentSet:
+        """The three published rules in one run."""
+        return AssessmentSet(demo.published(self.spark), self.sources, demo.GROUPS, BEFORE, store=self.store)
+
     @cached_property
     def lab_conf(self) -> DataFrame:
         return demo.lab_conf(self.spark)
@@ -699,7 +707,7 @@ def flagged_cohort(c: Context) -> DataFrame:
 
 @query
 def all_flagged(c: Context) -> DataFrame:
-    return c.assessment.stages.flagged.select(COHORT_TYPE, "PTID", INDEX_DATE, "GENDER")
+    return c.assessment.stages.all_flagged.select(COHORT_TYPE, "PTID", INDEX_DATE, "GENDER")
 
 
 @query
@@ -717,6 +725,35 @@ def false_positive_estimate(c: Context) -> DataFrame:
     return c.assessment.stages.false_positives
 
 
+# --- several algorithms in one pass --------------------------------------------------
+
+@query
+def cohorts_all_algorithms(c: Context) -> DataFrame:
+    return c.published.stages.cohorts.select(
+        ALGORITHM, COHORT_TYPE, "PTID", INDEX_DATE, "AGE_AT_INDEX_DATE", "N_CERTAIN_DIAGS", "UNCERTAINTY_REASON"
+    )
+
+
+@query
+def rule_labels_published(c: Context) -> DataFrame:
+    return c.published.stages.rule_labels
+
+
+@query
+def block_labels_published(c: Context) -> DataFrame:
+    return c.published.stages.labels("algorithm_block")
+
+
+@query
+def assessment_all_algorithms(c: Context) -> DataFrame:
+    return c.published.stages.performance
+
+
+@query
+def false_positives_all_algorithms(c: Context) -> DataFrame:
+    return c.published.stages.false_positives
+
+
 # --- statistics ---------------------------------------------------------------------
 
 @query
@@ -740,6 +777,35 @@ def demographics_flagged(c: Context) -> DataFrame:
     return cs.demographics_continuous(c.assessment.stages.flagged)
 
 
+@query
+def demographics_discrete_flagged(c: Context) -> DataFrame:
+    return cs.demographics_discrete(c.assessment.stages.flagged)
+
+
+@query
+def age_groups_flagged(c: Context) -> DataFrame:
+    return cs.age_groups(c.assessment.stages.flagged)
+
+
+@query
+def inclusion_reasons_flagged(c: Context) -> DataFrame:
+    flagged = c.assessment.stages.flagged
+    return cs.inclusion_reasons(flagged.filter(F.col(COHORT_TYPE) == "cohort"))
+
+
+@query
+def uncertainty_reasons_flagged(c: Context) -> DataFrame:
+    flagged = c.assessment.stages.flagged
+    return cs.uncertainty_reasons(flagged.filter(F.col(COHORT_TYPE) == "like_cohort"))
+
+
+@query
+def other_group_breakdown_flagged(c: Context) -> DataFrame:
+    flagged = c.assessment.stages.flagged
+    like = flagged.filter(F.col(COHORT_TYPE) == "like_cohort")
+    return cs.other_group_breakdown(like, c.assessment.disease, "alpha")
+
+
 @query
 def age_groups(c: Context) -> DataFrame:
     return cs.age_groups(c.assessment.cohorts)
@@ -895,6 +961,14 @@ def significance_select(c: Context) -> DataFrame:
     ])
 
 
+@query
+def significance_select_balanced(c: Context) -> DataFrame:
+    """All three cohort pairs, rank-sum tests on as many results of either cohort."""
+    return si.compare_cohorts(c.assessment.stages.windows, LABS, [
+        ("cohort", "control_cohort"), ("cohort", "like_cohort"), ("like_cohort", "control_cohort")
+    ], balanced=True)
+
+
 # --- dimension tables ---------------------------------------------------------------
 
 @query

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 PATIENT_ID = "PTID"
 COHORT_TYPE = "COHORT_TYPE"
+ALGORITHM = "ALGORITHM"
 GROUP = "LSD_GROUP"
 INDEX_DATE = "INDEX_DATE"
 FEATURE_TYPE = "FEATURE_TYPE"
