@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,19 @@ class Stages:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self, still_read: DataFrame | None = None) -> None:
+        """Remove all staged tables, unless ``still_read`` reads one of them.
+
+        A collection on the driver lets Spark remove the shuffle files of plans that are done.
+        """
+        if still_read is not None and any(self.folder.split("://")[-1] in f for f in still_read.inputFiles()):
+            return
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Remove staged tables that no later step reads."""
         jvm = self.spark.sparkContext._jvm

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import Stages, ascii_lower, text_of
+from cohortloom.llm.common import ascii_lower, free_names, Stages, text_of
 
 BLOCK_BYTES = 16 << 10
 COMPUTED = ["keep_id", "group_size", "kept", "text_sha256"]
@@ -139,12 +139,13 @@ def drop_copies(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = BLOCK_BYTES,
     stages: Stages | None = None,
 ) -> DataFrame:
-    """The input rows that stay, with the input's columns.
+    """The input rows that stay, with the input's columns, whatever their names.
 
     Only the row numbers of dropped rows are joined to the texts, as an anti join.
     """
     stages = stages or Stages(docs.sparkSession)
-    rows = stages.keep(docs.withColumn("__number", F.monotonically_increasing_id()), "input")
-    groups = exact_groups(rows, text, doc_id, ["__number"], size, stages)
-    dropped = stages.keep(groups.filter("not kept").select("__number"), "dropped")
-    return rows.join(dropped, "__number", "left_anti").drop("__number")
+    (number,) = free_names(docs.columns, "__number")
+    rows = stages.keep(docs.withColumn(number, F.monotonically_increasing_id()), "input")
+    groups = exact_groups(rows, text, doc_id, [number], size, stages)
+    dropped = stages.keep(groups.filter("not kept").select(number), "dropped")
+    return rows.join(dropped, number, "left_anti").drop(number)

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm import set_join
-from cohortloom.llm.common import Stages, text_of
+from cohortloom.llm.common import Stages, free_names, text_of
 
 PAIRS_PER_TEXT = 4
 MAX_LEADER_ROUNDS = 6
@@ -429,8 +429,11 @@ def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, eve
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
-    """Components over rows (``__row``, ``__text``, ``__n``, ``__s``) whose sets are distinct."""
+def linked_components(texts: DataFrame, sketches: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
+    """Components over ``texts`` (``__row``, ``__text``) and ``sketches`` (``__row``, ``__n``, ``__s``) of distinct sets.
+
+    Texts without words may be among them; they have no segments.
+    """
     shingler = lambda: Shingler(similarity.words)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = _segments(texts.select("__row", "__text"), similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
@@ -443,7 +446,7 @@ def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages)
     bound, everything = PAIRS_PER_TEXT * max(tested.count(), 10_000), False
     for step in range(MAX_LEADER_ROUNDS + 1):
         members = stages.keep(mixed_groups(groups, comps), "mixed")
-        fresh = open_pairs(members, texts, similarity, everything)
+        fresh = open_pairs(members, sketches, similarity, everything)
         fresh = stages.keep(fresh.join(tested, ["a", "b"], "left_anti"), "open")
         size = fresh.count()
         if size:
@@ -456,27 +459,18 @@ def linked_components(texts: DataFrame, similarity: Similarity, stages: Stages)
     return comps
 
 
-def jaccard_components(
-    docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", doc_id: str = "doc_id",
-    carry: tuple[str, ...] = ("doc_id",), stages: Stages | None = None,
-) -> DataFrame:
-    """``carry`` (as ``c_0``, ...), ``__row``, ``__n`` (set size), ``__first`` (smallest id of the component),
-    ``__kept`` (true for one row of each component, the first by id)."""
-    stages = stages or Stages(docs.sparkSession)
-    picked = docs.select(
-        *(F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(carry)), F.col(f"`{doc_id}`").alias("__id"),
-        text_of(f"`{text}`").alias("__text"),
-    )
-    rows = stages.keep(
-        with_sets(picked, "__text", similarity.words).withColumn("__row", F.monotonically_increasing_id()), "rows"
-    )
+def _placed(rows: DataFrame, texts: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
+    """``__row``, ``__first``, ``__kept`` of rows (``__row``, ``__id`` and the columns of ``with_sets``).
+
+    ``texts`` holds ``__row`` and ``__text``.
+    """
     same = ["__n", "__f", "__g"]
     sets = stages.keep(rows.filter("__n > 0").groupBy(*same).agg(F.min("__row").alias("rep")), "sets")
     plain = rows.select("__row", "__id", *same)
     member = plain.filter("__n > 0").join(sets, same).select("__row", "__id", "rep")
     copies = stages.keep(member.filter("rep <> __row").select("__row"), "copies")
-    alone = rows.filter("__n > 0").select("__row", "__text", "__n", "__s").join(copies, "__row", "left_anti")
-    comps = linked_components(alone, similarity, stages)
+    alone = rows.filter("__n > 0").select("__row", "__n", "__s").join(copies, "__row", "left_anti")
+    comps = linked_components(texts.join(copies, "__row", "left_anti"), alone, similarity, stages)
     placed = stages.keep(
         member.join(comps.withColumnRenamed("__row", "rep"), "rep", "left").select(
             "__row", "__id", F.coalesce("comp", "rep").alias("comp")
@@ -489,9 +483,26 @@ def jaccard_components(
         ).select("comp", "__first", F.col("best.__row").alias("best")),
         "firsts",
     )
-    verdict = stages.keep(
+    return stages.keep(
         placed.join(firsts, "comp").select("__row", "__first", (F.col("__row") == F.col("best")).alias("__kept")), "verdict"
     )
+
+
+def jaccard_components(
+    docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", doc_id: str = "doc_id",
+    carry: tuple[str, ...] = ("doc_id",), stages: Stages | None = None,
+) -> DataFrame:
+    """``carry`` (as ``c_0``, ...), ``__row``, ``__n`` (set size), ``__first`` (smallest id of the component),
+    ``__kept`` (true for one row of each component, the first by id)."""
+    stages = stages or Stages(docs.sparkSession)
+    picked = docs.select(
+        *(F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(carry)), F.col(f"`{doc_id}`").alias("__id"),
+        text_of(f"`{text}`").alias("__text"),
+    )
+    rows = stages.keep(
+        with_sets(picked, "__text", similarity.words).withColumn("__row", F.monotonically_increasing_id()), "rows"
+    )
+    verdict = _placed(rows, rows.select("__row", "__text"), similarity, stages)
     return rows.join(verdict, "__row").select(
         *(f"c_{i}" for i in range(len(carry))), "__row", "__n", "__first", "__kept"
     )
@@ -501,9 +512,17 @@ def drop_near_copies(
     docs: DataFrame, similarity: Similarity = Similarity(), text: str = "text", doc_id: str = "doc_id",
     stages: Stages | None = None,
 ) -> DataFrame:
-    """The input's columns; of each component one row stays, and every row without words."""
+    """The input's columns, whatever their names; of each component one row stays, and every row without words.
+
+    The texts are written once, with the row numbers.
+    """
     stages = stages or Stages(docs.sparkSession)
-    numbered = stages.keep(docs.withColumn("__number", F.monotonically_increasing_id()), "input")
-    found = jaccard_components(numbered, similarity, text, doc_id, ("__number",), stages)
-    dropped = stages.keep(found.filter("not __kept").select(F.col("c_0").alias("__number")), "dropped")
-    return numbered.join(dropped, "__number", "left_anti").drop("__number")
+    (number,) = free_names(docs.columns, "__number")
+    numbered = stages.keep(docs.withColumn(number, F.monotonically_increasing_id()), "input")
+    texts = numbered.select(
+        F.col(number).alias("__row"), F.col(f"`{doc_id}`").alias("__id"), text_of(f"`{text}`").alias("__text")
+    )
+    rows = stages.keep(with_sets(texts, "__text", similarity.words).drop("__text"), "rows")
+    verdict = _placed(rows, texts.select("__row", "__text"), similarity, stages)
+    dropped = stages.keep(verdict.filter("not __kept").select(F.col("__row").alias(number)), "dropped")
+    return numbered.join(dropped, number, "left_anti").drop(number)
