@@ -19,7 +19,9 @@ words it lets through by chance cost time only.
 as the edge has; such unary chains are compacted by pointer doubling into paths, the fixed
 passages of the corpus (``unary_paths``).
 
-Word ids are 64-bit hashes of language and word; counts, scores and ranks are exact integers
+*Rows.* Word ids are 64-bit hashes of language and word. Workers sort grams by small numbers of
+their own and send them column by column: two bytes for one of the ``CODED`` most frequent
+words, the id for others, one byte for counts below 255. Counts, scores and ranks are exact integers
 (products as decimals of 38 digits; an overflow raises).
 
 Defined results: null texts are empty, null languages are ``und``; empty texts and pieces give
@@ -54,6 +56,11 @@ FLUSH_WORDS, FLUSH_GRAMS = 400_000, 1 << 20
 MAP_BITS, MAP_SLICES = 1 << 26, 64
 #: A word is very common from this share of all words: at most 1,024 words are.
 COMMON_SHARE = 1024
+#: Words with a code of two bytes, taken from those above this share (at most 262,144 words).
+CODED, CODED_SHARE = 65_534, 262_144
+OTHER = 65_535
+#: Buckets of grams per shuffle partition.
+BUCKETS_PER_PARTITION = 16
 
 
 @dataclass(frozen=True)
@@ -160,20 +167,53 @@ def merged(grams: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return grams[starts], np.add.reduceat(weights, starts) if len(starts) else weights
 
 
-def longest_grams(ids: np.ndarray, longest: int) -> np.ndarray:
-    """The longest gram from every word of ``ids`` (0: a piece ends) on; grams of one word are left out."""
-    padded = np.concatenate([ids, np.zeros(longest, np.uint64)])
-    grams = np.lib.stride_tricks.sliding_window_view(padded, longest)[: len(ids)]
+def longest_grams(words: np.ndarray, longest: int) -> np.ndarray:
+    """The longest gram from every one of ``words`` (0: a piece ends) on; grams of one word are left out."""
+    padded = np.concatenate([words, np.zeros(longest, words.dtype)])
+    grams = np.lib.stride_tricks.sliding_window_view(padded, longest)[: len(words)]
     grams = grams[(grams[:, 0] != 0) & (grams[:, 1] != 0)]
-    return np.where(np.logical_and.accumulate(grams != 0, axis=1), grams, np.uint64(0))
+    return np.where(np.logical_and.accumulate(grams != 0, axis=1), grams, words.dtype.type(0))
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """What workers know of the words: bounded in size, whatever the corpus.
+
+    ``bits`` marks the frequent ones, ``common`` are the ids of the very common ones and
+    ``coded`` those with a code, in order of their codes from 1 on.
+    """
+
+    bits: np.ndarray
+    common: np.ndarray
+    coded: np.ndarray
+
+    def codes(self, ids: np.ndarray) -> np.ndarray:
+        """Codes of ids: 0 for the end of a gram, ``OTHER`` for a word without one."""
+        order = np.argsort(self.coded)
+        ranked = self.coded[order]
+        at = np.minimum(np.searchsorted(ranked, ids), max(len(ranked) - 1, 0))
+        known = ranked[at] == ids if len(ranked) else np.zeros(len(ids), bool)
+        found = np.full(len(ids), OTHER, np.uint16)
+        found[known] = order[at[known]] + 1
+        found[ids == 0] = 0
+        return found
+
+    def ids(self, codes: np.ndarray, others: np.ndarray) -> np.ndarray:
+        found = np.concatenate([np.zeros(1, np.uint64), self.coded])[np.where(codes == OTHER, 0, codes)]
+        found[codes == OTHER] = others
+        return found
 
 
 class Grams:
-    """Word ids of texts with breaks as 0, and their merged grams by bucket."""
+    """Texts as numbers of a worker's own (0: a break), and their merged grams by bucket."""
+
+    def __init__(self, mining: Mining, vocabulary: Vocabulary, buckets: int):
+        self.mining, self.vocabulary, self.buckets = mining, vocabulary, np.uint64(buckets)
+        self._clear()
 
-    def __init__(self, mining: Mining, bits: np.ndarray, common: np.ndarray, buckets: int):
-        self.mining, self.bits, self.common, self.buckets = mining, bits, common, np.uint64(buckets)
+    def _clear(self) -> None:
         self.known: dict[str, dict[bytes, int]] = {}
+        self.ids = np.zeros(1, np.uint64)
         self.held: list[np.ndarray] = []
         self.size = 0
 
@@ -182,24 +222,25 @@ class Grams:
 
         words = tokens(text)
         known = self.known.setdefault(lang, {BREAK: 0})
-        if len(known) > 1_000_000:
-            known.clear()
-            known[BREAK] = 0
         fresh = list(set(words).difference(known))
         if fresh:
             seed = xxhash.xxh3_64_intdigest(lang.encode())
             ids = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in fresh), np.uint64, len(fresh))
-            ids[~is_marked(self.bits, ids)] = 0
-            known.update(zip(fresh, ids.tolist()))
-        self.held += [np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), np.zeros(1, np.uint64)]
+            marked = is_marked(self.vocabulary.bits, ids)
+            numbers = np.where(marked, len(self.ids) - 1 + np.cumsum(marked), 0)
+            self.ids = np.concatenate([self.ids, ids[marked]])
+            known.update(zip(fresh, numbers.tolist()))
+        self.held += [np.fromiter(map(known.__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
         self.size += len(words) + 1
 
-    def bucket_of(self, grams: np.ndarray) -> np.ndarray:
+    def _bucket_of(self, grams: np.ndarray) -> np.ndarray:
         """By the first two words; by three where both are very common."""
-        key = mix(mix(grams[:, 0], 41) ^ grams[:, 1], 42)
-        split = np.isin(grams[:, 0], self.common) & np.isin(grams[:, 1], self.common)
+        first, second = mix(self.ids, 41), self.ids
+        common = np.isin(self.ids, self.vocabulary.common)
+        key = mix(first[grams[:, 0]] ^ second[grams[:, 1]], 42)
         if grams.shape[1] > 2:
-            key = np.where(split, mix(key ^ grams[:, 2], 43), key)
+            split = common[grams[:, 0]] & common[grams[:, 1]]
+            key = np.where(split, mix(key ^ self.ids[grams[:, 2]], 43), key)
         return (key % self.buckets).astype(np.int64)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -207,21 +248,48 @@ class Grams:
             return
         grams, counts = merged(longest_grams(np.concatenate(self.held), self.mining.longest))
         self.held, self.size = [], 0
-        bucket = self.bucket_of(grams)
+        bucket = self._bucket_of(grams)
         order = np.argsort(bucket, kind="stable")
         numbers, starts = np.unique(bucket[order], return_index=True)
-        ends = np.append(starts[1:], len(order))
-        column = lambda values: pa.array([values[order[i:j]].tobytes() for i, j in zip(starts, ends)], pa.binary())
-        names = [f"w{k}" for k in range(self.mining.longest)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.int32()), *(column(grams[:, k]) for k in range(len(names))), column(counts)],
-            ["bucket", *names, "n"],
-        )
+        border = np.append(starts, len(order))
+        grams, counts, codes = grams[order], counts[order], self.vocabulary.codes(self.ids)
+
+        def cut(values: np.ndarray, at: np.ndarray) -> pa.Array:
+            return pa.array([values[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())
+
+        def sparse(dense: np.ndarray, marked: np.ndarray, values: np.ndarray) -> list[pa.Array]:
+            """A column, and the ``values`` of its marked places."""
+            before = np.concatenate([[0], np.cumsum(marked)])[border]
+            return [cut(dense, border), cut(values[marked], before)]
+
+        columns = []
+        for word in grams.T:
+            columns += sparse(codes[word], codes[word] == OTHER, self.ids[word])
+        columns += sparse(np.minimum(counts, 255).astype(np.uint8), counts >= 255, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), *columns], ["bucket", *_packed_names(self.mining)])
+        if len(self.ids) > 1_000_000:
+            self._clear()
+
 
+def _packed_names(mining: Mining) -> list[str]:
+    return [name for k in range(mining.longest) for name in (f"w{k}", f"id{k}")] + ["n", "large_n"]
 
-def packed_grams(texts: DataFrame, mining: Mining, bits: np.ndarray, common: np.ndarray, buckets: int) -> DataFrame:
+
+def unpacked(columns: list[list[bytes]], mining: Mining, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Grams as ids, and their counts."""
+    joined = [b"".join(c) for c in columns]
+    words = [
+        vocabulary.ids(np.frombuffer(joined[2 * k], np.uint16), np.frombuffer(joined[2 * k + 1], np.uint64))
+        for k in range(mining.longest)
+    ]
+    counts = np.frombuffer(joined[-2], np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(joined[-1], np.int64)
+    return np.stack(words, axis=1), counts
+
+
+def packed_grams(texts: DataFrame, mining: Mining, vocabulary: Vocabulary, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(mining, bits, common, buckets)
+        grams = Grams(mining, vocabulary, buckets)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 grams.add(lang, text)
@@ -229,8 +297,7 @@ def packed_grams(texts: DataFrame, mining: Mining, bits: np.ndarray, common: np.
                     yield from grams.flush()
         yield from grams.flush()
 
-    words = ", ".join(f"w{k} binary" for k in range(mining.longest))
-    return texts.mapInArrow(run, f"bucket int, {words}, n binary")
+    return texts.mapInArrow(run, ", ".join(["bucket int", *(f"{n} binary" for n in _packed_names(mining))]))
 
 
 def flows(grams: np.ndarray, counts: np.ndarray, mining: Mining, common: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -255,30 +322,28 @@ def flows(grams: np.ndarray, counts: np.ndarray, mining: Mining, common: np.ndar
         yield head[kept], total[kept]
 
 
-def phrase_counts(packed: DataFrame, mining: Mining, common: np.ndarray) -> DataFrame:
+def phrase_counts(packed: DataFrame, mining: Mining, vocabulary: Vocabulary) -> DataFrame:
     """(gram, f): ids of the words and occurrences of every phrase with ``least`` occurrences."""
-    names = [f"w{k}" for k in range(mining.longest)]
+    names = _packed_names(mining)
 
-    def bucket(columns: list[list[bytes]], counts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        grams = np.stack([np.frombuffer(b"".join(c), np.uint64) for c in columns], axis=1)
-        for phrases, total in flows(*merged(grams, np.frombuffer(b"".join(counts), np.int64)), mining, common):
+    def bucket(columns: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
+        for phrases, total in flows(*merged(*unpacked(columns, mining, vocabulary)), mining, vocabulary.common):
             ends = np.arange(len(phrases) + 1, dtype=np.int32) * (phrases.shape[1] if len(phrases) else 0)
             gram = pa.ListArray.from_arrays(pa.array(ends), _signed(np.ascontiguousarray(phrases).ravel()))
             yield pa.RecordBatch.from_arrays([gram, pa.array(total, pa.int64())], ["gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, columns, counts = None, [[] for _ in names], []
+        current, columns = None, [[] for _ in names]
         for batch in batches:
-            for number, *words, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", *names, "n"))):
-                if number != current and counts:
-                    yield from bucket(columns, counts)
-                    columns, counts = [[] for _ in names], []
+            for number, *packed_row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *names))):
+                if number != current and columns[0]:
+                    yield from bucket(columns)
+                    columns = [[] for _ in names]
                 current = number
-                counts.append(n)
-                for column, word in zip(columns, words):
-                    column.append(word)
-        if counts:
-            yield from bucket(columns, counts)
+                for column, part in zip(columns, packed_row):
+                    column.append(part)
+        if columns[0]:
+            yield from bucket(columns)
 
     parts = packed.mapInArrow(run, "gram array<long>, n long")
     return parts.groupBy("gram").agg(F.sum("n").alias("f")).filter(F.col("f") >= mining.least)
@@ -303,12 +368,17 @@ def count_phrases(
     totals = counted.filter("id is null").select("lang", F.col("f").alias("n"))
     words = counted.filter((F.col("f") >= mining.least) & F.col("id").isNotNull())
     every = totals.agg(F.sum("n")).first()[0] or 0
-    very = words.filter(F.col("f") > every // COMMON_SHARE).select("id").collect()  # at most COMMON_SHARE rows
-    common = np.array([r["id"] for r in very], np.int64).view(np.uint64)
+    # At most CODED_SHARE rows, as each has more than that share of all words.
+    frequent = words.filter(F.col("f") > every // CODED_SHARE).select("id", "f").collect()
+    frequent.sort(key=lambda r: (-r["f"], r["id"]))
+    as_ids = lambda rows: np.array([r["id"] for r in rows], np.int64).view(np.uint64)
+    vocabulary = Vocabulary(
+        word_map(words), as_ids([r for r in frequent if r["f"] > every // COMMON_SHARE]), as_ids(frequent[:CODED])
+    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = packed_grams(texts, mining, word_map(words), common, 4 * parts)
+    packed = packed_grams(texts, mining, vocabulary, BUCKETS_PER_PARTITION * parts)
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return Counted(words, totals, stages.keep(phrase_counts(dealt, mining, common), "phrases"))
+    return Counted(words, totals, stages.keep(phrase_counts(dealt, mining, vocabulary), "phrases"))
 
 
 def _first(gram: str, k: int | Column) -> Column:
