@@ -41,7 +41,8 @@ def false_positive_estimate(
         share(controls, "minimal_global_availability_pct").alias("control_availability"),
         share(controls, "global_label_pct").alias("control_recall"),
     )
-    rate = by_algorithm({a: F.lit(p) for a, p in prevalence.items()}) if keys else F.lit(prevalence)
+    several = isinstance(prevalence, Mapping)
+    rate = by_algorithm({a: F.lit(p) for a, p in prevalence.items()}) if several else F.lit(prevalence)
     return shares.withColumn(
         "false_positives_per_true_positive",
         F.try_divide(F.col("control_recall") / rate, F.col("case_recall")),

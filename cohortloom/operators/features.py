@@ -30,13 +30,14 @@ from cohortloom.spec import (
     IS_OUTLIER,
     PATIENT_ID,
     SPECIFIC,
+    TIME_RANGE,
     TableSpec,
 )
 
 
 def cohort_keys(df: DataFrame) -> list[str]:
-    """Patient key of a frame: with algorithm and cohort where these are processed together."""
-    return [c for c in (ALGORITHM, COHORT_TYPE, PATIENT_ID) if c in df.columns]
+    """Patient key of a frame: with algorithm, time range and cohort where these are processed together."""
+    return [c for c in (ALGORITHM, TIME_RANGE, COHORT_TYPE, PATIENT_ID) if c in df.columns]
 
 
 def group_keys(df: DataFrame) -> list[str]:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.features import cohort_keys, group_keys
 from cohortloom.spec import COHORT_TYPE, PATIENT_ID, TableSpec
 
 
@@ -85,15 +86,16 @@ def _tall(wide: DataFrame, terms: Sequence[str]) -> DataFrame:
         )
         for t in terms
     ])
-    return wide.select(COHORT_TYPE, F.inline(rows)).select(
-        COHORT_TYPE, "TERM", "COUNT",
+    keys = group_keys(wide)
+    return wide.select(*keys, F.inline(rows)).select(
+        *keys, "TERM", "COUNT",
         F.round(F.try_divide(F.col("COUNT"), F.col("_of")) * 100, 1).alias("PCT"),
     )
 
 
 def labs_availability(matrix: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Patients with a verdict per lab term, and their share of the cohort in %."""
-    wide = matrix.groupBy(COHORT_TYPE).agg(
+    wide = matrix.groupBy(*group_keys(matrix)).agg(
         *[F.count(F.col(f"`{t}`")).alias(f"{t}_n") for t in terms],
         *[F.count("*").alias(f"{t}_of") for t in terms],
     )
@@ -108,9 +110,9 @@ def labs_past_threshold(
     With ``flagged`` (patient keys), only those patients count and the share is of them all.
     """
     if flagged is not None:
-        keys = [COHORT_TYPE, PATIENT_ID]
+        keys = cohort_keys(flagged)
         matrix = matrix.join(flagged.select(*keys), keys, "left_semi")
-    wide = matrix.groupBy(COHORT_TYPE).agg(
+    wide = matrix.groupBy(*group_keys(matrix)).agg(
         *[F.count_if(F.col(f"`{t}`")).alias(f"{t}_n") for t in terms],
         *[(F.count(F.col(f"`{t}`")) if flagged is None else F.count("*")).alias(f"{t}_of") for t in terms],
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,24 +12,51 @@ from pyspark.sql import functions as F
 from cohortloom.functions.columns import abs_months, compare
 from cohortloom.operators.features import cohort_keys, conf_keys
 from cohortloom.spec import (
+    ALL_RANGES,
     BEFORE,
     HIERARCHY_COLUMNS,
     INDEX_DATE,
     JUST_BEFORE,
     JUST_BEFORE_MONTHS,
+    LIFETIME,
+    TIME_RANGE,
     TIME_RANGES,
     TableSpec,
 )
 
-# M months never span more than 31 M + 4 days, i.e. 35 M for M >= 1.
+# M months never span more than 31 M + 4 days, i.e. 35 M for M >= 1, and 28 M - 3 days are
+# never more than M months, i.e. 25 M for M >= 1.
 DAYS_PER_MONTH_BOUND = 35
+SURE_DAYS_PER_MONTH = 25
 
 
 def _check(timerange: str) -> None:
-    if timerange not in TIME_RANGES:
+    if timerange not in (*TIME_RANGES, ALL_RANGES):
         raise ValueError(f"unknown time range: {timerange}")
 
 
+def range_mask(before: Column, just_before: Column) -> Column:
+    """Ranges a row lies in, a bit each in the order of ``TIME_RANGES``."""
+    bits = (F.lit(True), before, just_before)
+    return reduce(add, [F.when(b, 1 << i).otherwise(0) for i, b in enumerate(bits)])
+
+
+def _within(df: DataFrame, timerange: str, before: Column, just_before: Column) -> DataFrame:
+    """Rows of the range; with ``ALL_RANGES`` one row for each range that the row's mask has."""
+    if timerange == ALL_RANGES:
+        mask = range_mask(before, just_before)
+        names = F.array(*[
+            F.when(mask.bitwiseAND(F.lit(1 << i)) > 0, F.lit(name)) for i, name in enumerate(TIME_RANGES)
+        ])
+        return df.withColumn(TIME_RANGE, F.explode(F.array_compact(names)))
+    return df.filter({LIFETIME: F.lit(True), BEFORE: before, JUST_BEFORE: just_before}[timerange])
+
+
+def in_every_range(cohort: DataFrame) -> DataFrame:
+    """The cohort once per time range."""
+    return cohort.withColumn(TIME_RANGE, F.explode(F.array(*map(F.lit, TIME_RANGES))))
+
+
 def numeric_in_range(df: DataFrame, spec: TableSpec, conf: DataFrame, timerange: str) -> DataFrame:
     """Results in the time range; ``max_timespan``/``min_values`` of their test attached.
 
@@ -38,12 +67,11 @@ def numeric_in_range(df: DataFrame, spec: TableSpec, conf: DataFrame, timerange:
     on = [spec.info, *conf_keys(df, conf)]
     limits = conf.withColumnRenamed("test_name", spec.info).select(*on, "max_timespan", "min_values")
     date, index = F.col(spec.date), F.col(INDEX_DATE)
+    before = date < index
     if timerange in (BEFORE, JUST_BEFORE):
-        df = df.filter(date < index)
-    df = df.join(limits, on)
-    if timerange == JUST_BEFORE:
-        df = df.filter(abs_months(date, index) <= F.col("max_timespan"))
-    return df
+        df = df.filter(before)
+    just_before = before & (abs_months(date, index) <= F.col("max_timespan"))
+    return _within(df.join(limits, on), timerange, before, just_before)
 
 
 def discrete_in_range(
@@ -53,11 +81,40 @@ def discrete_in_range(
     """Events in the time range; matrices include the index date, statistics do not."""
     _check(timerange)
     date, index = F.col(spec.date), F.col(INDEX_DATE)
-    if timerange in (BEFORE, JUST_BEFORE):
-        df = df.filter(date <= index if include_index else date < index)
-    if timerange == JUST_BEFORE:
-        df = df.filter(abs_months(date, index) <= months)
-    return df
+    before = date <= index if include_index else date < index
+    return _within(df, timerange, before, before & (abs_months(date, index) <= months))
+
+
+def _is_close(a: Column, b: Column, span: Column) -> Column:
+    """At most ``span`` months apart; up to 28 M - 3 days that is so without counting months."""
+    return (F.abs(F.datediff(a, b)) <= 28 * span - 3) | (abs_months(a, b) <= span)
+
+
+def _neighbours(spec: TableSpec, keys: Sequence[str]) -> Column:
+    """Number of results within M months on either side of a result.
+
+    A sliding day frame, M-scaled so that one frame fits every test, counts the results that
+    are surely close; only the dates between the sure and the widest bound are looked at one
+    by one. For M below 1 no distance is sure, and all dates of the small frame are.
+    """
+    date, span = F.col(spec.date), F.col("max_timespan")
+    day = F.unix_date(date) / F.greatest(span, F.lit(1.0))
+    by_day = Window.partitionBy(*keys).orderBy(day)
+    sure = by_day.rangeBetween(-SURE_DAYS_PER_MONTH, SURE_DAYS_PER_MONTH)
+    wide = DAYS_PER_MONTH_BOUND, SURE_DAYS_PER_MONTH
+    dated = F.struct(date.alias("date"), day.alias("day"))
+    border = F.concat(
+        F.collect_list(dated).over(by_day.rangeBetween(-wide[0], -wide[1])),
+        F.collect_list(dated).over(by_day.rangeBetween(wide[1], wide[0])),
+    )
+    beyond = F.filter(border, lambda t: (
+        ((t["day"] < day - SURE_DAYS_PER_MONTH) | (t["day"] > day + SURE_DAYS_PER_MONTH))
+        & _is_close(date, t["date"], span)
+    ))
+    small = F.collect_list(F.when(span < 1, date)).over(by_day.rangeBetween(-wide[0], wide[0]))
+    return F.when(span < 1, F.size(F.filter(small, lambda t: _is_close(date, t, span)))).otherwise(
+        F.count(F.lit(1)).over(sure) + F.size(beyond)
+    )
 
 
 def results_in_window(
@@ -66,40 +123,35 @@ def results_in_window(
     """Per patient and test: the result(s) closest to the index date that have at least
     N results within M months on either side, with those results.
 
-    One shuffle on (patient, test) serves all tests: a sliding day frame, M-scaled so
-    that one frame fits every test, collects the neighbours and the exact month rule
-    trims it. Results without enough neighbours have no distance and so are never closest.
-    The input holds one row per patient, test and day (``dedupe_by_date``), so
-    a frame is bounded by its days and a group by the calendar.
+    One partitioning by (patient, test) serves all tests. Neighbours are counted first;
+    results without enough of them have no distance and so are never closest. Then only the
+    neighbours of the closest results, two at most per distance, are gathered. The input
+    holds one row per patient, test and day (``dedupe_by_date``), so a frame is bounded by
+    its days and a group by the calendar.
     """
-    keys = [*cohort_keys(df), spec.info]
+    ranged = numeric_in_range(df, spec, conf, timerange)
+    keys = [*cohort_keys(ranged), spec.info]
     hierarchy = [c for c in HIERARCHY_COLUMNS if c in df.columns]
     date, span = F.col(spec.date), F.col("max_timespan")
-    scaled_day = F.unix_date(date) / F.greatest(span, F.lit(1.0))
-    frame = (
-        Window.partitionBy(*keys).orderBy(scaled_day)
-        .rangeBetween(-DAYS_PER_MONTH_BOUND, DAYS_PER_MONTH_BOUND)
+    whole = Window.partitionBy(*keys)
+    enough = ranged.withColumn("_near", _neighbours(spec, keys)).withColumn(
+        "_distance", F.when(F.col("_near") >= F.col("min_values"), abs_months(date, F.col(INDEX_DATE)))
+    )
+    reference = F.struct(*hierarchy, spec.unit, spec.date, spec.result)
+    closest = enough.withColumn("_closest", F.min("_distance").over(whole)).withColumn(
+        "_references", F.collect_list(F.when(F.col("_distance") == F.col("_closest"), reference)).over(whole)
+    )
+    paired = closest.withColumn(
+        "_reference", F.explode(F.filter("_references", lambda r: _is_close(r[spec.date], date, span)))
     )
-    near = F.collect_list(F.struct(date, F.col(spec.result))).over(frame)
-    def close(t: Column) -> Column:
-        """Within M months; up to 28 M - 3 days that is so without counting months."""
-        days = F.abs(F.datediff(date, t[spec.date]))
-        return (days <= 28 * span - 3) | (abs_months(date, t[spec.date]) <= span)
-
-    tests = F.sort_array(F.filter("_near", close))
-    windows = (
-        numeric_in_range(df, spec, conf, timerange)
-        .withColumn("_near", near)
-        .withColumn("_tests", tests)
-        .withColumn("_distance", F.when(
-            F.size("_tests") >= F.col("min_values"), abs_months(date, F.col(INDEX_DATE))
-        ))
-        .withColumn("_closest", F.min("_distance").over(Window.partitionBy(*keys)))
-        .filter(F.col("_distance") == F.col("_closest"))
+    gathered = paired.groupBy(*keys, "BIRTH_YR", "GENDER", INDEX_DATE, "_reference").agg(
+        F.sort_array(F.collect_list(F.struct(spec.date, spec.result))).alias("_tests")
     )
-    return windows.select(
-        *cohort_keys(df), "BIRTH_YR", "GENDER", spec.info, *hierarchy, spec.unit,
-        date.alias(f"{spec.date}_REF"), F.col(spec.result).alias(f"{spec.result}_REF"),
+    of = lambda name: F.col(f"_reference.{name}")
+    return gathered.select(
+        *cohort_keys(ranged), "BIRTH_YR", "GENDER", spec.info, *[of(c).alias(c) for c in hierarchy],
+        of(spec.unit).alias(spec.unit),
+        of(spec.date).alias(f"{spec.date}_REF"), of(spec.result).alias(f"{spec.result}_REF"),
         INDEX_DATE,
         F.array_min(F.col(f"_tests.{spec.date}")).alias("WINDOW_START"),
         F.array_max(F.col(f"_tests.{spec.date}")).alias("WINDOW_END"),

@@ -20,6 +20,7 @@ from cohortloom.plans.algorithms import Algorithm, AlgorithmSet
 from cohortloom.sources.dimensions import broadcast_if_small
 from cohortloom.sources.files import StageStore
 from cohortloom.spec import (
+    ALL_RANGES,
     BEFORE,
     COHORT_TYPE,
     DIAGNOSES,
@@ -90,6 +91,11 @@ class FeatureStages:
         name = f"{self.algorithm.name}_{stage}_{self.timerange}_{self.population}"
         return (self.store.keep_dealt if dealt else self.store.keep)(df, name, by)
 
+    @cached_property
+    def ranged_cohorts(self) -> DataFrame:
+        """The cohorts, once per time range where all ranges are asked for."""
+        return mx.in_every_range(self.cohorts) if self.timerange == ALL_RANGES else self.cohorts
+
     def _conf(self, feature: str) -> DataFrame | None:
         """None for a table without configuration: all of its events are broad ones."""
         a = self.algorithm
@@ -156,31 +162,31 @@ class FeatureStages:
     @cached_property
     def labs_matrix(self) -> DataFrame:
         return mx.labs_matrix(
-            self.windows, self.cohorts, LABS, self.algorithm.lab_conf, self.algorithm.lab_terms
+            self.windows, self.ranged_cohorts, LABS, self.algorithm.lab_conf, self.algorithm.lab_terms
         )
 
     @cached_property
     def diags_matrix(self) -> DataFrame:
         return mx.discrete_matrix(
-            self.specific("diags"), self.cohorts, DIAGNOSES, self.algorithm.diag_codes,
+            self.specific("diags"), self.ranged_cohorts, DIAGNOSES, self.algorithm.diag_codes,
             self.timerange,
         )
 
     @cached_property
     def procedures_matrix(self) -> DataFrame:
         return mx.discrete_matrix(
-            self.specific("procedures"), self.cohorts, PROCEDURES,
+            self.specific("procedures"), self.ranged_cohorts, PROCEDURES,
             self.algorithm.procedure_codes, self.timerange,
         )
 
     @cached_property
     def matrix(self) -> DataFrame:
         """The cohort is joined once: absent events are false for all its patients."""
-        keys = fe.cohort_keys(self.cohorts)
+        keys = fe.cohort_keys(self.ranged_cohorts)
         a = self.algorithm
         labs = mx.labs_to_binary(self.windows, LABS, a.lab_conf, a.lab_terms)
         joined = mx.feature_matrix(
-            self.cohorts, labs,
+            self.ranged_cohorts, labs,
             mx.discrete_flags(
                 mx.discrete_in_range(self.specific("diags"), DIAGNOSES, self.timerange),
                 DIAGNOSES, a.diag_codes,
@@ -210,7 +216,7 @@ class FeatureStages:
     @cached_property
     def flagged(self) -> DataFrame:
         """Flagged patients with all columns of their cohort."""
-        return self._keep(ru.flagged_cohort(self.cohorts, self.rule_labels), "flagged")
+        return self._keep(ru.flagged_cohort(self.ranged_cohorts, self.rule_labels), "flagged")
 
     @cached_property
     def all_flagged(self) -> DataFrame:

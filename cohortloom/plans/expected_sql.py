@@ -322,6 +322,8 @@ def age_term(low: str) -> str:
 def add_stages(s: str, timerange: str) -> None:
     """Stages of the tagged cohorts ``cohorts_<s>``."""
     before = "TRUE" if timerange == "lifetime" else "{date} {sign} INDEX_DATE"
+    just = timerange == "just_before_index_date"
+    near = f" AND {months('{date}', 'INDEX_DATE')} <= {{span}}" if just else ""
     cohorts = f"cohorts_{s}"
     CTES[f"diag_clean_{s}"] = f"""
 SELECT d.*, {PATIENT_COLUMNS} FROM diag_typed d JOIN {cohorts} c USING (PTID)
@@ -345,7 +347,7 @@ FROM diag_clean_{s} d JOIN diag_conf ON DIAGNOSIS_CD = code WHERE FEATURE_TYPE =
     CTES[f"lab_ranged_{s}"] = f"""
 SELECT l.*, term, category, block, max_timespan, min_values FROM lab_clean_{s} l JOIN lab_conf c
   ON l.TEST_NAME = c.test_name
-WHERE FEATURE_TYPE = 'specific' AND {before.format(date='LAB_DATE', sign='<')}"""
+WHERE FEATURE_TYPE = 'specific' AND {(before + near).format(date='LAB_DATE', sign='<', span='max_timespan')}"""
     window_ctes(s, f"lab_ranged_{s}")
     CTES[f"lab_judged_{s}"] = f"""
 SELECT w.COHORT_TYPE, w.PTID, w.TEST_NAME, w.TERM, LAB_DATE_REF, seq,
@@ -365,7 +367,7 @@ GROUP BY w.COHORT_TYPE, w.PTID"""
     )
     CTES[f"diag_matrix_{s}"] = f"""
 SELECT c.COHORT_TYPE, c.PTID, {flags} FROM {cohorts} c LEFT JOIN (
-  SELECT * FROM diag_specific_{s} WHERE {before.format(date='DIAG_DATE', sign='<=')}) d
+  SELECT * FROM diag_specific_{s} WHERE {(before + near).format(date='DIAG_DATE', sign='<=', span=24)}) d
   ON c.PTID = d.PTID AND c.COHORT_TYPE = d.COHORT_TYPE GROUP BY c.COHORT_TYPE, c.PTID"""
     flags = ", ".join(
         f"""coalesce(bool_or(PROC_CODE = '{c}'), FALSE) AS "{c}\"""" for c in demo.PROCEDURE_CODES
@@ -373,7 +375,7 @@ SELECT c.COHORT_TYPE, c.PTID, {flags} FROM {cohorts} c LEFT JOIN (
     CTES[f"proc_matrix_{s}"] = f"""
 SELECT c.COHORT_TYPE, c.PTID, {flags} FROM {cohorts} c LEFT JOIN (
   SELECT * FROM proc_clean_{s} WHERE FEATURE_TYPE = 'specific'
-    AND {before.format(date='PROC_DATE', sign='<=')}) d
+    AND {(before + near).format(date='PROC_DATE', sign='<=', span=24)}) d
   ON c.PTID = d.PTID AND c.COHORT_TYPE = d.COHORT_TYPE GROUP BY c.COHORT_TYPE, c.PTID"""
     CTES[f"matrix_{s}"] = f"""
 SELECT c.COHORT_TYPE, c.PTID, AGE_AT_INDEX_DATE, GENDER, low_q, high_q,
@@ -431,6 +433,10 @@ QUALIFY distance = min(distance) OVER (PARTITION BY COHORT_TYPE, PTID, TEST_NAME
 
 add_stages("s", "lifetime")
 add_stages("a", "before_index_date")
+RANGES = {"al": "lifetime", "a": "before_index_date", "aj": "just_before_index_date"}
+for _s in ("al", "aj"):
+    CTES[f"cohorts_{_s}"] = "SELECT * FROM cohorts_a"
+    add_stages(_s, RANGES[_s])
 CTES["lab_ranged_j"] = f"""
 SELECT l.*, term, category, block, max_timespan, min_values FROM lab_clean_s l
 JOIN lab_conf c ON l.TEST_NAME = c.test_name WHERE FEATURE_TYPE = 'specific' AND LAB_DATE < INDEX_DATE
@@ -937,6 +943,17 @@ def per_term(table: str, count: str, of: str) -> str:
 FINALS["labs_availability"] = per_term("matrix_a", "count({0})", "count(*)")
 FINALS["labs_availability_lifetime"] = per_term("matrix_s", "count({0})", "count(*)")
 FINALS["labs_flagged"] = per_term("matrix_a", "count(*) FILTER ({0})", "count({0})")
+FINALS["labs_availability_ranges"] = " UNION ALL ".join(
+    f"SELECT '{r}' AS TIME_RANGE, * FROM ({per_term(f'matrix_{s}', 'count({0})', 'count(*)')})" for s, r in RANGES.items()
+)
+FINALS["labs_flagged_ranges"] = " UNION ALL ".join(
+    f"SELECT '{r}' AS TIME_RANGE, * FROM ({per_term(f'matrix_{s}', 'count(*) FILTER ({0})', 'count({0})')})"
+    for s, r in RANGES.items()
+)
+FINALS["performance_ranges"] = " UNION ALL ".join(
+    f"SELECT '{r}' AS TIME_RANGE, COHORT_TYPE, count(*) AS n_people, {shares(RULE_COLUMNS)} FROM labels_{s} GROUP BY ALL"
+    for s, r in RANGES.items()
+)
 FINALS["labs_flagged_patients"] = per_term(
     f"(SELECT * FROM matrix_a WHERE {FLAGGED})", "count(*) FILTER ({0})", "count(*)"
 )

@@ -29,6 +29,7 @@ from cohortloom.sources.records import Records
 from cohortloom.session import scratch_folder
 from cohortloom.spec import (
     ALGORITHM,
+    ALL_RANGES,
     BEFORE,
     COHORT_TYPE,
     DIAGNOSES,
@@ -122,6 +123,13 @@ class Context:
         """The three published rules in one run."""
         return AssessmentSet(demo.published(self.spark), self.sources, demo.GROUPS, BEFORE, store=self.store)
 
+    @cached_property
+    def all_ranges(self) -> FeatureStages:
+        """The assessment for all time ranges in one pass."""
+        return Assessment(
+            demo.algorithm(self.spark), self.sources, demo.GROUPS, ALL_RANGES, store=self.store
+        ).stages
+
     @cached_property
     def lab_conf(self) -> DataFrame:
         return demo.lab_conf(self.spark)
@@ -919,6 +927,23 @@ def labs_flagged_patients(c: Context) -> DataFrame:
     return ls.labs_past_threshold(stages.matrix, demo.LAB_TERMS, flagged=stages.flagged)
 
 
+# All time ranges in one pass, with a time-range column.
+
+@query
+def labs_availability_ranges(c: Context) -> DataFrame:
+    return ls.labs_availability(c.all_ranges.matrix, demo.LAB_TERMS)
+
+
+@query
+def labs_flagged_ranges(c: Context) -> DataFrame:
+    return ls.labs_past_threshold(c.all_ranges.matrix, demo.LAB_TERMS)
+
+
+@query
+def performance_ranges(c: Context) -> DataFrame:
+    return c.all_ranges.performance
+
+
 # Cohort pair tests: over all reference results of like patients against controls.
 
 def pair_of(c: Context) -> DataFrame:

@@ -21,6 +21,9 @@ LIFETIME = "lifetime"
 BEFORE = "before_index_date"
 JUST_BEFORE = "just_before_index_date"
 TIME_RANGES = (LIFETIME, BEFORE, JUST_BEFORE)
+#: All time ranges in one pass; rows then carry their range in the ``TIME_RANGE`` column.
+ALL_RANGES = "all_ranges"
+TIME_RANGE = "TIME_RANGE"
 
 # Fixed values of the semantics.
 UNKNOWN_WORDS = ("Unknown", "unknown")

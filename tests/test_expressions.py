@@ -15,7 +15,7 @@ from cohortloom.functions.columns import (
     year_of_text,
 )
 from cohortloom.operators.cohort_stats import age_band
-from cohortloom.operators.ranks import exact_percentiles, order_bin, value_ranks
+from cohortloom.operators.ranks import exact_percentiles, range_of, value_ranks
 from cohortloom.sources.dimensions import local_table
 from conftest import rows
 
@@ -109,10 +109,11 @@ def test_ranks_count_lower_values(spark):
     ]
 
 
-def test_order_bins_never_decrease(spark):
+def test_ranges_never_decrease(spark):
     df = spark.range(-20_000, 20_000).select((F.col("id") / 7).alias("v"))
-    bins = [r[1] for r in df.select("v", order_bin(F.col("v"))).orderBy("v").collect()]
-    assert bins == sorted(bins)
+    bounds = F.array(*[F.lit(float(b)) for b in range(-2500, 2500, 10)])
+    found = [r[1] for r in df.select("v", range_of(F.col("v"), bounds)).orderBy("v").collect()]
+    assert found == sorted(found) and found[0] == 0 and found[-1] == 500
 
 
 def test_tail_probabilities():
