@@ -43,6 +43,8 @@ from cohortloom.llm.ngram_join import (
     Shingler, Similarity, bit_sketch, components, mix, mixed_groups, open_pairs,
 )
 
+#: Row numbers of copies (16 MB) that are broadcast after a count; Spark shuffles beyond.
+BROADCAST_IDS = 2_000_000
 #: Rounds with one leader per group before all open pairs are compared, and the number of open
 #: pairs, relative to the tested ones, from which they are compared at once. They set the cost only.
 LEADER_ROUNDS = 6
@@ -133,11 +135,11 @@ def band_groups(banded: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame
     the shuffle; the join back is on the band, which Spark splits where one is hot.
     """
     entries = banded.select(F.explode("__bands").alias("band"), F.col("__row").alias("b"))
-    shared = entries.groupBy("band").agg(
-        F.count("*").alias("k"), F.min("b").alias("first"), F.sum(F.xxhash64("b").cast("decimal(20,0)")).alias("name")
-    ).filter("k > 1")
-    once = shared.groupBy("k", "first", "name").agg(F.min("band").alias("band"))
-    member = stages.keep(entries.join(once, "band").select(F.col("band").alias("a"), "b", "k", "first"), "members")
+    shared = entries.groupBy("band").agg(F.count("*").alias("k"), F.min("b").alias("first")).filter("k > 1")
+    member = stages.keep(entries.join(shared, "band"), "shared")
+    named = member.groupBy("band", "k", "first").agg(F.bit_xor(F.xxhash64("b")).alias("name"))
+    once = named.groupBy("k", "first", "name").agg(F.min("band").alias("band")).select("band")
+    member = stages.keep(member.join(once, "band").select(F.col("band").alias("a"), "b", "k", "first"), "members")
     pairs = member.filter("b <> first").select(F.col("first").alias("a"), "b").distinct()
     return stages.keep(pairs, "pairs"), member.filter("k > 2").select("a", "b")
 
@@ -195,6 +197,8 @@ def near_duplicates(
         plain.join(equal, same, "left").select("__row", "__id", "__n", F.coalesce("rep", "__row").alias("rep")), "placed"
     )
     copies = placed.filter("rep <> __row").select("__row")
+    if copies.count() <= BROADCAST_IDS:
+        copies = F.broadcast(copies)
     banded = rows.filter("__n > 0").select("__row", "__bands").join(copies, "__row", "left_anti")
     comps = linked_components(banded, rows, similarity, stages)
     tagged = stages.keep(
