@@ -47,8 +47,8 @@ SPACE = "\u2581"
 #: A space after a character that is no white space starts a chunk.
 SPACED = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
 WHOLE = re.compile(r"(?s).+")
-#: Chunks a worker keeps, and chunks that are encoded as one text.
-POOL_CHUNKS, JOINED = 600_000, 128
+#: Chunks a worker keeps, chunks that are encoded as one text, and characters that are cut at once.
+POOL_CHUNKS, JOINED, SLICE = 250_000, 128, 1 << 20
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -135,9 +135,23 @@ class Aligner:
         self.at = [Grown(np.int64) for _ in range(3)]
 
     def cut(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Chunk numbers of all texts in a row, and how many each text has; none for texts not spelt back."""
+        """Chunk numbers of all texts in a row, and how many each text has; none for texts not spelt back.
+
+        Numbers hold until the next call, which may start the pool anew.
+        """
         if len(self.known) > POOL_CHUNKS:
             self._clear()
+        found, part, size = [], [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text or "")
+            if size >= SLICE:
+                found.append(self._cut(part))
+                part, size = [], 0
+        found.append(self._cut(part))
+        return tuple(np.concatenate(arrays) for arrays in zip(*found))
+
+    def _cut(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         find = self.sides[1].chunks.findall
         parts = [find(f" {t}") if t else [] for t in texts]
         fresh = set().union(*parts).difference(self.known)
