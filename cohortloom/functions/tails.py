@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from functools import lru_cache
 from itertools import combinations
 
@@ -130,6 +131,44 @@ def _arrangements_up_to(u: int, small: int, large: int) -> int:
     return sum(series)
 
 
+def rank_sum_exact_ties(u: float, n1: int, n2: int, sizes: Sequence[int]) -> float:
+    """Two-sided p-value of U for tied results, conditional on the ties.
+
+    ``sizes`` are the numbers of equal results in ascending order of their value. Twice the
+    mid-ranks are whole scores; the shift algorithm adds one result after the other to the
+    numbers of subsets with a given size and score sum. They are held as the digits of one
+    large number per subset size, so a shift by a score is one shift of that number.
+    """
+    small, large = sorted((n1, n2))
+    total, scores, before = n1 + n2, [], 0
+    if sum(sizes) != total:
+        raise ValueError("tie sizes do not add up to the number of results")
+    for size in sizes:
+        scores += [2 * before + size + 1] * size
+        before += size
+    most = sum(scores[-small:]) if small else 0
+    if total * small * most > EXACT_STEPS:
+        raise ValueError(
+            f"an exact rank-sum p-value of tied groups of {small} and {large} takes more than "
+            f"{EXACT_STEPS} steps: use method 'auto' or 'asymptotic'"
+        )
+    width = math.comb(total, small).bit_length() + 1
+    subsets = [1] + [0] * small
+    for score in scores:
+        for k in range(small, 0, -1):
+            subsets[k] += subsets[k - 1] << (score * width)
+    mask, expected = (1 << width) - 1, small * (total + 1)
+    # U differs from half the score sum by a constant, and both sides of its centre count.
+    distance = round(abs(2 * u - n1 * n2))
+    count, rest, place = 0, subsets[small], 0
+    while rest:
+        if abs(place - expected) >= distance:
+            count += rest & mask
+        rest >>= width
+        place += 1
+    return min(1.0, count / math.comb(total, small))
+
+
 def rank_sum_normal(u: float, n1: int, n2: int, ties: float) -> float | None:
     """Two-sided normal approximation with tie and continuity correction."""
     n = n1 + n2
@@ -143,11 +182,22 @@ def rank_sum_normal(u: float, n1: int, n2: int, ties: float) -> float | None:
 
 #: Steps of one exact p-value, beyond which it is refused.
 EXACT_STEPS = 20_000_000
+#: Results of a test up to which the sizes of its ties are gathered for an exact p-value.
+EXACT_TIED_RESULTS = 2_000
 RANK_SUM_METHODS = ("auto", "exact", "asymptotic")
 
 
-def rank_sum_p(u: float, n1: int, n2: int, ties: float, method: str = "auto") -> float | None:
-    """``auto``: exact for a group of at most 8 without ties, else the normal approximation."""
+def rank_sum_p(
+    u: float, n1: int, n2: int, ties: float, method: str = "auto", sizes: Sequence[int] | None = None
+) -> float | None:
+    """``auto``: exact for a group of at most 8 without ties, else the normal approximation.
+
+    ``exact`` needs the ``sizes`` of the groups of equal results where there are ties.
+    """
+    if method == "exact" and ties:
+        if sizes is None:
+            raise ValueError(f"too many results for an exact rank-sum p-value with ties: {n1} and {n2}")
+        return rank_sum_exact_ties(u, n1, n2, sizes)
     if method == "exact" or method == "auto" and min(n1, n2) <= 8 and ties == 0:
         return rank_sum_exact(u, n1, n2)
     return rank_sum_normal(u, n1, n2, ties)

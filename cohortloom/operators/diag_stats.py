@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from cohortloom.operators.features import cohort_keys
 from cohortloom.operators.matrix import discrete_in_range
 from cohortloom.spec import (
     COHORT_TYPE,
+    FEATURE_TYPE,
     JUST_BEFORE_MONTHS,
     LIFT_EPSILON,
     MAX_LIFT,
@@ -36,6 +38,24 @@ def importance(prevalence: Column, lift: Column) -> Column:
     return F.when(lift >= 1, mean).otherwise(0.0)
 
 
+def _with_lifts(counted: DataFrame, main: str, others: Sequence[str]) -> DataFrame:
+    """Lift and importance of the main cohort on the others, from the ``PCT_`` columns."""
+    share = F.col(f"PCT_{main.upper()}")
+    for other in others:
+        pair = f"{main.upper()}_ON_{other.upper()}"
+        base = F.greatest(F.col(f"PCT_{other.upper()}"), F.lit(LIFT_EPSILON))
+        counted = counted.withColumn(f"LIFT_{pair}", F.least(share / base, F.lit(MAX_LIFT)))
+        counted = counted.withColumn(f"IMPORTANCE_{pair}", importance(share, F.col(f"LIFT_{pair}")))
+    return counted
+
+
+def _cohort_sizes(cohorts: DataFrame, names: Sequence[str]) -> Column:
+    """One struct with the number of patients per cohort, as a scalar subquery."""
+    return cohorts.select(COHORT_TYPE, PATIENT_ID).dropDuplicates().agg(F.struct(*[
+        F.count_if(F.col(COHORT_TYPE) == n).alias(n) for n in names
+    ]).alias("_sizes")).scalar()
+
+
 def prevalence_and_lift(
     features: DataFrame,
     cohorts: DataFrame,
@@ -53,9 +73,7 @@ def prevalence_and_lift(
     map side, then one aggregation. The cohort sizes are a one-row scalar subquery.
     """
     names = [main, *others]
-    sizes = cohorts.select(COHORT_TYPE, PATIENT_ID).dropDuplicates().agg(F.struct(*[
-        F.count_if(F.col(COHORT_TYPE) == n).alias(n) for n in names
-    ]).alias("_sizes")).scalar()
+    sizes = _cohort_sizes(cohorts, names)
     seen = discrete_in_range(features, spec, timerange, months, include_index=False)
     for level in levels:
         seen = seen.filter(F.col(level).isNotNull())
@@ -71,13 +89,40 @@ def prevalence_and_lift(
             for n in names
         })
     )
-    share = F.col(f"PCT_{main.upper()}")
-    for other in others:
-        pair = f"{main.upper()}_ON_{other.upper()}"
-        base = F.greatest(F.col(f"PCT_{other.upper()}"), F.lit(LIFT_EPSILON))
-        counted = counted.withColumn(f"LIFT_{pair}", F.least(share / base, F.lit(MAX_LIFT)))
-        counted = counted.withColumn(f"IMPORTANCE_{pair}", importance(share, F.col(f"LIFT_{pair}")))
-    return counted.drop("_sizes").orderBy(F.desc(f"PCT_{main.upper()}"), *levels)
+    return _with_lifts(counted, main, others).drop("_sizes").orderBy(F.desc(f"PCT_{main.upper()}"), *levels)
+
+
+def prevalence_cube(
+    features: DataFrame, cohorts: DataFrame, flagged: DataFrame, spec: TableSpec, levels: Mapping[str, str],
+    timerange: str, main: str, others: Sequence[str] = (), months: int = JUST_BEFORE_MONTHS,
+) -> DataFrame:
+    """Prevalence, lift and importance for all variants at once: whole and flagged cohorts, every
+    level (name to column), broad and specific features.
+
+    The features are read once. Grouping sets make the distinct (patient, value) rows of every
+    level, combined before the shuffle; the counts are one aggregation over these.
+    """
+    names, keys = [main, *others], cohort_keys(cohorts)
+    seen = discrete_in_range(features, spec, timerange, months, include_index=False)
+    marked = seen.join(flagged.select(*keys).distinct().withColumn("_flagged", F.lit(True)), keys, "left")
+    populations = F.array_compact(F.array(F.lit("cohort"), F.when(F.col("_flagged"), "flagged")))
+    who = ["POPULATION", FEATURE_TYPE, COHORT_TYPE, PATIENT_ID]
+    rows = marked.select(F.explode(populations).alias("POPULATION"), *who[1:], *levels.values())
+    sets = [[*(F.col(c) for c in who), F.col(column)] for column in levels.values()]
+    level = reduce(
+        lambda chosen, item: chosen.when(F.grouping(item[1]) == 0, item[0]), levels.items(), F.when(F.lit(False), "")
+    )
+    distinct = rows.groupingSets(sets, *who, *levels.values()).agg(level.alias("LEVEL")).select(
+        *who, "LEVEL", F.coalesce(*levels.values()).alias("VALUE")
+    ).filter(F.col("VALUE").isNotNull())
+    sizes = F.when(F.col("POPULATION") == "cohort", _cohort_sizes(cohorts, names)).otherwise(_cohort_sizes(flagged, names))
+    counted = distinct.groupBy("POPULATION", "LEVEL", FEATURE_TYPE, "VALUE").agg(
+        *[F.count_if(F.col(COHORT_TYPE) == n).alias(f"COUNT_{n.upper()}") for n in names]
+    ).withColumn("_sizes", sizes).withColumns({
+        f"PCT_{n.upper()}": F.coalesce(F.try_divide(F.col(f"COUNT_{n.upper()}"), F.col(f"_sizes.{n}")), F.lit(0.0))
+        for n in names
+    })
+    return _with_lifts(counted, main, others).drop("_sizes")
 
 
 def features_per_patient(

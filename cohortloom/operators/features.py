@@ -297,13 +297,17 @@ def clean(df: DataFrame, spec: TableSpec, drop_duplicates: bool = True) -> DataF
     return dedupe_by_date(df, spec) if drop_duplicates else df
 
 
+def with_hierarchy(df: DataFrame, spec: TableSpec, conf: DataFrame) -> DataFrame:
+    """Term, category and block of the code of a specific row; null for broad ones."""
+    names = ("medical_term", "algorithm_category", "algorithm_block")
+    placed = _look_up(df, {spec.info: conf_key(conf)}, conf, dict(zip(HIERARCHY_COLUMNS, names, strict=True)))
+    specific = F.col(FEATURE_TYPE) == SPECIFIC
+    return placed.withColumns({c: F.when(specific, text_of(F.col(c))) for c in HIERARCHY_COLUMNS})
+
+
 def specific_features(df: DataFrame, spec: TableSpec, conf: DataFrame) -> DataFrame:
     """Specific rows with the term, category and block of their code."""
-    key = conf_key(conf)
-    names = ("medical_term", "algorithm_category", "algorithm_block")
-    specific = df.filter(F.col(FEATURE_TYPE) == SPECIFIC)
-    placed = _look_up(specific, {spec.info: key}, conf, dict(zip(HIERARCHY_COLUMNS, names, strict=True)))
-    return placed.withColumns({c: text_of(F.col(c)) for c in HIERARCHY_COLUMNS})
+    return with_hierarchy(df.filter(F.col(FEATURE_TYPE) == SPECIFIC), spec, conf)
 
 
 def tag_cohorts(cohorts: dict[str, DataFrame], columns: Sequence[str] | None = None) -> DataFrame:

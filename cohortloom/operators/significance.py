@@ -61,17 +61,27 @@ def balanced_sample(pair: DataFrame, keys: Sequence[str], seed: int = SAMPLING_S
 
 def _rank_sum_p(method: str):
     @F.pandas_udf(DoubleType())
-    def p_values(u: pd.Series, n0: pd.Series, n1: pd.Series, ties: pd.Series) -> pd.Series:
-        def one(u, n0, n1, ties):
+    def p_values(u: pd.Series, n0: pd.Series, n1: pd.Series, ties: pd.Series, sizes: pd.Series) -> pd.Series:
+        def one(u, n0, n1, ties, sizes):
             if pd.isna(u):
                 return None
-            return tails.rank_sum_p(float(u), int(n0), int(n1), float(ties), method)
+            sizes = None if sizes is None else [int(s) for s in sizes]
+            return tails.rank_sum_p(float(u), int(n0), int(n1), float(ties), method, sizes)
 
-        return pd.Series([one(*row) for row in zip(u, n0, n1, ties)], dtype="float64")
+        return pd.Series([one(*row) for row in zip(u, n0, n1, ties, sizes)], dtype="float64")
 
     return p_values
 
 
+def _tie_sizes(method: str) -> Column:
+    """Sizes of the groups of equal results by value, of tests with few results; null unless asked for."""
+    if method != "exact":
+        return F.first(F.lit(None).cast("array<long>"))
+    few = F.col("TOTAL") <= tails.EXACT_TIED_RESULTS
+    held = F.sort_array(F.collect_list(F.when(few, F.struct("BEFORE", "N"))))
+    return F.when(F.max("TOTAL") <= tails.EXACT_TIED_RESULTS, held.getField("N"))
+
+
 def mann_whitney(
     pair: DataFrame, keys: Sequence[str], balanced: bool = False, seed: int = SAMPLING_SEED,
     method: str = "auto",
@@ -79,7 +89,8 @@ def mann_whitney(
     """Rank-sum statistic of label 0 against label 1 per test, two-sided.
 
     ``method`` of the p-value: ``exact``, ``asymptotic``, or ``auto`` (exact where a label
-    has at most 8 results and there are no ties).
+    has at most 8 results and there are no ties). With ties, ``exact`` is the distribution
+    conditional on them, for tests of at most ``EXACT_TIED_RESULTS`` results.
     """
     if method not in tails.RANK_SUM_METHODS:
         raise ValueError(f"unknown method {method!r}, not one of {tails.RANK_SUM_METHODS}")
@@ -91,15 +102,16 @@ def mann_whitney(
         F.sum(n0 * (F.col("BEFORE") + (n + 1) / 2)).alias("_ranks"),
         F.sum(n * n * n - n).alias("TIES"),
         F.sum("N0").alias("N0"), F.sum(F.col("N") - F.col("N0")).alias("N1"),
+        _tie_sizes(method).alias("SIZES"),
     )
     both = (F.col("N0") > 0) & (F.col("N1") > 0)
     u = F.col("_ranks") - F.col("N0") * (F.col("N0") + 1) / 2
     return sums.select(
         F.lit("mannwhitneyu").alias("statistic_test"), *keys,
-        F.when(both, u).alias("statistic"), "N0", "N1", "TIES",
+        F.when(both, u).alias("statistic"), "N0", "N1", "TIES", "SIZES",
     ).select(
         "statistic_test", *keys, "statistic",
-        _rank_sum_p(method)("statistic", "N0", "N1", "TIES").alias("pvalue"),
+        _rank_sum_p(method)("statistic", "N0", "N1", "TIES", "SIZES").alias("pvalue"),
     )
 
 

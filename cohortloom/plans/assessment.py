@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import cohort as co
 from cohortloom.operators import features as fe
+from cohortloom.operators import lab_stats as ls
 from cohortloom.operators import matrix as mx
 from cohortloom.operators import rules as ru
 from cohortloom.operators.config_tables import main_units
@@ -218,6 +219,15 @@ class FeatureStages:
         """Flagged patients with all columns of their cohort."""
         return self._keep(ru.flagged_cohort(self.ranged_cohorts, self.rule_labels), "flagged")
 
+    @cached_property
+    def lab_sketches(self) -> DataFrame:
+        """Mergeable statistics of the windowed results: every variant reads these, not the results."""
+        return self._keep(ls.lab_sketches(self.windows, self.flagged, LABS), "lab_sketches")
+
+    def placed(self, feature: str) -> DataFrame:
+        """Broad features with the rule's term, category and block where they are specific ones."""
+        return fe.with_hierarchy(self.broad(feature), FEATURE_TABLES[feature], self._conf(feature))
+
     @cached_property
     def all_flagged(self) -> DataFrame:
         """Flagged patients of all cohorts on the columns that every cohort has."""

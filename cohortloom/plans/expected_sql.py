@@ -894,6 +894,18 @@ CTES["pooled_cohort"] = "SELECT * REPLACE ('all_cohorts' AS COHORT_TYPE) FROM fl
 FINALS["prevalence_all_flagged"] = lifts(
     "pooled_features", "pooled_cohort", ["MEDICAL_GROUP_ICD"], STRICT, "all_cohorts", []
 )
+CTES["diag_placed_a"] = """
+SELECT d.*, CASE WHEN FEATURE_TYPE = 'specific' THEN replace(k.category,'_',' ') END AS MEDICAL_GROUP_ALGO
+FROM diag_texts_a d LEFT JOIN diag_conf k ON DIAGNOSIS_CD = k.code"""
+_cube = []
+for _population, _cohorts in (("cohort", "cohorts_a"), ("flagged", "flagged_a")):
+    for _level, _column in (("group", "MEDICAL_GROUP_ICD"), ("term", "MEDICAL_TERM_ICD"), ("category", "MEDICAL_GROUP_ALGO")):
+        _rows = lifts(
+            "diag_placed_a", _cohorts, [_column, "FEATURE_TYPE"],
+            STRICT if _population == "cohort" else f"{STRICT} AND {FLAGGED}", "cohort", ["like_cohort", "control_cohort"],
+        )
+        _cube.append(f"SELECT '{_population}' AS POPULATION, '{_level}' AS LEVEL, * RENAME ({_column} AS VALUE) FROM ({_rows})")
+FINALS["prevalence_lift_cube"] = " UNION ALL BY NAME ".join(_cube)
 FINALS["diag_count_percentiles"] = "SELECT COHORT_TYPE, " + ", ".join(
     r6(f"quantile_cont(n, {p})", n)
     for n, p in (("p05", 0.05), ("Q1", 0.25), ("MEDIAN", 0.5), ("Q3", 0.75), ("p95", 0.95))
@@ -914,7 +926,8 @@ FROM (SELECT COHORT_TYPE, PTID, CAST(sum(len(RESULTS)) AS BIGINT) AS n FROM {win
 
 FINALS["lab_stats_global"] = global_stats("windows_a", "cohorts_a")
 FINALS["lab_stats_flagged"] = global_stats(f"(SELECT * FROM windows_a WHERE {FLAGGED})", "flagged_a")
-FINALS["lab_stats_per_test"] = f"""SELECT a.COHORT_TYPE, a.TEST_NAME, UNIT, N_PATIENTS,
+def test_stats(windows: str, cohorts: str) -> str:
+    return f"""SELECT a.COHORT_TYPE, a.TEST_NAME, UNIT, N_PATIENTS,
   {r6('N_PATIENTS / N_COHORT', 'PCT_PATIENTS')}, {r6('MEAN_MEASURES', 'MEAN_MEASURES')},
   {r6('STD_MEASURES', 'STD_MEASURES')}, MAX_MEASURES, MEDIAN_MEASURES, Q1_MEASURES, Q3_MEASURES,
   Q3_MEASURES - Q1_MEASURES AS IQ_MEASURES, {r6('MEAN_VALUE', 'MEAN_VALUE')}, {r6('STD_VALUE', 'STD_VALUE')},
@@ -922,14 +935,18 @@ FINALS["lab_stats_per_test"] = f"""SELECT a.COHORT_TYPE, a.TEST_NAME, UNIT, N_PA
 FROM (SELECT COHORT_TYPE, TEST_NAME, count(*) AS N_PATIENTS, avg(n) AS MEAN_MEASURES, stddev_samp(n) AS STD_MEASURES,
     max(n) AS MAX_MEASURES, quantile_disc(n, 0.5) AS MEDIAN_MEASURES, quantile_disc(n, 0.25) AS Q1_MEASURES,
     quantile_disc(n, 0.75) AS Q3_MEASURES
-  FROM (SELECT COHORT_TYPE, TEST_NAME, PTID, CAST(sum(len(RESULTS)) AS BIGINT) AS n FROM windows_a GROUP BY ALL)
+  FROM (SELECT COHORT_TYPE, TEST_NAME, PTID, CAST(sum(len(RESULTS)) AS BIGINT) AS n FROM {windows} GROUP BY ALL)
   GROUP BY ALL) a
 JOIN (SELECT COHORT_TYPE, TEST_NAME, min(RESULT_UNIT) AS UNIT, avg(TEST_RESULT_REF) AS MEAN_VALUE,
     stddev_samp(TEST_RESULT_REF) AS STD_VALUE, min(TEST_RESULT_REF) AS MIN_VALUE,
     quantile_disc(TEST_RESULT_REF, 0.25) AS Q1_VALUE, quantile_disc(TEST_RESULT_REF, 0.5) AS MEDIAN_VALUE,
     quantile_disc(TEST_RESULT_REF, 0.75) AS Q3_VALUE, max(TEST_RESULT_REF) AS MAX_VALUE
-  FROM windows_a GROUP BY ALL) b ON a.COHORT_TYPE = b.COHORT_TYPE AND a.TEST_NAME = b.TEST_NAME
-JOIN (SELECT COHORT_TYPE, count(DISTINCT PTID) AS N_COHORT FROM cohorts_a GROUP BY ALL) c ON c.COHORT_TYPE = a.COHORT_TYPE"""
+  FROM {windows} GROUP BY ALL) b ON a.COHORT_TYPE = b.COHORT_TYPE AND a.TEST_NAME = b.TEST_NAME
+JOIN (SELECT COHORT_TYPE, count(DISTINCT PTID) AS N_COHORT FROM {cohorts} GROUP BY ALL) c ON c.COHORT_TYPE = a.COHORT_TYPE"""
+
+
+FINALS["lab_stats_per_test"] = FINALS["lab_stats_per_test_merged"] = test_stats("windows_a", "cohorts_a")
+FINALS["lab_stats_per_test_flagged"] = test_stats(f"(SELECT * FROM windows_a WHERE {FLAGGED})", "flagged_a")
 
 
 def per_term(table: str, count: str, of: str) -> str:
@@ -1040,6 +1057,9 @@ FROM (SELECT PAIR, TEST_NAME, CAST(count(*) FILTER (LABEL = 0) AS DOUBLE) AS n0,
 CTES["t_p"] = f"SELECT PAIR, TEST_NAME, t AS statistic, {student_tail('t', 'v')} AS p FROM t_stats"
 FINALS["mann_whitney"] = f"""SELECT 'mannwhitneyu' AS statistic_test, TEST_NAME, {r6('statistic', 'statistic')},
   {r6('p', 'pvalue')} FROM rank_p WHERE {MAIN_PAIR}"""
+FINALS["mann_whitney_methods"] = " UNION ALL ".join(
+    f"SELECT '{m}' AS method, * FROM ({FINALS['mann_whitney']})" for m in ("auto", "asymptotic")
+)
 FINALS["shapiro_wilk"] = f"""SELECT LABEL, TEST_NAME, {r6('statistic', 'statistic')}, {r6('p', 'pvalue')}
 FROM shapiro_all WHERE {MAIN_PAIR}"""
 FINALS["t_test"] = f"""SELECT 'ttest_ind' AS statistic_test, TEST_NAME, {r6('statistic', 'statistic')},

@@ -883,6 +883,17 @@ def prevalence_all_flagged(c: Context) -> DataFrame:
     )
 
 
+@query
+def prevalence_lift_cube(c: Context) -> DataFrame:
+    """Whole and flagged cohorts, code groups, code texts and rule categories, broad and specific features."""
+    stages = c.assessment.stages
+    return ds.prevalence_cube(
+        stages.placed("diags"), stages.cohorts, stages.flagged, DIAGNOSES,
+        {"group": "MEDICAL_GROUP_ICD", "term": "MEDICAL_TERM_ICD", "category": "MEDICAL_GROUP_ALGO"}, BEFORE,
+        "cohort", ["like_cohort", "control_cohort"],
+    )
+
+
 @query
 def diag_count_percentiles(c: Context) -> DataFrame:
     stages = c.assessment.stages
@@ -903,6 +914,19 @@ def lab_stats_per_test(c: Context) -> DataFrame:
     return ls.lab_stats_per_test(stages.windows, stages.cohorts, LABS)
 
 
+@query
+def lab_stats_per_test_merged(c: Context) -> DataFrame:
+    """Whole cohorts, from the sketches of flagged and other patients."""
+    stages = c.assessment.stages
+    return ls.lab_stats_from_sketches(stages.lab_sketches, stages.cohorts, LABS)
+
+
+@query
+def lab_stats_per_test_flagged(c: Context) -> DataFrame:
+    stages = c.assessment.stages
+    return ls.lab_stats_from_sketches(stages.lab_sketches, stages.flagged, LABS, flagged_only=True)
+
+
 @query
 def lab_stats_flagged(c: Context) -> DataFrame:
     stages = c.assessment.stages
@@ -961,6 +985,13 @@ def mann_whitney(c: Context) -> DataFrame:
     return si.mann_whitney(pair_of(c), [LABS.info])
 
 
+@query
+def mann_whitney_methods(c: Context) -> DataFrame:
+    """The p-value by either choice of method."""
+    both = [si.mann_whitney(pair_of(c), [LABS.info], method=m).withColumn("method", F.lit(m)) for m in ("auto", "asymptotic")]
+    return both[0].unionByName(both[1])
+
+
 @query
 def shapiro_wilk(c: Context) -> DataFrame:
     return si.shapiro_wilk(pair_of(c), ["LABEL", LABS.info])
