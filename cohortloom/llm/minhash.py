@@ -43,8 +43,6 @@ from cohortloom.llm.ngram_join import (
     Shingler, Similarity, bit_sketch, components, mix, mixed_groups, open_pairs,
 )
 
-#: Row numbers of copies (16 MB) that are broadcast after a count; Spark shuffles beyond.
-BROADCAST_IDS = 2_000_000
 #: Rounds with one leader per group before all open pairs are compared, and the number of open
 #: pairs, relative to the tested ones, from which they are compared at once. They set the cost only.
 LEADER_ROUNDS = 6
@@ -197,7 +195,7 @@ def near_duplicates(
         plain.join(equal, same, "left").select("__row", "__id", "__n", F.coalesce("rep", "__row").alias("rep")), "placed"
     )
     copies = placed.filter("rep <> __row").select("__row")
-    if copies.count() <= BROADCAST_IDS:
+    if copies.count() <= set_join.BROADCAST_IDS:
         copies = F.broadcast(copies)
     banded = rows.filter("__n > 0").select("__row", "__bands").join(copies, "__row", "left_anti")
     comps = linked_components(banded, rows, similarity, stages)

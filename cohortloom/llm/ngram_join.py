@@ -429,14 +429,19 @@ def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, eve
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def linked_components(texts: DataFrame, sketches: DataFrame, similarity: Similarity, stages: Stages) -> DataFrame:
-    """Components over ``texts`` (``__row``, ``__text``) and ``sketches`` (``__row``, ``__n``, ``__s``) of distinct sets.
+def linked_components(
+    texts: DataFrame, sketches: DataFrame, copies: DataFrame, similarity: Similarity, stages: Stages
+) -> DataFrame:
+    """Components over ``texts`` (``__row``, ``__text``) but for the rows of ``copies``, whose sets others have.
 
-    Texts without words may be among them; they have no segments.
+    ``sketches`` holds ``__row``, ``__n`` and ``__s``. Texts without words have no segments.
     """
+    if copies.count() <= set_join.BROADCAST_IDS:
+        copies = F.broadcast(copies)
+    distinct = texts.select("__row", "__text").join(copies, "__row", "left_anti")
     shingler = lambda: Shingler(similarity.words)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = _segments(texts.select("__row", "__text"), similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    packed = _segments(distinct, similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = stages.keep(_candidates(packed), "candidates")
     tested = stages.keep(found.filter("kind = 0").select("a", "b").distinct(), "pairs")
     groups = stages.keep(found.filter("kind = 1").select("a", "b").distinct(), "groups")
@@ -469,8 +474,7 @@ def _placed(rows: DataFrame, texts: DataFrame, similarity: Similarity, stages: S
     plain = rows.select("__row", "__id", *same)
     member = plain.filter("__n > 0").join(sets, same).select("__row", "__id", "rep")
     copies = stages.keep(member.filter("rep <> __row").select("__row"), "copies")
-    alone = rows.filter("__n > 0").select("__row", "__n", "__s").join(copies, "__row", "left_anti")
-    comps = linked_components(texts.join(copies, "__row", "left_anti"), alone, similarity, stages)
+    comps = linked_components(texts, rows.select("__row", "__n", "__s"), copies, similarity, stages)
     placed = stages.keep(
         member.join(comps.withColumnRenamed("__row", "rep"), "rep", "left").select(
             "__row", "__id", F.coalesce("comp", "rep").alias("comp")
