@@ -21,7 +21,7 @@ passages of the corpus (``unary_paths``).
 
 *Rows.* Word ids are 64-bit hashes of language and word. Workers sort grams by small numbers of
 their own and send them column by column: two bytes for one of the ``CODED`` most frequent
-words, the id for others, one byte for counts below 255. Counts, scores and ranks are exact integers
+words, the id for others, one byte for counts below 255, compressed per bucket. Counts, scores and ranks are exact integers
 (products as decimals of 38 digits; an overflow raises).
 
 Defined results: null texts are empty, null languages are ``und``; empty texts and pieces give
@@ -52,7 +52,7 @@ _TO_BREAKS = bytes.maketrans(PIECE_ENDS, BREAK * len(PIECE_ENDS))
 NO_LANG = "und"
 
 #: Words or grams that a worker merges before it sends them on, and bits of the map of words.
-FLUSH_WORDS, FLUSH_GRAMS = 400_000, 1 << 20
+FLUSH_WORDS, FLUSH_GRAMS = 700_000, 1 << 21
 MAP_BITS, MAP_SLICES = 1 << 26, 64
 #: A word is very common from this share of all words: at most 1,024 words are.
 COMMON_SHARE = 1024
@@ -60,7 +60,7 @@ COMMON_SHARE = 1024
 CODED, CODED_SHARE = 65_534, 262_144
 OTHER = 65_535
 #: Buckets of grams per shuffle partition.
-BUCKETS_PER_PARTITION = 16
+BUCKETS_PER_PARTITION = 8
 
 
 @dataclass(frozen=True)
@@ -98,21 +98,17 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, id, word, f) for every word, and the language's number of words under a null id."""
+    """(lang, word, f) for every word, and the language's number of words under a null word."""
 
     def rows(held: dict[str, Counter]) -> pa.RecordBatch:
-        langs, ids, words, counts = [], [], [], []
+        langs, words, counts = [], [], []
         for lang, counter in held.items():
             counter.pop(BREAK, None)
-            key = lang.encode()
             langs += [lang] * (len(counter) + 1)
-            ids += [word_id(key, w) for w in counter] + [None]
             words += [w.decode("utf-8", "surrogatepass") for w in counter] + [None]
             counts += [*counter.values(), sum(counter.values())]
-        signed = [None if i is None else i - (1 << 64) if i >> 63 else i for i in ids]
         return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(signed, pa.int64()), pa.array(words, pa.string()), pa.array(counts, pa.int64())],
-            ["lang", "id", "word", "n"],
+            [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["lang", "word", "n"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +122,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
         if held:
             yield rows(held)
 
-    counted = texts.mapInArrow(run, "lang string, id long, word string, n long")
-    return counted.groupBy("lang", "id", "word").agg(F.sum("n").alias("f"))
+    return texts.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("f"))
+
+
+def with_ids(words: DataFrame) -> DataFrame:
+    """(lang, word, f) with the word's ``id``; null for a null word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [
+                None if w is None else word_id(l.encode(), w.encode("utf-8", "surrogatepass"))
+                for l, w in zip(batch.column("lang").to_pylist(), batch.column("word").to_pylist())
+            ]
+            signed = pa.array([i - (1 << 64) if i is not None and i >> 63 else i for i in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, signed], [*batch.schema.names, "id"])
+
+    return words.mapInArrow(run, "lang string, word string, f long, id long")
 
 
 def word_map(words: DataFrame) -> np.ndarray:
@@ -244,6 +254,8 @@ class Grams:
         return (key % self.buckets).astype(np.int64)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         if not self.held:
             return
         grams, counts = merged(longest_grams(np.concatenate(self.held), self.mining.longest))
@@ -254,8 +266,10 @@ class Grams:
         border = np.append(starts, len(order))
         grams, counts, codes = grams[order], counts[order], self.vocabulary.codes(self.ids)
 
+        pack = zstandard.ZstdCompressor(level=1).compress
+
         def cut(values: np.ndarray, at: np.ndarray) -> pa.Array:
-            return pa.array([values[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())
+            return pa.array([pack(values[i:j].tobytes()) if i < j else b"" for i, j in zip(at[:-1], at[1:])], pa.binary())
 
         def sparse(dense: np.ndarray, marked: np.ndarray, values: np.ndarray) -> list[pa.Array]:
             """A column, and the ``values`` of its marked places."""
@@ -277,7 +291,10 @@ def _packed_names(mining: Mining) -> list[str]:
 
 def unpacked(columns: list[list[bytes]], mining: Mining, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Grams as ids, and their counts."""
-    joined = [b"".join(c) for c in columns]
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    joined = [b"".join(unpack(part) for part in c if part) for c in columns]
     words = [
         vocabulary.ids(np.frombuffer(joined[2 * k], np.uint16), np.frombuffer(joined[2 * k + 1], np.uint64))
         for k in range(mining.longest)
@@ -364,7 +381,8 @@ def count_phrases(
     """Exact counts of all phrases that occur ``least`` times, per language."""
     stages = stages or Stages(docs.sparkSession)
     texts = _texts(docs, text, lang)
-    counted = stages.keep(word_counts(texts).filter((F.col("f") >= mining.least) | F.col("id").isNull()), "words")
+    frequent_ones = word_counts(texts).filter((F.col("f") >= mining.least) | F.col("word").isNull())
+    counted = stages.keep(with_ids(frequent_ones), "words")
     totals = counted.filter("id is null").select("lang", F.col("f").alias("n"))
     words = counted.filter((F.col("f") >= mining.least) & F.col("id").isNotNull())
     every = totals.agg(F.sum("n")).first()[0] or 0
