@@ -373,12 +373,12 @@ def _tiles(members: DataFrame) -> DataFrame:
     return left.union(right)
 
 
-def _near(similarity: Similarity, own: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def near(similarity: Similarity, own: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Do the sketches leave a link possible?"""
     return np.bitwise_count(own ^ other).sum(-1, dtype=np.int64) <= similarity.difference(n + m)
 
 
-def _sketch_array(rows) -> np.ndarray:
+def sketch_array(rows) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint64).reshape(-1, SKETCH_BITS // 64)
 
 
@@ -397,7 +397,7 @@ def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, eve
     def to_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b, n, s, c, m, z = _columns(batch, "b", "n", "s", "c", "m", "z")
-            kept = _near(similarity, _sketch_array(s), _sketch_array(z), np.array(n, np.int64), np.array(m, np.int64))
+            kept = near(similarity, sketch_array(s), sketch_array(z), np.array(n, np.int64), np.array(m, np.int64))
             yield _ordered_pairs(np.array(b, np.int64)[kept], np.array(c, np.int64)[kept])
 
     if not everything:
@@ -405,11 +405,11 @@ def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, eve
 
     def tile(rows: list) -> Iterator[pa.RecordBatch]:
         left, member, comp, free, size = (np.array(c) for c in list(zip(*rows))[3:8])
-        sketch = _sketch_array(r[8] for r in rows)
+        sketch = sketch_array(r[8] for r in rows)
         right = np.flatnonzero(~left)
         for i in np.flatnonzero(left):
             at = right[(comp[right] != comp[i]) & (free[right] | (member[right] > member[i]))]
-            at = at[_near(similarity, sketch[at], sketch[i], size[at], size[i])]
+            at = at[near(similarity, sketch[at], sketch[i], size[at], size[i])]
             if len(at):
                 yield _ordered_pairs(np.full(len(at), member[i]), member[at])
 
