@@ -11,14 +11,15 @@ tells a reader which dictionary it needs.
     document ids i64 | null flags of document ids u8 | frames
 
 Shards are rows (part, shard, n_docs, n_tokens, data) of a Parquet table: Spark's commit
-protocol keeps them whole when an executor is lost, on any Hadoop file system. Documents
+protocol keeps them whole when an executor is lost, on any Hadoop file system. The dictionary
+and the number of ids before each part lie beside them, so ``open_tokens`` needs the folder only. Documents
 are range-partitioned by id and sorted; a task writes shards of about ``shard_tokens``
 ids. The first id's number of every document needs only sums per shard: one per task goes
 to the driver, the rest are summed inside their part.
 
 Defined results: null counts as the empty text (only the end id); a null document id
 comes first; rows with equal ids follow by text; an empty table gives no shards; document
-ids must be integers.
+ids must be integers; texts are read whole, however long; further columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import Stages, prepared, text_of
@@ -133,23 +134,22 @@ def train_dictionary(
 
 @dataclass
 class TokenTable:
-    """Shards as written, with the dictionary and the number of ids before each part."""
+    """Shards as written, with the dictionary and the number of ids before each part (part, part_start)."""
 
     shards: DataFrame
     dictionary: bytes
-    starts: dict[int, int]
+    starts: DataFrame
 
     def read(self, with_ids: bool = False) -> DataFrame:
         """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` (and ``ids``) from the shards."""
         dictionary = self.dictionary
-        spark = prepared(self.shards.sparkSession)
-        parts = spark.createDataFrame(list(self.starts.items()), "part int, part_start long")
+        prepared(self.shards.sparkSession)
         before = F.sum("n_tokens").over(
             Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
         )
         index = (
             self.shards.select("part", "shard", "n_tokens").withColumn("before", F.coalesce(before, F.lit(0)))
-            .join(parts, "part").select("part", "shard", (F.col("part_start") + F.col("before")).alias("start"))
+            .join(self.starts, "part").select("part", "shard", (F.col("part_start") + F.col("before")).alias("start"))
         )
         placed = self.shards.join(index, ["part", "shard"]).select("start", "data")
 
@@ -174,24 +174,39 @@ class TokenTable:
         return placed.mapInArrow(documents, schema)
 
 
+SHARDS = "part int, shard int, n_docs long, n_tokens long, data binary"
+STARTS = "part int, part_start long"
+
+
+def open_tokens(spark: SparkSession, folder: str) -> TokenTable:
+    """The store that ``write_tokens`` left below ``folder``, in this or any later session."""
+    (dictionary,) = spark.read.schema("dictionary binary").parquet(f"{folder}/dictionary").first()
+    return TokenTable(
+        spark.read.schema(SHARDS).parquet(f"{folder}/shards"), bytes(dictionary),
+        spark.read.schema(STARTS).parquet(f"{folder}/starts"),
+    )
+
+
 def write_tokens(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None, end_id: int = 0,
     shard_tokens: int = SHARD_TOKENS, parts: int | None = None, bounds: DictionaryBounds = DictionaryBounds(),
-    stages: Stages | None = None, special: bool = False,
+    stages: Stages | None = None, special: bool = False, folder: str | None = None,
 ) -> TokenTable:
     """Encode every text, append ``end_id`` and write the shards in ascending id order.
 
+    Shards, dictionary and starts are written below ``folder``, which must not hold a store yet
+    (default: a fresh one among ``stages``).
+
     ``special``: strings of special tokens become those tokens, as in the library's plain call.
     """
-    stages = stages or Stages(docs.sparkSession)
-    spark = docs.sparkSession
+    spark = prepared(docs.sparkSession)
+    folder = folder or f"{(stages or Stages(spark)).folder}/tokens"
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     width = 2 if max(worker_encoder(path, BYTE_LEVEL, special).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
     dictionary = train_dictionary(docs, text, doc_id, path, end_id, width, bounds, special)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     ordered = rows.repartitionByRange(parts, "k").sortWithinPartitions("k", "t")
-    schema = "part int, shard int, n_docs long, n_tokens long, data binary"
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -226,10 +241,13 @@ def write_tokens(
         if held:
             yield flush()
 
-    table = stages.keep(ordered.mapInArrow(shards, schema), "shards")
-    sums = table.groupBy("part").agg(F.sum("n_tokens")).collect()  # a number per task
-    starts, total = {}, 0
+    ordered.mapInArrow(shards, SHARDS).write.parquet(f"{folder}/shards")
+    written = spark.read.schema(SHARDS).parquet(f"{folder}/shards")
+    sums = written.groupBy("part").agg(F.sum("n_tokens")).collect()  # a number per task
+    starts, total = [], 0
     for part, n in sorted(map(tuple, sums)):
-        starts[part] = total
+        starts.append((part, total))
         total += n
-    return TokenTable(table, dictionary, starts)
+    spark.createDataFrame(starts, STARTS).coalesce(1).write.parquet(f"{folder}/starts")
+    spark.createDataFrame([(dictionary,)], "dictionary binary").coalesce(1).write.parquet(f"{folder}/dictionary")
+    return open_tokens(spark, folder)

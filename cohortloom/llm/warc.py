@@ -7,7 +7,8 @@ commit protocol (its line separator is an empty member), so the archives land on
 Hadoop file system and a lost executor leaves no partial file.
 
 The reader takes whole files and checks every member (checksum and length), version
-line, header block and block length, and the digest where there is one. After a failed
+line, header block and block length, and block and payload digests (sha1, sha256 and others, in
+hex or base32; a payload is the body of an HTTP message, else the block). After a failed
 check it searches for the next place from which a whole record can be read, goes on
 there, and logs the bytes between as a quarantined gap. The same holds inside a member that
 holds several records, and for the content of a member up to its cut or failure.
@@ -20,6 +21,7 @@ the line.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -41,6 +43,8 @@ EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + b"\x00" * 8
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_URN = "urn:page:"
 LEAST_BYTES = 100
+#: Digest algorithms that the reader checks; others are passed on unchecked.
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
 #: No archive date is known, so a fixed one keeps archives reproducible.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -123,6 +127,58 @@ class Salvage:
             self.gaps.append((start, end))
 
 
+def _unchunked(body: bytes) -> bytes | None:
+    """A body in HTTP chunks without their framing; None if it is not whole."""
+    parts, at = [], 0
+    while size := re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r?\n").match(body, at):
+        n = int(size[1], 16)
+        if not n:
+            return b"".join(parts)
+        parts.append(body[size.end() : size.end() + n])
+        after = re.compile(rb"\r?\n").match(body, size.end() + n)
+        if not after:
+            return None
+        at = after.end()
+    return None
+
+
+def payloads(headers: dict[str, str], block: bytes) -> list[bytes]:
+    """What a payload digest may cover: the body of an HTTP message, as sent and without its chunks, or the block."""
+    if not headers.get("content-type", "").lower().startswith("application/http"):
+        return [block]
+    head = re.compile(rb"\r?\n\r?\n").search(block)
+    body = block[head.end() :] if head else b""
+    if not head or not re.search(rb"(?im)^transfer-encoding:.*chunked", block[: head.start()]):
+        return [body]
+    whole = _unchunked(body)
+    return [body] if whole is None else [body, whole]
+
+
+def _has_digest(stated: str, contents: list[bytes]) -> bool | None:
+    """Has one of ``contents`` the digest ``algorithm:value``, in hex or base32? None: it cannot be told."""
+    name, _, value = (x.strip() for x in stated.partition(":"))
+    name = name.lower().replace("-", "")
+    if name not in DIGESTS or not value:
+        return None
+    made = [hashlib.new(name, c).digest() for c in contents]
+    base32 = value.upper().rstrip("=")
+    return any(m.hex() == value.lower() or base64.b32encode(m).decode().rstrip("=") == base32 for m in made)
+
+
+def digests_hold(headers: dict[str, str], block: bytes) -> bool | None:
+    """Do a record's block and payload digests hold? None: it has none that can be checked.
+
+    A revisit's payload is another record's, and a segment's is a part of the whole, so
+    their payload digests say nothing about the block.
+    """
+    verdicts = [_has_digest(headers.get("warc-block-digest", ""), [block])]
+    if headers.get("warc-type") not in ("revisit", "continuation") and "warc-segment-number" not in headers:
+        stated = headers.get("warc-payload-digest", "")
+        verdicts.append(_has_digest(stated, payloads(headers, block)) if stated else None)
+    known = [v for v in verdicts if v is not None]
+    return all(known) if known else None
+
+
 def parse_record(data: bytes, at: int) -> tuple[Record, int] | None:
     """The record whose version line begins at ``at`` and the place after it, if it is whole."""
     version = VERSION_LINE.match(data, at)
@@ -143,10 +199,8 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int] | None:
     block = data[start:end]
     if not tail or len(block) != int(length):
         return None
-    digest = headers.get("warc-payload-digest", "")
-    if headers.get("warc-type") == "response" and digest.startswith("sha256:"):
-        if hashlib.sha256(block).hexdigest() != digest.removeprefix("sha256:"):
-            return None
+    if digests_hold(headers, block) is False:
+        return None
     return Record(at, headers, block), tail.end()
 
 
@@ -211,10 +265,9 @@ def _inside(content: bytes, offset: int, doubtful: bool) -> tuple[list[Record],
     while at < len(content):
         parsed = parse_record(content, at)
         if parsed is not None:
-            headers = parsed[0].headers
-            sure = headers["warc-type"] == "response" and headers.get("warc-payload-digest", "").startswith("sha256:")
-            if sure or not doubtful:
-                found.records.append(Record(offset, headers, parsed[0].block))
+            headers, block = parsed[0].headers, parsed[0].block
+            if not doubtful or digests_hold(headers, block):
+                found.records.append(Record(offset, headers, block))
                 at = parsed[1]
                 continue
         later = VERSION_LINE.search(content, at + 1)
@@ -246,11 +299,11 @@ def read_archives(spark, folder: str, with_block: bool = True) -> DataFrame:
         for r in found.records:
             h, block = r.headers, r.block
             digest = h.get("warc-payload-digest", "").removeprefix("sha256:")
-            size = h.get("warc-payload-length", "")
+            size, payload = h.get("warc-payload-length", ""), payloads(h, block)[-1]
             yield (
                 path, r.offset, None, h.get("warc-record-id", "").strip("<>"), h.get("warc-type"),
-                unquote(h.get("warc-target-uri", "")), digest or hashlib.sha256(block).hexdigest(),
-                int(size) if size.isdigit() else len(block),
+                unquote(h.get("warc-target-uri", "")), digest or hashlib.sha256(payload).hexdigest(),
+                int(size) if size.isdigit() else len(payload),
                 h["warc-refers-to"].strip("<>") if "warc-refers-to" in h else None,
                 block if with_block else None, None, None,
             )

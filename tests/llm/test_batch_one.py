@@ -1,5 +1,6 @@
 """Quality rules, exact deduplication, WARC, token store and packing against brute force."""
 
+import base64
 import hashlib
 import os
 import random
@@ -202,6 +203,43 @@ def test_salvage_searches_inside_members(spark, tmp_path):
     assert sum(r.gap_end is None for r in rows) == 5
 
 
+def record_with(kind, block, *headers):
+    return warc.record_bytes([("WARC-Type", kind), ("WARC-Record-ID", f"<urn:x:{kind}>"), *headers], block)
+
+
+def base32_sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_payload_digests_cover_the_body_of_http_messages():
+    body, head = b"<html>body</html>" * 20, b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
+    http = ("Content-Type", "application/http; msgtype=response")
+    plain = head + b"\r\n" + body
+    chunked = head + b"Transfer-Encoding: chunked\r\n\r\n" + b"".join(
+        b"%x\r\n%s\r\n" % (len(p), p) for p in (body[:100], body[100:])) + b"0\r\n\r\n"
+    whole = [
+        record_with("response", plain, http, ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(body).hexdigest())),
+        record_with("response", plain, http, ("WARC-Payload-Digest", base32_sha1(body))),
+        record_with("response", chunked, http, ("WARC-Payload-Digest", base32_sha1(body))),
+        record_with("resource", body, ("WARC-Payload-Digest", base32_sha1(body)), ("WARC-Block-Digest", base32_sha1(body))),
+        record_with("metadata", body, ("WARC-Payload-Digest", "crc9:00")),
+        record_with("revisit", head, http, ("WARC-Payload-Digest", base32_sha1(body)), ("WARC-Block-Digest", base32_sha1(head))),
+    ]
+    found = warc.salvage(b"".join(whole))
+    assert len(found.records) == len(whole) and not found.gaps
+
+
+@pytest.mark.parametrize("name", ["WARC-Payload-Digest", "WARC-Block-Digest"])
+@pytest.mark.parametrize("kind", ["response", "resource"])
+def test_a_changed_byte_is_found_by_either_digest(kind, name):
+    body = b"some body " * 30
+    good = record_with(kind, body, (name, base32_sha1(body)))
+    bad = bytearray(good)
+    bad[len(good) - 50] ^= 1
+    found = warc.salvage(bytes(bad) + good)
+    assert [r.offset for r in found.records] == [len(good)] and found.gaps == [(0, len(good))]
+
+
 def test_salvage_survives_random_damage():
     chance = random.Random(5)
     for _ in range(40):
@@ -282,6 +320,15 @@ def test_token_store_round_trip(spark):
     assert token_store.write_tokens(empty_docs(spark)).read().count() == 0
 
 
+def test_token_store_is_opened_from_its_folder(spark, tmp_path):
+    docs, folder = spark.read.parquet(f"{FOLDER}/documents.parquet"), str(tmp_path / "store")
+    written = token_store.write_tokens(docs, shard_tokens=20_000, folder=folder).read(with_ids=True)
+    opened = token_store.open_tokens(spark.newSession(), folder)
+    assert opened.dictionary and sorted(map(str, opened.read(with_ids=True).collect())) == sorted(map(str, written.collect()))
+    with pytest.raises(Exception, match="(?i)exists"):
+        token_store.write_tokens(docs, folder=folder)
+
+
 def test_dictionary_is_trained_on_long_texts_too_and_its_lack_is_logged(spark, caplog):
     chance = random.Random(7)
     words = [f"word{i}" for i in range(500)]
