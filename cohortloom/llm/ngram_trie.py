@@ -24,6 +24,8 @@ passes on its whole mass.
 Defined results: null counts as the empty text, which is one end token; documents without
 id are scored too; repeated rows count as often as they are listed; with no training
 document N and V are 0; an empty table gives no rows. Words are known by 64-bit hashes.
+Counts, word numbers and positions travel as 64 bits; their upper bytes are zeros that compress away.
+Texts are read whole, however long: a chunk ends after the text that fills it. Stored probabilities are 1e-8 at least.
 """
 
 from __future__ import annotations
@@ -367,16 +369,16 @@ def _count_words(chunks: DataFrame, shards: int, parts: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row)
-                counts = np.bincount(chunk.tokens, chunk.trained, chunk.n_words).astype("<u4")
+                counts = np.bincount(chunk.tokens, chunk.trained, chunk.n_words).astype("<u8")
                 shard = _word_shard(chunk.words, shards)
                 for number, at in _cut(np.argsort(shard, kind="stable"), shard):
                     data = _zip(chunk.words[at].astype("<u8"), counts[at])
                     yield _requests([(number, chunk.number, len(at), data)])
 
     def answer(shard: int, rows: list[tuple]) -> Iterator[tuple]:
-        asked = [_unzip(data, n, "<u8", "<u4") for _, _, n, data in rows]
+        asked = [_unzip(data, n, "<u8", "<u8") for _, _, n, data in rows]
         words, back = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        counts = np.bincount(back, np.concatenate([a[1] for a in asked]), len(words)).astype("<u4")
+        counts = np.bincount(back, np.concatenate([a[1] for a in asked]), len(words)).astype("<u8")
         numbers, at = (np.arange(len(words)) * shards + shard).astype("<u8"), 0
         for (_, chunk, n, _) in rows:
             own = back[at : at + n]
@@ -393,7 +395,7 @@ def _global_words(chunk: Chunk, answers: list[dict], shards: int) -> tuple[np.nd
     numbers, counts = np.zeros(chunk.n_words, np.uint64), np.zeros(chunk.n_words, np.int64)
     answered = {a["shard"]: a for a in answers}
     for number, at in _cut(np.argsort(shard, kind="stable"), shard):
-        numbers[at], counts[at] = _unzip(answered[number]["data"], len(at), "<u8", "<u4")
+        numbers[at], counts[at] = _unzip(answered[number]["data"], len(at), "<u8", "<u8")
     return numbers, counts
 
 
@@ -441,7 +443,7 @@ def _levels(chunk: Chunk, row: dict, shards: int, order: int) -> Iterator[Level]
                 if size == order:
                     codes = _unzip(answered[number], len(at), "<u2")[0]
                 else:
-                    codes, position, counts[at] = _unzip(answered[number], len(at), "<u2", "<u4", "<u4")
+                    codes, position, counts[at] = _unzip(answered[number], len(at), "<u2", "<u8", "<u8")
                     numbers[at] = position.astype(np.uint64) * np.uint64(shards) + np.uint64(number)
                 level.share[at] = expand(codes)
         yield level
@@ -458,11 +460,11 @@ def _score_level(chunks: DataFrame, shards: int, parts: int, strength: float, si
                 *_, level = _levels(chunk, row, shards, size)
                 for number, at in level.cut:
                     gaps = np.diff(level.context[at], prepend=np.uint64(0))
-                    data = _zip(gaps.astype("<u8"), level.word[at].astype("<u4"), level.total[at].astype("<u4"), level.trained[at].astype("<u4"))
+                    data = _zip(gaps.astype("<u8"), level.word[at].astype("<u8"), level.total[at].astype("<u8"), level.trained[at].astype("<u4"))
                     yield _requests([(number, chunk.number, len(at), data)])
 
     def answer(shard: int, rows: list[tuple]) -> Iterator[tuple]:
-        asked = [_unzip(data, n, "<u8", "<u4", "<u4", "<u4") for _, _, n, data in rows]
+        asked = [_unzip(data, n, "<u8", "<u8", "<u8", "<u4") for _, _, n, data in rows]
         asked = [(np.cumsum(a[0]), *a[1:]) for a in asked]
         context, word, total, count = (np.concatenate([a[i] for a in asked]) for i in range(4))
         order = np.lexsort((word, context))
@@ -478,7 +480,7 @@ def _score_level(chunks: DataFrame, shards: int, parts: int, strength: float, si
             at = trie.positions(ctx, wrd)
             found = [codes[at].astype("<u2")]
             if not last:
-                found += [np.maximum(at, 0).astype("<u4"), kept[at].astype("<u4")]
+                found += [np.maximum(at, 0).astype("<u8"), kept[at].astype("<u8")]
             yield shard, chunk, n, _zip(*found)
 
     return _by_shard(chunks.mapInArrow(ask, REQUEST), answer, parts)
