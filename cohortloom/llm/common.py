@@ -15,15 +15,17 @@ GAP = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Arrow batches are bounded by bytes, so one batch of very long texts stays small.
-BATCH_SETTINGS = {
+RUN_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    # Shuffle files go when their action ends, not when the driver happens to collect garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Session with Arrow batches of bounded size."""
-    for key, value in BATCH_SETTINGS.items():
+    """Session with Arrow batches of bounded size and shuffle files that do not pile up."""
+    for key, value in RUN_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
