@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from cohortloom.llm import set_join
 from cohortloom.llm.common import Stages, free_names, text_of
 from cohortloom.llm.ngram_join import (
-    Shingler, Similarity, bit_sketch, components, mix, mixed_groups, near, open_pairs, sketch_array,
+    Shingler, Similarity, bit_sketch, components, mix, mixed_groups, open_pairs, plausible,
 )
 
 #: Rounds with one leader per group before all open pairs are compared, and the number of open
@@ -142,20 +142,6 @@ def band_groups(banded: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame
     return stages.keep(pairs, "pairs"), member.filter("k > 2").select("a", "b")
 
 
-def plausible(pairs: DataFrame, sketched: DataFrame, similarity: Similarity) -> DataFrame:
-    """The ``pairs`` (a, b) that the sizes and parity sketches of their sets do not rule out."""
-    own = sketched.select("__row", "__n", "__s")
-    both = pairs.join(own.toDF("a", "n", "s"), "a").join(own.toDF("b", "m", "z"), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
-            kept = near(similarity, *(sketch_array(batch.column(c).to_pylist()) for c in ("s", "z")), n, m)
-            yield batch.select(["a", "b"]).filter(pa.array(kept))
-
-    return both.mapInArrow(run, "a long, b long")
-
-
 def linked_components(
     banded: DataFrame, sketched: DataFrame, similarity: Similarity, stages: Stages
 ) -> DataFrame:

@@ -17,9 +17,9 @@ and near-empty segments, the only ones that unrelated texts share, are not joine
 nothing is lost.
 
 *Groups.* Texts with equal sets are one representative from the start. Inside a group of
-equal segments only pairs with its best connected member are verified. Pairs of members
-that are still in different components follow, if their bit sketches (the parity of the
-n-grams per bit, ``SKETCH_BITS`` bits) do not already differ in more bits than the sets
+equal segments only pairs with its best connected member are verified, then pairs of members
+that are still in different components; in both cases only if their bit sketches (the parity
+of the n-grams per bit, ``SKETCH_BITS`` bits) do not already differ in more bits than the sets
 may: so no link between components is missed, and neither copies nor unlike texts are
 expanded into all pairs. In the closing round a large group is compared in tiles of at most
 about ``BLOCK`` by ``BLOCK`` members, each a task's unit of its own: the comparisons of unlinked
@@ -429,6 +429,20 @@ def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, eve
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def plausible(pairs: DataFrame, sketched: DataFrame, similarity: Similarity) -> DataFrame:
+    """The ``pairs`` (a, b) that the sizes and parity sketches of their sets do not rule out."""
+    own = sketched.select("__row", "__n", "__s")
+    both = pairs.join(own.toDF("a", "n", "s"), "a").join(own.toDF("b", "m", "z"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            kept = near(similarity, *(sketch_array(batch.column(c).to_pylist()) for c in ("s", "z")), n, m)
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def linked_components(
     texts: DataFrame, sketches: DataFrame, copies: DataFrame, similarity: Similarity, stages: Stages
 ) -> DataFrame:
@@ -446,13 +460,16 @@ def linked_components(
     tested = stages.keep(found.filter("kind = 0").select("a", "b").distinct(), "pairs")
     groups = stages.keep(found.filter("kind = 1").select("a", "b").distinct(), "groups")
     stages.drop(found)
-    links = set_join.verified(tested, texts, similarity, shingler, stages)
+    likely = stages.keep(plausible(tested, sketches, similarity), "likely")
+    links = set_join.verified(likely, texts, similarity, shingler, stages)
+    stages.drop(likely)
     comps = components(links, stages)
     bound, everything = PAIRS_PER_TEXT * max(tested.count(), 10_000), False
     for step in range(MAX_LEADER_ROUNDS + 1):
         members = stages.keep(mixed_groups(groups, comps), "mixed")
         fresh = open_pairs(members, sketches, similarity, everything)
         fresh = stages.keep(fresh.join(tested, ["a", "b"], "left_anti"), "open")
+        stages.drop(members)
         size = fresh.count()
         if size:
             links = links.union(set_join.verified(fresh, texts, similarity, shingler, stages))
