@@ -1,8 +1,10 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-The transducer composes three parts: the normaliser (identity with a dummy prefix, blanks
-become U+2581), the pieces as arcs over characters, and byte fallback for characters
-without a piece. A state is a position with the last piece; an arc of a piece has weight
+The transducer composes three parts: the normaliser (the model's character map, blanks, dummy
+prefix; blanks become U+2581), the pieces as arcs over characters, and byte fallback for
+characters without a piece (without fallback, a run of them is one unknown piece). In a unigram
+model an arc weighs its piece's negative score (``unigram_fst``). In a byte-pair model
+a state is a position with the last piece; an arc of a piece has weight
 0 if the pair (last piece, piece) is stable - byte-pair merging of their joined
 characters gives exactly these two - and infinite weight otherwise. A segmentation is the
 model's own if and only if all its neighbours are stable, so the tropical-semiring
@@ -15,7 +17,10 @@ that no piece joins to one. A worker composes each distinct chunk once, and new
 sorted order, so that common prefixes are composed once too.
 
 Defined results: null counts as the empty text, which has no pieces; repeated rows are
-encoded alike; an empty table gives no rows; decoding gives the text back.
+encoded alike; an empty table gives no rows; very long texts are read whole; the result's
+columns carry the id only, so names do not clash. Decoding gives the normalised text back,
+which ``round_trip`` compares with the text itself: a lossy normaliser or a character without
+a piece or byte fallback makes it false.
 """
 
 from __future__ import annotations
@@ -33,15 +38,17 @@ from pyspark.sql import types as T
 
 from cohortloom.llm.common import prepared
 from cohortloom.llm.fast_encode import UNSURE, ChunkEncoder, tokenizer_path
+from cohortloom.llm.normaliser import BLANK, Normaliser
 
-BLANK = "▁"
 CHUNKS = f"{BLANK}*+[^{BLANK}\n]++|{BLANK}++|\n"
 LETTER = r"[^\W\d_]"
 KNOWN_PAIRS = 2_000_000
 
 
 class PieceTransducer:
-    """Normaliser, pieces and byte fallback of one model."""
+    """Normaliser, pieces and byte fallback of one byte-pair model."""
+
+    kind = "BPE"
 
     def __init__(self, path: str):
         import sentencepiece
@@ -50,11 +57,14 @@ class PieceTransducer:
         proto = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
             proto.ParseFromString(file.read())
-        spec = proto.normalizer_spec
-        if spec.precompiled_charsmap or not spec.add_dummy_prefix or spec.remove_extra_whitespaces:
-            raise ValueError("only the identity normaliser with a dummy prefix is compiled")
-        if proto.trainer_spec.model_type != sentencepiece_model_pb2.TrainerSpec.BPE:
-            raise ValueError("only byte-pair models are compiled")
+        if proto.trainer_spec.model_type != getattr(sentencepiece_model_pb2.TrainerSpec, self.kind):
+            raise ValueError(f"only {self.kind} models are compiled here")
+        if proto.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("models with blanks behind words are not compiled")
+        if any(p.type == sentencepiece_model_pb2.ModelProto.SentencePiece.USER_DEFINED for p in proto.pieces):
+            raise ValueError("models with pieces of their user are not compiled")
+        self.normalise = Normaliser(proto.normalizer_spec)
+        self.fallback, self.unknown_id = proto.trainer_spec.byte_fallback, proto.trainer_spec.unk_id
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
@@ -73,7 +83,8 @@ class PieceTransducer:
                 self.scores[piece] = model.get_score(i)
             self.bytes.append(spelled)
         self.longest = max(map(len, self.ids))
-        self.by_chunk = not any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids)
+        # Unknown characters are one piece across the borders of chunks.
+        self.by_chunk = self.fallback and not any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.ids)
         pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         joined = {p[1] for p in pairs if re.match(LETTER, p)}
         marks = "".join(c for c in string.punctuation if c not in joined)
@@ -153,26 +164,47 @@ class PieceTransducer:
         for path in self.paths(chunks):
             ids = [known(piece) for piece in path]
             if None in ids:
-                ids = []
-                for piece in path:
-                    own = known(piece)
-                    ids += [own] if own is not None else [self.of_byte[b] for b in piece.encode("utf-8", "surrogatepass")]
+                ids = self.with_unknown(path)
             found.append(ids)
         return found
 
-    def normalise(self, text: str | None) -> str:
-        return BLANK + text.replace(" ", BLANK) if text else ""
+    def with_unknown(self, path: list[str]) -> list[int]:
+        """Ids of a path with characters that no piece spells."""
+        ids, before = [], False
+        for piece in path:
+            own = self.ids.get(piece)
+            if own is not None:
+                ids.append(own)
+            elif self.fallback:
+                ids += [self.of_byte[b] for b in piece.encode("utf-8", "surrogatepass")]
+            elif not before:
+                ids.append(self.unknown_id)
+            before = own is None
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return text[1:] if self.normalise.prefix and text.startswith(" ") else text
+
+
+def transducer(path: str) -> PieceTransducer:
+    """The machine of a model file, by the model's type."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    from cohortloom.llm.unigram_fst import UnigramTransducer
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as file:
+        proto.ParseFromString(file.read())
+    unigram = proto.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.UNIGRAM
+    return (UnigramTransducer if unigram else PieceTransducer)(path)
 
 
 class PieceEncoder(ChunkEncoder):
     """Chunk by chunk through the transducer."""
 
     def __init__(self, path: str, pool_size: int = 6_000_000):
-        self.machine = PieceTransducer(path)
+        self.machine = transducer(path)
         self.chunks = self.machine.chunks if self.machine.by_chunk else re.compile(r"(?s).+")
         self.pool_size, self.whole = pool_size, UNSURE
         self._clear()
