@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators import config_tables as ct
 from cohortloom.operators import features as fe
 from cohortloom.operators import matrix as mx
+from cohortloom.plans.assessment import Sources
 from cohortloom.sources import files
 from cohortloom.sources.dimensions import CODE_CONF, LAB_CONF, local_table
 from cohortloom.spec import BEFORE, DIAGNOSES, JUST_BEFORE, LABS, LIFETIME, OBSERVATIONS
@@ -104,6 +105,49 @@ def test_early_cut_gives_the_same_specific_features(spark):
     assert results[0] == results[1]
 
 
+def test_configured_events_are_cut_below_the_joins_of_their_table(spark, tmp_path, monkeypatch):
+    """Codes that the crosswalk maps stay, and codes too many for a list are joined."""
+    codes = [("K1", "ICD10"), ("9K", "ICD9"), ("9K", "ICD10"), ("Z1", "ICD10"), ("9Z", "ICD9"), (None, "ICD10")]
+    lines = [(n % 2, c, k, "x", f"2000-01-0{n + 1}") for n, (c, k) in enumerate(codes)]
+    local_table(
+        spark, lines, "n int, DIAGNOSIS_CD string, DIAGNOSIS_CD_TYPE string, DIAGNOSIS_STATUS string, DIAG_DATE string"
+    ).write.parquet(str(tmp_path / "lines"))
+    local_table(spark, [(0, "a"), (1, "b")], "m int, PTID string").write.parquet(str(tmp_path / "visits"))
+    visits = spark.read.parquet(str(tmp_path / "visits")).hint("merge")
+    events = spark.read.parquet(str(tmp_path / "lines")).join(visits, F.col("n") == F.col("m")).drop("n", "m")
+    cohort = local_table(
+        spark, [(p, date(2001, 1, 1), 1980, "Male") for p in "ab"],
+        "PTID string, INDEX_DATE date, BIRTH_YR int, GENDER string",
+    )
+    conf = local_table(spark, [("K1", "ICD10", "t", "c", "ALGORITHM_BLOCK_B", ["x"])], CODE_CONF)
+    crosswalk = local_table(spark, [("9K", "K1"), ("9Z", "Z1")], "ICD9 string, ICD10 string")
+    ready = fe.preprocess_for_cohort(events, cohort, DIAGNOSES, crosswalk, conf)
+    expected = [("K1", "a", 0), ("K1", "b", 1)]
+    assert rows(ready, "DIAGNOSIS_CD", "PTID", "MAPPED") == expected
+    scans = ready._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[-1]
+    assert "DIAGNOSIS_CD" in scans and "IN (K1,9K)" in scans
+    for most in (0, 1):  # no name can be listed; the names can, but not those mapped to them
+        monkeypatch.setattr("cohortloom.sources.dimensions.LISTED_NAMES", most)
+        wide = local_table(spark, [("9K", "K1"), ("9Z", "Z1"), ("8K", "K1")], "ICD9 string, ICD10 string")
+        ready = fe.preprocess_for_cohort(events, cohort, DIAGNOSES, wide, conf)
+        assert rows(ready, "DIAGNOSIS_CD", "PTID", "MAPPED") == expected
+        named = fe.preprocess_for_cohort(events, cohort, DIAGNOSES, None, conf)
+        assert rows(named, "DIAGNOSIS_CD", "PTID") == [("K1", "a")]
+
+
+def test_units_of_configured_tests_are_those_of_all_tests(spark, tmp_path):
+    labs = local_table(
+        spark, [("a", t, u) for t, u in (("T", "u"), ("T", "u"), ("T", "w"), ("S", "w"), (None, "w"), ("S", None))],
+        "PTID string, TEST_NAME string, RESULT_UNIT string",
+    )
+    sources = lambda store: Sources(None, {"labs": labs}, None, None, store)
+    assert rows(sources(None).units("labs", lab_conf(spark), "x")) == [("T", "u")]
+    kept = sources(files.StageStore(spark, str(tmp_path), buckets=2))
+    assert rows(kept.units("labs", lab_conf(spark), "x")) == [("T", "u")]
+    assert rows(kept.units("labs")) == [("S", "w"), ("T", "u")]
+    assert rows(kept.units("labs", lab_conf(spark), "y")) == [("S", "w"), ("T", "u")]  # written already
+
+
 def test_outliers_and_units(spark):
     labs = local_table(
         spark, [("a", "T", v, u) for v, u in ((0.5, "u"), (5.0, "u"), (0.5, "w"), (5.0, "w"))],
