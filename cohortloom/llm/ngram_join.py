@@ -48,7 +48,10 @@ from cohortloom.llm.common import Stages, free_names, text_of
 
 PAIRS_PER_TEXT = 4
 MAX_LEADER_ROUNDS = 6
-FLUSH = 1 << 20
+#: Segment keys that a worker packs at once: some 25 MB with all working arrays.
+FLUSH = 1 << 18
+#: Texts that are cut into words at once.
+TEXTS_AT_ONCE = 128
 SKETCH_BITS = 2048
 #: Members per side of a tile; a task holds 2 x 4,096 sketches (2 MB) and compares 17 million pairs per tile.
 BLOCK = 4096
@@ -82,11 +85,15 @@ def mix(x: np.ndarray, seed: int) -> np.ndarray:
 class Shingler:
     """Sets of n-gram hashes; word hashes are kept from text to text."""
 
-    def __init__(self, words: int, known: int = 1_000_000):
+    def __init__(self, words: int, known: int = 100_000):
         self.words, self.limit = words, known
         self.known: dict[bytes, int] = {}
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        """A set per text; the words of few texts are held at once."""
+        return [found for at in range(0, len(texts), TEXTS_AT_ONCE) for found in self._sets(texts[at : at + TEXTS_AT_ONCE])]
+
+    def _sets(self, texts: list[str | None]) -> list[np.ndarray]:
         import xxhash
 
         cut = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]

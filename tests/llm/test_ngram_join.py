@@ -180,3 +180,20 @@ def test_large_groups_are_compared_in_tiles(spark, monkeypatch):
     chance.shuffle(rows)
     check(spark, rows, FOUR)
     assert largest and largest[-1][0] > 64 > largest[-1][1]
+
+
+def test_a_worker_holds_few_words_at_once(monkeypatch):
+    """Sets do not depend on how many texts are cut at once, nor on forgotten words."""
+    texts = [None, "", "one", *(f"w{i} x{i} y{i} w{i} z{i % 3} end" for i in range(600))]
+    once, most = ngram_join.Shingler(4), []
+    few = ngram_join.Shingler(4, known=50)
+    cut = few._sets
+
+    def counted(part):
+        made = cut(part)
+        most.append((len(part), len(few.known)))
+        return made
+
+    monkeypatch.setattr(few, "_sets", counted)
+    assert [s.tolist() for s in few.sets(texts)] == [s.tolist() for s in once._sets(texts)]
+    assert max(n for n, _ in most) <= 128 and max(k for _, k in most) <= 50 + 128 * 6
