@@ -20,8 +20,9 @@ as the edge has; such unary chains are compacted by pointer doubling into paths,
 passages of the corpus (``unary_paths``).
 
 *Rows.* Word ids are 64-bit hashes of language and word. Workers sort grams by small numbers of
-their own and send them column by column: two bytes for one of the ``CODED`` most frequent
-words, the id for others, one byte for counts below 255, compressed per bucket. Counts, scores and ranks are exact integers
+their own and send them column by column: three columns of one byte for the code of one of the
+``CODED`` most frequent words (frequent words have small codes, so the upper bytes compress well), the id for
+others, one byte for counts below 255, compressed per bucket. Counts, scores and ranks are exact integers
 (products as decimals of 38 digits; an overflow raises).
 
 Defined results: null texts are empty, null languages are ``und``; empty texts and pieces give
@@ -56,9 +57,10 @@ FLUSH_WORDS, FLUSH_GRAMS = 700_000, 1 << 21
 MAP_BITS, MAP_SLICES = 1 << 26, 64
 #: A word is very common from this share of all words: at most 1,024 words are.
 COMMON_SHARE = 1024
-#: Words with a code of two bytes, taken from those above this share (at most 262,144 words).
-CODED, CODED_SHARE = 65_534, 262_144
-OTHER = 65_535
+#: Words with a code of three bytes: those above this share (at most 1,048,576 words, 8 MB of ids in a worker).
+CODED, CODED_SHARE = 1 << 20, 1 << 20
+CODE_BYTES = 3
+OTHER = (1 << 8 * CODE_BYTES) - 1
 #: Buckets of grams per shuffle partition.
 BUCKETS_PER_PARTITION = 8
 
@@ -203,7 +205,7 @@ class Vocabulary:
         ranked = self.coded[order]
         at = np.minimum(np.searchsorted(ranked, ids), max(len(ranked) - 1, 0))
         known = ranked[at] == ids if len(ranked) else np.zeros(len(ids), bool)
-        found = np.full(len(ids), OTHER, np.uint16)
+        found = np.full(len(ids), OTHER, np.uint32)
         found[known] = order[at[known]] + 1
         found[ids == 0] = 0
         return found
@@ -266,27 +268,30 @@ class Grams:
         border = np.append(starts, len(order))
         grams, counts, codes = grams[order], counts[order], self.vocabulary.codes(self.ids)
 
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
 
         def cut(values: np.ndarray, at: np.ndarray) -> pa.Array:
             return pa.array([pack(values[i:j].tobytes()) if i < j else b"" for i, j in zip(at[:-1], at[1:])], pa.binary())
 
-        def sparse(dense: np.ndarray, marked: np.ndarray, values: np.ndarray) -> list[pa.Array]:
-            """A column, and the ``values`` of its marked places."""
-            before = np.concatenate([[0], np.cumsum(marked)])[border]
-            return [cut(dense, border), cut(values[marked], before)]
+        def sparse(marked: np.ndarray, values: np.ndarray) -> pa.Array:
+            """The ``values`` of a column's marked places."""
+            return cut(values[marked], np.concatenate([[0], np.cumsum(marked)])[border])
 
         columns = []
         for word in grams.T:
-            columns += sparse(codes[word], codes[word] == OTHER, self.ids[word])
-        columns += sparse(np.minimum(counts, 255).astype(np.uint8), counts >= 255, counts)
+            own = codes[word]
+            columns += [cut((own >> np.uint32(8 * place)).astype(np.uint8), border) for place in range(CODE_BYTES)]
+            columns.append(sparse(own == OTHER, self.ids[word]))
+        columns += [cut(np.minimum(counts, 255).astype(np.uint8), border), sparse(counts >= 255, counts)]
         yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), *columns], ["bucket", *_packed_names(self.mining)])
         if len(self.ids) > 1_000_000:
             self._clear()
 
 
 def _packed_names(mining: Mining) -> list[str]:
-    return [name for k in range(mining.longest) for name in (f"w{k}", f"id{k}")] + ["n", "large_n"]
+    return [
+        name for k in range(mining.longest) for name in (*(f"w{k}_{place}" for place in range(CODE_BYTES)), f"id{k}")
+    ] + ["n", "large_n"]
 
 
 def unpacked(columns: list[list[bytes]], mining: Mining, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -295,10 +300,13 @@ def unpacked(columns: list[list[bytes]], mining: Mining, vocabulary: Vocabulary)
 
     unpack = zstandard.ZstdDecompressor().decompress
     joined = [b"".join(unpack(part) for part in c if part) for c in columns]
-    words = [
-        vocabulary.ids(np.frombuffer(joined[2 * k], np.uint16), np.frombuffer(joined[2 * k + 1], np.uint64))
-        for k in range(mining.longest)
-    ]
+    words = []
+    for k in range(mining.longest):
+        *places, others = joined[(CODE_BYTES + 1) * k : (CODE_BYTES + 1) * (k + 1)]
+        codes = np.zeros(len(places[0]), np.uint32)
+        for place, part in enumerate(places):
+            codes |= np.frombuffer(part, np.uint8).astype(np.uint32) << np.uint32(8 * place)
+        words.append(vocabulary.ids(codes, np.frombuffer(others, np.uint64)))
     counts = np.frombuffer(joined[-2], np.uint8).astype(np.int64)
     counts[counts == 255] = np.frombuffer(joined[-1], np.int64)
     return np.stack(words, axis=1), counts
@@ -386,13 +394,12 @@ def count_phrases(
     totals = counted.filter("id is null").select("lang", F.col("f").alias("n"))
     words = counted.filter((F.col("f") >= mining.least) & F.col("id").isNotNull())
     every = totals.agg(F.sum("n")).first()[0] or 0
-    # At most CODED_SHARE rows, as each has more than that share of all words.
-    frequent = words.filter(F.col("f") > every // CODED_SHARE).select("id", "f").collect()
-    frequent.sort(key=lambda r: (-r["f"], r["id"]))
-    as_ids = lambda rows: np.array([r["id"] for r in rows], np.int64).view(np.uint64)
-    vocabulary = Vocabulary(
-        word_map(words), as_ids([r for r in frequent if r["f"] > every // COMMON_SHARE]), as_ids(frequent[:CODED])
-    )
+    # At most CODED_SHARE rows, as each has more than that share of all words: two numbers each.
+    frequent = words.filter(F.col("f") > every // CODED_SHARE).select("id", "f").toArrow()
+    ids, f = (frequent.column(c).to_numpy() for c in ("id", "f"))
+    order = np.lexsort((ids, -f))
+    ids, f = ids[order].view(np.uint64), f[order]
+    vocabulary = Vocabulary(word_map(words), ids[f > every // COMMON_SHARE], ids[:CODED])
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = packed_grams(texts, mining, vocabulary, BUCKETS_PER_PARTITION * parts)
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
