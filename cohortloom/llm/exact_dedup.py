@@ -5,11 +5,11 @@ numbered: equal blocks, and only they, share a name. Adjacent names are then pai
 the distinct pairs named again, until each text has one name. The number of rounds and
 that name identify a text without collisions, whatever its length.
 
-Everything is Column expressions. Block contents are shuffled once, after combining
-equal blocks on the map side, so copies of one text cost a row per task. Afterwards
-blocks travel as 16-byte keys; the dictionary proves that no two of its blocks share a
-key, else the contents themselves are joined. Joins on a hot name are ordinary equi-joins
-that AQE splits.
+Everything is Column expressions. Blocks travel as 16-byte keys. Only blocks whose key
+occurs again can equal another one: their contents are shuffled once, after combining
+equal blocks on the map side, so copies of one text cost a row per task. This proves that
+no two blocks share a key, else the contents themselves are named and joined. Joins on a
+hot name are ordinary equi-joins that AQE splits.
 
 Defined results: null counts as the empty text, which is one empty block; the row with
 the largest id stays (null ids are smallest), and of rows that also share the id exactly
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import ascii_lower, free_names, Stages, text_of
+from cohortloom.llm.common import ascii_lower, free_names, small_ids, Stages, text_of
 
 BLOCK_BYTES = 16 << 10
 COMPUTED = ["keep_id", "group_size", "kept", "text_sha256"]
@@ -49,22 +49,26 @@ def _named(distinct: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def identities(rows: DataFrame, stages: Stages, size: int = BLOCK_BYTES) -> DataFrame:
     """``row``, ``rounds``, ``name`` for rows (``row``, ``content`` binary, ``n_blocks`` int)."""
-    blocks = rows.select(F.explode(_blocks(F.col("content"), F.col("n_blocks"), size)).alias("block"))
+    contents = _blocks(F.col("content"), F.col("n_blocks"), size)
+    keys = F.transform(contents, block_key)
     dictionary = stages.keep(
-        _named(blocks.distinct(), ["block"]).select(block_key(F.col("block")).alias("key"), "name"), "blocks"
+        _named(rows.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("n")), ["key"]), "blocks"
     )
-    clashes = dictionary.groupBy("key").count().filter("count > 1").limit(1).count()
+    blocks = rows.select(F.explode(contents).alias("block"))
+    again = stages.keep(dictionary.filter("n > 1").select(F.col("key.a").alias("a")).distinct(), "again")
+    met = blocks.withColumn("key", block_key(F.col("block"))).withColumn("a", F.col("key.a"))
+    met = met.join(small_ids(again), "a", "left_semi").select("key", "block").distinct()
+    clashes = met.groupBy("key").count().filter("count > 1").limit(1).count()
+    stages.drop(again)
     if clashes:
         stages.drop(dictionary)
         dictionary = stages.keep(
             _named(blocks.distinct(), ["block"]).select(F.col("block").alias("key"), "name"), "contents"
         )
-    keys = _blocks(F.col("content"), F.col("n_blocks"), size)
-    if not clashes:
-        keys = F.transform(keys, block_key)
+        keys = contents
     spread = rows.select("row", "n_blocks", F.posexplode(keys).alias("at", "key"))
     level = stages.keep(
-        spread.join(dictionary, "key").select("row", "n_blocks", F.col("at").cast("long").alias("at"), "name"),
+        spread.join(dictionary.select("key", "name"), "key").select("row", "n_blocks", F.col("at").cast("long").alias("at"), "name"),
         "level",
     )
     stages.drop(dictionary)
@@ -113,11 +117,21 @@ def exact_groups(
     rows = stages.keep(
         normal.select(
             F.monotonically_increasing_id().alias("__row"), *carried, "__id",
-            F.sha2("__text", 256).alias("text_sha256"), F.col("__text").cast("binary").alias("content"),
-            F.greatest(F.lit(1), F.ceil(F.octet_length("__text") / size)).cast("int").alias("n_blocks"),
+            F.sha2("__text", 256).alias("text_sha256"), *_content(size),
         ),
         "rows",
     )
+    return rows.join(verdicts(rows, stages, size), "__row").select(*carried, *COMPUTED)
+
+
+def _content(size: int) -> list[Column]:
+    """The bytes and the number of blocks of the normal text."""
+    n_blocks = F.greatest(F.lit(1), F.ceil(F.octet_length("__text") / size)).cast("int")
+    return [F.col("__text").cast("binary").alias("content"), n_blocks.alias("n_blocks")]
+
+
+def verdicts(rows: DataFrame, stages: Stages, size: int = BLOCK_BYTES) -> DataFrame:
+    """``__row``, ``keep_id``, ``group_size``, ``kept`` for rows (``__row``, ``__id``, ``content``, ``n_blocks``)."""
     named = identities(rows.select(F.col("__row").alias("row"), "content", "n_blocks"), stages, size)
     tagged = rows.select("__row", "__id").join(named.withColumnRenamed("row", "__row"), "__row")
     tagged = stages.keep(tagged, "tagged")
@@ -131,8 +145,7 @@ def exact_groups(
         "__row", F.col("best.__id").alias("keep_id"), "group_size",
         (F.col("__row") == F.col("best.__row")).alias("kept"),
     )
-    verdict = stages.keep(verdict, "verdict")
-    return rows.join(verdict, "__row").select(*carried, *COMPUTED)
+    return stages.keep(verdict, "verdict")
 
 
 def drop_copies(
@@ -141,11 +154,15 @@ def drop_copies(
 ) -> DataFrame:
     """The input rows that stay, with the input's columns, whatever their names.
 
-    Only the row numbers of dropped rows are joined to the texts, as an anti join.
+    Only the row numbers of dropped rows are joined to the texts, as an anti join. The texts
+    are written once, with the row numbers.
     """
     stages = stages or Stages(docs.sparkSession)
     (number,) = free_names(docs.columns, "__number")
     rows = stages.keep(docs.withColumn(number, F.monotonically_increasing_id()), "input")
-    groups = exact_groups(rows, text, doc_id, [number], size, stages)
-    dropped = stages.keep(groups.filter("not kept").select(number), "dropped")
-    return rows.join(dropped, number, "left_anti").drop(number)
+    normal = rows.select(
+        F.col(number).alias("__row"), F.col(f"`{doc_id}`").alias("__id"), ascii_lower(text_of(f"`{text}`")).alias("__text")
+    )
+    verdict = verdicts(normal.select("__row", "__id", *_content(size)), stages, size)
+    dropped = stages.keep(verdict.filter("not kept").select(F.col("__row").alias(number)), "dropped")
+    return rows.join(small_ids(dropped), number, "left_anti").drop(number)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm import set_join
-from cohortloom.llm.common import Stages, free_names, text_of
+from cohortloom.llm.common import Stages, free_names, small_ids, text_of
 from cohortloom.llm.ngram_join import (
     Shingler, Similarity, bit_sketch, components, mix, mixed_groups, open_pairs, plausible,
 )
@@ -196,9 +196,7 @@ def near_duplicates(
         plain.join(equal, same, "left").select("__row", "__id", "__n", F.coalesce("rep", "__row").alias("rep")), "placed"
     )
     copies = placed.filter("rep <> __row").select("__row")
-    if copies.count() <= set_join.BROADCAST_IDS:
-        copies = F.broadcast(copies)
-    banded = rows.filter("__n > 0").select("__row", "__bands").join(copies, "__row", "left_anti")
+    banded = rows.filter("__n > 0").select("__row", "__bands").join(small_ids(copies), "__row", "left_anti")
     comps = linked_components(banded, rows, similarity, stages)
     tagged = stages.keep(
         placed.join(comps.withColumnRenamed("__row", "rep"), "rep", "left").select(
@@ -230,4 +228,4 @@ def drop_near_duplicates(
     numbered = stages.keep(docs.withColumn(number, F.monotonically_increasing_id()), "input")
     found = near_duplicates(numbered, similarity, banding, text, doc_id, (number,), stages)
     dropped = stages.keep(found.filter("not kept").select(F.col("c_0").alias(number)), "dropped")
-    return numbered.join(dropped, number, "left_anti").drop(number)
+    return numbered.join(small_ids(dropped), number, "left_anti").drop(number)

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm import set_join
-from cohortloom.llm.common import Stages, free_names, text_of
+from cohortloom.llm.common import Stages, free_names, small_ids, text_of
 
 PAIRS_PER_TEXT = 4
 MAX_LEADER_ROUNDS = 6
@@ -457,9 +457,7 @@ def linked_components(
 
     ``sketches`` holds ``__row``, ``__n`` and ``__s``. Texts without words have no segments.
     """
-    if copies.count() <= set_join.BROADCAST_IDS:
-        copies = F.broadcast(copies)
-    distinct = texts.select("__row", "__text").join(copies, "__row", "left_anti")
+    distinct = texts.select("__row", "__text").join(small_ids(copies), "__row", "left_anti")
     shingler = lambda: Shingler(similarity.words)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = _segments(distinct, similarity, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
@@ -553,4 +551,4 @@ def drop_near_copies(
     rows = stages.keep(with_sets(texts, "__text", similarity.words).drop("__text"), "rows")
     verdict = _placed(rows, texts.select("__row", "__text"), similarity, stages)
     dropped = stages.keep(verdict.filter("not __kept").select(F.col("__row").alias(number)), "dropped")
-    return numbered.join(dropped, number, "left_anti").drop(number)
+    return numbered.join(small_ids(dropped), number, "left_anti").drop(number)

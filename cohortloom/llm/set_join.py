@@ -15,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm.common import small_ids
+
 CHUNK = 64
-#: Row numbers (16 MB) that are broadcast after a count, so that texts are not shuffled for them; beyond, Spark shuffles.
-BROADCAST_IDS = 2_000_000
 
 
 def stored_sets(texts: DataFrame, shingler) -> DataFrame:
@@ -87,11 +87,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity, shingler, stages) -
     An empty table of pairs gives an empty table; both orders of a pair count as given.
     """
     involved = stages.keep(pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct(), "involved")
-    if involved.count() <= BROADCAST_IDS:
-        ids = F.broadcast(involved)
-    else:
-        ids = involved
-    sets = stages.keep(stored_sets(texts.join(ids, "__row", "left_semi"), shingler), "sets")
+    sets = stages.keep(stored_sets(texts.join(small_ids(involved), "__row", "left_semi"), shingler), "sets")
     links = stages.keep(linked_pairs(pairs, sets, similarity), "links")
     stages.drop(involved, sets)
     return links
