@@ -1,6 +1,6 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-*Counting and asking in one go.* Documents are tokenised into chunks of a few million
+*Counting and asking in one go.* Documents are tokenised into chunks of about a million
 tokens. Per order, a chunk sends each of its distinct n-grams, with the count in its
 training documents, to the shard of the n-gram's context; the shard merges the counts of
 all chunks, builds its part of the trie, and answers each chunk's n-grams. Everything
@@ -44,7 +44,7 @@ from cohortloom.llm.ngram_join import mix
 
 HELD_OUT_FOLD = 1
 STRENGTH = 8.0
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 SPREAD_COUNT = 20_000
 #: Place of the r-th set bit of a byte, the first bit being the highest.
 SELECT = np.array([
@@ -137,10 +137,11 @@ class EliasFano:
         low_bits = max(0, (bound // max(n, 1)).bit_length() - 1)
         bits = np.zeros(n + (bound >> low_bits) + 1, np.uint8)
         bits[(values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)] = 1
-        low = (values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1) if low_bits else np.empty((n, 0))
+        used = values.astype("<u8").view(np.uint8).reshape(n, 8)[:, : -(-low_bits // 8)]
+        low = np.unpackbits(used, axis=1, bitorder="little")[:, :low_bits]
         high = np.packbits(bits)
         head = np.array([n, low_bits, len(high)], "<u8")
-        return head.tobytes() + high.tobytes() + np.packbits(low.astype(np.uint8).reshape(-1)).tobytes()
+        return head.tobytes() + high.tobytes() + np.packbits(low.reshape(-1)).tobytes()
 
     def _lows(self) -> np.ndarray:
         if not self.low_bits:
@@ -251,6 +252,32 @@ def _cut(order: np.ndarray, groups: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return list(zip(numbers.tolist(), np.split(order, starts[1:])))
 
 
+def _bits(values: np.ndarray) -> int:
+    return int(values.max()).bit_length() if len(values) else 0
+
+
+def _order(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """Order by two columns of numbers from 0 on, equal rows as they come; one sort where both fit into 64 bits with the place."""
+    low, place = _bits(then), len(first).bit_length()
+    if _bits(first) + low + place > 64:
+        return np.lexsort((then, first))
+    packed = (first.astype(np.uint64) << np.uint64(low) | then.astype(np.uint64)) << np.uint64(place)
+    packed |= np.arange(len(first), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << place) - 1)).astype(np.int64)
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers from 0 on in order, and each value's place among them."""
+    order = _order(values, np.zeros(len(values), np.int64))
+    ordered = values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], place
+
+
 CHUNK = "chunk long, docs long, tokens long, ids binary, flags binary, counts binary, words binary, n_words long, text binary"
 
 
@@ -347,7 +374,10 @@ def _by_shard(requests: DataFrame, answer, parts: int) -> DataFrame:
 
 
 def _with_answers(chunks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
-    """Answers of all shards beside their chunk: as many bytes as the chunk's own requests."""
+    """Answers of all shards beside their chunk: as many bytes as the chunk's own requests.
+
+    Both are bucketed by chunk, so nothing is shuffled or written for it.
+    """
     own = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("shard", "n", "data")).alias(name))
     return chunks.join(own, "chunk", "left").withColumn(name, F.coalesce(name, F.array()))
 
@@ -426,13 +456,15 @@ def _levels(chunk: Chunk, row: dict, shards: int, order: int) -> Iterator[Level]
         context[chunk.first] = end if size == 2 else -1
         usable = context >= 0
         usable[usable] = counts[context[usable]] > 0
-        grams, inverse = np.unique(context[usable] * chunk.n_words + chunk.tokens[usable], return_inverse=True)
+        grams, inverse = _distinct(context[usable] * chunk.n_words + chunk.tokens[usable])
         trained = np.bincount(inverse, chunk.trained[usable], len(grams)).astype(np.int64)
         place = np.full(len(chunk.tokens), -1, np.int64)
         place[usable] = inverse
         before, word = grams // chunk.n_words, words[grams % chunk.n_words]
         shard = _pair_shard(numbers[before], word, counts[before], shards)
-        cut = _cut(np.lexsort((word, numbers[before], shard)), shard)
+        ranks = np.empty(len(numbers), np.int64)
+        ranks[np.argsort(numbers, kind="stable")] = np.arange(len(numbers))
+        cut = _cut(_order(shard, ranks[before]), shard)
         level = Level(numbers[before], word, counts[before], trained, place, cut)
         answers = row.get(f"level{size}")
         if answers is not None:
@@ -467,7 +499,7 @@ def _score_level(chunks: DataFrame, shards: int, parts: int, strength: float, si
         asked = [_unzip(data, n, "<u8", "<u8", "<u8", "<u4") for _, _, n, data in rows]
         asked = [(np.cumsum(a[0]), *a[1:]) for a in asked]
         context, word, total, count = (np.concatenate([a[i] for a in asked]) for i in range(4))
-        order = np.lexsort((word, context))
+        order = _order(context, word)
         c, w = context[order], word[order]
         fresh = np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))
         starts = np.flatnonzero(fresh)
@@ -503,21 +535,18 @@ def score_documents(
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = 2 * parts
     key = F.col(f"`{doc_id}`").cast("long")
-    chunks = stages.keep(
+    dealt = lambda df, name: stages.keep_dealt(df, name, "chunk", parts)
+    chunks = dealt(
         _chunks(docs.select(key.alias("k"), learned(key, HELD_OUT_FOLD).alias("train"), F.col(f"`{text}`").cast("string").alias("t"))),
         "chunks",
     )
-    words = stages.keep(_count_words(chunks, shards, parts), "words")
+    words = dealt(_count_words(chunks, shards, parts), "words")
     sums = [(r.n, int.from_bytes(r.data, "little")) for r in words.filter("chunk = -1").select("n", "data").collect()]
     tokens, vocabulary = sum(s[0] for s in sums), sum(s[1] for s in sums)  # two numbers per shard
-    known = stages.keep(_with_answers(chunks, words, "known"), "known")
-    stages.drop(chunks, words)
+    known = _with_answers(chunks, words, "known")
     for size in range(2, order + 1):
-        answers = stages.keep(_score_level(known, shards, parts, strength, size, size == order), f"level{size}")
-        joined = _with_answers(known, answers, f"level{size}")
-        if size < order:
-            below, known = known, stages.keep(joined, f"known{size}")
-            stages.drop(below, answers)
+        answers = dealt(_score_level(known, shards, parts, strength, size, size == order), f"level{size}")
+        known = _with_answers(known, answers, f"level{size}")
     floor = np.log10(tokens + 0.5 * (vocabulary + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -540,5 +569,5 @@ def score_documents(
                     pa.array(np.full(len(chunk.ids), tokens, np.int64)), pa.array(add(base[chunk.tokens])), pa.array(add(logs)),
                 ], [f.split()[0] for f in SCORES.split(", ")])
 
-    return joined.mapInArrow(run, SCORES)
+    return known.mapInArrow(run, SCORES)
 

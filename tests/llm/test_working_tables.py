@@ -50,3 +50,40 @@ def test_blocks_that_occur_once_are_not_shuffled(spark, monkeypatch):
         0: (3, 3), 1: (3, 3), 2: (2, 1), 3: (3, 3), 4: (4, 1), 5: (6, 2), 6: (6, 2), 7: (7, 1),
     }
     assert compared == [2]  # the text met three times and the empty one
+
+
+def test_trie_tables_are_joined_by_chunk_without_an_exchange(without_broadcasts, monkeypatch):
+    monkeypatch.setattr(ngram_trie, "CHUNK_TOKENS", 50)
+    scores = ngram_trie.score_documents(some_docs(without_broadcasts), order=3)
+    assert scores.count() == 8
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_trie_orders_are_those_of_plain_sorts():
+    random = np.random.default_rng(5)
+    for high in (1, 50, 1 << 40, 1 << 62):
+        first, then = random.integers(0, high, 400), random.integers(0, 30, 400)
+        assert ngram_trie._order(first, then).tolist() == np.lexsort((then, first)).tolist()
+        values, place = ngram_trie._distinct(first)
+        wanted, back = np.unique(first, return_inverse=True)
+        assert values.tolist() == wanted.tolist() and place.tolist() == back.tolist()
+    empty = np.empty(0, np.int64)
+    assert [len(x) for x in (ngram_trie._order(empty, empty), *ngram_trie._distinct(empty))] == [0, 0, 0]
+
+
+def test_frequent_words_of_grams_have_short_codes():
+    """Words beyond the first 65,534 travelled as random ids of eight bytes."""
+    vocabulary = collocations.Vocabulary(np.full(collocations.MAP_BITS // 8, 255, np.uint8), np.empty(0, np.uint64), np.empty(0, np.uint64))
+    first = collocations.Grams(collocations.Mining(), vocabulary, 1)
+    words = [f"w{i}" for i in range(70_000)]
+    first.add("en", " ".join(words))
+    coded = collocations.Vocabulary(vocabulary.bits, vocabulary.common, first.ids[1:])
+    grams = collocations.Grams(collocations.Mining(), coded, 1)
+    grams.add("en", " ".join(words))
+    (packed,) = grams.flush()
+    columns = [[part] for part in packed.to_pylist()[0].values()][1:]
+    assert not any(packed.column(f"id{k}")[0].as_py() for k in range(5))
+    found, counts = collocations.unpacked(columns, collocations.Mining(), coded)
+    assert len(found) == counts.sum() == 69_999 and set(found[:, 0].tolist()) <= {*grams.ids.tolist()} - {0}
+    assert packed.nbytes < 8 * 5 * 70_000 / 2
