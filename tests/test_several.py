@@ -5,6 +5,7 @@ import math
 import re
 from datetime import date
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,10 +19,11 @@ from cohortloom.operators import matrix as mx
 from cohortloom.operators import rules as ru
 from cohortloom.operators import significance as si
 from cohortloom.operators.evaluation import false_positive_estimate, performance
+from cohortloom.plans.assessment import FeatureStages, Sources
 from cohortloom.plans.queries import QUERIES
 from cohortloom.session import tune
 from cohortloom.sources import files
-from cohortloom.sources.dimensions import broadcast_if_small, local_table
+from cohortloom.sources.dimensions import CODE_CONF, broadcast_if_small, local_table
 from cohortloom.spec import ALL_RANGES, DIAGNOSES, LABS, PATIENTS, TIME_RANGES, Criterion
 from conftest import rows
 from test_rules import BOOLS, RULE
@@ -311,6 +313,56 @@ def test_group_cutoffs_reach_the_scan(spark, plain_plans, tmp_path):
     ]
 
 
+def test_disease_patients_shuffle_each_side_once(spark, plain_plans, tmp_path):
+    """Mentions are dealt by patient and group once; their set, counts, top codes and the merge keep that layout."""
+    lines = [
+        ("a", "C1", "ICD10", "Diagnosis of", "2000-01-05"), ("a", "C1", "ICD10", "Diagnosis of", "2000-01-05"),
+        ("a", "C1", "ICD10", "Diagnosis of", None), ("a", None, "ICD10", "Diagnosis of", "2000-01-05"),
+        ("b", "C2", "ICD10", "Family history of", "2001-01-01"), (None, "C2", "ICD10", "Diagnosis of", "2001-01-01"),
+    ]
+    local_table(
+        spark, lines, "PTID string, DIAGNOSIS_CD string, DIAGNOSIS_CD_TYPE string, DIAGNOSIS_STATUS string, DIAG_DATE string",
+    ).write.parquet(str(tmp_path / "d"))
+    local_table(spark, [("b", "0001", "2000-01-01")], "PTID string, NDC string, RXDATE string").write.parquet(str(tmp_path / "t"))
+    found = co.disease_patients(
+        spark.read.parquet(str(tmp_path / "d")), spark.read.parquet(str(tmp_path / "t")), {"g": (["C1", "C2"], ["0001"])}
+    )
+    assert len(re.findall("Exchange hashpartitioning", plan_of(found))) == 2
+    assert rows(found, "PTID", "INDEX_DATE", "N_CERTAIN_DIAGS", "N_UNCERTAIN_DIAGS", "N_TREATMENTS") == [
+        ("a", date(2000, 1, 5), 2, 0, 0), ("b", date(2000, 1, 1), 0, 1, 1), (None, date(2001, 1, 1), 1, 0, 0)
+    ]
+
+
+def test_configured_events_stay_with_their_patients(spark, plain_plans, monkeypatch, tmp_path):
+    """The join with the cohorts deals the events; cleaning and the bucketed stage take that layout."""
+    schema = "PTID string, DIAGNOSIS_CD string, DIAGNOSIS_CD_TYPE string, DIAGNOSIS_STATUS string, DIAG_DATE string"
+    events = [(p, c, "ICD10", "x", "2020-01-02") for p in "abz" for c in ("K1", "K1", "Z1")]
+    local_table(spark, events, schema).write.parquet(str(tmp_path / "e"))
+    cohort = local_table(
+        spark, [("cohort", "a", date(2021, 1, 1), 1950, "Male"), ("like_cohort", "a", date(2021, 1, 1), 1950, "Male"),
+                ("cohort", "b", date(2021, 1, 1), 1960, "Male")],
+        "COHORT_TYPE string, PTID string, INDEX_DATE date, BIRTH_YR int, GENDER string",
+    )
+    conf = local_table(spark, [("K1", "ICD10", "t", "c", "ALGORITHM_BLOCK_B", ["x"])], CODE_CONF)
+    named = SimpleNamespace(name="own", diag_conf=conf, lab_conf=None, procedure_conf=None, other_confs={})
+    sources = Sources(
+        None, {"diags": spark.read.parquet(str(tmp_path / "e"))}, local_table(spark, [("9K", "K1")], "ICD9 string, ICD10 string"),
+        local_table(spark, [("K1", "text")], "ICD10 string, description string"),
+    )
+    exchanges, keep = {}, files.StageStore.keep
+
+    def counted(self, df, stage, by=()):
+        exchanges[stage] = len(re.findall("Exchange hashpartitioning", plan_of(df)))
+        return keep(self, df, stage, by)
+
+    monkeypatch.setattr(files.StageStore, "keep", counted)
+    stages = FeatureStages(named, sources, cohort, "lifetime", files.StageStore(spark, str(tmp_path / "s")))
+    assert rows(stages.specific("diags"), "COHORT_TYPE", "PTID", "DIAGNOSIS_CD") == [
+        ("cohort", "a", "K1"), ("cohort", "b", "K1"), ("like_cohort", "a", "K1")
+    ]
+    assert [n for stage, n in exchanges.items() if "specific" in stage] == [1]
+
+
 def test_bucketed_stages_keep_their_layout(spark, plain_plans, tmp_path):
     store = files.StageStore(spark, str(tmp_path), buckets=4)
     left = store.keep_dealt(spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("x")), "left", ["k"])
