@@ -3,7 +3,7 @@
 *Counting and asking in one go.* Documents are tokenised into chunks of about a million
 tokens. Per order, a chunk sends each of its distinct n-grams, with the count in its
 training documents, to the shard of the n-gram's context; the shard merges the counts of
-all chunks, builds its part of the trie, and answers each chunk's n-grams. Everything
+all chunks, builds its part of the trie, looks each n-gram up once and answers all chunks. Everything
 that travels is packed arrays; a chunk is read, asked and scored by one task, so nothing
 grows beyond a chunk or a shard. Contexts that are frequent in the corpus are spread over
 several shards by their successor, so no word makes one shard large. A level above the
@@ -46,6 +46,8 @@ HELD_OUT_FOLD = 1
 STRENGTH = 8.0
 CHUNK_TOKENS = 1_000_000
 SPREAD_COUNT = 20_000
+#: N-grams looked up at once.
+ASKED = 65_536
 #: Place of the r-th set bit of a byte, the first bit being the highest.
 SELECT = np.array([
     (np.flatnonzero([b >> (7 - i) & 1 for i in range(8)]).tolist() + [8] * 8)[:8] for b in range(256)
@@ -481,6 +483,38 @@ def _levels(chunk: Chunk, row: dict, shards: int, order: int) -> Iterator[Level]
         yield level
 
 
+def _answers(shard: int, rows: list[tuple], strength: float, last: bool) -> Iterator[tuple]:
+    """Answers to all chunks' requests to one shard: their n-grams are merged, built into the trie and
+    looked up in it once each, in order, ``ASKED`` at a time."""
+    asked = [_unzip(data, n, "<u8", "<u8", "<u8", "<u4") for _, _, n, data in rows]
+    context = np.concatenate([np.cumsum(a[0]) for a in asked])
+    word, total, count = (np.concatenate([a[i] for a in asked]) for i in (1, 2, 3))
+    del asked
+    order = _order(context, word)
+    c, w = context[order], word[order]
+    fresh = np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))
+    starts = np.flatnonzero(fresh)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    sums = np.add.reduceat(count[order].astype(np.int64), starts)
+    c, w, total = c[starts], w[starts], total[order[starts]]
+    del context, word, count, order, fresh
+    seen = sums > 0
+    trie = TrieShard(TrieShard.pack(c[seen], w[seen], sums[seen] / (total[seen] + strength)))
+    at = np.empty(len(starts), np.int64)
+    for begin in range(0, len(starts), ASKED):
+        own = slice(begin, begin + ASKED)
+        at[own] = trie.positions(c[own], w[own])
+    found = [np.append(trie.codes, 0)[at].astype("<u2")]  # position -1 is the appended zero
+    if not last:
+        found += [np.maximum(at, 0).astype("<u8"), np.append(sums[seen], 0)[at].astype("<u8")]
+    begin = 0
+    for _, chunk, n, _ in rows:
+        own = place[begin : begin + n]
+        yield shard, chunk, n, _zip(*(f[own] for f in found))
+        begin += n
+
+
 def _score_level(chunks: DataFrame, shards: int, parts: int, strength: float, size: int, last: bool) -> DataFrame:
     """Quantised probabilities of the chunks' n-grams of ``size`` words, from the shards' tries;
     below the last level their positions and training counts too."""
@@ -496,24 +530,7 @@ def _score_level(chunks: DataFrame, shards: int, parts: int, strength: float, si
                     yield _requests([(number, chunk.number, len(at), data)])
 
     def answer(shard: int, rows: list[tuple]) -> Iterator[tuple]:
-        asked = [_unzip(data, n, "<u8", "<u8", "<u8", "<u4") for _, _, n, data in rows]
-        asked = [(np.cumsum(a[0]), *a[1:]) for a in asked]
-        context, word, total, count = (np.concatenate([a[i] for a in asked]) for i in range(4))
-        order = _order(context, word)
-        c, w = context[order], word[order]
-        fresh = np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))
-        starts = np.flatnonzero(fresh)
-        sums = np.add.reduceat(count[order].astype(np.int64), starts)
-        seen = sums > 0
-        share = sums[seen] / (total[order][starts][seen] + strength)
-        trie = TrieShard(TrieShard.pack(c[starts][seen], w[starts][seen], share))
-        codes, kept = np.append(trie.codes, 0), np.append(sums[seen], 0)  # position -1 is the appended zero
-        for (_, chunk, n, _), (ctx, wrd, *_rest) in zip(rows, asked):
-            at = trie.positions(ctx, wrd)
-            found = [codes[at].astype("<u2")]
-            if not last:
-                found += [np.maximum(at, 0).astype("<u8"), kept[at].astype("<u8")]
-            yield shard, chunk, n, _zip(*found)
+        return _answers(shard, rows, strength, last)
 
     return _by_shard(chunks.mapInArrow(ask, REQUEST), answer, parts)
 

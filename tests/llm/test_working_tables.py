@@ -60,6 +60,32 @@ def test_trie_tables_are_joined_by_chunk_without_an_exchange(without_broadcasts,
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_grams_of_many_chunks_are_looked_up_once(spark, monkeypatch):
+    """Chunks ask for the same n-grams; the shard looks each up once, and all chunks get its answer."""
+    looked_up, answers, positions = [], {}, ngram_trie.TrieShard.positions
+    monkeypatch.setattr(
+        ngram_trie.TrieShard, "positions", lambda self, c, w: looked_up.append(len(w)) or positions(self, c, w)
+    )
+    monkeypatch.setattr(ngram_trie, "_by_shard", lambda requests, answer, parts: answers.update(level=answer))
+    ngram_trie._score_level(some_docs(spark).mapInArrow(lambda x: x, "doc_id long, text string"), 4, 2, 8.0, 2, False)
+
+    def asks(chunk, words, counts):
+        n = len(words)
+        data = ngram_trie._zip(
+            np.array([5] + [0] * (n - 1), "<u8"), np.array(words, "<u8"), np.full(n, 9, "<u8"), np.array(counts, "<u4")
+        )
+        return 1, chunk, n, data
+
+    rows = [asks(7, [2, 3, 6], [1, 0, 0]), asks(8, [2, 3], [2, 1]), asks(9, [6, 2], [0, 0])]
+    found = [(shard, chunk, n, ngram_trie._unzip(data, n, "<u2", "<u8", "<u8")) for shard, chunk, n, data in answers["level"](1, rows)]
+    codes = {2: ngram_trie.quantise(np.array([3 / 17]))[0], 3: ngram_trie.quantise(np.array([1 / 17]))[0], 6: 0}
+    for (_, chunk, n, got), words in zip(found, ([2, 3, 6], [2, 3], [6, 2])):
+        assert got[0].tolist() == [codes[w] for w in words]
+        assert got[2].tolist() == [{2: 3, 3: 1, 6: 0}[w] for w in words]
+        assert all(p == {2: 0, 3: 1, 6: 0}[w] for p, w in zip(got[1].tolist(), words))
+    assert [f[:3] for f in found] == [(1, 7, 3), (1, 8, 2), (1, 9, 2)] and sum(looked_up) == 3
+
+
 def test_trie_orders_are_those_of_plain_sorts():
     random = np.random.default_rng(5)
     for high in (1, 50, 1 << 40, 1 << 62):
