@@ -20,7 +20,7 @@ from cohortloom.operators import rules as ru
 from cohortloom.operators import significance as si
 from cohortloom.operators.evaluation import false_positive_estimate, performance
 from cohortloom.plans.assessment import FeatureStages, Sources
-from cohortloom.plans.queries import QUERIES
+from cohortloom.plans.queries import QUERIES, Context
 from cohortloom.session import tune
 from cohortloom.sources import files
 from cohortloom.sources.dimensions import CODE_CONF, broadcast_if_small, local_table
@@ -363,6 +363,47 @@ def test_configured_events_stay_with_their_patients(spark, plain_plans, monkeypa
     assert [n for stage, n in exchanges.items() if "specific" in stage] == [1]
 
 
+def test_events_of_broadcast_cohorts_are_dealt_once(spark, plain_plans, monkeypatch, tmp_path):
+    """Where the cohorts are broadcast, one shuffle by patient serves deduplication and the bucketed stage."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    schema = "PTID string, PROC_CODE string, PROC_CODE_TYPE string, PROC_DESC string, PROC_DATE string"
+    events = [(p, "B1", "CPT4", d, "2020-01-02") for p in ("a", "b", "z", None) for d in ("y", "x", "x")]
+    local_table(spark, events, schema).write.parquet(str(tmp_path / "e"))
+    cohort = spark.createDataFrame(
+        [("cohort", p, date(2021, 1, 1), 1950, "Male") for p in "ab"],
+        "COHORT_TYPE string, PTID string, INDEX_DATE date, BIRTH_YR int, GENDER string",
+    )
+    conf = local_table(spark, [("B1", "CPT4", "t", "c", "ALGORITHM_BLOCK_B", None)], CODE_CONF)
+    named = SimpleNamespace(name="own", diag_conf=None, lab_conf=None, procedure_conf=conf, other_confs={})
+    sources = Sources(None, {"procedures": spark.read.parquet(str(tmp_path / "e"))}, None, None)
+    plans, keep = {}, files.StageStore.keep
+
+    def watched(self, df, stage, by=()):
+        plans[stage] = plan_of(df)
+        return keep(self, df, stage, by)
+
+    monkeypatch.setattr(files.StageStore, "keep", watched)
+    stages = FeatureStages(named, sources, cohort, "lifetime", files.StageStore(spark, str(tmp_path / "s")))
+    assert rows(stages.specific("procedures"), "PTID", "PROC_DESC") == [("a", "x"), ("b", "x")]
+    (plan,) = (p for stage, p in plans.items() if "specific" in stage)
+    assert "BroadcastHashJoin" in plan and len(re.findall("Exchange hashpartitioning", plan)) == 1
+
+
+@needs_data
+@pytest.mark.parametrize("feature", ["diags", "labs", "procedures"])
+def test_orders_are_dealt_once_for_all_event_tables(spark, plain_plans, monkeypatch, feature):
+    """The lines of an event table are shuffled to the orders, which lie by their key; rows are those of the plain view."""
+    monkeypatch.setattr("cohortloom.session.SETTINGS", {})
+    context = Context(spark, FOLDER)
+    ours, plain = context.sources.tables[feature], getattr(
+        context.records, {"diags": "diagnosis", "labs": "lab", "procedures": "procedure"}[feature]
+    )
+    on_orders = lambda df: len(re.findall(r"Exchange hashpartitioning\([lo]_orderkey", plan_of(df)))
+    assert (on_orders(ours), on_orders(plain)) == (1, 2)
+    assert ours.exceptAll(plain).count() == plain.exceptAll(ours).count() == 0 < ours.count()
+    assert [n for n in context.store.written if n == "orders"] == ["orders"]
+
+
 def test_bucketed_stages_keep_their_layout(spark, plain_plans, tmp_path):
     store = files.StageStore(spark, str(tmp_path), buckets=4)
     left = store.keep_dealt(spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("x")), "left", ["k"])
