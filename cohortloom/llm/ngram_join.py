@@ -24,7 +24,11 @@ may: so no link between components is missed, and neither copies nor unlike text
 expanded into all pairs. In the closing round a large group is compared in tiles of at most
 about ``BLOCK`` by ``BLOCK`` members, each a task's unit of its own: the comparisons of unlinked
 members are as many as their pairs, but no task holds or compares a group. A segment entry takes
-16 bytes, packed into binary rows per bucket before the shuffle.
+48 bits of its key and the distance from the row before, packed into binary rows per bucket before
+the shuffle: unlike segments that meet by chance are candidates like others, and are verified.
+
+*Verification.* Only components are wanted, so of the candidates each text's closest pair is verified
+first, then the pairs that are still in different components.
 
 Links are between sets of 64-bit n-gram hashes. Defined results: A-Z are lower-cased;
 null, empty and blank texts have an empty set and no links; a text with fewer words than
@@ -200,8 +204,29 @@ def with_sets(docs: DataFrame, text: str, words: int) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *extra]))
 
 
+def packed_keys(key: np.ndarray) -> bytes:
+    """The upper 48 bits of each key."""
+    return (key >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_keys(packed: bytes) -> np.ndarray:
+    whole = np.zeros((len(packed) // 6, 8), np.uint8)
+    whole[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return whole.view("<u8").ravel().astype(np.uint64)
+
+
+def packed_rows(row: np.ndarray) -> bytes:
+    """Differences from number to number, byte by byte: the upper bytes of ascending numbers are zero and compress."""
+    return np.diff(row, prepend=np.int64(0)).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_rows(packed: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    return np.cumsum(steps, dtype=np.int64)
+
+
 def _segments(texts: DataFrame, similarity: Similarity, buckets: int) -> DataFrame:
-    """Packed segment keys: rows (bucket, keys, rows), both binary arrays of 64-bit numbers."""
+    """Packed segment keys: rows (bucket, keys, rows), as ``packed_keys`` and ``packed_rows`` write them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sketcher = Shingler(similarity.words), Sketcher(similarity)
@@ -214,7 +239,10 @@ def _segments(texts: DataFrame, similarity: Similarity, buckets: int) -> DataFra
             numbers, starts = np.unique(bucket[order], return_index=True)
             parts = [np.split(x[order], starts[1:]) for x in (key, row)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int32()), *(pa.array([p.tobytes() for p in ps], pa.binary()) for ps in parts)],
+                [
+                    pa.array(numbers, pa.int32()), pa.array(map(packed_keys, parts[0]), pa.binary()),
+                    pa.array(map(packed_rows, parts[1]), pa.binary()),
+                ],
                 ["bucket", "keys", "rows"],
             )
 
@@ -279,7 +307,7 @@ def _candidates(segments: DataFrame) -> DataFrame:
     """Rows (kind, a, b): kind 0 a pair, kind 1 the member ``b`` of group ``a``."""
 
     def bucket_rows(keys: list[bytes], rows: list[bytes]) -> Iterator[pa.RecordBatch]:
-        key, row = np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(rows), np.int64)
+        key, row = np.concatenate([*map(unpacked_keys, keys)]), np.concatenate([*map(unpacked_rows, rows)])
         a, b, group, member = star_pairs(key, row)
         kind = np.repeat([0, 1], [len(a), len(group)])
         low, high = np.minimum(a, b), np.maximum(a, b)
@@ -382,7 +410,12 @@ def _tiles(members: DataFrame) -> DataFrame:
 
 def near(similarity: Similarity, own: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Do the sketches leave a link possible?"""
-    return np.bitwise_count(own ^ other).sum(-1, dtype=np.int64) <= similarity.difference(n + m)
+    return distance(own, other) <= similarity.difference(n + m)
+
+
+def distance(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Number of different bits."""
+    return np.bitwise_count(own ^ other).sum(-1, dtype=np.int64)
 
 
 def sketch_array(rows) -> np.ndarray:
@@ -437,17 +470,31 @@ def open_pairs(members: DataFrame, texts: DataFrame, similarity: Similarity, eve
 
 
 def plausible(pairs: DataFrame, sketched: DataFrame, similarity: Similarity) -> DataFrame:
-    """The ``pairs`` (a, b) that the sizes and parity sketches of their sets do not rule out."""
+    """The ``pairs`` (a, b) that the sizes and parity sketches of their sets do not rule out, with the sketches' distance ``d``."""
     own = sketched.select("__row", "__n", "__s")
     both = pairs.join(own.toDF("a", "n", "s"), "a").join(own.toDF("b", "m", "z"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
-            kept = near(similarity, *(sketch_array(batch.column(c).to_pylist()) for c in ("s", "z")), n, m)
-            yield batch.select(["a", "b"]).filter(pa.array(kept))
+            apart = distance(*(sketch_array(batch.column(c).to_pylist()) for c in ("s", "z")))
+            found = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(apart)], ["a", "b", "d"])
+            yield found.filter(pa.array(apart <= similarity.difference(n + m)))
+
+    return both.mapInArrow(run, "a long, b long, d long")
+
+
+def closest_pairs(pairs: DataFrame) -> DataFrame:
+    """Of ``pairs`` (a, b, d) the closest one of each ``b``."""
+    best = pairs.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m"))
+    return best.select(F.col("m.a").alias("a"), "b")
+
 
-    return both.mapInArrow(run, "a long, b long")
+def pairs_apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose members are in different components."""
+    x, y = (comps.select(F.col("__row").alias(c), F.col("comp").alias(name)) for c, name in (("a", "x"), ("b", "y")))
+    both = pairs.select("a", "b").join(x, "a", "left").join(y, "b", "left")
+    return both.filter(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
 
 
 def linked_components(
@@ -466,9 +513,14 @@ def linked_components(
     groups = stages.keep(found.filter("kind = 1").select("a", "b").distinct(), "groups")
     stages.drop(found)
     likely = stages.keep(plausible(tested, sketches, similarity), "likely")
-    links = set_join.verified(likely, texts, similarity, shingler, stages)
-    stages.drop(likely)
+    nearest = stages.keep(closest_pairs(likely), "nearest")
+    links = set_join.verified(nearest, texts, similarity, shingler, stages)
     comps = components(links, stages)
+    rest = stages.keep(pairs_apart(likely, comps).join(nearest, ["a", "b"], "left_anti"), "apart")
+    stages.drop(likely, nearest)
+    if rest.count():
+        links = links.union(set_join.verified(rest, texts, similarity, shingler, stages))
+        comps = components(links, stages)
     bound, everything = PAIRS_PER_TEXT * max(tested.count(), 10_000), False
     for step in range(MAX_LEADER_ROUNDS + 1):
         members = stages.keep(mixed_groups(groups, comps), "mixed")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -197,3 +198,37 @@ def test_a_worker_holds_few_words_at_once(monkeypatch):
     monkeypatch.setattr(few, "_sets", counted)
     assert [s.tolist() for s in few.sets(texts)] == [s.tolist() for s in once._sets(texts)]
     assert max(n for n, _ in most) <= 128 and max(k for _, k in most) <= 50 + 128 * 6
+
+
+def test_segment_entries_are_packed_small():
+    """Six bytes of a key and about one of a row number; whatever the numbers, they come back."""
+    chance = np.random.default_rng(7)
+    key = chance.integers(0, 1 << 64, 1000, np.uint64)
+    row = np.sort(chance.integers(0, 1500, 1000)) + (5 << 33)
+    packed = ngram_join.packed_keys(key), ngram_join.packed_rows(row)
+    assert len(packed[0]) == 6000 and len(zlib.compress(packed[1])) < 1200
+    assert (ngram_join.unpacked_keys(packed[0]) == key >> np.uint64(16)).all()
+    for numbers in (row, row[:0], np.array([-(1 << 63), (1 << 63) - 1, 0, -1, 7, 7])):
+        assert (ngram_join.unpacked_rows(ngram_join.packed_rows(numbers)) == numbers).all()
+
+
+def test_one_pair_a_text_is_verified_before_the_others(spark, monkeypatch):
+    """All pairs of a family are candidates; after each text's closest pair none is left to verify."""
+    sizes, verified = [], ngram_join.set_join.verified
+
+    def counted(pairs, *rest):
+        sizes.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join.set_join, "verified", counted)
+    chance = random.Random(5)
+    texts = [" ".join(words) for words in family(chance, 400, 30, 1)]
+    check(spark, list(enumerate(texts)), FOUR)
+    assert sum(sizes) <= len(texts)
+
+
+def test_pairs_of_different_components_are_left(spark):
+    pairs = spark.createDataFrame([(1, 2, 0), (1, 3, 4), (2, 3, 1), (4, 5, 2), (1, 5, 3)], "a long, b long, d long")
+    comps = spark.createDataFrame([(2, 1), (3, 1), (5, 4)], "__row long, comp long")
+    assert {tuple(r) for r in ngram_join.closest_pairs(pairs).collect()} == {(1, 2), (2, 3), (4, 5)}
+    assert [tuple(r) for r in ngram_join.pairs_apart(pairs, comps).collect()] == [(1, 5)]
